@@ -107,3 +107,256 @@ def rolling_stats(spark, sf_dir):
     return fr.select("series", "seq", F.col("n_prev").cast("long").alias("n"),
                      fround(F.col("mean120") * F.col("n_prev"), 4).alias("sum120"),
                      fround("sd120", 6).alias("sd120"), fround("sd_ret119", 6).alias("sd_ret119"))
+
+
+# --------------------------------------------------------------------------- events + feed helpers
+
+def _events(spark, sf_dir):
+    """Rules-only anomaly records of ``events`` (types kept as an array)."""
+    return detect.event_record(_events_rules(spark, sf_dir), types="rule_types")
+
+
+def _frame_and_events(spark, sf_dir):
+    fr = _events_rules(spark, sf_dir)
+    return fr, detect.event_record(fr, types="rule_types")
+
+
+EV = f"WITH {Q.rule_events_cte()}"
+EVF = f"WITH {Q.rule_events_cte()}, {Q.feed_cte()}"
+
+
+@register("severity", f"""{EV}
+SELECT series, seq, severity AS full_sev,
+  CASE WHEN list_has_any(type_list, {C.FALLBACK_HIGH}) THEN 'HIGH'
+       WHEN list_has_any(type_list, {C.FALLBACK_MED}) THEN 'MED' ELSE 'LOW' END AS fallback_sev,
+  CASE WHEN list_has_any(type_list, {C.RULES_ONLY_HIGH}) THEN 'HIGH'
+       WHEN list_has_any(type_list, {C.RULES_ONLY_MED}) THEN 'MED' ELSE 'LOW' END AS rules_only_sev
+FROM ev""")
+def severity(spark, sf_dir):
+    """The three severity rules on every event's fired list."""
+    from tickwatch.functions.severity import severity as sev
+    ev = _events(spark, sf_dir)
+    return ev.select("series", "seq", sev(F.col("types"), "full").alias("full_sev"),
+                     sev(F.col("types"), "fallback").alias("fallback_sev"),
+                     sev(F.col("types"), "rules_only").alias("rules_only_sev"))
+
+
+@register("price_feed_last_n", f"""{EVF}
+SELECT series, seq, round(price, 2) AS price, anomaly, if_ready
+FROM {Q.last_n_sql('feed', C.MAX_PRICE_HISTORY)}""")
+def price_feed_last_n(spark, sf_dir):
+    """Last 500 ticks per series with anomaly and model-ready flags."""
+    from tickwatch.plans.report import last_n
+    fr = _events_rules(spark, sf_dir)
+    feed = last_n(detect.feed_frame(fr), C.MAX_PRICE_HISTORY)
+    return feed.select("series", "seq", fround("price", 2).alias("price"), "anomaly", "if_ready")
+
+
+LAST_CLOSES = 3000
+
+
+@register("last_n_closes", f"""
+WITH t AS ({Q.ticks_cte()})
+SELECT series, seq, price FROM {Q.last_n_sql('t', LAST_CLOSES)}""")
+def last_n_closes(spark, sf_dir):
+    """The last 3000 closes per series."""
+    from tickwatch.sources.files import last_n_closes as lnc
+    return lnc(events_ticks(spark, sf_dir), LAST_CLOSES).select("series", "seq", "price")
+
+
+@register("history_summary", f"""
+WITH t AS ({Q.ticks_cte()})
+SELECT series, count(*) AS n, min(price) AS min_price, max(price) AS max_price,
+       round(avg(price), 6) AS mean_price FROM t GROUP BY series""")
+def history_summary(spark, sf_dir):
+    """History size, min, max, mean per series."""
+    t = events_ticks(spark, sf_dir)
+    return t.groupBy("series").agg(F.count(F.lit(1)).alias("n"), F.min("price").alias("min_price"),
+                                   F.max("price").alias("max_price"),
+                                   fround(F.avg("price"), 6).alias("mean_price"))
+
+
+@register("anomaly_log_view", f"""{EV}
+SELECT series, {Q.iso()} AS ts, coalesce(type_list[1], 'unknown') AS primary_type, price, pct_change,
+       abs_change, if_score, lstm_score, severity, CAST(len(type_list) AS BIGINT) AS n_types
+FROM {Q.last_n_sql('ev', C.ANOMALY_LOG_ROWS)}""")
+def anomaly_log_view(spark, sf_dir):
+    """Events written as log lines (JSON text), read back tolerantly and coerced."""
+    from tickwatch.sources.files import anomaly_json, coerce_anomaly_log
+    lines = anomaly_json(_events(spark, sf_dir)).select(
+        F.to_json(F.struct("timestamp", "price", "pct_change", "abs_change", "types", "severity",
+                           "if_score", "lstm_score", "series")).alias("line"))
+    from tickwatch.schema import ANOMALY_LOG_TEXT
+    raw = lines.select(F.from_json("line", ANOMALY_LOG_TEXT).alias("r")).select("r.*")
+    v = coerce_anomaly_log(raw, C.ANOMALY_LOG_ROWS)
+    return v.select("series", F.col("ts_iso").alias("ts"), "primary_type", "price", "pct_change", "abs_change",
+                    "if_score", "lstm_score", "severity", F.size("types").cast("long").alias("n_types"))
+
+
+@register("filter_view", f"""{EV}
+SELECT series, seq, severity, types FROM {Q.last_n_sql('ev', C.VIEW_ROWS_DEFAULT,
+    "severity IN ('HIGH') AND list_has_any(type_list, ['pct_spike', 'abs_jump', 'lstm_anomaly'])")}""")
+def filter_view(spark, sf_dir):
+    """HIGH preset, last 200 matching events per series."""
+    from tickwatch.plans.report import filter_view as fv
+    v = fv(_events(spark, sf_dir), "high", C.VIEW_ROWS_DEFAULT)
+    return v.select("series", "seq", "severity", F.array_join("types", ",").alias("types"))
+
+
+@register("active_alert", f"""{EV}
+SELECT series, seq, strftime(ts, '%H:%M:%S') AS time, printf('$%,.2f', round(price, 2)) AS price,
+       printf('%+.4f%%', round(pct_change, 4)) AS delta_pct,
+       array_to_string(list_transform(type_list, lambda x: '`' || x || '`'), ' · ') AS detectors
+FROM {Q.last_n_sql('ev', 1, "severity = 'HIGH'")}""")
+def active_alert(spark, sf_dir):
+    """latest HIGH event per series, formatted."""
+    from tickwatch.plans.report import active_alert as aa
+    return aa(_events(spark, sf_dir))
+
+
+@register("anomalies_in_window", f"""{EVF},
+first_tick AS (SELECT series, min(t_us) AS t0 FROM {Q.last_n_sql('feed', C.MAX_PRICE_HISTORY)} GROUP BY series)
+SELECT ev.series, count(*) AS count FROM ev JOIN first_tick f ON ev.series = f.series AND ev.t_us >= f.t0
+GROUP BY ev.series""")
+def anomalies_in_window(spark, sf_dir):
+    """Anomalies at or after the first tick of the 500-tick feed, per series."""
+    from tickwatch.plans.report import anomalies_in_window as aiw, last_n
+    fr, ev = _frame_and_events(spark, sf_dir)
+    return aiw(ev, last_n(detect.feed_frame(fr), C.MAX_PRICE_HISTORY))
+
+
+@register("severity_counts", f"""{EV},
+g AS (SELECT series, count_if(severity = 'HIGH') AS h, count_if(severity = 'MED') AS m,
+             count_if(severity = 'LOW') AS l, count(*) AS tot FROM ev GROUP BY series)
+SELECT series, 'HIGH' AS severity, 0 AS rank, CAST(h AS BIGINT) AS count, round(h / tot * 100.0, 1) AS pct FROM g
+UNION ALL SELECT series, 'MED', 1, CAST(m AS BIGINT), round(m / tot * 100.0, 1) FROM g
+UNION ALL SELECT series, 'LOW', 2, CAST(l AS BIGINT), round(l / tot * 100.0, 1) FROM g""")
+def severity_counts(spark, sf_dir):
+    """Zero-filled HIGH/MED/LOW counts and percent per series."""
+    from tickwatch.plans.report import severity_counts as sc
+    return sc(_events(spark, sf_dir))
+
+
+@register("type_counts", f"""{EV},
+x AS (SELECT unnest(type_list) AS type FROM ev),
+c AS (SELECT type, count(*) AS count FROM x GROUP BY type)
+SELECT type, count,
+  CASE type {' '.join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in C.TYPE_META.items())} ELSE '?' END AS layer,
+  CASE type {' '.join(f"WHEN '{k}' THEN '{v[1]}'" for k, v in C.TYPE_META.items())} ELSE 'LOW' END AS severity,
+  CASE WHEN type IN ('iforest_anomaly', 'lstm_anomaly') THEN 'ml' ELSE 'rule' END AS layer_tag
+FROM c""")
+def type_counts(spark, sf_dir):
+    """Fired-detector counts with layer / severity metadata."""
+    from tickwatch.plans.report import type_counts as tc
+    return tc(_events(spark, sf_dir))
+
+
+@register("top_detector", f"""{EV},
+x AS (SELECT series, t_us, seq, unnest(type_list) AS type, generate_subscripts(type_list, 1) AS p FROM ev),
+c AS (SELECT series, type, count(*) AS count, min(t_us) AS ft FROM x GROUP BY series, type),
+c2 AS (SELECT c.*, (SELECT min(seq * 100 + p) FROM x WHERE x.series = c.series AND x.type = c.type
+                      AND x.t_us = c.ft) AS fk FROM c)
+SELECT series, type AS top_type, count FROM (
+  SELECT *, row_number() OVER (PARTITION BY series ORDER BY count DESC, ft, fk) AS k FROM c2) WHERE k = 1""")
+def top_detector(spark, sf_dir):
+    """A3: most frequent detector per series (tie: first seen)."""
+    from tickwatch.plans.report import top_detector as td
+    return td(_events(spark, sf_dir))
+
+
+@register("session_kpis", f"""{EVF},
+f AS (SELECT series, count(*) AS ticks, max(price) AS hi, min(price) AS lo, (max(t_us) - min(t_us)) / 1e6 AS span_s,
+             bool_or(if_ready) AS if_ready FROM feed GROUP BY series),
+e AS (SELECT series, count(*) AS anomalies, count_if(severity = 'HIGH') AS high, count_if(severity = 'MED') AS med
+      FROM ev GROUP BY series),
+j AS (SELECT f.*, coalesce(e.anomalies, 0) AS anomalies, coalesce(e.high, 0) AS high, coalesce(e.med, 0) AS med,
+             coalesce(e.anomalies, 0) / greatest(f.ticks, 1) * 100.0 AS rate,
+             greatest((f.hi - f.lo) * {C.CHART_PAD_FRACTION}, {C.CHART_PAD_MIN}) AS pad
+      FROM f LEFT JOIN e ON f.series = e.series)
+SELECT series, CAST(ticks AS BIGINT) AS ticks, CAST(anomalies AS BIGINT) AS anomalies, CAST(high AS BIGINT) AS high,
+  CAST(med AS BIGINT) AS med, round(rate, 4) AS rate,
+  CASE WHEN rate >= {C.RATE_NORMAL_LO} AND rate <= {C.RATE_NORMAL_HI} THEN 'normal'
+       WHEN rate > {C.RATE_NORMAL_HI} THEN 'high' ELSE 'quiet' END AS band,
+  hi, lo, round(hi - lo, 6) AS range, round(lo - pad, 6) AS y_min, round(hi + pad, 6) AS y_max,
+  round(span_s, 6) AS span_s,
+  CASE WHEN span_s >= 3600 THEN printf('%dh %dm', CAST(floor(span_s / 3600) AS BIGINT),
+                                       CAST(floor(fmod(span_s, 3600) / 60) AS BIGINT))
+       ELSE printf('%dm %ds', CAST(floor(span_s / 60) AS BIGINT), CAST(floor(fmod(span_s, 60)) AS BIGINT)) END
+    AS elapsed,
+  round(least(ticks / {float(C.IF_WARMUP)}, 1.0), 6) AS warmup, if_ready
+FROM j""")
+def session_kpis(spark, sf_dir):
+    """Per-series KPIs over the whole series."""
+    from tickwatch.plans.report import session_kpis as sk
+    fr, ev = _frame_and_events(spark, sf_dir)
+    return sk(detect.feed_frame(fr), ev)
+
+
+@register("latest_delta", f"""{EVF},
+l AS (SELECT series, max(CASE WHEN pos = 1 THEN price END) AS price, max(CASE WHEN pos = 2 THEN price END) AS p2
+      FROM {Q.last_n_sql('feed', 2)} GROUP BY series)
+SELECT series, price, coalesce(p2, price) AS prev, round(price - coalesce(p2, price), 6) AS delta,
+  round(CASE WHEN coalesce(p2, price) = 0 THEN 0.0
+             ELSE (price - coalesce(p2, price)) / coalesce(p2, price) * 100.0 END, 6) AS delta_pct
+FROM l""")
+def latest_delta(spark, sf_dir):
+    """Latest price, previous price and their delta per series."""
+    from tickwatch.plans.report import latest_delta as ld
+    return ld(detect.feed_frame(_events_rules(spark, sf_dir)))
+
+
+@register("events_per_minute", f"""{EV},
+c AS (SELECT series, date_trunc('minute', ts) AS minute, count(*) AS count FROM ev GROUP BY ALL),
+b AS (SELECT series, min(minute) AS lo, max(minute) AS hi FROM c GROUP BY series),
+d AS (SELECT series, unnest(generate_series(lo, hi, INTERVAL 1 MINUTE)) AS minute FROM b)
+SELECT d.series, strftime(d.minute, '%Y-%m-%d %H:%M') AS minute, CAST(coalesce(c.count, 0) AS BIGINT) AS count
+FROM d LEFT JOIN c ON d.series = c.series AND d.minute = c.minute""")
+def events_per_minute(spark, sf_dir):
+    """Events per minute per series, empty minutes as 0."""
+    from tickwatch.plans.report import events_per_minute as epm
+    out = epm(_events(spark, sf_dir))
+    return out.select("series", F.date_format("minute", "yyyy-MM-dd HH:mm").alias("minute"), "count")
+
+
+@register("pct_histogram", f"""{EV},
+x AS (SELECT * FROM ev WHERE abs(pct_change) > 0),
+s AS (SELECT {Q.nice_step_sql('min(pct_change)', 'max(pct_change)')} AS step FROM x)
+SELECT severity, round(coalesce(floor(pct_change / step) * step, pct_change), 6) AS bin_start,
+       count(*) AS count FROM x, s GROUP BY ALL""")
+def pct_histogram(spark, sf_dir):
+    """Histogram of non-zero percent changes by severity (<= 40 nice bins)."""
+    from tickwatch.plans.report import pct_histogram as ph
+    return ph(_events(spark, sf_dir))
+
+
+@register("event_log", f"""{EV}
+SELECT series, pos, strftime(ts, '%H:%M:%S') AS time_utc,
+  CASE WHEN price IS NULL THEN '—' ELSE printf('$%,.2f', round(price, 2)) END AS price,
+  printf('%+.4f%%', round(pct_change, 4)) AS delta_pct, '$' || printf('%+.2f', round(abs_change, 2)) AS delta_abs,
+  severity, coalesce(type_list[1], 'unknown') AS main_detector,
+  CASE WHEN if_score > 0 THEN printf('%.3f', round(if_score, 3)) ELSE '—' END AS if_score,
+  CASE WHEN lstm_score > 0 THEN printf('%.3f', round(lstm_score, 3)) ELSE '—' END AS lstm_score,
+  array_to_string(type_list, ' · ') AS all_detectors
+FROM {Q.last_n_sql('ev', C.VIEW_ROWS_DEFAULT)}""")
+def event_log(spark, sf_dir):
+    """Formatted event log, newest first, last 200 per series."""
+    from tickwatch.plans.report import event_log as el
+    return el(_events(spark, sf_dir))
+
+
+@register("recent_alerts", f"""{EV},
+t AS (SELECT *, {Q.iso()} AS ts_iso FROM {Q.last_n_sql('ev', C.ALERT_LOG_ROWS)}),
+a AS (SELECT *, count(*) OVER (PARTITION BY series) AS total,
+             max(CASE WHEN pos = 1 THEN substr(ts_iso, 1, 19) END) OVER (PARTITION BY series) AS last_time FROM t)
+SELECT series, pos, CAST(total AS BIGINT) AS total, last_time, substr(ts_iso, 1, 19) AS time,
+  CASE WHEN price IS NULL THEN 'n/a' ELSE printf('%,.2f', round(price, 2)) END AS price,
+  CASE WHEN pct_change IS NULL THEN 'n/a' ELSE printf('%+.4f%%', round(pct_change, 4)) END AS pct,
+  CASE WHEN abs_change IS NULL THEN 'n/a' ELSE printf('%+.2f', round(abs_change, 2)) END AS abs,
+  CASE WHEN list_has_any(type_list, {C.RULES_ONLY_HIGH}) THEN 'HIGH'
+       WHEN list_has_any(type_list, {C.RULES_ONLY_MED}) THEN 'MED' ELSE 'LOW' END AS severity,
+  CASE WHEN len(type_list) > 0 THEN array_to_string(type_list, ',') ELSE '-' END AS types
+FROM a WHERE pos <= {C.ALERT_SHOW_ROWS}""")
+def recent_alerts(spark, sf_dir):
+    """Plain alert lines, 15 newest of the last 50 per series."""
+    from tickwatch.plans.report import recent_alerts as ra
+    return ra(_events(spark, sf_dir))

@@ -51,7 +51,8 @@ def event_record(df: DataFrame, types: str = "types", if_score: str | None = Non
     """R5 + P5: one record per tick that fired at least one detector."""
     zero = F.lit(0.0)
     return (df.where(F.size(types) > 0)
-            .select("series", "seq", "ts", "t_us",
+            .select("series", "seq", "ts", "t_us", "rn",
+                    F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")).alias("ts_iso"),
                     fround("price", C.ROUND_PRICE).alias("price"),
                     fround("pct_change", C.ROUND_PCT).alias("pct_change"),
                     fround("abs_change", C.ROUND_ABS).alias("abs_change"),
@@ -64,3 +65,16 @@ def event_record(df: DataFrame, types: str = "types", if_score: str | None = Non
 def rule_events(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layout = Layout()) -> DataFrame:
     """Rules-only anomaly events (the flagship query)."""
     return event_record(rule_frame(ticks, params, layout), types="rule_types")
+
+
+def feed_frame(frame: DataFrame, types: str = "rule_types", if_score: str | None = None,
+               if_ready: str | None = None) -> DataFrame:
+    """Every tick with its anomaly flag, model score and model-ready flag.
+
+    Without a model column, readiness follows the cold-start schedule: the first
+    fit happens once 300 feature rows exist (feature rows start at row 20).
+    """
+    ready = F.col(if_ready) if if_ready else F.col("rn") >= F.lit(C.IF_WARMUP + C.IF_WINDOW - 1)
+    return frame.select("series", "seq", "ts", "t_us", "rn", "price",
+                        (F.col(if_score) if if_score else F.lit(0.0)).alias("if_score"),
+                        (F.size(types) > 0).alias("anomaly"), ready.alias("if_ready"))
