@@ -15,5 +15,6 @@ def fround(x: Column | str, digits: int) -> Column:
     """
     c = F.col(x) if isinstance(x, str) else x
     m = F.lit(float(10 ** digits))
+    # "+ 0.0" turns a rounded -0.0 into 0.0
     return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(
-        F.signum(c) * F.floor(F.abs(c) * m + F.lit(0.5)) / m)
+        F.signum(c) * F.floor(F.abs(c) * m + F.lit(0.5)) / m + F.lit(0.0))

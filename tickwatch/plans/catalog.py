@@ -360,3 +360,281 @@ def recent_alerts(spark, sf_dir):
     """Plain alert lines, 15 newest of the last 50 per series."""
     from tickwatch.plans.report import recent_alerts as ra
     return ra(_events(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- wire formats
+
+def _changes(spark, sf_dir):
+    from tickwatch.operators.stats import producer_change
+    b = detect.blocked(events_ticks(spark, sf_dir), LAYOUT, 1)
+    return producer_change(b).where(F.col("own"))
+
+
+CHANGE_SQL = ("coalesce((CASE WHEN lag(price) OVER (PARTITION BY series ORDER BY t_us, seq) = 0 THEN NULL ELSE "
+              "(price - lag(price) OVER (PARTITION BY series ORDER BY t_us, seq)) / "
+              "lag(price) OVER (PARTITION BY series ORDER BY t_us, seq) END) * 100.0, 0.0)")
+
+
+@register("tick_change", f"""
+WITH tk AS ({Q.ticks_cte()})
+SELECT series, seq, round({CHANGE_SQL}, 6) AS change FROM tk""")
+def tick_change(spark, sf_dir):
+    """Producer-side percent change against the previous tick."""
+    return _changes(spark, sf_dir).select("series", "seq", fround("change", 6).alias("change"))
+
+
+@register("encode_ticks", f"""
+WITH tk AS ({Q.ticks_cte()})
+SELECT series, seq, {Q.iso()} AS timestamp, round(price, 2) AS price, round({CHANGE_SQL}, 6) AS change FROM tk""")
+def encode_ticks(spark, sf_dir):
+    """JSON payloads {timestamp, price, change}; checked by decoding the JSON text back."""
+    from tickwatch.schema import TICK_PAYLOAD
+    from tickwatch.sources.decode import encode_ticks as enc
+    v = enc(_changes(spark, sf_dir))
+    d = F.from_json("value", TICK_PAYLOAD)
+    return v.select("series", "seq", d["timestamp"].alias("timestamp"), d["price"].alias("price"),
+                    d["change"].alias("change"))
+
+
+@register("decode_ticks", f"""
+WITH tk AS ({Q.ticks_cte()})
+SELECT series, seq, {Q.fmt_ts()} AS ts, round(price, 2) AS price FROM tk""")
+def decode_ticks(spark, sf_dir):
+    """Decode payloads (valid ticks plus every row's ``props`` text, which is not a tick)."""
+    from tickwatch.sources.decode import decode_ticks as dec, encode_ticks as enc
+    t = events_ticks(spark, sf_dir).withColumn("change", F.lit(0.0))
+    good = enc(t).select("series", "seq", F.col("value").cast("binary").alias("value"))
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    bad = ev.select(F.col("event_type").alias("series"), F.col("event_id").alias("seq"),
+                    F.col("props").cast("binary").alias("value"))
+    out = dec(good.unionByName(bad))
+    return out.select("series", "seq", F.date_format("ts", detect.TS_FORMAT).alias("ts"), "price")
+
+
+@register("decode_trades", f"""
+WITH tk AS ({Q.ticks_cte()})
+SELECT series, seq, CAST(0 AS BIGINT) AS pos, price, {Q.iso()} AS ts_iso FROM tk""")
+def decode_trades(spark, sf_dir):
+    """Raw trade messages (one per tick) mixed with control messages (``props``
+    objects) -> trade rows."""
+    from tickwatch.sources.decode import decode_trades as dec, trade_message
+    msgs = trade_message(events_ticks(spark, sf_dir)).select("raw")
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    ctrl = ev.select(F.col("props").alias("raw"))
+    out = dec(msgs.unionByName(ctrl))
+    raw_ch = F.from_json("raw", "array<string>")
+    return out.select(F.col("pair").alias("series"), F.element_at(raw_ch, 1).cast("long").alias("seq"), "pos",
+                      "price", "ts_iso")
+
+
+# --------------------------------------------------------------------------- features / schedule
+
+def _feature_sql(training: bool) -> str:
+    span = C.IF_WINDOW + 1 if training else C.IF_WINDOW
+    first = C.IF_WINDOW + 1 if training else C.IF_WINDOW
+    s = "PARTITION BY series ORDER BY t_us, seq"
+    return f"""
+WITH tk AS ({Q.ticks_cte()}),
+fw AS (SELECT *, row_number() OVER ({s}) AS rn, lag(price, 1) OVER ({s}) AS l1, lag(price, 5) OVER ({s}) AS l5,
+  avg(price) OVER ({s} ROWS BETWEEN {span - 1} PRECEDING AND CURRENT ROW) AS mu,
+  CASE WHEN stddev_pop(price) OVER ({s} ROWS BETWEEN {span - 1} PRECEDING AND CURRENT ROW) = 0 THEN {C.SIGMA_EPS}
+       ELSE stddev_pop(price) OVER ({s} ROWS BETWEEN {span - 1} PRECEDING AND CURRENT ROW) END AS sg FROM tk)
+SELECT series, seq, price AS f_price,
+  round((price - l1) / (CASE WHEN l1 = 0 THEN {C.SIGMA_EPS} ELSE l1 END), 6) + 0.0 AS f_r1,
+  round((price - l5) / (CASE WHEN l5 = 0 THEN {C.SIGMA_EPS} ELSE l5 END), 6) + 0.0 AS f_r5,
+  round(sg, 6) + 0.0 AS f_sigma, round((price - mu) / sg, 6) + 0.0 AS f_z
+FROM fw WHERE rn >= {first}"""
+
+
+def _features(spark, sf_dir, variant: str):
+    from tickwatch.operators.stats import if_features
+    b = detect.blocked(events_ticks(spark, sf_dir), LAYOUT, C.IF_WINDOW + 1)
+    f = if_features(b, training=(variant == "training")).where(F.col("own") & F.col("f_price").isNotNull())
+    return f
+
+
+def _feature_cols(f):
+    return f.select("series", "seq", "f_price", *[fround(c, 6).alias(c) for c in ["f_r1", "f_r5", "f_sigma", "f_z"]])
+
+
+@register("if_features", _feature_sql(False))
+def if_features(spark, sf_dir):
+    """Online features [price, r1, r5, sigma20, z20] from row 20."""
+    return _feature_cols(_features(spark, sf_dir, "online"))
+
+
+@register("if_features_train", _feature_sql(True))
+def if_features_train(spark, sf_dir):
+    """Training-variant features (21-row window) from row 21."""
+    return _feature_cols(_features(spark, sf_dir, "training"))
+
+
+def _scaled_sql() -> str:
+    inner = _feature_sql(False).replace("round((price - l1)", "((price - l1)").replace(
+        "round((price - l5)", "((price - l5)").replace("round(sg, 6) + 0.0", "sg").replace(
+        "round((price - mu) / sg, 6) + 0.0", "(price - mu) / sg").replace(
+        ", 6) + 0.0 AS f_r1", ") AS f_r1").replace(", 6) + 0.0 AS f_r5", ") AS f_r5")
+    cols = ["f_price", "f_r1", "f_r5", "f_sigma", "f_z"]
+    scaled = ", ".join(
+        f"round(({c} - avg({c}) OVER (PARTITION BY series)) / (CASE WHEN stddev_pop({c}) OVER (PARTITION BY series) = 0 "
+        f"THEN 1.0 ELSE stddev_pop({c}) OVER (PARTITION BY series) END), 6) + 0.0 AS s_{c[2:]}" for c in cols)
+    return f"WITH feat AS ({inner}) SELECT series, seq, {scaled} FROM feat"
+
+
+@register("scaled_features", _scaled_sql())
+def scaled_features(spark, sf_dir):
+    """M1: standardise the 5 features per series (population sigma, zero sigma -> 1)."""
+    from tickwatch.operators.iforest import standardize
+    f = _features(spark, sf_dir, "online")
+    s = standardize(f, ["f_price", "f_r1", "f_r5", "f_sigma", "f_z"], by=["series"])
+    return s.select("series", "seq", *[fround(f"s_{c[2:]}", 6).alias(f"s_{c[2:]}")
+                                       for c in ["f_price", "f_r1", "f_r5", "f_sigma", "f_z"]])
+
+
+@register("if_epochs", f"""
+WITH tk AS ({Q.ticks_cte()}),
+n0 AS (SELECT series, seq, row_number() OVER (PARTITION BY series ORDER BY t_us, seq) - {C.IF_WINDOW - 1} AS n FROM tk),
+e AS (SELECT series, seq, n, CASE WHEN n >= {C.IF_WARMUP} THEN CAST(floor((n - {C.IF_WARMUP}) / {C.IF_RETRAIN}) AS BIGINT) + 1
+                                 ELSE 0 END AS epoch FROM n0 WHERE n >= 1)
+SELECT series, seq, CAST(n AS BIGINT) AS n, epoch,
+  CASE WHEN epoch > 0 THEN CAST(greatest(1, {C.IF_WARMUP} + (epoch - 1) * {C.IF_RETRAIN} - 799) AS BIGINT) END AS train_from,
+  CASE WHEN epoch > 0 THEN CAST({C.IF_WARMUP} + (epoch - 1) * {C.IF_RETRAIN} AS BIGINT) END AS train_to
+FROM e""")
+def if_epochs(spark, sf_dir):
+    """Feature row index, scoring model and that model's training range (cold start)."""
+    from tickwatch.operators import schedule as S
+    from tickwatch.operators.blocks import number_rows
+    t = number_rows(events_ticks(spark, sf_dir), LAYOUT)
+    n = S.feature_index(F.col("rn"))
+    e = t.withColumn("n", n).where(F.col("n").isNotNull()).withColumn("epoch", S.scoring_epoch(F.col("n")))
+    lo, hi = S.train_range(F.col("epoch"))
+    return e.select("series", "seq", F.col("n").cast("long").alias("n"), "epoch",
+                    F.when(F.col("epoch") > 0, lo).cast("long").alias("train_from"),
+                    F.when(F.col("epoch") > 0, hi).cast("long").alias("train_to"))
+
+
+# --------------------------------------------------------------------------- sequences and thresholds
+
+_SEQ_S = "PARTITION BY series ORDER BY t_us, seq"
+_SEQ_BASE = f"""
+WITH tk AS ({Q.ticks_cte()}),
+v0 AS (SELECT *, row_number() OVER ({_SEQ_S}) AS rn, count(*) OVER (PARTITION BY series) AS len,
+  var_pop(price) OVER ({_SEQ_S} ROWS BETWEEN {C.SEQ_LEN - 1} PRECEDING AND CURRENT ROW) AS v60 FROM tk),
+v AS (SELECT *, CASE WHEN rn >= {C.SEQ_LEN} THEN v60 END AS err FROM v0),
+bt AS (SELECT series, avg(err) + {C.BASE_K} * stddev_pop(err) AS base FROM v
+       WHERE rn >= {C.SEQ_LEN} AND rn < len GROUP BY series)"""
+
+
+@register("price_sequences", f"""
+WITH tk AS ({Q.ticks_cte()}),
+s AS (SELECT *, row_number() OVER ({_SEQ_S}) AS rn,
+  count(*) OVER ({_SEQ_S} ROWS BETWEEN {C.SEQ_LEN - 1} PRECEDING AND CURRENT ROW) AS length,
+  first_value(price) OVER ({_SEQ_S} ROWS BETWEEN {C.SEQ_LEN - 1} PRECEDING AND CURRENT ROW) AS first_price,
+  sum(price) OVER ({_SEQ_S} ROWS BETWEEN {C.SEQ_LEN - 1} PRECEDING AND CURRENT ROW) AS total FROM tk)
+SELECT series, seq, length, first_price, price AS last_price, round(total, 4) AS total FROM s
+WHERE rn >= {C.SEQ_LEN}""")
+def price_sequences(spark, sf_dir):
+    """Sliding 60-price windows including the current tick (from row 60)."""
+    from tickwatch.operators.stats import price_sequences as ps
+    b = detect.blocked(events_ticks(spark, sf_dir), LAYOUT, C.SEQ_LEN)
+    s = ps(b).where(F.col("own") & F.col("seq_prices").isNotNull())
+    return s.select("series", "seq", F.size("seq_prices").cast("long").alias("length"),
+                    F.element_at("seq_prices", 1).alias("first_price"),
+                    F.element_at("seq_prices", -1).alias("last_price"),
+                    fround(F.aggregate("seq_prices", F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
+
+
+@register("sequence_scaler", f"""
+WITH tk AS ({Q.ticks_cte()}),
+n AS (SELECT *, row_number() OVER ({_SEQ_S}) AS rn, count(*) OVER (PARTITION BY series) AS len FROM tk),
+w AS (SELECT *, greatest(0, least(len - 1, rn + {C.SEQ_LEN - 1}) - greatest({C.SEQ_LEN}, rn) + 1) AS wt FROM n),
+m AS (SELECT series, sum(wt * price) / sum(wt) AS mu FROM w WHERE wt > 0 GROUP BY series)
+SELECT w.series, round(m.mu, 6) AS seq_mean, round(sqrt(sum(wt * (price - m.mu) * (price - m.mu)) / sum(wt)), 6) AS seq_sd
+FROM w JOIN m ON w.series = m.series WHERE wt > 0 GROUP BY w.series, m.mu""")
+def sequence_scaler(spark, sf_dir):
+    """M6: scalar scaler over all values of all training windows, per series."""
+    from tickwatch.operators.blocks import number_rows
+    from tickwatch.operators.sequence import sequence_scaler as ss
+    s = ss(number_rows(events_ticks(spark, sf_dir), LAYOUT))
+    return s.select("series", fround("seq_mean", 6).alias("seq_mean"), fround("seq_sd", 6).alias("seq_sd"))
+
+
+def _var_frame(spark, sf_dir):
+    """Blocked frame with the variance stand-in error and the per-series base threshold."""
+    from tickwatch.operators.stats import sequence_variance
+    b = sequence_variance(detect.blocked(events_ticks(spark, sf_dir), LAYOUT, C.SEQ_LEN + C.ERR_WINDOW))
+    lengths = b.where(F.col("own")).groupBy("series").agg(F.max("rn").alias("_len"))
+    train = b.where(F.col("own")).join(lengths, "series").where(
+        (F.col("rn") >= C.SEQ_LEN) & (F.col("rn") < F.col("_len")))
+    from tickwatch.operators.sequence import base_threshold_expr
+    base = train.groupBy("series").agg(base_threshold_expr(F.col("var_err")).alias("base"))
+    return b, base
+
+
+@register("base_threshold", f"""{_SEQ_BASE}
+SELECT series, round(base, 6) AS threshold FROM bt""")
+def base_threshold(spark, sf_dir):
+    """M8: mean + 3 sigma of training errors per series (error = variance of the 60 prices)."""
+    _, base = _var_frame(spark, sf_dir)
+    return base.select("series", fround("base", 6).alias("threshold"))
+
+
+@register("dynamic_threshold", f"""{_SEQ_BASE},
+d AS (SELECT v.*, bt.base,
+  avg(err) OVER ({_SEQ_S} ROWS BETWEEN {C.ERR_WINDOW - 1} PRECEDING AND CURRENT ROW)
+    + {C.ERR_K} * stddev_pop(err) OVER ({_SEQ_S} ROWS BETWEEN {C.ERR_WINDOW - 1} PRECEDING AND CURRENT ROW) AS dyn
+  FROM v JOIN bt USING (series)),
+e AS (SELECT *, CASE WHEN rn - {C.SEQ_LEN - 1} > {C.ERR_MIN} THEN dyn ELSE base END AS thr FROM d
+      WHERE rn >= {C.SEQ_LEN})
+SELECT series, seq, round(err, 6) AS error, round(thr, 6) AS threshold,
+  round(err / (CASE WHEN thr = 0 THEN {C.THRESH_EPS} ELSE thr END), 6) AS ratio, err > thr AS flag FROM e""")
+def dynamic_threshold(spark, sf_dir):
+    """Adaptive threshold over the last <= 300 errors, ratio and flag."""
+    from tickwatch.operators.stats import dynamic_threshold as dt
+    b, base = _var_frame(spark, sf_dir)
+    d = dt(b.join(base, "series", "left"), "var_err", F.col("base"))
+    d = d.where(F.col("own") & F.col("var_err").isNotNull())
+    return d.select("series", "seq", fround("var_err", 6).alias("error"), fround("threshold", 6).alias("threshold"),
+                    fround("ratio", 6).alias("ratio"), F.col("err_flag").alias("flag"))
+
+
+# --------------------------------------------------------------------------- models (rows-only checks)
+
+@register("iforest_scores")
+def iforest_scores(spark, sf_dir):
+    """Walk-forward Isolation Forest score and flag of every tick."""
+    f = detect.iforest_frame(events_ticks(spark, sf_dir), EVENTS_PARAMS, LAYOUT)
+    return f.select("series", "seq", fround("if_score", 4).alias("if_score"), "if_flag", "if_ready")
+
+
+@register("iforest_trees")
+def iforest_trees(spark, sf_dir):
+    """M1 M2 (offline): one 100-tree forest per series over all training-variant feature rows."""
+    from tickwatch.operators.iforest import fit_static, standardize
+    from tickwatch.operators.stats import FEATURES
+    f = _features(spark, sf_dir, "training")
+    return fit_static(standardize(f, FEATURES, ["series"]))
+
+
+@register("if_score_stats")
+def if_score_stats(spark, sf_dir):
+    """Average and max model score over events that carry one."""
+    from tickwatch.plans.report import if_score_stats as iss
+    return iss(detect.full_events(events_ticks(spark, sf_dir), EVENTS_PARAMS, LAYOUT, sequence_k=None))
+
+
+@register("recon_scores")
+def recon_scores(spark, sf_dir):
+    """Sequence-model error, adaptive threshold, ratio and flag per tick."""
+    fr = detect.full_frame(events_ticks(spark, sf_dir), EVENTS_PARAMS, LAYOUT, iforest=False)
+    return fr.where(F.col("seq_err").isNotNull()).select(
+        "series", "seq", fround("seq_err", 6).alias("error"), fround("threshold", 6).alias("threshold"),
+        fround("ratio", 4).alias("ratio"), F.col("err_flag").alias("flag"))
+
+
+@register("anomaly_events_full")
+def anomaly_events_full(spark, sf_dir):
+    """R5 with all six detectors (rules, walk-forward forest, sequence model)."""
+    ev = detect.full_events(events_ticks(spark, sf_dir), EVENTS_PARAMS, LAYOUT)
+    return ev.select("series", "seq", "price", "pct_change", "abs_change",
+                     F.array_join("types", ",").alias("types"), "severity", "if_score", "lstm_score")

@@ -78,3 +78,59 @@ def feed_frame(frame: DataFrame, types: str = "rule_types", if_score: str | None
     return frame.select("series", "seq", "ts", "t_us", "rn", "price",
                         (F.col(if_score) if if_score else F.lit(0.0)).alias("if_score"),
                         (F.size(types) > 0).alias("anomaly"), ready.alias("if_ready"))
+
+
+def iforest_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layout = Layout(),
+                  contamination: float = C.IF_CONTAMINATION_ONLINE) -> DataFrame:
+    """Rules + online features + walk-forward Isolation Forest for every tick."""
+    from tickwatch.operators.iforest import walk_forward
+    fr = rule_frame(ticks, params, layout, features="online")
+    keep = ["series", "seq", "ts", "t_us", "rn", "price", "pct_change", "abs_change", "rule_types",
+            "f_price", "f_r1", "f_r5", "f_sigma", "f_z"]
+    return walk_forward(fr.select(*keep), contamination)
+
+
+def full_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layout = Layout(),
+               iforest: bool = True, sequence_k: int | None = 8, history: DataFrame | None = None,
+               contamination: float = C.IF_CONTAMINATION_ONLINE) -> DataFrame:
+    """Every tick with all detector outputs: rules, walk-forward forest (``if_*``) and the
+    sequence model (``seq_err``, ``threshold``, ``ratio``, ``err_flag``).
+
+    The sequence model is trained on ``history`` (default: the same ticks)."""
+    from tickwatch.operators.blocks import number_rows
+    from tickwatch.operators.iforest import walk_forward
+    from tickwatch.operators.sequence import fit_sequence_model, score_sequences, sequence_scaler
+
+    seq_on = sequence_k is not None
+    fr = rule_frame(ticks, params, layout, features="online" if iforest else None,
+                    sequences=seq_on, own_only=not seq_on)
+    if seq_on:
+        hist = history if history is not None else ticks
+        hist_frame = stats.price_sequences(blocked(hist, layout, C.SEQ_LEN)).where(F.col("own"))
+        scaler = sequence_scaler(number_rows(hist, layout))
+        model = fit_sequence_model(hist_frame.select("series", "rn", "seq_prices"), scaler, sequence_k)
+        fr = score_sequences(fr, model)
+        fr = stats.dynamic_threshold(fr, "seq_err", F.lit(model.base_threshold)).where(F.col("own"))
+    else:
+        fr = fr.withColumn("seq_err", F.lit(None).cast("double")).withColumn("threshold", F.lit(None).cast("double")) \
+            .withColumn("ratio", F.lit(None).cast("double")).withColumn("err_flag", F.lit(None).cast("boolean"))
+    keep = ["series", "seq", "ts", "t_us", "rn", "price", "pct_change", "abs_change", "rule_types",
+            "seq_err", "threshold", "ratio", "err_flag"]
+    if iforest:
+        keep += list(stats.FEATURES)
+        out = walk_forward(fr.select(*keep), contamination)
+    else:
+        out = fr.select(*keep).withColumn("if_score", F.lit(0.0)).withColumn("if_flag", F.lit(False)) \
+            .withColumn("if_ready", F.lit(False))
+    return out
+
+
+def full_events(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layout = Layout(),
+                iforest: bool = True, sequence_k: int | None = 8, history: DataFrame | None = None) -> DataFrame:
+    """Anomaly events from all six detectors (types in detector order)."""
+    from tickwatch.operators.rules import fired_types
+    fr = full_frame(ticks, params, layout, iforest, sequence_k, history)
+    types = F.concat(F.col("rule_types"), fired_types([(C.IFOREST_ANOMALY, F.col("if_flag")),
+                                                        (C.LSTM_ANOMALY, F.coalesce("err_flag", F.lit(False)))]))
+    fr = fr.withColumn("types", types).withColumn("lstm_score", F.coalesce("ratio", F.lit(0.0)))
+    return event_record(fr, types="types", if_score="if_score", lstm_score="lstm_score")
