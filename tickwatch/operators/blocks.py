@@ -81,12 +81,14 @@ def block_window() -> Window:
     return Window.partitionBy("series", "block").orderBy("rn")
 
 
-def carry_last(df: DataFrame, value: str, out: str) -> DataFrame:
+def carry_last(df: DataFrame, value: str, out: str, rows: Column | None = None) -> DataFrame:
     """Per block: last non-NULL ``value`` over the own rows of all earlier blocks.
 
     Returns a small table (series, block, out) with one row per block.
+    ``rows`` optionally narrows which own rows count.
     """
-    per_block = (df.where(F.col("own"))
+    sel = F.col("own") if rows is None else (F.col("own") & rows)
+    per_block = (df.where(sel)
                  .groupBy("series", "block")
                  .agg(F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col("rn"))).alias("_last")))
     earlier = Window.partitionBy("series").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

@@ -59,18 +59,24 @@ def _scale(train: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONLINE,
-                 n_trees: int = C.IF_TREES, subsample: int = C.IF_SUBSAMPLE, seed: int = C.IF_SEED) -> DataFrame:
+                 n_trees: int = C.IF_TREES, subsample: int = C.IF_SUBSAMPLE, seed: int = C.IF_SEED,
+                 score_rows: str | None = None) -> DataFrame:
     """Score every row of ``frame`` (own rows with ``rn`` and the 5 feature columns)
     with the model in force at that row.  Adds ``if_score`` (0.0 when no model),
     ``if_flag`` and ``if_ready``; the rest of each row passes through unchanged.
     Cold start: no model (score 0) before the 300th feature row.
+    ``score_rows``: optional boolean column; rows where it is false only train.
     """
     pre = False
     carry = [c for c in frame.columns]
     n = S.feature_index(F.col("rn"))
     score_epoch = F.when(n.isNull(), F.lit(0)).otherwise(S.scoring_epoch(n, pre)).cast("long")
     train_epochs = F.when(n.isNull(), F.array().cast("array<long>")).otherwise(S.training_epochs(n, pre))
-    roles = F.concat(F.array(F.struct(score_epoch.alias("_epoch"), F.lit(True).alias("_scoring"))),
+    score_role = F.array(F.struct(score_epoch.alias("_epoch"), F.lit(True).alias("_scoring")))
+    if score_rows:
+        score_role = F.when(F.col(score_rows), score_role).otherwise(
+            F.array().cast("array<struct<_epoch:bigint,_scoring:boolean>>"))
+    roles = F.concat(score_role,
                      F.transform(train_epochs, lambda e: F.struct(e.alias("_epoch"), F.lit(False).alias("_scoring"))))
     x = frame.withColumn("_role", F.explode(roles)).select(
         *[F.when(F.col("_role._scoring") | F.lit(c in FEATURES or c == "series"), F.col(c)).alias(c) for c in carry],

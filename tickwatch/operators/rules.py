@@ -32,19 +32,28 @@ def rule_flags(df: DataFrame, params: RuleParams) -> DataFrame:
             .withColumn("mr_cond", mr_cond))
 
 
-def latch(df: DataFrame) -> DataFrame:
+def latch(df: DataFrame, initial: DataFrame | None = None) -> DataFrame:
     """Fire on the first breach, re-arm when back inside.  The state before a
     row is the last non-NULL ``mr_cond`` of the series; inside a block it comes
     from a NULL-skipping ``last`` over own rows, across blocks from a small
-    carry table joined on (series, block)."""
-    prev_in_block = F.last(F.when(F.col("own"), F.col("mr_cond")), ignorenulls=True).over(
+    carry table joined on (series, block).
+
+    Rows flagged ``ctx`` (context carried from an earlier stream batch) do not
+    take part; ``initial`` (series, mr_state) is the state before the first
+    non-context row."""
+    counted = F.col("own") & ~F.col("ctx") if "ctx" in df.columns else F.col("own")
+    prev_in_block = F.last(F.when(counted, F.col("mr_cond")), ignorenulls=True).over(
         block_window().rowsBetween(Window.unboundedPreceding, -1))
     with_prev = df.withColumn("_prev_in_block", prev_in_block)
-    carry = carry_last(df, "mr_cond", "_carry")
+    carry = carry_last(df.where(~F.col("ctx")) if "ctx" in df.columns else df, "mr_cond", "_carry")
     out = with_prev.join(carry, ["series", "block"], "left")
-    armed = F.coalesce(F.col("_prev_in_block"), F.col("_carry"), F.lit(False))
-    return (out.withColumn("mean_reversion_break", F.coalesce(F.col("mr_cond") & ~armed, F.lit(False)))
-            .drop("_prev_in_block", "_carry"))
+    init = F.lit(None).cast("boolean")
+    if initial is not None:
+        out = out.join(initial.select("series", F.col("mr_state").alias("_init")), "series", "left")
+        init = F.col("_init")
+    armed = F.coalesce(F.col("_prev_in_block"), F.col("_carry"), init, F.lit(False))
+    out = out.withColumn("mean_reversion_break", F.coalesce(F.col("mr_cond") & ~armed, F.lit(False)))
+    return out.drop("_prev_in_block", "_carry", "_init")
 
 
 def fired_types(flags: list[tuple[str, Column]]) -> Column:

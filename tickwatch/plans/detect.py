@@ -23,15 +23,30 @@ def blocked(ticks: DataFrame, layout: Layout, halo: int) -> DataFrame:
     return to_blocks(numbered, halo, block_rows_expr(numbered, layout, parallelism))
 
 
+def needed_halo(sequences: bool = False, var_err: bool = False) -> int:
+    return max(C.PRICE_WINDOW, C.SEQ_LEN + C.ERR_WINDOW) if (sequences or var_err) else C.PRICE_WINDOW
+
+
 def rule_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layout = Layout(),
                features: str | None = None, sequences: bool = False, var_err: bool = False,
                own_only: bool = True) -> DataFrame:
     """All rule columns for every tick (R1-R4, W1-W3, W7), optionally IF features
     (W4-W6, ``features`` = "online" | "training") and 60-price sequences (W8).  One Exchange + Sort for all windows."""
-    halo = C.PRICE_WINDOW
-    if sequences or var_err:
-        halo = max(halo, C.SEQ_LEN + C.ERR_WINDOW)
-    df = blocked(ticks, layout, halo)
+    df = blocked(ticks, layout, needed_halo(sequences, var_err))
+    return rules_on_blocks(df, params, features, sequences, var_err, own_only)
+
+
+def rules_on_numbered(numbered: DataFrame, params: RuleParams, layout: Layout, features: str | None = None,
+                      sequences: bool = False, latch_init: DataFrame | None = None,
+                      own_only: bool = True) -> DataFrame:
+    """Same as ``rule_frame`` for rows that already carry ``rn`` (and ``ctx``)."""
+    parallelism = numbered.sparkSession.sparkContext.defaultParallelism
+    df = to_blocks(numbered, needed_halo(sequences), block_rows_expr(numbered, layout, parallelism))
+    return rules_on_blocks(df, params, features, sequences, False, own_only, latch_init)
+
+
+def rules_on_blocks(df: DataFrame, params: RuleParams, features: str | None = None, sequences: bool = False,
+                    var_err: bool = False, own_only: bool = True, latch_init: DataFrame | None = None) -> DataFrame:
     df = stats.gated_change(df, params)
     df = stats.rolling_stats(df)
     df = rule_flags(df, params)
@@ -41,7 +56,7 @@ def rule_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layo
         df = stats.price_sequences(df)
     if var_err:
         df = stats.sequence_variance(df)
-    df = latch(df)
+    df = latch(df, latch_init)
     df = df.withColumn("rule_types", rule_types())
     return df.where(F.col("own")) if own_only else df
 
