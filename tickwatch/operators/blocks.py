@@ -36,12 +36,15 @@ def _stats(df: DataFrame) -> Column:
     ).scalar()
 
 
-def number_rows(ticks: DataFrame, layout: Layout = Layout(), base: DataFrame | None = None) -> DataFrame:
+def number_rows(ticks: DataFrame, layout: Layout = Layout(), base: DataFrame | None = None,
+                stats_from: DataFrame | None = None) -> DataFrame:
     """Add ``rn`` (1-based, per series, ordered by ``t_us, seq``).
 
     ``base`` (series, rn0) shifts numbering per series (streaming continuation).
+    ``stats_from``: where to take the bucket-width statistics (any superset of
+    the rows works: the width only sizes buckets, it never changes ``rn``).
     """
-    st = _stats(ticks)
+    st = _stats(stats_from if stats_from is not None else ticks)
     span = (st["hi"] - st["lo"] + F.lit(1)).cast("double")
     width = F.greatest(F.lit(1.0), span * F.lit(float(layout.bucket_rows)) / F.greatest(st["n"], F.lit(1)))
     keyed = ticks.withColumn("_bkt", F.floor((F.col("t_us") - st["lo"]) / width).cast("long"))

@@ -18,12 +18,13 @@ from tickwatch import constants as C
 from tickwatch.functions.numeric import fround
 from tickwatch.functions.severity import layer_tag, rules_only_severity, type_layer, type_meta_severity
 
-NEWEST = [F.col("t_us").desc(), F.col("seq").desc()]
+def newest() -> list[Column]:
+    return [F.col("t_us").desc(), F.col("seq").desc()]
 
 
 def last_n(df: DataFrame, n: int, keys: tuple[str, ...] = ("series",)) -> DataFrame:
     """O3: the last ``n`` rows per key by (t_us, seq); keeps ``pos`` (1 = newest)."""
-    w = Window.partitionBy(*keys).orderBy(*NEWEST)
+    w = Window.partitionBy(*keys).orderBy(*newest())
     return df.withColumn("pos", F.row_number().over(w).cast("long")).where(F.col("pos") <= n)
 
 

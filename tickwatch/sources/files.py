@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickwatch import constants as C
 from tickwatch.functions.severity import fallback_severity, primary_type
@@ -74,7 +75,7 @@ def write_price_feed(feed: DataFrame, path: str, n: int = C.MAX_PRICE_HISTORY) -
 
 def read_price_feed(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Read the feed, coerce, drop rows without time or price, order by time."""
-    schema = PRICE_FEED_ROW.add("series", "string")
+    schema = T.StructType(list(PRICE_FEED_ROW.fields) + [T.StructField("series", T.StringType())])
     raw = spark.read.schema(schema).option("multiLine", multiline).option("mode", "DROPMALFORMED").json(path)
     ts = parse_iso(F.col("timestamp"))
     return (raw.select(F.coalesce("series", F.lit("")).alias("series"), ts.alias("ts"), "price",

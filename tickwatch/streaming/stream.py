@@ -145,12 +145,14 @@ class StreamDetector:
     # -- one micro-batch ---------------------------------------------------------------
     def detect_batch(self, ticks: DataFrame, prev_rows: DataFrame, prev_latch: DataFrame) -> DataFrame:
         """All detector columns for the batch's rows, with context from the previous state."""
+        original = ticks.select("series", "ts", "t_us", "seq", "price")
         if self.late == "drop":
             seen = prev_latch.select("series", "last_t")
             ticks = ticks.join(seen, "series", "left").where(
                 F.col("last_t").isNull() | (F.col("t_us") >= F.col("last_t"))).drop("last_t")
         base = prev_latch.select("series", F.col("last_rn").alias("rn0"))
-        new = number_rows(ticks.select("series", "ts", "t_us", "seq", "price"), self.layout, base) \
+        new = number_rows(ticks.select("series", "ts", "t_us", "seq", "price"), self.layout, base,
+                          stats_from=original) \
             .withColumn("ctx", F.lit(False))
         ctx = prev_rows.select("series", "ts", "t_us", "seq", "price", "rn").withColumn("ctx", F.lit(True))
         rows = ctx.unionByName(new)
@@ -217,7 +219,8 @@ class StreamDetector:
 def read_events(spark: SparkSession, events_path: str) -> DataFrame:
     """Read back the anomaly log written by ``StreamDetector``."""
     from tickwatch.schema import ANOMALY_EVENT
-    schema = ANOMALY_EVENT.add("series", "string").add("batch_id", "long")
+    schema = T.StructType(list(ANOMALY_EVENT.fields) + [T.StructField("series", T.StringType()),
+                                                        T.StructField("batch_id", T.LongType())])
     return spark.read.schema(schema).json(events_path)
 
 
