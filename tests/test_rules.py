@@ -125,3 +125,12 @@ def test_numbering_is_dense_and_ordered(spark):
         rs.sort(key=lambda r: r["rn"])
         assert [r["rn"] for r in rs] == list(range(1, len(rs) + 1))
         assert [(r["t_us"], r["seq"]) for r in rs] == sorted((r["t_us"], r["seq"]) for r in rs)
+
+
+@pytest.mark.parametrize("block", [7, 50, 121, 200])
+def test_latch_across_long_flat_runs(spark, block):
+    """A breach latched before a flat run longer than the 120-price window, with blocks
+    much shorter than the run: the per-block latch equals the sequential one."""
+    prices = [100, 101] * 70 + [150] * 3 + [150] * 400 + [200, 150, 100, 100.5] + [100] * 250 + [300, 100]
+    rows = [(i, p) for i, p in enumerate(prices)]
+    _compare(spark, rows, RuleParams(), Layout(block_rows=block, bucket_rows=37))

@@ -13,9 +13,8 @@ share of all rows, so no window here is ever partitioned by ``series`` alone:
    among the ``halo`` rows preceding that block's first row.  A window with a
    frame reaching back at most ``halo`` rows therefore gives, on the block's own
    rows, exactly the result of the whole-series window.
-3. ``carry_last``: for scans that reach back without bound (the latch), each
-   block gets the last non-NULL value of all earlier blocks from a small
-   per-block table.
+3. Scans that reach back without bound (the mean-reversion latch) are reduced
+   to a bounded look-back (see ``rules.latch``), so no cross-block carry is needed.
 """
 
 from __future__ import annotations
@@ -26,50 +25,52 @@ from pyspark.sql import functions as F
 from tickwatch.schema import Layout
 
 
-def _stats(df: DataFrame) -> Column:
+def _bucket_width(df: DataFrame, bucket_rows: int) -> Column:
+    """One scalar subquery: bucket width in microseconds so that a bucket holds about
+    ``bucket_rows`` rows of all series together (at least 1 us)."""
     return df.select(
-        F.struct(
-            F.min("t_us").alias("lo"),
-            F.max("t_us").alias("hi"),
-            F.count(F.lit(1)).alias("n"),
-        )
+        F.greatest(F.lit(1.0), (F.max("t_us") - F.min("t_us") + F.lit(1)).cast("double")
+                   * F.lit(float(bucket_rows)) / F.greatest(F.count(F.lit(1)), F.lit(1)))
     ).scalar()
 
 
 def number_rows(ticks: DataFrame, layout: Layout = Layout(), base: DataFrame | None = None,
-                stats_from: DataFrame | None = None) -> DataFrame:
-    """Add ``rn`` (1-based, per series, ordered by ``t_us, seq``).
+                stats_from: DataFrame | None = None, parallelism: int | None = None) -> DataFrame:
+    """Add ``rn`` (1-based, per series, ordered by ``t_us, seq``) and ``_B`` (block rows).
 
     ``base`` (series, rn0) shifts numbering per series (streaming continuation).
     ``stats_from``: where to take the bucket-width statistics (any superset of
     the rows works: the width only sizes buckets, it never changes ``rn``).
+    Block rows: ``layout.block_rows`` or, adaptively, total rows / (cores x
+    blocks_per_core) clamped, taken from the small bucket-count table.
     """
-    st = _stats(stats_from if stats_from is not None else ticks)
-    span = (st["hi"] - st["lo"] + F.lit(1)).cast("double")
-    width = F.greatest(F.lit(1.0), span * F.lit(float(layout.bucket_rows)) / F.greatest(st["n"], F.lit(1)))
-    keyed = ticks.withColumn("_bkt", F.floor((F.col("t_us") - st["lo"]) / width).cast("long"))
+    width = _bucket_width(stats_from if stats_from is not None else ticks, layout.bucket_rows)
+    keyed = ticks.withColumn("_bkt", F.floor(F.col("t_us") / width).cast("long"))
     counts = keyed.groupBy("series", "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy("series").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("series", "_bkt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    if layout.block_rows:
+        brows = F.lit(int(layout.block_rows)).cast("long")
+    else:
+        par = parallelism or ticks.sparkSession.sparkContext.defaultParallelism
+        total = F.sum("_cnt").over(Window.partitionBy())  # one row per bucket: small
+        brows = F.least(F.greatest(F.ceil(total / F.lit(max(1, par * layout.blocks_per_core))),
+                                   F.lit(layout.min_block_rows)), F.lit(layout.max_block_rows)).cast("long")
+    offsets = counts.select("series", "_bkt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                            brows.alias("_B"))
     if base is not None:
         offsets = offsets.join(base.select("series", F.col("rn0").alias("_rn0")), "series", "left") \
-            .select("series", "_bkt", (F.col("_off") + F.coalesce("_rn0", F.lit(0))).alias("_off"))
+            .select("series", "_bkt", (F.col("_off") + F.coalesce("_rn0", F.lit(0))).alias("_off"), "_B")
     inner = Window.partitionBy("series", "_bkt").orderBy("t_us", "seq")
     return (keyed.join(offsets, ["series", "_bkt"])
             .withColumn("rn", (F.col("_off") + F.row_number().over(inner)).cast("long"))
             .drop("_bkt", "_off"))
 
 
-def block_rows_expr(numbered: DataFrame, layout: Layout, parallelism: int) -> Column:
-    if layout.block_rows:
-        return F.lit(int(layout.block_rows)).cast("long")
-    n = numbered.select(F.count(F.lit(1))).scalar()
-    target = F.ceil(n / F.lit(max(1, parallelism * layout.blocks_per_core)))
-    return F.least(F.greatest(target, F.lit(layout.min_block_rows)), F.lit(layout.max_block_rows)).cast("long")
-
-
-def to_blocks(numbered: DataFrame, halo: int, block_rows: Column) -> DataFrame:
-    """Assign ``block`` and replicate halo rows; ``own`` marks the block's own rows."""
+def to_blocks(numbered: DataFrame, halo: int, block_rows: Column | None = None) -> DataFrame:
+    """Assign ``block`` and replicate halo rows; ``own`` marks the block's own rows.
+    Block size: ``block_rows`` or the ``_B`` column left by ``number_rows``."""
+    if block_rows is None:
+        block_rows = F.col("_B")
     i = F.col("rn") - 1
     own_block = F.floor(i / block_rows).cast("long")
     last_block = F.floor((i + F.lit(int(halo))) / block_rows).cast("long")
@@ -77,22 +78,8 @@ def to_blocks(numbered: DataFrame, halo: int, block_rows: Column) -> DataFrame:
             .withColumn("_own_block", own_block)
             .withColumn("block", F.explode(F.sequence(own_block, last_block)))
             .withColumn("own", F.col("block") == F.col("_own_block"))
-            .drop("_own_block"))
+            .drop("_own_block", "_B"))
 
 
 def block_window() -> Window:
     return Window.partitionBy("series", "block").orderBy("rn")
-
-
-def carry_last(df: DataFrame, value: str, out: str, rows: Column | None = None) -> DataFrame:
-    """Per block: last non-NULL ``value`` over the own rows of all earlier blocks.
-
-    Returns a small table (series, block, out) with one row per block.
-    ``rows`` optionally narrows which own rows count.
-    """
-    sel = F.col("own") if rows is None else (F.col("own") & rows)
-    per_block = (df.where(sel)
-                 .groupBy("series", "block")
-                 .agg(F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col("rn"))).alias("_last")))
-    earlier = Window.partitionBy("series").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return per_block.select("series", "block", F.last("_last", ignorenulls=True).over(earlier).alias(out))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwatch import constants as C
-from tickwatch.operators.blocks import block_window, carry_last
+from tickwatch.operators.blocks import block_window
 from tickwatch.schema import RuleParams
 
 
@@ -29,31 +29,27 @@ def rule_flags(df: DataFrame, params: RuleParams) -> DataFrame:
     return (df.withColumn("pct_spike", pct)
             .withColumn("abs_jump", F.coalesce(absj, F.lit(False)))
             .withColumn("vol_breakout", F.coalesce(vol, F.lit(False)))
-            .withColumn("mr_cond", mr_cond))
-
-
-def latch(df: DataFrame, initial: DataFrame | None = None) -> DataFrame:
-    """Fire on the first breach, re-arm when back inside.  The state before a
-    row is the last non-NULL ``mr_cond`` of the series; inside a block it comes
-    from a NULL-skipping ``last`` over own rows, across blocks from a small
-    carry table joined on (series, block).
-
-    Rows flagged ``ctx`` (context carried from an earlier stream batch) do not
-    take part; ``initial`` (series, mr_state) is the state before the first
-    non-context row."""
-    counted = F.col("own") & ~F.col("ctx") if "ctx" in df.columns else F.col("own")
-    prev_in_block = F.last(F.when(counted, F.col("mr_cond")), ignorenulls=True).over(
+            .withColumn("mr_cond", mr_cond)
+            # the row's 120-price window lies entirely inside its block partition
+            .withColumn("mr_reliable", F.col("n_frame") == F.col("n_prev")))
+
+
+def latch(df: DataFrame) -> DataFrame:
+    """Fire on the first breach, re-arm when back inside.
+
+    The latch before row i is the last non-NULL ``mr_cond`` before i (false if
+    none).  ``mr_cond`` is NULL past row 10 only when the previous <= 120 prices
+    are all equal; the last evaluable row before such a flat stretch has exactly
+    one other price x in its window, so |p - mean| = |x - c| / 120 < 2 sigma and
+    its condition is false.  Hence "last non-NULL before i, else false" only
+    needs rows whose 120-row window is complete inside the block
+    (``mr_reliable``); a halo of >= 121 rows always holds one, so the latch is
+    exact per block with no cross-block carry.
+    """
+    prev = F.last(F.when(F.col("mr_reliable"), F.col("mr_cond")), ignorenulls=True).over(
         block_window().rowsBetween(Window.unboundedPreceding, -1))
-    with_prev = df.withColumn("_prev_in_block", prev_in_block)
-    carry = carry_last(df.where(~F.col("ctx")) if "ctx" in df.columns else df, "mr_cond", "_carry")
-    out = with_prev.join(carry, ["series", "block"], "left")
-    init = F.lit(None).cast("boolean")
-    if initial is not None:
-        out = out.join(initial.select("series", F.col("mr_state").alias("_init")), "series", "left")
-        init = F.col("_init")
-    armed = F.coalesce(F.col("_prev_in_block"), F.col("_carry"), init, F.lit(False))
-    out = out.withColumn("mean_reversion_break", F.coalesce(F.col("mr_cond") & ~armed, F.lit(False)))
-    return out.drop("_prev_in_block", "_carry", "_init")
+    armed = F.coalesce(prev, F.lit(False))
+    return df.withColumn("mean_reversion_break", F.coalesce(F.col("mr_cond") & ~armed, F.lit(False)))
 
 
 def fired_types(flags: list[tuple[str, Column]]) -> Column:

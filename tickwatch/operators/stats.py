@@ -51,6 +51,7 @@ def rolling_stats(df: DataFrame) -> DataFrame:
     Needs ``diff`` (from ``gated_change``)."""
     n = C.PRICE_WINDOW
     return (df.withColumn("n_prev", F.least(F.col("rn") - 1, F.lit(n)))
+            .withColumn("n_frame", F.count("price").over(_w(-n, -1)))
             .withColumn("mean120", F.avg("price").over(_w(-n, -1)))
             .withColumn("sd120", F.stddev_pop("price").over(_w(-n, -1)))
             .withColumn("sd_ret119", F.stddev_pop("diff").over(_w(-(n - 1), -1))))
@@ -86,15 +87,20 @@ FEATURES = ["f_price", "f_r1", "f_r5", "f_sigma", "f_z"]
 
 def price_sequences(df: DataFrame, length: int = C.SEQ_LEN) -> DataFrame:
     """The last ``length`` prices including the current one, from row ``length``."""
-    return df.withColumn("seq_prices", F.when(F.col("rn") >= F.lit(length),
-                                              F.collect_list("price").over(_w(-(length - 1), 0))))
+    # the frame count guard also blanks early halo rows whose window is cut by the block start
+    frame = _w(-(length - 1), 0)
+    return df.withColumn("seq_prices", F.when((F.col("rn") >= F.lit(length))
+                                              & (F.count("price").over(frame) == F.lit(length)),
+                                              F.collect_list("price").over(frame)))
 
 
 def sequence_variance(df: DataFrame, length: int = C.SEQ_LEN) -> DataFrame:
     """Population variance of the last ``length`` prices: a model-free error used
     wherever the reconstruction error must be checkable in plain SQL."""
-    return df.withColumn("var_err", F.when(F.col("rn") >= F.lit(length),
-                                           F.var_pop("price").over(_w(-(length - 1), 0))))
+    frame = _w(-(length - 1), 0)
+    return df.withColumn("var_err", F.when((F.col("rn") >= F.lit(length))
+                                           & (F.count("price").over(frame) == F.lit(length)),
+                                           F.var_pop("price").over(frame)))
 
 
 def dynamic_threshold(df: DataFrame, error: str, base_threshold: Column,

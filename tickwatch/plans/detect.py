@@ -9,7 +9,7 @@ from tickwatch import constants as C
 from tickwatch.functions.numeric import fround
 from tickwatch.functions.severity import top_severity
 from tickwatch.operators import stats
-from tickwatch.operators.blocks import block_rows_expr, number_rows, to_blocks
+from tickwatch.operators.blocks import number_rows, to_blocks
 from tickwatch.operators.rules import latch, rule_flags, rule_types
 from tickwatch.schema import Layout, RuleParams
 
@@ -18,13 +18,14 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 def blocked(ticks: DataFrame, layout: Layout, halo: int) -> DataFrame:
     """Number rows per series and lay them out in blocks with ``halo`` rows of context."""
-    numbered = number_rows(ticks, layout)
-    parallelism = ticks.sparkSession.sparkContext.defaultParallelism
-    return to_blocks(numbered, halo, block_rows_expr(numbered, layout, parallelism))
+    return to_blocks(number_rows(ticks, layout), halo)
 
 
 def needed_halo(sequences: bool = False, var_err: bool = False) -> int:
-    return max(C.PRICE_WINDOW, C.SEQ_LEN + C.ERR_WINDOW) if (sequences or var_err) else C.PRICE_WINDOW
+    """Context rows each block needs: 121 for the rules (120-price windows plus one
+    row with a complete window for the latch), 360 with the error threshold."""
+    rules = C.PRICE_WINDOW + 1
+    return max(rules, C.SEQ_LEN + C.ERR_WINDOW) if (sequences or var_err) else rules
 
 
 def rule_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layout = Layout(),
@@ -37,16 +38,14 @@ def rule_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layo
 
 
 def rules_on_numbered(numbered: DataFrame, params: RuleParams, layout: Layout, features: str | None = None,
-                      sequences: bool = False, latch_init: DataFrame | None = None,
-                      own_only: bool = True) -> DataFrame:
+                      sequences: bool = False, own_only: bool = True) -> DataFrame:
     """Same as ``rule_frame`` for rows that already carry ``rn`` (and ``ctx``)."""
-    parallelism = numbered.sparkSession.sparkContext.defaultParallelism
-    df = to_blocks(numbered, needed_halo(sequences), block_rows_expr(numbered, layout, parallelism))
-    return rules_on_blocks(df, params, features, sequences, False, own_only, latch_init)
+    df = to_blocks(numbered, needed_halo(sequences))
+    return rules_on_blocks(df, params, features, sequences, False, own_only)
 
 
 def rules_on_blocks(df: DataFrame, params: RuleParams, features: str | None = None, sequences: bool = False,
-                    var_err: bool = False, own_only: bool = True, latch_init: DataFrame | None = None) -> DataFrame:
+                    var_err: bool = False, own_only: bool = True) -> DataFrame:
     df = stats.gated_change(df, params)
     df = stats.rolling_stats(df)
     df = rule_flags(df, params)
@@ -56,7 +55,7 @@ def rules_on_blocks(df: DataFrame, params: RuleParams, features: str | None = No
         df = stats.price_sequences(df)
     if var_err:
         df = stats.sequence_variance(df)
-    df = latch(df, latch_init)
+    df = latch(df)
     df = df.withColumn("rule_types", rule_types())
     return df.where(F.col("own")) if own_only else df
 

@@ -15,11 +15,11 @@ S = "PARTITION BY series ORDER BY t_us, seq"
 def ticks_cte(table: str = "events") -> str:
     if table == "events":
         return ("SELECT event_type AS series, ts, event_id AS seq, value AS price, epoch_us(ts) AS t_us "
-                "FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL")
+                "FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)")
     if table == "orders":
         return ("SELECT o_orderpriority AS series, o_orderdate AS ts, o_orderkey AS seq, o_totalprice AS price, "
                 "epoch_us(o_orderdate) AS t_us FROM orders WHERE o_orderpriority IS NOT NULL "
-                "AND o_orderdate IS NOT NULL AND o_totalprice IS NOT NULL")
+                "AND o_orderdate IS NOT NULL AND o_totalprice IS NOT NULL AND NOT isnan(o_totalprice)")
     raise ValueError(table)
 
 

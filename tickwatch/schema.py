@@ -107,13 +107,14 @@ def t_us(ts: Column) -> Column:
 
 
 def to_ticks(df: DataFrame, series: str, ts: str, seq: str, price: str) -> DataFrame:
-    """Project any table onto canonical ticks; rows without time/price/series are dropped."""
+    """Project any table onto canonical ticks; rows without time/price/series (or NaN price) are dropped."""
     out = df.select(
         F.col(series).cast("string").alias("series"),
         F.col(ts).cast("timestamp_ntz").alias("ts"),
         F.col(seq).cast("long").alias("seq"),
         F.col(price).cast("double").alias("price"),
-    ).where(F.col("series").isNotNull() & F.col("ts").isNotNull() & F.col("price").isNotNull())
+    ).where(F.col("series").isNotNull() & F.col("ts").isNotNull() & F.col("price").isNotNull()
+            & ~F.isnan("price"))
     return out.withColumn("t_us", t_us(F.col("ts")))
 
 

@@ -34,6 +34,8 @@ from tickwatch.schema import TICK_PAYLOAD, Layout, RuleParams
 from tickwatch.session import checkpoint_dir
 from tickwatch.sources.decode import decode_ticks
 
+STREAM_BLOCK_ROWS = 1 << 16
+
 STATE_ROWS = T.StructType([
     T.StructField("series", T.StringType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("t_us", T.LongType()), T.StructField("seq", T.LongType()),
@@ -155,11 +157,13 @@ class StreamDetector:
                           stats_from=original) \
             .withColumn("ctx", F.lit(False))
         ctx = prev_rows.select("series", "ts", "t_us", "seq", "price", "rn").withColumn("ctx", F.lit(True))
-        rows = ctx.unionByName(new)
+        # context and new rows must share one block size: micro-batches are bounded, use a fixed one
+        block = int(self.layout.block_rows or STREAM_BLOCK_ROWS)
+        rows = ctx.unionByName(new.drop("_B")).withColumn("_B", F.lit(block).cast("long"))
         seq_on = self.sequence_model is not None
         fr = detect.rules_on_numbered(rows, self.params, self.layout,
                                       features="online" if self.iforest else None, sequences=seq_on,
-                                      latch_init=prev_latch.select("series", "mr_state"), own_only=not seq_on)
+                                      own_only=not seq_on)
         if seq_on:
             from tickwatch.operators.sequence import score_sequences
             fr = score_sequences(fr, self.sequence_model)
