@@ -162,8 +162,9 @@ def score_static(rows: DataFrame, nodes: DataFrame, subsample: int = C.IF_SUBSAM
         .withColumn("_parts", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_task))).cast("long"))
     r = rows.join(sizes.select("series", "_parts"), "series") \
         .withColumn("_part", F.pmod(F.xxhash64(F.col("seq")), F.col("_parts")))
-    reps = nodes.join(sizes.select("series", "_parts"), "series") \
-        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+    node_parts = sizes.select(F.col("series").alias("_ns"), F.col("_parts").alias("_np"))
+    reps = nodes.join(node_parts, nodes["series"] == node_parts["_ns"]).drop("_ns") \
+        .select(*nodes.columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_np") - 1)).alias("_part"))
     keep = [c for c in rows.columns]
     schema = T.StructType(list(rows.schema.fields) + [T.StructField("if_score", T.DoubleType())])
 
