@@ -49,14 +49,17 @@ def test_forest_properties():
     rng = np.random.default_rng(0)
     X = rng.normal(size=(800, 5))
     X[0] = 8.0  # planted outlier
-    trees, m = isf.fit_forest(X, 100, 256, 42)
-    s = isf.anomaly_score(X, trees, m)
+    forest = isf.fit_forest(X, 100, 256, 42)
+    s = isf.forest_score(X, forest)
+    assert forest.size[:100].tolist() == [256] * 100 and forest.depth.max() <= 8
     assert np.all((s > 0) & (s <= 1))
     assert int(np.argmax(s)) == 0
     thr = isf.flag_threshold(s, 0.01)
     assert 5 <= int((s > thr).sum()) <= 9
-    trees2, _ = isf.fit_forest(X, 100, 256, 42)
-    assert np.allclose(s, isf.anomaly_score(X, trees2, m))
+    assert np.allclose(s, isf.forest_score(X, isf.fit_forest(X, 100, 256, 42)))
+    # every leaf size sums back to the subsample per tree
+    leaves = forest.feature < 0
+    assert np.bincount(forest.tree[leaves], weights=forest.size[leaves]).tolist() == [256.0] * 100
 
 
 def test_walk_forward_shape(spark):

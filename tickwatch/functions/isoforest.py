@@ -70,16 +70,110 @@ def build_tree(X: np.ndarray, rng: np.random.Generator, max_depth: int) -> Tree:
                 np.array(right, dtype=np.int64), np.array(size, dtype=np.int64), np.array(depth, dtype=np.int64))
 
 
-def fit_forest(X: np.ndarray, n_trees: int, subsample: int, seed: int) -> tuple[list[Tree], int]:
+@dataclass
+class Forest:
+    """All trees of one forest in flat arrays (node ids are global; roots are 0 .. n_trees-1)."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    size: np.ndarray
+    depth: np.ndarray
+    tree: np.ndarray
+    n_trees: int
+    subsample: int
+
+
+def fit_forest(X: np.ndarray, n_trees: int, subsample: int, seed: int) -> Forest:
+    """Grow all trees together, one depth level per step (numpy over every node of the level)."""
     rng = np.random.default_rng(seed)
-    n = X.shape[0]
+    n, d = X.shape
     m = min(subsample, n)
     max_depth = int(math.ceil(math.log2(max(m, 2))))
-    trees = []
-    for _ in range(n_trees):
-        pick = rng.choice(n, size=m, replace=False) if m < n else np.arange(n)
-        trees.append(build_tree(X[pick], rng, max_depth))
-    return trees, m
+    if m < n:
+        idx = np.argsort(rng.random((n_trees, n)), axis=1)[:, :m]
+    else:
+        idx = np.tile(np.arange(n), (n_trees, 1))
+    samp = idx.reshape(-1)
+    node = np.repeat(np.arange(n_trees), m)
+    feat = [np.full(n_trees, -1)]
+    thr_l = [np.zeros(n_trees)]
+    left_l = [np.full(n_trees, -1)]
+    right_l = [np.full(n_trees, -1)]
+    size_l = [np.full(n_trees, m)]
+    depth_l = [np.zeros(n_trees, dtype=np.int64)]
+    tree_l = [np.arange(n_trees)]
+    total = n_trees
+    active = np.ones(samp.size, dtype=bool)
+    for depth in range(max_depth):
+        a = np.flatnonzero(active)
+        if a.size == 0:
+            break
+        uniq, inv, counts = np.unique(node[a], return_inverse=True, return_counts=True)
+        vals = X[samp[a]]
+        order = np.argsort(inv, kind="stable")
+        starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
+        lo = np.minimum.reduceat(vals[order], starts, axis=0)
+        hi = np.maximum.reduceat(vals[order], starts, axis=0)
+        varying = hi > lo
+        splittable = (counts > 1) & varying.any(axis=1)
+        pick = rng.random((uniq.size, d))
+        pick[~varying] = -1.0
+        f = np.argmax(pick, axis=1)
+        rows = np.arange(uniq.size)
+        t = lo[rows, f] + rng.random(uniq.size) * (hi[rows, f] - lo[rows, f])
+        k = int(splittable.sum())
+        child = np.full(uniq.size, -1)
+        child[splittable] = total + 2 * np.arange(k)
+        par = uniq[splittable]
+        # record the split on the parents (flat arrays are concatenated lazily below)
+        parent_feat = np.concatenate(feat)
+        parent_thr = np.concatenate(thr_l)
+        parent_left = np.concatenate(left_l)
+        parent_right = np.concatenate(right_l)
+        parent_feat[par] = f[splittable]
+        parent_thr[par] = t[splittable]
+        parent_left[par] = child[splittable]
+        parent_right[par] = child[splittable] + 1
+        feat, thr_l, left_l, right_l = [parent_feat], [parent_thr], [parent_left], [parent_right]
+        moves = splittable[inv]
+        go_left = vals[np.arange(a.size), f[inv]] < t[inv]
+        new_node = np.where(go_left, child[inv], child[inv] + 1)
+        node[a[moves]] = new_node[moves]
+        active[a[~moves]] = False
+        if k == 0:
+            break
+        kids = np.bincount(new_node[moves] - total, minlength=2 * k)
+        feat.append(np.full(2 * k, -1))
+        thr_l.append(np.zeros(2 * k))
+        left_l.append(np.full(2 * k, -1))
+        right_l.append(np.full(2 * k, -1))
+        size_l.append(kids)
+        depth_l.append(np.full(2 * k, depth + 1, dtype=np.int64))
+        tree_l.append(np.repeat(np.concatenate(tree_l)[par], 2))
+        total += 2 * k
+    cat = np.concatenate
+    return Forest(cat(feat).astype(np.int64), cat(thr_l), cat(left_l).astype(np.int64), cat(right_l).astype(np.int64),
+                  cat(size_l).astype(np.int64), cat(depth_l), cat(tree_l), n_trees, m)
+
+
+def forest_score(X: np.ndarray, forest: Forest) -> np.ndarray:
+    """Positive score in (0, 1] for every row of ``X``: higher = more isolated."""
+    k = X.shape[0]
+    if k == 0:
+        return np.zeros(0)
+    node = np.repeat(np.arange(forest.n_trees)[:, None], k, axis=1)
+    cols = np.broadcast_to(np.arange(k), node.shape)
+    for _ in range(int(forest.depth.max()) + 1):
+        f = forest.feature[node]
+        inner = f >= 0
+        if not inner.any():
+            break
+        go_left = X[cols, np.where(inner, f, 0)] < forest.threshold[node]
+        node = np.where(inner, np.where(go_left, forest.left[node], forest.right[node]), node)
+    h = forest.depth[node] + c_factor(forest.size[node])
+    return np.power(2.0, -h.mean(axis=0) / c_factor([forest.subsample])[0])
 
 
 def path_lengths(X: np.ndarray, tree: Tree) -> np.ndarray:
@@ -96,7 +190,7 @@ def path_lengths(X: np.ndarray, tree: Tree) -> np.ndarray:
 
 
 def anomaly_score(X: np.ndarray, trees: list[Tree], subsample: int) -> np.ndarray:
-    """Positive score in (0, 1]: higher = more isolated."""
+    """Positive score in (0, 1] against a list of single trees (node-table form)."""
     if X.shape[0] == 0:
         return np.zeros(0)
     h = np.mean([path_lengths(X, t) for t in trees], axis=0)

@@ -100,9 +100,9 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
         scores = np.zeros(len(out))
         flags = np.zeros(len(out), dtype=bool)
         Xt, Xs = _scale(X_train, X_score[ok])
-        trees, m = isf.fit_forest(Xt, n_trees, subsample, group_seed(seed, out["series"].iloc[0], epoch))
-        thr = isf.flag_threshold(isf.anomaly_score(Xt, trees, m), contamination)
-        s = isf.anomaly_score(Xs, trees, m)
+        forest = isf.fit_forest(Xt, n_trees, subsample, group_seed(seed, out["series"].iloc[0], epoch))
+        thr = isf.flag_threshold(isf.forest_score(Xt, forest), contamination)
+        s = isf.forest_score(Xs, forest)
         scores[ok] = s
         flags[ok] = s > thr
         return out.assign(if_score=scores, if_flag=flags, if_ready=True)

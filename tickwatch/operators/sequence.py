@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,13 +88,18 @@ def fit_sequence_model(seq_frame: DataFrame, scaler: DataFrame, k: int = 8,
     lengths = seq_frame.groupBy("series").agg(F.max("rn").alias("_len"))
     train = (seq_frame.where(F.col("seq_prices").isNotNull()).join(lengths, "series")
              .where(F.col("rn") < F.col("_len")).join(scaler, "series")
-             .select(_scaled().alias("x")))
-    vec = train.select(array_to_vector("x").alias("v"))
-    pca = PCA(k=k, inputCol="v", outputCol="p").fit(vec)
-    mean = np.asarray(vec.select(Summarizer.mean(F.col("v")).alias("m")).first()["m"].toArray())
-    comps = np.asarray(pca.pc.toArray())
-    errs = train.select(error_udf(mean, comps)(F.col("x")).alias("e"))
-    st = errs.agg(F.avg("e").alias("m"), F.stddev_pop("e").alias("s")).first()
+             .select(_scaled().alias("x")).withColumn("v", array_to_vector("x")))
+    # fitting runs several passes (column summary, covariance, mean, errors): keep the
+    # training windows for the duration of the fit only, as MLlib estimators do
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        pca = PCA(k=k, inputCol="v", outputCol="p").fit(train.select("v"))
+        mean = np.asarray(train.select(Summarizer.mean(F.col("v")).alias("m")).first()["m"].toArray())
+        comps = np.asarray(pca.pc.toArray())
+        errs = train.select(error_udf(mean, comps)(F.col("x")).alias("e"))
+        st = errs.agg(F.avg("e").alias("m"), F.stddev_pop("e").alias("s")).first()
+    finally:
+        train.unpersist()
     base = float(st["m"] + C.BASE_K * st["s"])
     return SequenceModel(mean, comps, base, scaler)
 
