@@ -51,6 +51,9 @@ def test_stream_equals_batch(spark, tmpdir_path):
     q.awaitTermination(600)
     assert q.exception() is None
     assert _stream_events(spark, out) == _batch_events(spark)
+    from tickwatch.streaming.stream import run_stats
+    st = run_stats(q)
+    assert st["batches"] == 7 and st["total_rows"] == events_ticks(spark, SF).count()
     feed = spark.read.json(os.path.join(tmpdir_path, "feed"))
     assert feed.count() == events_ticks(spark, SF).count()  # < 500 ticks per series at sf0.001
 

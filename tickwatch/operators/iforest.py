@@ -107,7 +107,15 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
         flags[ok] = s > thr
         return out.assign(if_score=scores, if_flag=flags, if_ready=True)
 
-    return x.groupBy("series", "_epoch").applyInPandas(fit_score, out_schema)
+    # Python-heavy groups: spread them over at least a few tasks per core (AQE would
+    # otherwise coalesce the small shuffle into about one partition per core)
+    return _spread(x, ["series", "_epoch"]).groupBy("series", "_epoch").applyInPandas(fit_score, out_schema)
+
+
+def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
 
 
 NODE_SCHEMA = T.StructType([
@@ -147,7 +155,7 @@ def fit_static(features: DataFrame, n_trees: int = C.IF_TREES, subsample: int =
         nodes.insert(0, "series", series)
         return nodes
 
-    return picked.groupBy("series", "tree").applyInPandas(build, NODE_SCHEMA)
+    return _spread(picked, ["series", "tree"]).groupBy("series", "tree").applyInPandas(build, NODE_SCHEMA)
 
 
 def score_static(rows: DataFrame, nodes: DataFrame, subsample: int = C.IF_SUBSAMPLE,

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -188,7 +189,9 @@ class StreamDetector:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev_rows, prev_latch = self._read_state(spark, batch_id)
-        cur = self.detect_batch(batch, prev_rows, prev_latch).persist()
+        # the batch feeds several scans (bucket width, counts, rows): read the source once
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        cur = self.detect_batch(batch, prev_rows, prev_latch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             events = detect.event_record(cur, types="types", if_score="if_score", lstm_score="lstm_score")
             from tickwatch.sources.files import anomaly_json
@@ -209,6 +212,7 @@ class StreamDetector:
                 write_price_feed(st, self.feed_path, self.feed_rows)
         finally:
             cur.unpersist()
+            batch.unpersist()
 
     def start(self, ticks: DataFrame, checkpoint: str | None = None, trigger: str | None = "3 seconds",
               available_now: bool = False):
@@ -230,3 +234,32 @@ def read_events(spark: SparkSession, events_path: str) -> DataFrame:
 
 def payload_schema() -> T.StructType:
     return TICK_PAYLOAD
+
+
+# ----------------------------------------------------------------------------- sinks and run statistics
+
+def kafka_sink(ticks: DataFrame, servers: str, topic: str, checkpoint: str | None = None):
+    """Publish tick payloads {timestamp, price, change} to Kafka (key = series, acks=all).
+
+    Works for static frames (``write``) and streams (``writeStream``); the
+    producer-side change (P3) is expected in a ``change`` column when present."""
+    from tickwatch.sources.decode import encode_ticks
+    enc = encode_ticks(ticks, "change" if "change" in ticks.columns else None).select(
+        F.col("key").cast("string").alias("key"), F.col("value"))
+    if ticks.isStreaming:
+        ckpt = checkpoint or checkpoint_dir(ticks.sparkSession).rstrip("/") + "/tickwatch-kafka-sink"
+        return (enc.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+                .option("topic", topic).option("kafka.acks", "all").option("checkpointLocation", ckpt).start())
+    enc.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic) \
+        .option("kafka.acks", "all").save()
+    return None
+
+
+def run_stats(query) -> dict:
+    """Totals and rate of a running detector query from its progress reports."""
+    progress = query.recentProgress or []
+    total = sum(int(p.get("numInputRows", 0)) for p in progress)
+    last = progress[-1] if progress else {}
+    return {"batches": len(progress), "total_rows": total,
+            "input_rows_per_second": last.get("inputRowsPerSecond"),
+            "processed_rows_per_second": last.get("processedRowsPerSecond")}
