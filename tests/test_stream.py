@@ -110,3 +110,33 @@ def test_late_tick_as_arrived(spark, tmpdir_path):
     drop = StreamDetector(events_path=os.path.join(tmpdir_path, "ev2"), state_path=os.path.join(tmpdir_path, "st"),
                           late="drop")
     assert drop.detect_batch(mk([(2, 15, 200.0)]), prev_rows, prev_latch).count() == 0
+
+
+def test_stream_equals_batch_with_forest(spark, tmpdir_path):
+    """Walk-forward forest in a stream: context rows only train, new rows are scored by
+    the same fits (same rows, same seeds) as in the batch plan."""
+    from tickwatch.plans.detect import iforest_frame
+    sf = "/root/testdata/sf0.01"
+    t = events_ticks(spark, sf).select("series", "ts", "seq", "price").toPandas()
+    t = t.sort_values(["ts", "seq"]).reset_index(drop=True)
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    base = time.time() - 1000
+    for i, part in enumerate([t.iloc[:2500], t.iloc[2500:7000], t.iloc[7000:]]):
+        p = os.path.join(src, f"part-{i}.parquet")
+        part.sample(frac=1.0, random_state=i).to_parquet(p, index=False, coerce_timestamps="us")
+        os.utime(p, (base + i, base + i))
+    out = os.path.join(tmpdir_path, "events")
+    det = StreamDetector(events_path=out, state_path=os.path.join(tmpdir_path, "state"), params=EVENTS_PARAMS,
+                         layout=Layout(block_rows=1000), iforest=True)
+    q = det.start(parquet_file_ticks(spark, src, 1), checkpoint=os.path.join(tmpdir_path, "ckpt"),
+                  available_now=True)
+    q.awaitTermination(900)
+    assert q.exception() is None
+    got = read_events(spark, out).select("series", "price", "if_score", F.array_join("types", ",").alias("t"))
+    b = iforest_frame(events_ticks(spark, sf), EVENTS_PARAMS, Layout(block_rows=1000))
+    from tickwatch.operators.rules import fired_types
+    b = b.withColumn("types", F.concat("rule_types", fired_types([("iforest_anomaly", F.col("if_flag"))])))
+    exp = detect.event_record(b, types="types", if_score="if_score").select(
+        "series", "price", "if_score", F.array_join("types", ",").alias("t"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
