@@ -103,3 +103,14 @@ def test_sequence_model(spark):
                F.sum(F.col("err_flag").cast("int")).alias("flags")).first()
     assert r["n"] == 10000 - 5 * (C.SEQ_LEN - 1)
     assert r["lo"] >= 0 and r["flags"] > 0
+
+
+def test_pretrained_schedule_scores_from_first_row(spark):
+    from __spark_entry__ import queries
+    df = queries()["iforest_scores_pretrained"](spark, "/root/testdata/sf0.01")
+    r = df.agg(F.count("*").alias("n"), F.sum(F.col("if_ready").cast("int")).alias("ready"),
+               F.sum((F.col("if_score") > 0).cast("int")).alias("scored"),
+               F.sum(F.col("if_flag").cast("int")).alias("flags")).first()
+    assert r["n"] == 10000 and r["ready"] == 10000
+    assert r["scored"] == 10000 - 5 * (C.IF_WINDOW - 1)
+    assert 0 < r["flags"] < 1000

@@ -60,14 +60,17 @@ def _scale(train: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONLINE,
                  n_trees: int = C.IF_TREES, subsample: int = C.IF_SUBSAMPLE, seed: int = C.IF_SEED,
-                 score_rows: str | None = None) -> DataFrame:
+                 score_rows: str | None = None, pretrained: DataFrame | None = None) -> DataFrame:
     """Score every row of ``frame`` (own rows with ``rn`` and the 5 feature columns)
     with the model in force at that row.  Adds ``if_score`` (0.0 when no model),
     ``if_flag`` and ``if_ready``; the rest of each row passes through unchanged.
     Cold start: no model (score 0) before the 300th feature row.
     ``score_rows``: optional boolean column; rows where it is false only train.
+    ``pretrained``: a model table from ``train_static``; then the pre-trained
+    schedule applies (model 0 scores until the first refit at feature row 500;
+    a series missing from the table gets no score until then).
     """
-    pre = False
+    pre = pretrained is not None
     carry = [c for c in frame.columns]
     n = S.feature_index(F.col("rn"))
     score_epoch = F.when(n.isNull(), F.lit(0)).otherwise(S.scoring_epoch(n, pre)).cast("long")
@@ -85,14 +88,18 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
         T.StructField("if_score", T.DoubleType()), T.StructField("if_flag", T.BooleanType()),
         T.StructField("if_ready", T.BooleanType())])
 
-    def fit_score(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fit_score(pdf: pd.DataFrame, model: pd.DataFrame | None = None) -> pd.DataFrame:
+        if len(pdf) == 0:
+            return pd.DataFrame({c: [] for c in carry + ["if_score", "if_flag", "if_ready"]})
         scoring = pdf[pdf["_scoring"]]
         out = scoring[carry].copy()
         epoch = int(pdf["_epoch"].iloc[0])
         if len(out) == 0:
             return out.assign(if_score=[], if_flag=[], if_ready=[])
         if epoch == 0:
-            return out.assign(if_score=0.0, if_flag=False, if_ready=False)
+            if model is None or len(model) == 0:
+                return out.assign(if_score=0.0, if_flag=False, if_ready=False)
+            return score_with_model(out, scoring[FEATURES].to_numpy(dtype=np.float64), model)
         train = pdf[~pdf["_scoring"]]
         X_train = train[FEATURES].to_numpy(dtype=np.float64)
         X_score = scoring[FEATURES].to_numpy(dtype=np.float64)
@@ -109,7 +116,51 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
 
     # Python-heavy groups: spread them over at least a few tasks per core (AQE would
     # otherwise coalesce the small shuffle into about one partition per core)
-    return _spread(x, ["series", "_epoch"]).groupBy("series", "_epoch").applyInPandas(fit_score, out_schema)
+    spread = _spread(x, ["series", "_epoch"])
+    if not pre:
+        return spread.groupBy("series", "_epoch").applyInPandas(fit_score, out_schema)
+    m0 = pretrained.withColumn("_epoch", F.lit(0).cast("long"))
+    return spread.groupBy("series", "_epoch").cogroup(m0.groupBy("series", "_epoch")).applyInPandas(
+        fit_score, out_schema)
+
+
+def score_with_model(out: pd.DataFrame, X: np.ndarray, model: pd.DataFrame) -> pd.DataFrame:
+    """Score rows with a static model table (one series): its scaler, trees and cut."""
+    mu = np.asarray(model["mu"].iloc[0], dtype=np.float64)
+    sd = np.asarray(model["sd"].iloc[0], dtype=np.float64)
+    cut = float(model["cut"].iloc[0])
+    trees = [isf.tree_from_nodes(g) for _, g in model.groupby("tree")]
+    m = int(model.loc[model["node"] == 0, "size"].max())
+    ok = ~np.isnan(X).any(axis=1)
+    scores = np.zeros(len(out))
+    flags = np.zeros(len(out), dtype=bool)
+    s = isf.anomaly_score((X[ok] - mu) / sd, trees, m)
+    scores[ok] = s
+    flags[ok] = s > cut
+    return out.assign(if_score=scores, if_flag=flags, if_ready=True)
+
+
+def train_static(features: DataFrame, contamination: float = C.IF_CONTAMINATION_OFFLINE,
+                 n_trees: int = C.IF_TREES, subsample: int = C.IF_SUBSAMPLE, seed: int = C.IF_SEED,
+                 rows_per_task: int = 200_000) -> DataFrame:
+    """M2 + M3 + M5 (offline): per series, scaler + forest + flag cut over all feature rows.
+
+    Returns the model table (node rows carrying ``mu``/``sd`` arrays and ``cut``),
+    checkpointed to the shared checkpoint folder so it is computed once and can
+    be saved/loaded as Parquet.  The cut is the (1 - contamination) quantile of
+    the training scores (``percentile_approx``: bounded memory per series)."""
+    from tickwatch.session import checkpoint_dir
+    checkpoint_dir(features.sparkSession)
+    stats = features.groupBy("series").agg(
+        F.array(*[F.avg(c) for c in FEATURES]).alias("mu"),
+        F.array(*[F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(F.lit(1.0)) for c in FEATURES]).alias("sd"))
+    scaled = standardize(features, list(FEATURES), ["series"])
+    nodes = fit_static(scaled, n_trees, subsample, seed).checkpoint()
+    cols = ["s_" + c[2:] for c in FEATURES]
+    scores = score_static(scaled.select("series", "seq", *cols), nodes, subsample, rows_per_task)
+    cut = scores.groupBy("series").agg(
+        F.percentile_approx("if_score", 1.0 - contamination, 10000).alias("cut"))
+    return nodes.join(stats, "series").join(cut, "series")
 
 
 def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -129,17 +180,29 @@ NODE_SCHEMA = T.StructType([
 def fit_static(features: DataFrame, n_trees: int = C.IF_TREES, subsample: int = C.IF_SUBSAMPLE,
                seed: int = C.IF_SEED, oversample: float = 1.5) -> DataFrame:
     """M2 (static): one forest per series over all its scaled feature rows
-    (columns ``s_price .. s_z``, see ``standardize``); returns the node table."""
+    (columns ``s_price .. s_z``, see ``standardize``); returns the node table.
+
+    Sampling is two-stage so that most rows cost one hash: a row enters the
+    series' pool with probability q = min(1, trees x c / n) (c = oversample x
+    subsample), and a pool row joins tree t with probability c / (n q); overall
+    each tree sees each row with probability c / n, about c candidates, of which
+    the first ``subsample`` by hash are kept (``row_number`` per (series, tree))."""
     cols = ["s_" + c[2:] for c in FEATURES]
+    c = oversample * subsample
+    unit = float(1 << 30)
     sizes = features.groupBy("series").agg(F.count(F.lit(1)).alias("_n"))
     x = features.join(sizes, "series")
-    # expected hits per tree ~ oversample * subsample; a tree keeps the first ``subsample`` by hash
-    p = F.least(F.lit(1.0), F.lit(oversample * subsample) / F.col("_n"))
-    h = lambda t: F.abs(F.xxhash64(F.lit(seed), t, F.col("series"), F.col("seq"))) % F.lit(1 << 30)
+    q = F.least(F.lit(1.0), F.lit(n_trees * c) / F.col("_n"))
+    p = F.least(F.lit(1.0), F.lit(c) / (F.col("_n") * q))
+
+    def u(*parts):
+        return (F.abs(F.xxhash64(*parts)) % F.lit(1 << 30)).cast("double") / F.lit(unit)
+
+    pool = x.where(u(F.lit(seed), F.col("series"), F.col("seq")) < q)
     hits = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(n_trees - 1).cast("long")),
-                    lambda t: h(t).cast("double") < p * F.lit(float(1 << 30)))
-    ex = x.select("series", "seq", *cols, F.explode(hits).alias("tree"))
-    ex = ex.withColumn("_h", F.xxhash64(F.lit(seed + 1), F.col("tree"), F.col("series"), F.col("seq")))
+                    lambda t: u(F.lit(seed + 1), t, F.col("series"), F.col("seq")) < p)
+    ex = pool.select("series", "seq", *cols, F.explode(hits).alias("tree"))
+    ex = ex.withColumn("_h", F.xxhash64(F.lit(seed + 2), F.col("tree"), F.col("series"), F.col("seq")))
     ranked = ex.withColumn("_k", F.row_number().over(Window.partitionBy("series", "tree").orderBy("_h", "seq")))
     picked = ranked.where(F.col("_k") <= subsample).drop("_k", "_h")
 

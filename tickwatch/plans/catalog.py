@@ -638,3 +638,15 @@ def anomaly_events_full(spark, sf_dir):
     ev = detect.full_events(events_ticks(spark, sf_dir), EVENTS_PARAMS, LAYOUT)
     return ev.select("series", "seq", "price", "pct_change", "abs_change",
                      F.array_join("types", ",").alias("types"), "severity", "if_score", "lstm_score")
+
+
+@register("iforest_scores_pretrained")
+def iforest_scores_pretrained(spark, sf_dir):
+    """M2-M5 pre-trained start: a static model trained offline on the history
+    (training-variant features, contamination 0.05) scores until the first refit."""
+    from tickwatch.operators.iforest import train_static, walk_forward
+    model = train_static(_features(spark, sf_dir, "training"))
+    fr = detect.rule_frame(events_ticks(spark, sf_dir), EVENTS_PARAMS, LAYOUT, features="online")
+    keep = ["series", "seq", "rn", "f_price", "f_r1", "f_r5", "f_sigma", "f_z"]
+    out = walk_forward(fr.select(*keep), pretrained=model)
+    return out.select("series", "seq", fround("if_score", 4).alias("if_score"), "if_flag", "if_ready")
