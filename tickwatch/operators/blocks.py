@@ -36,7 +36,8 @@ def _bucket_width(df: DataFrame, bucket_rows: int) -> Column:
 
 def number_rows(ticks: DataFrame, layout: Layout = Layout(), base: DataFrame | None = None,
                 stats_from: DataFrame | None = None, parallelism: int | None = None) -> DataFrame:
-    """Add ``rn`` (1-based, per series, ordered by ``t_us, seq``) and ``_B`` (block rows).
+    """Add ``rn`` (1-based, per series, ordered by ``t_us, seq``), ``_B`` (block rows)
+    and ``_n`` (rows of the series in this frame).
 
     ``base`` (series, rn0) shifts numbering per series (streaming continuation).
     ``stats_from``: where to take the bucket-width statistics (any superset of
@@ -56,10 +57,10 @@ def number_rows(ticks: DataFrame, layout: Layout = Layout(), base: DataFrame | N
         brows = F.least(F.greatest(F.ceil(total / F.lit(max(1, par * layout.blocks_per_core))),
                                    F.lit(layout.min_block_rows)), F.lit(layout.max_block_rows)).cast("long")
     offsets = counts.select("series", "_bkt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-                            brows.alias("_B"))
+                            brows.alias("_B"), F.sum("_cnt").over(Window.partitionBy("series")).alias("_n"))
     if base is not None:
         offsets = offsets.join(base.select("series", F.col("rn0").alias("_rn0")), "series", "left") \
-            .select("series", "_bkt", (F.col("_off") + F.coalesce("_rn0", F.lit(0))).alias("_off"), "_B")
+            .select("series", "_bkt", (F.col("_off") + F.coalesce("_rn0", F.lit(0))).alias("_off"), "_B", "_n")
     inner = Window.partitionBy("series", "_bkt").orderBy("t_us", "seq")
     return (keyed.join(offsets, ["series", "_bkt"])
             .withColumn("rn", (F.col("_off") + F.row_number().over(inner)).cast("long"))
@@ -78,7 +79,7 @@ def to_blocks(numbered: DataFrame, halo: int, block_rows: Column | None = None)
             .withColumn("_own_block", own_block)
             .withColumn("block", F.explode(F.sequence(own_block, last_block)))
             .withColumn("own", F.col("block") == F.col("_own_block"))
-            .drop("_own_block", "_B"))
+            .drop("_own_block", "_B", "_n"))
 
 
 def block_window() -> Window:

@@ -118,7 +118,10 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
     # otherwise coalesce the small shuffle into about one partition per core)
     spread = _spread(x, ["series", "_epoch"])
     if not pre:
-        return spread.groupBy("series", "_epoch").applyInPandas(fit_score, out_schema)
+        # one-argument function: applyInPandas would pass the group key to a two-argument one
+        def fit_score_cold(pdf: pd.DataFrame) -> pd.DataFrame:
+            return fit_score(pdf, None)
+        return spread.groupBy("series", "_epoch").applyInPandas(fit_score_cold, out_schema)
     m0 = pretrained.withColumn("_epoch", F.lit(0).cast("long"))
     return spread.groupBy("series", "_epoch").cogroup(m0.groupBy("series", "_epoch")).applyInPandas(
         fit_score, out_schema)

@@ -17,15 +17,34 @@ from pyspark.sql import functions as F
 from tickwatch import constants as C
 from tickwatch.functions.numeric import fround
 from tickwatch.functions.severity import layer_tag, rules_only_severity, type_layer, type_meta_severity
+from tickwatch.schema import Layout
 
 def newest() -> list[Column]:
     return [F.col("t_us").desc(), F.col("seq").desc()]
 
 
 def last_n(df: DataFrame, n: int, keys: tuple[str, ...] = ("series",)) -> DataFrame:
-    """O3: the last ``n`` rows per key by (t_us, seq); keeps ``pos`` (1 = newest)."""
-    w = Window.partitionBy(*keys).orderBy(*newest())
-    return df.withColumn("pos", F.row_number().over(w).cast("long")).where(F.col("pos") <= n)
+    """O3: the last ``n`` rows per key by (t_us, seq); keeps ``pos`` (1 = newest).
+
+    Up to Spark's window-group-limit threshold the ``row_number <= n`` filter is
+    planned as WindowGroupLimit (partial top-k before the shuffle).  Beyond it a
+    plain window would move a whole series into one task, so the bucketed row
+    numbering is used instead: pos = rows of series - rn + 1."""
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n <= limit or tuple(keys) != ("series",):
+        w = Window.partitionBy(*keys).orderBy(*newest())
+        return df.withColumn("pos", F.row_number().over(w).cast("long")).where(F.col("pos") <= n)
+    from tickwatch.operators.blocks import number_rows
+    cols = df.columns
+    stash = {c: f"_keep_{c}" for c in ("rn", "_n", "_B", "pos") if c in cols}
+    for c, t in stash.items():
+        df = df.withColumnRenamed(c, t)
+    numbered = number_rows(df, Layout())
+    out = numbered.withColumn("pos", (F.col("_n") - F.col("rn") + 1).cast("long")).where(F.col("pos") <= n) \
+        .drop("rn", "_n", "_B")
+    for c, t in stash.items():
+        out = out.withColumnRenamed(t, c)
+    return out.select(*cols, "pos")
 
 
 # ------------------------------------------------------------------ filters F4-F6, F11

@@ -160,7 +160,7 @@ class StreamDetector:
         ctx = prev_rows.select("series", "ts", "t_us", "seq", "price", "rn").withColumn("ctx", F.lit(True))
         # context and new rows must share one block size: micro-batches are bounded, use a fixed one
         block = int(self.layout.block_rows or STREAM_BLOCK_ROWS)
-        rows = ctx.unionByName(new.drop("_B")).withColumn("_B", F.lit(block).cast("long"))
+        rows = ctx.unionByName(new.drop("_B", "_n")).withColumn("_B", F.lit(block).cast("long"))
         seq_on = self.sequence_model is not None
         fr = detect.rules_on_numbered(rows, self.params, self.layout,
                                       features="online" if self.iforest else None, sequences=seq_on,
