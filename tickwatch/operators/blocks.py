@@ -75,11 +75,10 @@ def to_blocks(numbered: DataFrame, halo: int, block_rows: Column | None = None)
     i = F.col("rn") - 1
     own_block = F.floor(i / block_rows).cast("long")
     last_block = F.floor((i + F.lit(int(halo))) / block_rows).cast("long")
+    keep = [c for c in numbered.columns if c not in ("_B", "_n")]
     return (numbered
-            .withColumn("_own_block", own_block)
-            .withColumn("block", F.explode(F.sequence(own_block, last_block)))
-            .withColumn("own", F.col("block") == F.col("_own_block"))
-            .drop("_own_block", "_B", "_n"))
+            .select(*keep, own_block.alias("_own_block"), F.explode(F.sequence(own_block, last_block)).alias("block"))
+            .select(*keep, "block", (F.col("block") == F.col("_own_block")).alias("own")))
 
 
 def block_window() -> Window:

@@ -26,12 +26,14 @@ def rule_flags(df: DataFrame, params: RuleParams) -> DataFrame:
     mr_cond = F.when(enough & (F.col("sd120") > 0),
                      F.abs(F.col("price") - F.col("mean120"))
                      >= F.greatest(F.lit(float(params.mr_k)) * F.col("sd120"), F.lit(float(params.mr_floor))))
-    return (df.withColumn("pct_spike", pct)
-            .withColumn("abs_jump", F.coalesce(absj, F.lit(False)))
-            .withColumn("vol_breakout", F.coalesce(vol, F.lit(False)))
-            .withColumn("mr_cond", mr_cond)
-            # the row's 120-price window lies entirely inside its block partition
-            .withColumn("mr_reliable", F.col("n_frame") == F.col("n_prev")))
+    return df.withColumns({
+        "pct_spike": pct,
+        "abs_jump": F.coalesce(absj, F.lit(False)),
+        "vol_breakout": F.coalesce(vol, F.lit(False)),
+        "mr_cond": mr_cond,
+        # the row's 120-price window lies entirely inside its block partition
+        "mr_reliable": F.col("n_frame") == F.col("n_prev"),
+    })
 
 
 def latch(df: DataFrame) -> DataFrame:

@@ -32,17 +32,17 @@ def producer_change(df: DataFrame) -> DataFrame:
 def gated_change(df: DataFrame, params: RuleParams) -> DataFrame:
     """W1 + P4 + F2: previous tick, time gap gate, gated absolute / percent change."""
     w = block_window()
-    prev_price = F.lag("price").over(w)
-    prev_t = F.lag("t_us").over(w)
-    df = (df.withColumn("prev_price", prev_price)
-          .withColumn("dt", (F.col("t_us") - prev_t) / F.lit(1e6)))
+    df = df.withColumns({"prev_price": F.lag("price").over(w),
+                         "dt": (F.col("t_us") - F.lag("t_us").over(w)) / F.lit(1e6)})
     gate = (F.col("prev_price").isNotNull() & (F.col("dt") > 0) & (F.col("dt") <= F.lit(float(params.max_dt))))
     diff = F.col("price") - F.col("prev_price")
-    return (df.withColumn("gated", F.coalesce(gate, F.lit(False)))
-            .withColumn("diff", diff)
-            .withColumn("abs_change", F.when(F.col("gated"), diff).otherwise(F.lit(0.0)))
-            .withColumn("pct_change", F.when(F.col("gated"), F.try_divide(diff, F.col("prev_price")) * F.lit(100.0))
-                        .otherwise(F.lit(0.0))))
+    gated = F.coalesce(gate, F.lit(False))
+    return df.withColumns({
+        "gated": gated,
+        "diff": diff,
+        "abs_change": F.when(gated, diff).otherwise(F.lit(0.0)),
+        "pct_change": F.when(gated, F.try_divide(diff, F.col("prev_price")) * F.lit(100.0)).otherwise(F.lit(0.0)),
+    })
 
 
 def rolling_stats(df: DataFrame) -> DataFrame:
@@ -50,11 +50,13 @@ def rolling_stats(df: DataFrame) -> DataFrame:
     population sigma of the previous <= 119 one-step differences (current row excluded).
     Needs ``diff`` (from ``gated_change``)."""
     n = C.PRICE_WINDOW
-    return (df.withColumn("n_prev", F.least(F.col("rn") - 1, F.lit(n)))
-            .withColumn("n_frame", F.count("price").over(_w(-n, -1)))
-            .withColumn("mean120", F.avg("price").over(_w(-n, -1)))
-            .withColumn("sd120", F.stddev_pop("price").over(_w(-n, -1)))
-            .withColumn("sd_ret119", F.stddev_pop("diff").over(_w(-(n - 1), -1))))
+    return df.withColumns({
+        "n_prev": F.least(F.col("rn") - 1, F.lit(n)),
+        "n_frame": F.count("price").over(_w(-n, -1)),
+        "mean120": F.avg("price").over(_w(-n, -1)),
+        "sd120": F.stddev_pop("price").over(_w(-n, -1)),
+        "sd_ret119": F.stddev_pop("diff").over(_w(-(n - 1), -1)),
+    })
 
 
 def if_features(df: DataFrame, window_rows: int = C.IF_WINDOW, training: bool = False) -> DataFrame:
@@ -75,11 +77,13 @@ def if_features(df: DataFrame, window_rows: int = C.IF_WINDOW, training: bool =
     def ret(lagged: Column) -> Column:
         return (F.col("price") - lagged) / F.when(lagged == 0, F.lit(C.SIGMA_EPS)).otherwise(lagged)
 
-    return (df.withColumn("f_price", F.when(ok, F.col("price")))
-            .withColumn("f_r1", F.when(ok, ret(lag1)))
-            .withColumn("f_r5", F.when(ok, ret(lag5)))
-            .withColumn("f_sigma", F.when(ok, sigma))
-            .withColumn("f_z", F.when(ok, (F.col("price") - mu) / sigma)))
+    return df.withColumns({
+        "f_price": F.when(ok, F.col("price")),
+        "f_r1": F.when(ok, ret(lag1)),
+        "f_r5": F.when(ok, ret(lag5)),
+        "f_sigma": F.when(ok, sigma),
+        "f_z": F.when(ok, (F.col("price") - mu) / sigma),
+    })
 
 
 FEATURES = ["f_price", "f_r1", "f_r5", "f_sigma", "f_z"]
@@ -112,7 +116,8 @@ def dynamic_threshold(df: DataFrame, error: str, base_threshold: Column,
     n_err = F.col("rn") - F.lit(first_rn - 1)
     dyn = F.avg(error).over(frame) + F.lit(C.ERR_K) * F.stddev_pop(error).over(frame)
     thr = F.when(F.col(error).isNull(), F.lit(None)).when(n_err > F.lit(C.ERR_MIN), dyn).otherwise(base_threshold)
-    return (df.withColumn("threshold", thr)
-            .withColumn("ratio", F.col(error) / F.when(F.col("threshold") == 0, F.lit(C.THRESH_EPS))
-                        .otherwise(F.col("threshold")))
-            .withColumn("err_flag", F.col(error) > F.col("threshold")))
+    df = df.withColumn("threshold", thr)
+    return df.withColumns({
+        "ratio": F.col(error) / F.when(F.col("threshold") == 0, F.lit(C.THRESH_EPS)).otherwise(F.col("threshold")),
+        "err_flag": F.col(error) > F.col("threshold"),
+    })
