@@ -114,3 +114,21 @@ def test_pretrained_schedule_scores_from_first_row(spark):
     assert r["n"] == 10000 and r["ready"] == 10000
     assert r["scored"] == 10000 - 5 * (C.IF_WINDOW - 1)
     assert 0 < r["flags"] < 1000
+
+
+def test_pretrained_fallback_for_series_without_model(spark):
+    """A series missing from the model table follows the cold schedule (M5 fallback)."""
+    from tickwatch.operators.iforest import train_static, walk_forward
+    from tickwatch.operators.stats import FEATURES, if_features
+    from tickwatch.plans import detect
+    from tickwatch.schema import EVENTS_PARAMS, Layout, events_ticks
+    t = events_ticks(spark, "/root/testdata/sf0.01")
+    b = detect.blocked(t, Layout(), 21)
+    f = if_features(b, training=True).where(F.col("own") & F.col("f_price").isNotNull())
+    model = train_static(f.where(F.col("series") != "click"), n_trees=20)
+    fr = detect.rule_frame(t, EVENTS_PARAMS, Layout(), features="online")
+    out = walk_forward(fr.select("series", "seq", "rn", *FEATURES), pretrained=model)
+    g = {r["series"]: r for r in out.groupBy("series").agg(
+        F.min(F.when(F.col("if_ready"), F.col("rn"))).alias("first")).collect()}
+    assert g["click"]["first"] == C.IF_WARMUP + C.IF_WINDOW - 1
+    assert all(g[s]["first"] == 1 for s in g if s != "click")

@@ -72,9 +72,19 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
     """
     pre = pretrained is not None
     carry = [c for c in frame.columns]
+    out_fields = list(frame.schema.fields)
     n = S.feature_index(F.col("rn"))
-    score_epoch = F.when(n.isNull(), F.lit(0)).otherwise(S.scoring_epoch(n, pre)).cast("long")
-    train_epochs = F.when(n.isNull(), F.array().cast("array<long>")).otherwise(S.training_epochs(n, pre))
+    if pre:
+        # M5 fallback: a series without a saved model warms up online (cold schedule)
+        has_model = pretrained.select("series").distinct().withColumn("_pre", F.lit(True))
+        frame = frame.join(has_model, "series", "left")
+        is_pre = F.coalesce(F.col("_pre"), F.lit(False))
+        sched_score = F.when(is_pre, S.scoring_epoch(n, True)).otherwise(S.scoring_epoch(n, False))
+        sched_train = F.when(is_pre, S.training_epochs(n, True)).otherwise(S.training_epochs(n, False))
+    else:
+        sched_score, sched_train = S.scoring_epoch(n, False), S.training_epochs(n, False)
+    score_epoch = F.when(n.isNull(), F.lit(0)).otherwise(sched_score).cast("long")
+    train_epochs = F.when(n.isNull(), F.array().cast("array<long>")).otherwise(sched_train)
     score_role = F.array(F.struct(score_epoch.alias("_epoch"), F.lit(True).alias("_scoring")))
     if score_rows:
         score_role = F.when(F.col(score_rows), score_role).otherwise(
@@ -84,7 +94,7 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
     x = frame.withColumn("_role", F.explode(roles)).select(
         *[F.when(F.col("_role._scoring") | F.lit(c in FEATURES or c == "series"), F.col(c)).alias(c) for c in carry],
         F.col("_role._epoch").alias("_epoch"), F.col("_role._scoring").alias("_scoring"))
-    out_schema = T.StructType(list(frame.schema.fields) + [
+    out_schema = T.StructType(out_fields + [
         T.StructField("if_score", T.DoubleType()), T.StructField("if_flag", T.BooleanType()),
         T.StructField("if_ready", T.BooleanType())])
 

@@ -258,3 +258,8 @@ def recent_alerts(events: DataFrame, read_rows: int = C.ALERT_LOG_ROWS, show: in
         .alias("abs"),
         rules_only_severity(F.col("types")).alias("severity"),
         F.when(F.size("types") > 0, F.array_join("types", ",")).otherwise(F.lit("-")).alias("types"))
+
+
+def recon_panel_active(events: DataFrame) -> DataFrame:
+    """per series, whether any event carries a sequence-model score (> 0)."""
+    return events.groupBy("series").agg(F.bool_or(F.col("lstm_score") > 0).alias("active"))
