@@ -134,3 +134,16 @@ def test_latch_across_long_flat_runs(spark, block):
     prices = [100, 101] * 70 + [150] * 3 + [150] * 400 + [200, 150, 100, 100.5] + [100] * 250 + [300, 100]
     rows = [(i, p) for i, p in enumerate(prices)]
     _compare(spark, rows, RuleParams(), Layout(block_rows=block, bucket_rows=37))
+
+
+def test_numbering_splits_bursts(spark):
+    """A burst (most rows inside one coarse bucket) is cut into slices; rn stays dense and ordered."""
+    import datetime as dt
+    from tickwatch.operators.blocks import number_rows
+    rows = [("s", dt.datetime(2024, 1, 1) + dt.timedelta(days=d), i, 1.0) for i, d in enumerate(range(30))]
+    rows += [("s", dt.datetime(2024, 1, 15, 12) + dt.timedelta(microseconds=7 * k), 100 + k, 2.0) for k in range(500)]
+    df = spark.createDataFrame(rows, "series string, ts timestamp_ntz, seq long, price double") \
+        .withColumn("t_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    n = number_rows(df, Layout(bucket_rows=20)).select("t_us", "seq", "rn").collect()
+    got = sorted((r["t_us"], r["seq"], r["rn"]) for r in n)
+    assert [r[2] for r in got] == list(range(1, len(rows) + 1))

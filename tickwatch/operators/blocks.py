@@ -4,10 +4,11 @@ A series is one logical ordered sequence, but a single series may hold a large
 share of all rows, so no window here is ever partitioned by ``series`` alone:
 
 1. ``number_rows``: rows are grouped into coarse time buckets whose width comes
-   from a scalar subquery (span * bucket_rows / rows), counted per
-   ``(series, bucket)``, prefix-summed over that small table, and numbered with
-   ``row_number`` inside each ``(series, bucket)``.  Result: a dense 1-based
-   ``rn`` per series in ``(t_us, seq)`` order.
+   from a scalar subquery (span * bucket_rows / rows); a bucket holding more
+   than ``bucket_rows`` rows (a burst) is cut again into equal time slices; the
+   slices are counted, prefix-summed over that small table, and numbered with
+   ``row_number`` inside each slice.  Result: a dense 1-based ``rn`` per series
+   in ``(t_us, seq)`` order.
 2. ``to_blocks``: rows are cut into blocks of exactly ``B`` rows by ``rn``; each
    row is also copied (``own = false``) into the following block(s) when it is
    among the ``halo`` rows preceding that block's first row.  A window with a
@@ -47,8 +48,17 @@ def number_rows(ticks: DataFrame, layout: Layout = Layout(), base: DataFrame | N
     """
     width = _bucket_width(stats_from if stats_from is not None else ticks, layout.bucket_rows)
     keyed = ticks.withColumn("_bkt", F.floor(F.col("t_us") / width).cast("long"))
-    counts = keyed.groupBy("series", "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy("series").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    # level 2: a bucket holding more than bucket_rows rows (a burst) is cut into
+    # ceil(count / bucket_rows) equal time slices, so no numbering window is hot
+    c1 = keyed.groupBy("series", "_bkt").agg(F.count(F.lit(1)).alias("_c1"))
+    split = c1.select("series", "_bkt", F.ceil(F.col("_c1") / F.lit(float(layout.bucket_rows)))
+                      .cast("long").alias("_f")).where(F.col("_f") > 1)
+    keyed = keyed.join(split, ["series", "_bkt"], "left")
+    frac = (F.col("t_us") - F.col("_bkt") * width) / width
+    keyed = keyed.withColumn("_sub", F.when(F.col("_f").isNull(), F.lit(0)).otherwise(
+        F.least(F.greatest(F.floor(frac * F.col("_f")), F.lit(0)), F.col("_f") - 1)).cast("long")).drop("_f")
+    counts = keyed.groupBy("series", "_bkt", "_sub").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy("series").orderBy("_bkt", "_sub").rowsBetween(Window.unboundedPreceding, -1)
     if layout.block_rows:
         brows = F.lit(int(layout.block_rows)).cast("long")
     else:
@@ -56,15 +66,17 @@ def number_rows(ticks: DataFrame, layout: Layout = Layout(), base: DataFrame | N
         total = F.sum("_cnt").over(Window.partitionBy())  # one row per bucket: small
         brows = F.least(F.greatest(F.ceil(total / F.lit(max(1, par * layout.blocks_per_core))),
                                    F.lit(layout.min_block_rows)), F.lit(layout.max_block_rows)).cast("long")
-    offsets = counts.select("series", "_bkt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+    offsets = counts.select("series", "_bkt", "_sub",
+                            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
                             brows.alias("_B"), F.sum("_cnt").over(Window.partitionBy("series")).alias("_n"))
     if base is not None:
         offsets = offsets.join(base.select("series", F.col("rn0").alias("_rn0")), "series", "left") \
-            .select("series", "_bkt", (F.col("_off") + F.coalesce("_rn0", F.lit(0))).alias("_off"), "_B", "_n")
-    inner = Window.partitionBy("series", "_bkt").orderBy("t_us", "seq")
-    return (keyed.join(offsets, ["series", "_bkt"])
+            .select("series", "_bkt", "_sub", (F.col("_off") + F.coalesce("_rn0", F.lit(0))).alias("_off"),
+                    "_B", "_n")
+    inner = Window.partitionBy("series", "_bkt", "_sub").orderBy("t_us", "seq")
+    return (keyed.join(offsets, ["series", "_bkt", "_sub"])
             .withColumn("rn", (F.col("_off") + F.row_number().over(inner)).cast("long"))
-            .drop("_bkt", "_off"))
+            .drop("_bkt", "_sub", "_off"))
 
 
 def to_blocks(numbered: DataFrame, halo: int, block_rows: Column | None = None) -> DataFrame:

@@ -188,11 +188,12 @@ class StreamDetector:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        # the batch feeds several scans (bucket width, counts, rows): read the source once
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         if batch.isEmpty():  # X7: nothing to do; the next batch reads the latest committed state
+            batch.unpersist()
             return
         prev_rows, prev_latch = self._read_state(spark, batch_id)
-        # the batch feeds several scans (bucket width, counts, rows): read the source once
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         cur = self.detect_batch(batch, prev_rows, prev_latch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             events = detect.event_record(cur, types="types", if_score="if_score", lstm_score="lstm_score")
