@@ -13,8 +13,8 @@ from tickwatch.sources import decode
 def test_raw_messages(spark):
     msgs = [
         '{"event":"heartbeat"}',
-        '[1,[["5541.2","0.15","1534614057.321597","s","l",""],["5541.3","0.10","1534614058.0","b","m",""]],"trade","XBT/USD"]',
-        '[1,[["5541.2"]],"spread","XBT/USD"]',
+        '[1,[["5541.2","0.15","1534614057.321597","s","l",""],["5541.3","0.10","1534614058.0","b","m",""]],"trade","ABC/USD"]',
+        '[1,[["5541.2"]],"spread","ABC/USD"]',
         '[1,[]]',
         'not json',
     ]
@@ -22,7 +22,7 @@ def test_raw_messages(spark):
     out = decode.decode_trades(df).orderBy("id", "pos").collect()
     assert [(r["id"], r["pos"]) for r in out] == [(1, 0), (1, 1)]
     assert out[0]["ts_iso"] == "2018-08-18T17:40:57.321597+00:00"
-    assert out[0]["price"] == 5541.2 and out[0]["pair"] == "XBT/USD"
+    assert out[0]["price"] == 5541.2 and out[0]["pair"] == "ABC/USD"
 
 
 def test_tick_payloads(spark):
@@ -49,10 +49,10 @@ def test_encode_round_trip(spark):
 
 
 def test_ohlc(spark):
-    body = ('{"error": [], "result": {"XXBTZUSD": [[1700000000, "1", "2", "0.5", "1.5", "1.2", "3", 7],'
+    body = ('{"error": [], "result": {"ABCUSD": [[1700000000, "1", "2", "0.5", "1.5", "1.2", "3", 7],'
             ' [1700000060, "1.5", "2", "1", "1.75", "1.6", "2", 4]], "last": 1700000060}}')
     out = decode.decode_ohlc(spark.createDataFrame([(body,)], "body string")).orderBy("ts").collect()
-    assert [(r["pair"], r["close"]) for r in out] == [("XXBTZUSD", 1.5), ("XXBTZUSD", 1.75)]
+    assert [(r["pair"], r["close"]) for r in out] == [("ABCUSD", 1.5), ("ABCUSD", 1.75)]
     assert out[0]["ts"] == dt.datetime(2023, 11, 14, 22, 13, 20)
 
 
