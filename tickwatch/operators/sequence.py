@@ -79,27 +79,40 @@ def error_udf(mean: np.ndarray, components: np.ndarray):
     return recon_error
 
 
-def fit_sequence_model(seq_frame: DataFrame, scaler: DataFrame, k: int = 8,
+def fit_sequence_model(seq_frame: DataFrame, scaler: DataFrame | None = None, k: int = 8,
                        seq_len: int = C.SEQ_LEN) -> SequenceModel:
-    """M7 + M8: fit PCA on training windows (rows with ``seq_prices`` except each
-    series' last row) and the base threshold mean + 3 sigma of training errors.
-
-    ``seq_frame``: own rows with ``series, rn, seq_prices`` (see ``stats.price_sequences``)."""
-    lengths = seq_frame.groupBy("series").agg(F.max("rn").alias("_len"))
-    train = (seq_frame.where(F.col("seq_prices").isNotNull()).join(lengths, "series")
-             .where(F.col("rn") < F.col("_len")).join(scaler, "series")
-             .select(_scaled().alias("x")).withColumn("v", array_to_vector("x")))
-    # fitting runs several passes (column summary, covariance, mean, errors): keep the
-    # training windows for the duration of the fit only, as MLlib estimators do
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    """M6 + M7 + M8: per-series scaler, PCA on the training windows (rows with
+    ``seq_prices`` except each series' last row) and the base threshold
+    mean + 3 sigma of training errors.
+
+    ``seq_frame``: own rows with ``series, rn, price, seq_prices`` (see
+    ``stats.price_sequences``).  The fit is eager, like an MLlib estimator: the
+    history is kept only while fitting, and the (one row per series) scaler is
+    checkpointed to the shared checkpoint folder so scoring plans do not
+    recompute the history."""
+    from tickwatch.session import checkpoint_dir
+    checkpoint_dir(seq_frame.sparkSession)
+    hist = seq_frame.select("series", "rn", "price", "seq_prices").persist(StorageLevel.MEMORY_AND_DISK)
+    train = None
     try:
+        if scaler is None:
+            scaler = sequence_scaler(hist.select("series", "rn", "price"), seq_len)
+        scaler = scaler.checkpoint()
+        lengths = hist.groupBy("series").agg(F.max("rn").alias("_len"))
+        train = (hist.where(F.col("seq_prices").isNotNull()).join(lengths, "series")
+                 .where(F.col("rn") < F.col("_len")).join(scaler, "series")
+                 .select(_scaled().alias("x")).withColumn("v", array_to_vector("x")))
+        # fitting runs several passes (covariance, mean, errors): keep the windows meanwhile
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
         pca = PCA(k=k, inputCol="v", outputCol="p").fit(train.select("v"))
         mean = np.asarray(train.select(Summarizer.mean(F.col("v")).alias("m")).first()["m"].toArray())
         comps = np.asarray(pca.pc.toArray())
         errs = train.select(error_udf(mean, comps)(F.col("x")).alias("e"))
         st = errs.agg(F.avg("e").alias("m"), F.stddev_pop("e").alias("s")).first()
     finally:
-        train.unpersist()
+        if train is not None:
+            train.unpersist()
+        hist.unpersist()
     base = float(st["m"] + C.BASE_K * st["s"])
     return SequenceModel(mean, comps, base, scaler)
 

@@ -111,9 +111,8 @@ def full_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layo
     sequence model (``seq_err``, ``threshold``, ``ratio``, ``err_flag``).
 
     The sequence model is trained on ``history`` (default: the same ticks)."""
-    from tickwatch.operators.blocks import number_rows
     from tickwatch.operators.iforest import walk_forward
-    from tickwatch.operators.sequence import fit_sequence_model, score_sequences, sequence_scaler
+    from tickwatch.operators.sequence import fit_sequence_model, score_sequences
 
     seq_on = sequence_k is not None
     fr = rule_frame(ticks, params, layout, features="online" if iforest else None,
@@ -121,8 +120,7 @@ def full_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layo
     if seq_on:
         hist = history if history is not None else ticks
         hist_frame = stats.price_sequences(blocked(hist, layout, C.SEQ_LEN)).where(F.col("own"))
-        scaler = sequence_scaler(number_rows(hist, layout))
-        model = fit_sequence_model(hist_frame.select("series", "rn", "seq_prices"), scaler, sequence_k)
+        model = fit_sequence_model(hist_frame, k=sequence_k)
         fr = score_sequences(fr, model)
         fr = stats.dynamic_threshold(fr, "seq_err", F.lit(model.base_threshold)).where(F.col("own"))
     else:
