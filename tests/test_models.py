@@ -132,3 +132,14 @@ def test_pretrained_fallback_for_series_without_model(spark):
         F.min(F.when(F.col("if_ready"), F.col("rn"))).alias("first")).collect()}
     assert g["click"]["first"] == C.IF_WARMUP + C.IF_WINDOW - 1
     assert all(g[s]["first"] == 1 for s in g if s != "click")
+
+
+def test_walk_forward_independent_of_partitioning(spark):
+    """Same seed, same rows -> same scores whatever the block size / shuffle layout."""
+    from tickwatch.plans import detect
+    from tickwatch.schema import EVENTS_PARAMS, Layout, events_ticks
+    t = events_ticks(spark, "/root/testdata/sf0.01")
+    a = detect.iforest_frame(t, EVENTS_PARAMS, Layout(block_rows=4096)).select("series", "seq", "if_score")
+    b = detect.iforest_frame(t.repartition(3), EVENTS_PARAMS, Layout(block_rows=700, bucket_rows=333)) \
+        .select("series", "seq", "if_score")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

@@ -156,3 +156,37 @@ def test_minute_counts_stream(spark, tmpdir_path):
     # append mode emits only minutes closed by the watermark: never more than all ticks
     total = events_ticks(spark, SF).count()
     assert 0 < got <= total
+
+
+def test_stream_equals_batch_with_sequence_model(spark, tmpdir_path):
+    """Sequence model in a stream: errors, adaptive threshold and flags equal the batch plan
+    (context rows give the 60-price windows and the last 300 errors)."""
+    sf = "/root/testdata/sf0.01"
+    model = detect.fit_sequence(events_ticks(spark, sf), Layout(), 4)
+    t = events_ticks(spark, sf).select("series", "ts", "seq", "price").toPandas()
+    t = t.sort_values(["ts", "seq"]).reset_index(drop=True)
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    base = time.time() - 1000
+    for i, part in enumerate([t.iloc[:3000], t.iloc[3000:6500], t.iloc[6500:]]):
+        p = os.path.join(src, f"part-{i}.parquet")
+        part.sample(frac=1.0, random_state=i).to_parquet(p, index=False, coerce_timestamps="us")
+        os.utime(p, (base + i, base + i))
+    out = os.path.join(tmpdir_path, "events")
+    det = StreamDetector(events_path=out, state_path=os.path.join(tmpdir_path, "state"), params=EVENTS_PARAMS,
+                         layout=Layout(block_rows=1000), sequence_model=model)
+    q = det.start(parquet_file_ticks(spark, src, 1), checkpoint=os.path.join(tmpdir_path, "ckpt"),
+                  available_now=True)
+    q.awaitTermination(900)
+    assert q.exception() is None
+    got = read_events(spark, out).select("series", "price", "lstm_score", F.array_join("types", ",").alias("t"))
+    fr = detect.full_frame(events_ticks(spark, sf), EVENTS_PARAMS, Layout(block_rows=1000), iforest=False,
+                           sequence_model=model)
+    from tickwatch.operators.rules import fired_types
+    fr = fr.withColumn("types", F.concat("rule_types", fired_types([("lstm_anomaly", F.coalesce("err_flag", F.lit(False)))]))) \
+        .withColumn("lstm_score", F.coalesce("ratio", F.lit(0.0)))
+    exp = detect.event_record(fr, types="types", lstm_score="lstm_score").select(
+        "series", "price", "lstm_score", F.array_join("types", ",").alias("t"))
+    a, b = sorted(map(tuple, got.collect())), sorted(map(tuple, exp.collect()))
+    assert len(a) == len(b) and any("lstm_anomaly" in r[3] for r in b)
+    assert a == b

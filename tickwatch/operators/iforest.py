@@ -92,7 +92,8 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
     roles = F.concat(score_role,
                      F.transform(train_epochs, lambda e: F.struct(e.alias("_epoch"), F.lit(False).alias("_scoring"))))
     x = frame.withColumn("_role", F.explode(roles)).select(
-        *[F.when(F.col("_role._scoring") | F.lit(c in FEATURES or c == "series"), F.col(c)).alias(c) for c in carry],
+        *[F.when(F.col("_role._scoring") | F.lit(c in FEATURES or c in ("series", "rn")), F.col(c)).alias(c)
+          for c in carry],
         F.col("_role._epoch").alias("_epoch"), F.col("_role._scoring").alias("_scoring"))
     out_schema = T.StructType(out_fields + [
         T.StructField("if_score", T.DoubleType()), T.StructField("if_flag", T.BooleanType()),
@@ -101,6 +102,8 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
     def fit_score(pdf: pd.DataFrame, model: pd.DataFrame | None = None) -> pd.DataFrame:
         if len(pdf) == 0:
             return pd.DataFrame({c: [] for c in carry + ["if_score", "if_flag", "if_ready"]})
+        # shuffles deliver a group's rows in any order: fix it so a recomputed task grows the same trees
+        pdf = pdf.sort_values(["_scoring", "rn"], kind="stable").reset_index(drop=True)
         scoring = pdf[pdf["_scoring"]]
         out = scoring[carry].copy()
         epoch = int(pdf["_epoch"].iloc[0])
@@ -220,6 +223,7 @@ def fit_static(features: DataFrame, n_trees: int = C.IF_TREES, subsample: int =
     picked = ranked.where(F.col("_k") <= subsample).drop("_k", "_h")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq", kind="stable")
         X = pdf[cols].to_numpy(dtype=np.float64)
         series, tree = pdf["series"].iloc[0], int(pdf["tree"].iloc[0])
         m = X.shape[0]

@@ -104,23 +104,28 @@ def iforest_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: L
     return walk_forward(fr.select(*keep), contamination)
 
 
+def fit_sequence(history: DataFrame, layout: Layout = Layout(), k: int = 8):
+    """Fit the sequence model (M6-M8) on a tick history."""
+    from tickwatch.operators.sequence import fit_sequence_model
+    hist_frame = stats.price_sequences(blocked(history, layout, C.SEQ_LEN)).where(F.col("own"))
+    return fit_sequence_model(hist_frame, k=k)
+
+
 def full_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layout = Layout(),
                iforest: bool = True, sequence_k: int | None = 8, history: DataFrame | None = None,
-               contamination: float = C.IF_CONTAMINATION_ONLINE) -> DataFrame:
+               contamination: float = C.IF_CONTAMINATION_ONLINE, sequence_model=None) -> DataFrame:
     """Every tick with all detector outputs: rules, walk-forward forest (``if_*``) and the
     sequence model (``seq_err``, ``threshold``, ``ratio``, ``err_flag``).
 
     The sequence model is trained on ``history`` (default: the same ticks)."""
     from tickwatch.operators.iforest import walk_forward
-    from tickwatch.operators.sequence import fit_sequence_model, score_sequences
+    from tickwatch.operators.sequence import score_sequences
 
-    seq_on = sequence_k is not None
+    seq_on = sequence_k is not None or sequence_model is not None
     fr = rule_frame(ticks, params, layout, features="online" if iforest else None,
                     sequences=seq_on, own_only=not seq_on)
     if seq_on:
-        hist = history if history is not None else ticks
-        hist_frame = stats.price_sequences(blocked(hist, layout, C.SEQ_LEN)).where(F.col("own"))
-        model = fit_sequence_model(hist_frame, k=sequence_k)
+        model = sequence_model or fit_sequence(history if history is not None else ticks, layout, sequence_k)
         fr = score_sequences(fr, model)
         fr = stats.dynamic_threshold(fr, "seq_err", F.lit(model.base_threshold)).where(F.col("own"))
     else:
