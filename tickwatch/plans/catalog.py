@@ -287,9 +287,11 @@ SELECT series, CAST(ticks AS BIGINT) AS ticks, CAST(anomalies AS BIGINT) AS anom
 FROM j""")
 def session_kpis(spark, sf_dir):
     """Per-series KPIs over the whole series."""
+    from tickwatch.functions.severity import top_severity
     from tickwatch.plans.report import session_kpis as sk
-    fr, ev = _frame_and_events(spark, sf_dir)
-    return sk(detect.feed_frame(fr), ev)
+    fr = _events_rules(spark, sf_dir)
+    feed = detect.feed_frame(fr.withColumn("severity", top_severity(F.col("rule_types"))), extra=["severity"])
+    return sk(feed)
 
 
 @register("latest_delta", f"""{EVF},

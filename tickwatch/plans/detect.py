@@ -82,7 +82,7 @@ def rule_events(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Lay
 
 
 def feed_frame(frame: DataFrame, types: str = "rule_types", if_score: str | None = None,
-               if_ready: str | None = None) -> DataFrame:
+               if_ready: str | None = None, extra: list[str] | None = None) -> DataFrame:
     """Every tick with its anomaly flag, model score and model-ready flag.
 
     Without a model column, readiness follows the cold-start schedule: the first
@@ -91,7 +91,7 @@ def feed_frame(frame: DataFrame, types: str = "rule_types", if_score: str | None
     ready = F.col(if_ready) if if_ready else F.col("rn") >= F.lit(C.IF_WARMUP + C.IF_WINDOW - 1)
     return frame.select("series", "seq", "ts", "t_us", "rn", "price",
                         (F.col(if_score) if if_score else F.lit(0.0)).alias("if_score"),
-                        (F.size(types) > 0).alias("anomaly"), ready.alias("if_ready"))
+                        (F.size(types) > 0).alias("anomaly"), ready.alias("if_ready"), *(extra or []))
 
 
 def iforest_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layout = Layout(),

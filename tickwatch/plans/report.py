@@ -122,20 +122,29 @@ def rate_band(rate: Column) -> Column:
         .when(rate > C.RATE_NORMAL_HI, F.lit("high")).otherwise(F.lit("quiet"))
 
 
-def session_kpis(feed: DataFrame, events: DataFrame) -> DataFrame:
+def session_kpis(feed: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """A5-A7, A12, P18-P20 per series: the feed gives ticks / price range / span /
-    model readiness, the event table gives anomaly counts (same time range)."""
-    f = feed.groupBy("series").agg(
-        F.count(F.lit(1)).alias("ticks"),
-        F.max("price").alias("hi"), F.min("price").alias("lo"),
-        ((F.max("t_us") - F.min("t_us")) / F.lit(1e6)).alias("span_s"),
-        F.min("t_us").alias("_t0"), F.max("t_us").alias("_t1"),
-        F.max_by("if_ready", F.struct("t_us", "seq")).alias("if_ready"))
-    e = events.groupBy("series").agg(
-        F.count(F.lit(1)).alias("anomalies"),
-        F.count_if(F.col("severity") == "HIGH").alias("high"),
-        F.count_if(F.col("severity") == "MED").alias("med"))
-    j = f.join(e, "series", "left")
+    model readiness, the event table gives anomaly counts (same time range).
+
+    With ``events=None`` the feed itself carries ``anomaly`` and ``severity`` per
+    tick and everything is one aggregation (one pass over the detector plan)."""
+    feed_aggs = [F.count(F.lit(1)).alias("ticks"),
+                 F.max("price").alias("hi"), F.min("price").alias("lo"),
+                 ((F.max("t_us") - F.min("t_us")) / F.lit(1e6)).alias("span_s"),
+                 F.max_by("if_ready", F.struct("t_us", "seq")).alias("if_ready")]
+    if events is None:
+        anom = F.col("anomaly")
+        j = feed.groupBy("series").agg(
+            *feed_aggs, F.count_if(anom).alias("anomalies"),
+            F.count_if(anom & (F.col("severity") == "HIGH")).alias("high"),
+            F.count_if(anom & (F.col("severity") == "MED")).alias("med"))
+    else:
+        f = feed.groupBy("series").agg(*feed_aggs)
+        e = events.groupBy("series").agg(
+            F.count(F.lit(1)).alias("anomalies"),
+            F.count_if(F.col("severity") == "HIGH").alias("high"),
+            F.count_if(F.col("severity") == "MED").alias("med"))
+        j = f.join(e, "series", "left")
     rate = F.coalesce(F.col("anomalies"), F.lit(0)).cast("double") / F.greatest(F.col("ticks"), F.lit(1)) * 100.0
     pad = F.greatest((F.col("hi") - F.col("lo")) * F.lit(C.CHART_PAD_FRACTION), F.lit(C.CHART_PAD_MIN))
     return j.select(
