@@ -22,11 +22,14 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = False
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
@@ -77,4 +80,6 @@ if __name__ == "__main__":
     from tickwatch.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 8)
+    import os
+    EXACT = os.environ.get("EXACT") == "1"
     compare(spark, sf, sys.argv[2:] or None)
