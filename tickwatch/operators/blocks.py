@@ -62,7 +62,8 @@ def number_rows(ticks: DataFrame, layout: Layout = Layout(), base: DataFrame | N
     if layout.block_rows:
         brows = F.lit(int(layout.block_rows)).cast("long")
     else:
-        par = parallelism or ticks.sparkSession.sparkContext.defaultParallelism
+        from tickwatch.session import default_parallelism
+        par = parallelism or default_parallelism(ticks.sparkSession)
         total = F.sum("_cnt").over(Window.partitionBy())  # one row per bucket: small
         brows = F.least(F.greatest(F.ceil(total / F.lit(max(1, par * layout.blocks_per_core))),
                                    F.lit(layout.min_block_rows)), F.lit(layout.max_block_rows)).cast("long")

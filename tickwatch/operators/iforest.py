@@ -181,7 +181,8 @@ def train_static(features: DataFrame, contamination: float = C.IF_CONTAMINATION_
 
 def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
     spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    from tickwatch.session import default_parallelism
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * default_parallelism(spark))
     return df.repartition(n, *keys)
 
 

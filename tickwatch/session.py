@@ -15,6 +15,18 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores available to the session (falls back to configuration where no SparkContext is exposed)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # e.g. a remote (Connect) session
+        for key in ("spark.default.parallelism", "spark.sql.shuffle.partitions"):
+            v = spark.conf.get(key, None)
+            if v:
+                return int(v)
+        return 8
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
