@@ -2,7 +2,6 @@
 against the sequential replay, plus the small cases of FIXTURES.md."""
 
 import datetime as dt
-import math
 
 import pytest
 from hypothesis import HealthCheck, given, settings

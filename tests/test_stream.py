@@ -5,7 +5,6 @@ restart from the checkpoint neither loses nor duplicates rows."""
 import os
 import time
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from tickwatch.plans import detect
