@@ -110,3 +110,16 @@ def test_nice_step(spark):
     df = spark.createDataFrame([(0.0, 1.0), (-3.0, 5.0), (0.0, 0.37)], "lo double, hi double")
     got = [r[0] for r in df.select(report.nice_step(F.col("lo"), F.col("hi"))).collect()]
     assert got == pytest.approx([0.05, 0.2, 0.01])
+
+
+def test_sql_views(spark):
+    from tickwatch.plans.report import severity_counts
+    from tickwatch.plans.views import register_views
+    from tickwatch.schema import EVENTS_PARAMS, events_ticks
+    v = register_views(spark, events_ticks(spark, "/root/testdata/sf0.001"), EVENTS_PARAMS)
+    got = {(r[0], r[1], r[2]) for r in spark.sql(
+        "SELECT series, severity, count(*) FROM tw_anomalies GROUP BY series, severity").collect()}
+    exp = {(r["series"], r["severity"], r["count"]) for r in severity_counts(v["anomalies"]).collect() if r["count"]}
+    assert got == exp
+    n = spark.sql("SELECT count(*) FROM tw_ticks WHERE size(types) > 0").first()[0]
+    assert n == spark.sql("SELECT count(*) FROM tw_anomalies").first()[0]
