@@ -189,3 +189,38 @@ def test_stream_equals_batch_with_sequence_model(spark, tmpdir_path):
     a, b = sorted(map(tuple, got.collect())), sorted(map(tuple, exp.collect()))
     assert len(a) == len(b) and any("lstm_anomaly" in r[3] for r in b)
     assert a == b
+
+
+def test_stream_equals_batch_with_pretrained_forest(spark, tmpdir_path):
+    from tickwatch.operators.iforest import train_static, walk_forward
+    from tickwatch.operators.stats import FEATURES, if_features
+    sf = "/root/testdata/sf0.01"
+    b = detect.blocked(events_ticks(spark, sf), Layout(), 21)
+    model = train_static(if_features(b, training=True).where(F.col("own") & F.col("f_price").isNotNull()),
+                         n_trees=20)
+    t = events_ticks(spark, sf).select("series", "ts", "seq", "price").toPandas()
+    t = t.sort_values(["ts", "seq"]).reset_index(drop=True)
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    base = time.time() - 1000
+    for i, part in enumerate([t.iloc[:1200], t.iloc[1200:5000], t.iloc[5000:]]):
+        p = os.path.join(src, f"part-{i}.parquet")
+        part.sample(frac=1.0, random_state=i).to_parquet(p, index=False, coerce_timestamps="us")
+        os.utime(p, (base + i, base + i))
+    out = os.path.join(tmpdir_path, "events")
+    det = StreamDetector(events_path=out, state_path=os.path.join(tmpdir_path, "state"), params=EVENTS_PARAMS,
+                         layout=Layout(block_rows=1000), iforest=True, iforest_model=model)
+    q = det.start(parquet_file_ticks(spark, src, 1), checkpoint=os.path.join(tmpdir_path, "ckpt"),
+                  available_now=True)
+    q.awaitTermination(900)
+    assert q.exception() is None
+    got = read_events(spark, out).select("series", "price", "if_score", F.array_join("types", ",").alias("t"))
+    fr = detect.rule_frame(events_ticks(spark, sf), EVENTS_PARAMS, Layout(block_rows=1000), features="online")
+    keep = ["series", "seq", "ts", "t_us", "rn", "price", "pct_change", "abs_change", "rule_types", *FEATURES]
+    bw = walk_forward(fr.select(*keep), pretrained=model)
+    from tickwatch.operators.rules import fired_types
+    bw = bw.withColumn("types", F.concat("rule_types", fired_types([("iforest_anomaly", F.col("if_flag"))])))
+    exp = detect.event_record(bw, types="types", if_score="if_score").select(
+        "series", "price", "if_score", F.array_join("types", ",").alias("t"))
+    a, e = sorted(map(tuple, got.collect())), sorted(map(tuple, exp.collect()))
+    assert a == e and any("iforest_anomaly" in r[3] for r in e)

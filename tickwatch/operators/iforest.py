@@ -100,8 +100,8 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
         T.StructField("if_ready", T.BooleanType())])
 
     def fit_score(pdf: pd.DataFrame, model: pd.DataFrame | None = None) -> pd.DataFrame:
-        if len(pdf) == 0:
-            return pd.DataFrame({c: [] for c in carry + ["if_score", "if_flag", "if_ready"]})
+        if len(pdf) == 0:  # a model-only cogroup group: nothing to score
+            return pd.DataFrame({c: pd.Series([], dtype=object) for c in carry + ["if_score", "if_flag", "if_ready"]})
         # shuffles deliver a group's rows in any order: fix it so a recomputed task grows the same trees
         pdf = pdf.sort_values(["_scoring", "rn"], kind="stable").reset_index(drop=True)
         scoring = pdf[pdf["_scoring"]]

@@ -99,6 +99,7 @@ class StreamDetector:
     params: RuleParams = field(default_factory=RuleParams)
     layout: Layout = field(default_factory=Layout)
     iforest: bool = False
+    iforest_model: DataFrame | None = None  # from operators.iforest.train_static: pre-trained schedule
     sequence_model: object | None = None  # operators.sequence.SequenceModel
     late: str = "as_arrived"
     feed_rows: int = C.MAX_PRICE_HISTORY
@@ -177,7 +178,8 @@ class StreamDetector:
         if self.iforest:
             from tickwatch.operators.iforest import walk_forward
             fr = fr.withColumn("_new", ~F.col("ctx"))
-            out = walk_forward(fr.select(*keep, *stats.FEATURES, "_new"), score_rows="_new").drop("_new")
+            out = walk_forward(fr.select(*keep, *stats.FEATURES, "_new"), score_rows="_new",
+                               pretrained=self.iforest_model).drop("_new")
         else:
             out = fr.where(~F.col("ctx")).select(*keep).withColumn("if_score", F.lit(0.0)) \
                 .withColumn("if_flag", F.lit(False)) \
