@@ -224,3 +224,15 @@ def test_stream_equals_batch_with_pretrained_forest(spark, tmpdir_path):
         "series", "price", "if_score", F.array_join("types", ",").alias("t"))
     a, e = sorted(map(tuple, got.collect())), sorted(map(tuple, exp.collect()))
     assert a == e and any("iforest_anomaly" in r[3] for r in e)
+
+
+def test_state_versions_are_pruned(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "src")
+    _write_chunks(spark, src, 6)
+    state = os.path.join(tmpdir_path, "state")
+    det = StreamDetector(events_path=os.path.join(tmpdir_path, "events"), state_path=state, params=EVENTS_PARAMS,
+                         layout=Layout(block_rows=64), retain_versions=2)
+    q = det.start(parquet_file_ticks(spark, src, 1), checkpoint=os.path.join(tmpdir_path, "ckpt"), available_now=True)
+    q.awaitTermination(600)
+    assert sorted(os.listdir(state)) == ["v=3", "v=4", "v=5"]
+    assert _stream_events(spark, os.path.join(tmpdir_path, "events")) == _batch_events(spark)

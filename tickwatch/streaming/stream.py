@@ -103,6 +103,7 @@ class StreamDetector:
     sequence_model: object | None = None  # operators.sequence.SequenceModel
     late: str = "as_arrived"
     feed_rows: int = C.MAX_PRICE_HISTORY
+    retain_versions: int | None = 100  # like spark.sql.streaming.minBatchesToRetain; None keeps all
 
     def tail_rows(self) -> int:
         k = detect.needed_halo(self.sequence_model is not None)
@@ -145,6 +146,18 @@ class StreamDetector:
         rows.write.mode("overwrite").parquet(f"{root}/rows")
         latch.write.mode("overwrite").parquet(f"{root}/latch")
         spark.createDataFrame([(batch_id,)], "v long").write.mode("overwrite").parquet(f"{root}/_COMMITTED")
+        if self.retain_versions:
+            self._prune(spark, batch_id - self.retain_versions)
+
+    def _prune(self, spark: SparkSession, below: int) -> None:
+        """Drop this detector's own state versions older than ``below`` (committed newer ones remain)."""
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self._state_root(spark))
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for st in fs.listStatus(path):
+            name = st.getPath().getName()
+            if name.startswith("v=") and int(name[2:]) < below:
+                fs.delete(st.getPath(), True)
 
     # -- one micro-batch ---------------------------------------------------------------
     def detect_batch(self, ticks: DataFrame, prev_rows: DataFrame, prev_latch: DataFrame) -> DataFrame:
