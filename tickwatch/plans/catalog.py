@@ -116,11 +116,6 @@ def _events(spark, sf_dir):
     return detect.event_record(_events_rules(spark, sf_dir), types="rule_types")
 
 
-def _frame_and_events(spark, sf_dir):
-    fr = _events_rules(spark, sf_dir)
-    return fr, detect.event_record(fr, types="rule_types")
-
-
 EV = f"WITH {Q.rule_events_cte()}"
 EVF = f"WITH {Q.rule_events_cte()}, {Q.feed_cte()}"
 
@@ -221,8 +216,10 @@ GROUP BY ev.series""")
 def anomalies_in_window(spark, sf_dir):
     """Anomalies at or after the first tick of the 500-tick feed, per series."""
     from tickwatch.plans.report import anomalies_in_window as aiw, last_n
-    fr, ev = _frame_and_events(spark, sf_dir)
-    return aiw(ev, last_n(detect.feed_frame(fr), C.MAX_PRICE_HISTORY))
+    # the feed's first tick depends only on tick order: take it from the ticks
+    # (scan + partial top-k), so the rule plan runs once
+    feed = last_n(events_ticks(spark, sf_dir).select("series", "t_us", "seq"), C.MAX_PRICE_HISTORY)
+    return aiw(_events(spark, sf_dir), feed)
 
 
 @register("severity_counts", f"""{EV},
