@@ -2,7 +2,8 @@
 
 Each micro-batch runs the *same* Spark plan as the batch path.  Per-series
 context lives in a small state table (last K rows, latch, last row number)
-versioned by batch id under the shared checkpoint folder, so:
+versioned by batch id under the shared checkpoint folder (the per-series last
+row number and last time are derived from the tail rows), so:
 
 * a replayed batch (after a failure) reads version ``id - 1`` again and
   overwrites version ``id`` and its outputs: no duplicates (X6, X8);
@@ -43,9 +44,6 @@ STATE_ROWS = T.StructType([
     T.StructField("price", T.DoubleType()), T.StructField("rn", T.LongType()),
     T.StructField("if_score", T.DoubleType()), T.StructField("anomaly", T.BooleanType()),
     T.StructField("if_ready", T.BooleanType())])
-STATE_LATCH = T.StructType([
-    T.StructField("series", T.StringType()), T.StructField("mr_state", T.BooleanType()),
-    T.StructField("last_rn", T.LongType()), T.StructField("last_t", T.LongType())])
 
 
 # ----------------------------------------------------------------------------- sources
@@ -127,25 +125,27 @@ class StreamDetector:
         best = None
         for st in fs.listStatus(path):
             name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_COMMITTED")):
+            # a version counts once its rows were committed (the writer's _SUCCESS marker)
+            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "rows/_SUCCESS")):
                 v = int(name[2:])
                 if v < below and (best is None or v > best):
                     best = v
         return best
 
     def _read_state(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame, DataFrame]:
+        """Tail rows of the latest committed version before ``batch_id`` and, derived from them,
+        the per-series last row number and last time."""
         v = self._latest_version(spark, batch_id)
         if v is None:
-            return spark.createDataFrame([], STATE_ROWS), spark.createDataFrame([], STATE_LATCH)
-        root = f"{self._state_root(spark)}/v={v}"
-        return (spark.read.schema(STATE_ROWS).parquet(f"{root}/rows"),
-                spark.read.schema(STATE_LATCH).parquet(f"{root}/latch"))
+            rows = spark.createDataFrame([], STATE_ROWS)
+        else:
+            rows = spark.read.schema(STATE_ROWS).parquet(f"{self._state_root(spark)}/v={v}/rows")
+        latch = rows.groupBy("series").agg(F.max("rn").alias("last_rn"), F.max("t_us").alias("last_t"))
+        return rows, latch
 
-    def _write_state(self, spark: SparkSession, batch_id: int, rows: DataFrame, latch: DataFrame) -> None:
+    def _write_state(self, spark: SparkSession, batch_id: int, rows: DataFrame) -> None:
         root = f"{self._state_root(spark)}/v={batch_id}"
         rows.write.mode("overwrite").parquet(f"{root}/rows")
-        latch.write.mode("overwrite").parquet(f"{root}/latch")
-        spark.createDataFrame([(batch_id,)], "v long").write.mode("overwrite").parquet(f"{root}/_COMMITTED")
         if self.retain_versions:
             self._prune(spark, batch_id - self.retain_versions)
 
@@ -217,13 +217,7 @@ class StreamDetector:
             new_rows = cur.select("series", "ts", "t_us", "seq", "price", "rn", "if_score",
                                   (F.size("types") > 0).alias("anomaly"), "if_ready")
             rows = last_n(prev_rows.unionByName(new_rows), self.tail_rows()).drop("pos")
-            upd = cur.groupBy("series").agg(
-                F.max_by("mr_cond", F.when(F.col("mr_cond").isNotNull(), F.col("rn"))).alias("_m"),
-                F.max("rn").alias("_rn"), F.max("t_us").alias("_t"))
-            latch = prev_latch.join(upd, "series", "full_outer").select(
-                "series", F.coalesce("_m", "mr_state").alias("mr_state"),
-                F.greatest("_rn", "last_rn").alias("last_rn"), F.greatest("_t", "last_t").alias("last_t"))
-            self._write_state(spark, batch_id, rows, latch)
+            self._write_state(spark, batch_id, rows)
             if self.feed_path:
                 from tickwatch.sources.files import write_price_feed
                 st = spark.read.schema(STATE_ROWS).parquet(f"{self._state_root(spark)}/v={batch_id}/rows")
