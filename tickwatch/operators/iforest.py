@@ -165,18 +165,30 @@ def train_static(features: DataFrame, contamination: float = C.IF_CONTAMINATION_
     checkpointed to the shared checkpoint folder so it is computed once and can
     be saved/loaded as Parquet.  The cut is the (1 - contamination) quantile of
     the training scores (``percentile_approx``: bounded memory per series)."""
+    from pyspark import StorageLevel
     from tickwatch.session import checkpoint_dir
     checkpoint_dir(features.sparkSession)
-    stats = features.groupBy("series").agg(
-        F.array(*[F.avg(c) for c in FEATURES]).alias("mu"),
-        F.array(*[F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(F.lit(1.0)) for c in FEATURES]).alias("sd"))
-    scaled = standardize(features, list(FEATURES), ["series"])
-    nodes = fit_static(scaled, n_trees, subsample, seed).checkpoint()
     cols = ["s_" + c[2:] for c in FEATURES]
-    scores = score_static(scaled.select("series", "seq", *cols), nodes, subsample, rows_per_task)
-    cut = scores.groupBy("series").agg(
-        F.percentile_approx("if_score", 1.0 - contamination, 10000).alias("cut"))
-    return nodes.join(stats, "series").join(cut, "series")
+    # an eager fit (like an MLlib estimator): the feature rows are read several times
+    # (scaler, sizes, sampling, scoring), so keep them only while fitting
+    feats = features.select("series", "seq", *FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stats = feats.groupBy("series").agg(
+            F.array(*[F.avg(c) for c in FEATURES]).alias("mu"),
+            F.array(*[F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(F.lit(1.0)) for c in FEATURES])
+            .alias("sd"),
+            F.count(F.lit(1)).alias("_n")).checkpoint()
+        scaled = feats.join(stats, "series").select(
+            "series", "seq", *[((F.col(c) - F.col("mu")[i]) / F.col("sd")[i]).alias(o)
+                               for i, (c, o) in enumerate(zip(FEATURES, cols))])
+        nodes = fit_static(scaled, n_trees, subsample, seed, sizes=stats.select("series", "_n")).checkpoint()
+        scores = score_static(scaled, nodes, subsample, rows_per_task, sizes=stats.select("series", "_n"))
+        cut = scores.groupBy("series").agg(
+            F.percentile_approx("if_score", 1.0 - contamination, 10000).alias("cut"))
+        model = nodes.join(stats.drop("_n"), "series").join(cut, "series").checkpoint()
+    finally:
+        feats.unpersist()
+    return model
 
 
 def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -195,7 +207,7 @@ NODE_SCHEMA = T.StructType([
 
 
 def fit_static(features: DataFrame, n_trees: int = C.IF_TREES, subsample: int = C.IF_SUBSAMPLE,
-               seed: int = C.IF_SEED, oversample: float = 1.5) -> DataFrame:
+               seed: int = C.IF_SEED, oversample: float = 1.5, sizes: DataFrame | None = None) -> DataFrame:
     """M2 (static): one forest per series over all its scaled feature rows
     (columns ``s_price .. s_z``, see ``standardize``); returns the node table.
 
@@ -207,8 +219,9 @@ def fit_static(features: DataFrame, n_trees: int = C.IF_TREES, subsample: int =
     cols = ["s_" + c[2:] for c in FEATURES]
     c = oversample * subsample
     unit = float(1 << 30)
-    sizes = features.groupBy("series").agg(F.count(F.lit(1)).alias("_n"))
-    x = features.join(sizes, "series")
+    if sizes is None:  # rows per series; any close count works (it only sets sampling rates)
+        sizes = features.groupBy("series").agg(F.count(F.lit(1)).alias("_n"))
+    x = features.join(sizes.select("series", "_n"), "series")
     q = F.least(F.lit(1.0), F.lit(n_trees * c) / F.col("_n"))
     p = F.least(F.lit(1.0), F.lit(c) / (F.col("_n") * q))
 
@@ -240,7 +253,7 @@ def fit_static(features: DataFrame, n_trees: int = C.IF_TREES, subsample: int =
 
 
 def score_static(rows: DataFrame, nodes: DataFrame, subsample: int = C.IF_SUBSAMPLE,
-                 rows_per_task: int = 2_000_000) -> DataFrame:
+                 rows_per_task: int = 2_000_000, sizes: DataFrame | None = None) -> DataFrame:
     """M3 (static): anomaly score of every row against its series' forest.
 
     Rows are spread over ``parts(series) = ceil(n_series / rows_per_task)``
@@ -248,8 +261,10 @@ def score_static(rows: DataFrame, nodes: DataFrame, subsample: int = C.IF_SUBSAM
     part and cogrouped, so a hot series is scored by many tasks.  Replication adds
     at most 51,100 node rows per ``rows_per_task`` scored rows (~2.5 % at 2 M)."""
     cols = ["s_" + c[2:] for c in FEATURES]
-    sizes = rows.groupBy("series").agg(F.count(F.lit(1)).alias("_n")) \
-        .withColumn("_parts", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_task))).cast("long"))
+    if sizes is None:
+        sizes = rows.groupBy("series").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select("series", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(rows_per_task)))
+                         .cast("long").alias("_parts"))
     r = rows.join(sizes.select("series", "_parts"), "series") \
         .withColumn("_part", F.pmod(F.xxhash64(F.col("seq")), F.col("_parts")))
     node_parts = sizes.select(F.col("series").alias("_ns"), F.col("_parts").alias("_np"))
