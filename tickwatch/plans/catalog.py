@@ -612,7 +612,9 @@ def iforest_trees(spark, sf_dir):
     from tickwatch.operators.iforest import fit_static, standardize
     from tickwatch.operators.stats import FEATURES
     f = _features(spark, sf_dir, "training")
-    return fit_static(standardize(f, FEATURES, ["series"]))
+    # sampling rates only need the rows per series: count the ticks, not the feature plan
+    sizes = events_ticks(spark, sf_dir).groupBy("series").agg(F.count(F.lit(1)).alias("_n"))
+    return fit_static(standardize(f, FEATURES, ["series"]), sizes=sizes)
 
 
 @register("if_score_stats")
