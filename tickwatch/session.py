@@ -32,8 +32,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session names none (local tests) do we create one of our own.
     """
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+        current = sc._jsc.sc().getCheckpointDir()
+    except Exception:  # no SparkContext handle (e.g. a remote session): use the session conf
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="tickwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     if current.isDefined():
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
