@@ -56,7 +56,12 @@ def kafka_ticks(spark: SparkSession, servers: str, topic: str, starting: str = "
               .option("startingOffsets", starting).option("failOnDataLoss", str(fail_on_data_loss).lower()))
     for k, v in options.items():
         reader = reader.option(k, v)
-    raw = reader.load()
+    return decode_kafka_records(reader.load())
+
+
+def decode_kafka_records(raw: DataFrame) -> DataFrame:
+    """Kafka records (key, value, topic, offset, ...) -> canonical ticks: payload JSON in
+    ``value``, series = key (else the topic), seq = offset."""
     series = F.coalesce(F.col("key").cast("string"), F.col("topic"))
     return decode_ticks(raw, "value", series=series).select("series", "ts", "t_us",
                                                              F.col("offset").alias("seq"), "price")
