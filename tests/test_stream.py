@@ -236,3 +236,21 @@ def test_state_versions_are_pruned(spark, tmpdir_path):
     q.awaitTermination(600)
     assert sorted(os.listdir(state)) == ["v=3", "v=4", "v=5"]
     assert _stream_events(spark, os.path.join(tmpdir_path, "events")) == _batch_events(spark)
+
+
+def test_payload_file_stream(spark, tmpdir_path):
+    """S1 + S2 as a stream: JSON-lines files of (series, seq, payload text), bad lines dropped."""
+    from tickwatch.sources.decode import encode_ticks
+    from tickwatch.streaming.stream import payload_file_ticks
+    t = events_ticks(spark, SF)
+    src = os.path.join(tmpdir_path, "payloads")
+    enc = encode_ticks(t.withColumn("change", F.lit(0.0))).select("series", "seq", "value")
+    enc.coalesce(2).write.json(src)
+    with open(os.path.join(src, "bad.json"), "w") as fh:
+        fh.write('{"series": "x", "seq": 1, "value": "{\\"event\\":\\"heartbeat\\"}"}\nnot json\n')
+    q = (payload_file_ticks(spark, src).writeStream.format("memory").queryName("tw_payloads")
+         .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    got = spark.table("tw_payloads")
+    assert got.count() == t.count()
+    assert got.where(F.col("series") == "x").count() == 0
