@@ -136,3 +136,13 @@ def test_kafka_records_decode(spark):
     df = spark.createDataFrame(rows, "key binary, value binary, topic string, offset long")
     out = sorted((r["series"], r["seq"], r["price"]) for r in decode_kafka_records(df).collect())
     assert out == [("prices", 8, 11.0), ("s1", 7, 10.5)]
+
+
+def test_panel_gate_and_detector_dim(spark):
+    from tickwatch.functions.severity import detector_dim
+    ev = _events(spark, [(1, ["pct_spike"], "HIGH"), (2, ["lstm_anomaly"], "HIGH")])
+    assert report.recon_panel_active(ev).first()["active"] is False
+    ev2 = ev.withColumn("lstm_score", F.when(F.col("seq") == 1, F.lit(1.2)).otherwise(F.lit(0.0)))
+    assert report.recon_panel_active(ev2).first()["active"] is True
+    dim = {r["type"]: (r["layer"], r["severity"], r["is_ml"]) for r in detector_dim(spark).collect()}
+    assert len(dim) == 6 and dim["iforest_anomaly"] == ("ML", "MED", True) and dim["abs_jump"][2] is False
