@@ -16,7 +16,7 @@ from tickwatch.functions.numeric import fround
 from tickwatch.plans import detect
 from tickwatch.plans import sql as Q
 from tickwatch.schema import EVENTS_PARAMS, ORDERS_PARAMS, Layout, events_ticks, orders_ticks
-from tickwatch.session import ensure_utc
+from tickwatch.session import ensure_utc, ship_package
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -29,6 +29,7 @@ def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_utc(spark)
+            ship_package(spark)
             return fn(spark, sf_dir)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

@@ -70,4 +70,39 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return ensure_utc(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in executor Python workers (pandas UDFs, grouped maps).
+
+    Zips the package once per application and registers it with ``addPyFile``
+    (``addArtifacts`` on sessions without a SparkContext handle), the usual way to
+    ship Python code to a cluster."""
+    import zipfile
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:
+        sc, key = None, "remote:" + str(id(spark))
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="tickwatch-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, names in os.walk(pkg):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    z.write(full, os.path.relpath(full, root))
+    if sc is not None:
+        sc.addPyFile(path)
+    else:
+        spark.addArtifacts(path, pyfile=True)
+    _SHIPPED.add(key)
