@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import quality
+from tickwatch.llm import bpe, quality
 from tickwatch.llm.common import held_out, table
 from tickwatch.session import checkpoint_dir, ensure_utc, ship_package
 
@@ -36,3 +37,17 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.quality_scores(docs, table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
+
+
+def bpe_params() -> bpe.BpeParams:
+    return bpe.BpeParams(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op7_bpe_round_trip")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and the digests of the ids and of the decoded bytes of every document."""
+    p = bpe_params()
+    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), p), p)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
