@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import bpe, quality
+from tickwatch.llm import bpe, quality, warc
 from tickwatch.llm.common import held_out, table
 from tickwatch.session import checkpoint_dir, ensure_utc, ship_package
 
@@ -51,3 +52,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op8_warc", """
+    SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+           -- five-bit groups of the 160 bits of the digest, as RFC 4648 letters
+           list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + (('0x' || substr(sha1(coalesce(html, '')), 1 + 2 * (5 * i // 8), 2))::INT * 256
+                    + ('0x' || substr(sha1(coalesce(html, '')) || '00', 3 + 2 * (5 * i // 8), 2))::INT
+                    >> (11 - 5 * i % 8)::INT & 31)::INT, 1)), 'string_agg', '') AS payload_digest,
+           CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> last THEN last END AS refers_to
+    FROM (SELECT *, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives all pages and reads the archives back: one row per page."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4()}"
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
