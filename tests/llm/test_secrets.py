@@ -1,0 +1,73 @@
+"""Pattern findings against a plain scan of the stated patterns, and the character models on held-out strings."""
+
+import hashlib
+import random
+import re
+import string
+
+import numpy as np
+import pytest
+
+from tickwatch.llm import secrets
+
+P = secrets.SecretParams()
+
+
+def plain(text):
+    """The stated patterns with a plus, failing matches dropped."""
+    found = []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
+        if len(m[2]) >= 8:
+            found.append((m.start(), 0, m.end(), "assign"))
+    for order, (kind, pattern, least) in enumerate([("access", r"AKIA[A-Z0-9]+", 16), ("hex", r"[0-9a-f]+", 32)], 1):
+        found += [(m.start(), order, m.end(), kind) for m in re.finditer(pattern, text) if m.end() - m.start() >= least]
+    return sorted(found)
+
+
+@pytest.fixture(scope="module")
+def ratios():
+    import pyarrow.parquet as pq
+    return secrets.train(pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist(), P)
+
+
+def test_patterns():
+    rng = random.Random(3)
+    parts = ["password", "PassWd", "ſecret", "SECRET", "toKen", "toKen", "api_key", "ApiKey", "api", ":", "=", " ", "\"", "'", "abcdefgh", "12345678", "AKIA",
+             "ABCDEFGHIJKL", "deadbeef" * 4, "0123456789abcdef", "é", "=", "-", ".", "\n", "a1"]
+    for _ in range(4000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 14)))
+        assert sorted(secrets.base_spans(text)) == plain(text), text
+
+
+def test_held_out_strings(ratios):
+    rng = random.Random(99)
+    keys = ["".join(rng.choices(a, k=rng.randint(20, 50))) for a in (string.ascii_letters + string.digits, string.hexdigits[:16]) for _ in range(300)]
+    plain_names = ["get_user_account_settings", "internationalization_helper", "MaximumConnectionRetries", "andthentheotherthing", "verantwortlichkeiten"]
+    assert (secrets.ratio(keys, ratios) >= P.threshold).mean() > 0.99
+    assert (secrets.ratio(plain_names, ratios) < P.threshold).all()
+
+
+def test_scan_and_redact(spark, ratios):
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzz"
+    rows = [(1, f"a {key} b"), (1, f"a {key} b"), (None, 'token = "abcdef123456" and abc'), (2, None), (3, ""), (4, "x " * 5000 + key)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, spans string")
+    got = secrets.scan(docs, ratios, P, redacted="[SECRET]").collect()
+    text = sorted(r.text for r in got if r.text is not None)
+    assert text == sorted(["a [SECRET] b"] * 2 + ['[SECRET]" and abc', "", "x " * 5000 + "[SECRET]"]) and len(got) == 6
+    assert sorted(len(r.spans) for r in got) == [0, 0, 1, 1, 1, 1]
+    assert secrets.scan(docs.limit(0), ratios, P).count() == 0
+    assert secrets.fit(docs.limit(0), P).shape == ratios.shape
+    assert np.isfinite(secrets.fit(docs, P)).all()
+
+
+def test_query(spark):
+    from tickwatch.llm.queries import QUERIES
+    d = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in QUERIES["op6_secret_scan"](spark, d).collect()}
+    for r in spark.read.parquet(f"{d}/documents.parquet").collect():
+        found = plain(r.text or "")
+        g = got[r.doc_id]
+        assert [g.n_assign, g.n_access, g.n_hex] == [sum(x[1] == k for x in found) for k in range(3)]
+        joined = ",".join(f"{k}:{a}:{b}" for a, _, b, k in found)
+        assert g.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(filter(None, joined.split(","))) <= set(g.spans.split(","))

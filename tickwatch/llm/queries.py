@@ -6,10 +6,10 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import bpe, quality, warc
+from tickwatch.llm import bpe, quality, secrets, warc
 from tickwatch.llm.common import held_out, table
 from tickwatch.session import checkpoint_dir, ensure_utc, ship_package
 
@@ -69,3 +69,25 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4()}"
     warc.write(table(spark, sf_dir, "pages"), folder)
     return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def joined_spans(spans) -> Column:
+    """kind:start:end of an array of spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def span_columns(kinds: tuple[str, ...]) -> list[Column]:
+    """The number of spans of each kind, the digest of the spans of these kinds, and all spans."""
+    def of(*wanted: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*wanted))
+
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in kinds]
+    base = of(*kinds)
+    return [*counts, F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col("spans")).alias("spans")]
+
+
+@query("op6_secret_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, counts and digest of the patterns' findings, and all spans of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan(docs, secrets.fit(docs)).select("doc_id", *span_columns(secrets.BASE))
