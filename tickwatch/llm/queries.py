@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import bpe, quality, secrets, warc
+from tickwatch.llm import bpe, quality, secrets, toxicity, warc
 from tickwatch.llm.common import held_out, table
 from tickwatch.session import checkpoint_dir, ensure_utc, ship_package
 
@@ -91,3 +91,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, counts and digest of the patterns' findings, and all spans of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.scan(docs, secrets.fit(docs)).select("doc_id", *span_columns(secrets.BASE))
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted", "n_toxic_sentences")
