@@ -42,7 +42,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Encoder:
     """Ids of texts; each distinct pre-token is merged once while it is remembered."""
 
-    def __init__(self, p: BpeParams, keep: int = 300_000):
+    def __init__(self, p: BpeParams, keep: int = 200_000):
         import regex
         import tiktoken
         self.pieces = regex.compile(p.pattern).findall
@@ -72,12 +72,12 @@ class Encoder:
         return self.ids[ranges(self.starts[number], n)], np.bincount(rows, n, minlength=len(texts)).astype(np.int64)
 
 
-def _encoded(source: DataFrame, keep: list[str], text: str, p: BpeParams, max_chars: int = 4_000_000) -> DataFrame:
+def _encoded(source: DataFrame, keep: list[str], text: str, p: BpeParams, max_chars: int = 2_000_000) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(p)
         for batch in batches:
             rest = batch.select(keep)
-            for start, texts in text_slices(batch, text, max_docs=1024, max_chars=max_chars):
+            for start, texts in text_slices(batch, text, max_docs=512, max_chars=max_chars):
                 ids, counts = encoder.of(texts)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 yield passed_on(rest.slice(start, len(texts)), {"ids": pa.ListArray.from_arrays(offsets, pa.array(ids))})
