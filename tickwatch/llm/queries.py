@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import bpe, quality, secrets, toxicity, warc
+from tickwatch.llm import bpe, quality, secrets, tokencount, toxicity, warc
 from tickwatch.llm.common import held_out, table
 from tickwatch.session import checkpoint_dir, ensure_utc, ship_package
 
@@ -99,3 +99,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted", "n_toxic_sentences")
+
+
+@query("op1_token_counts")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_tokens and over_limit of every document."""
+    p = tokencount.TokenParams(public_tokenizers.path("word_bpe_49k.json"))
+    return tokencount.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), p)
