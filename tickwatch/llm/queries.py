@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import bpe, quality, secrets, tokencount, toxicity, warc
+from tickwatch.llm import bpe, perplexity, quality, secrets, tokencount, toxicity, warc
 from tickwatch.llm.common import held_out, table
 from tickwatch.session import checkpoint_dir, ensure_utc, ship_package
 
@@ -106,3 +106,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every document."""
     p = tokencount.TokenParams(public_tokenizers.path("word_bpe_49k.json"))
     return tokencount.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), p)
+
+
+@query("op5_quality_rules")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the plain counts, base_failed and kept of every document, and its log-perplexity."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return perplexity.rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "nll")
