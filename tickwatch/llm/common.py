@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from itertools import chain
 
@@ -11,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwatch.session import checkpoint_dir
+
 #: Texts that a Python worker holds split into words at once.
 SLICE_DOCS = 256
 SLICE_CHARS = 4_000_000
@@ -20,6 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows written to a table in the shared checkpoint folder and read again.
+
+    It cuts the lineage as checkpoint() does, but the plans that read it know its true size, which in
+    a loop of joins matters: a checkpoint carries on the estimates of the plan that it replaces.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """True where crc32 of the id as text leaves that remainder (a null id counts as the empty text)."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus)) == remainder

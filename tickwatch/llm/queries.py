@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import bpe, perplexity, quality, secrets, tokencount, toxicity, warc
+from tickwatch.llm import bpe, neardup, perplexity, quality, secrets, tokencount, toxicity, warc
 from tickwatch.llm.common import held_out, table
 from tickwatch.session import checkpoint_dir, ensure_utc, ship_package
 
@@ -113,3 +113,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the plain counts, base_failed and kept of every document, and its log-perplexity."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return perplexity.rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "nll")
+
+
+@query("op3_near_duplicates")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and class_id of every document: documents of one class are copies or near copies."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
