@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import bpe, neardup, perplexity, quality, secrets, tokencount, toxicity, warc
+from tickwatch.llm import bpe, decontam, neardup, perplexity, quality, secrets, tokencount, toxicity, warc
 from tickwatch.llm.common import held_out, table
 from tickwatch.session import checkpoint_dir, ensure_utc, ship_package
 
@@ -119,3 +119,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id and class_id of every document: documents of one class are copies or near copies."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: Shingles of the words of a text: five in a row, or all of a shorter text.
+SHINGLES_SQL = """
+    SELECT {id}, unnest(list_distinct(CASE WHEN len(w) >= 5
+               THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+               WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s
+    FROM (SELECT {id}, list_filter(regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {table})"""
+
+
+@query("op4_decontamination", f"""
+    WITH d AS ({SHINGLES_SQL.format(id="doc_id", table="documents")}),
+         i AS ({SHINGLES_SQL.format(id="item_id", table="benchmark")}),
+         n AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id),
+         b AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN i USING (s) GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
+    FROM b JOIN n USING (item_id) WHERE n_shared / n_shingles >= 0.8""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with each benchmark item that it holds, and the share of the item's shingles in it."""
+    return decontam.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
