@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import bpe, decontam, neardup, perplexity, quality, secrets, tokencount, toxicity, warc
+from tickwatch.llm import bpe, decontam, neardup, perplexity, pii, quality, secrets, tokencount, toxicity, warc
 from tickwatch.llm.common import held_out, table
 from tickwatch.session import checkpoint_dir, ensure_utc, ship_package
 
@@ -139,3 +139,9 @@ SHINGLES_SQL = """
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with each benchmark item that it holds, and the share of the item's shingles in it."""
     return decontam.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query("op10_personal_data")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, counts and digest of the patterns' findings, and all spans of every document."""
+    return pii.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *span_columns(pii.KINDS))
