@@ -47,7 +47,8 @@ def with_shingles(texts: DataFrame, n: int) -> DataFrame:
     rolled = F.transform(F.sequence(F.lit(1), F.size("words") - (n - 1)), lambda i: F.xxhash64(F.slice("words", i, n)))
     hashed = F.when(F.size("words") >= n, rolled).otherwise(F.array(F.xxhash64("words")))
     held = split.withColumn("shingles", F.sort_array(F.array_distinct(hashed))).drop("words")
-    return held.withColumn("bits", F.ceil(F.log2(F.size("shingles"))).cast("int") + 2)
+    # never null, or Spark would filter on that before the words are split, with the same effect
+    return held.withColumn("bits", F.coalesce(F.ceil(F.log2(F.size("shingles"))).cast("int"), F.lit(0)) + 2)
 
 
 def sketch(held: DataFrame) -> DataFrame:

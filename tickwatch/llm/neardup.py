@@ -78,9 +78,9 @@ class Shingles:
         starts = (left >= self.n) | (place == 0) & (left < self.n)
         code = h.copy()
         with np.errstate(over="ignore"):
-            for j in range(1, self.n):
-                step = mix64(code[:len(h) - j] + np.uint64(j)) + h[j:]
-                code[:len(h) - j] = np.where(left[:len(h) - j] > j, step, code[:len(h) - j])
+            for j in range(1, min(self.n, len(h))):
+                step = mix64(code[:-j] + np.uint64(j)) + h[j:]
+                code[:-j] = np.where(left[:-j] > j, step, code[:-j])
         row, code = row[starts], code[starts]
         order = np.lexsort((code, row))
         row, code = row[order], code[order]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,3 +146,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, counts and digest of the patterns' findings, and all spans of every document."""
     return pii.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *span_columns(pii.KINDS))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the corpus pipeline makes of documents."""
+    return corpus_pipeline.run(spark, sf_dir)

@@ -14,9 +14,10 @@ repeated ids do no harm; other columns pass through (columns named like the outp
 from __future__ import annotations
 
 import os
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwatch.llm.common import passed_on
+from tickwatch.llm.common import Numbering, passed_on, ranges
 
 #: The row of a chunk that carries its documents' own columns instead of counts (no pre-token is empty).
 HEADER = ""
@@ -38,17 +39,17 @@ CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 class TokenParams:
     tokenizer_path: str
     cut: str = CUT
-    chunk_docs: int = 4096
-    chunk_pairs: int = 1_500_000  # pairs of document and pre-token in a chunk, but for its last text
+    chunk_docs: int = 16_384  # fewer than 2^16
+    chunk_tokens: int = 6_000_000  # pre-tokens in a chunk, but for its last text
     limit: int = 2048
     specials: tuple[str, ...] = field(default=("<|startoftext|>", "<|endoftext|>"))
 
 
 class Cutter:
-    """Pre-token frequencies of a text, by the tokenizer's own normaliser.
+    """Numbers the pre-tokens of texts; each distinct word between white space is cut once.
 
-    Later characters than Cyrillic are left to the tokenizer library's own splitter, as Unicode tables
-    of different versions class a few of them differently; the regex module is faster for the others.
+    The tokenizer's own normaliser and splitter serve any text with characters on which Unicode
+    tables or lower-casing could differ; others take the same steps by faster functions.
     """
 
     def __init__(self, p: TokenParams):
@@ -57,42 +58,64 @@ class Cutter:
         from tokenizers import Regex, Tokenizer
         from tokenizers.pre_tokenizers import Split
         self.normalise = Tokenizer.from_file(p.tokenizer_path).normalizer.normalize_str
-        self.early = regex.compile(p.cut).findall
-        self.late = Split(Regex(p.cut), behavior="removed", invert=True).pre_tokenize_str
-        self.has_late = regex.compile(r"[^\x00-\u052f\u2000-\u206f]").search
+        self.fast = regex.compile(p.cut).findall
+        self.sure = Split(Regex(p.cut), behavior="removed", invert=True).pre_tokenize_str
+        self.plain = regex.compile(r"[\t-\r\x20-\x7e\xa0-\u0377\u0400-\u052f]*").fullmatch
         self.special = regex.compile("|".join(map(regex.escape, p.specials)))
-
-    def cut(self, text: str) -> list[str]:
-        return [token for token, _ in self.late(text)] if self.has_late(text) else self.early(text)
-
-    def of(self, text: str) -> Counter:
-        if "<|" not in text:
-            return Counter(self.cut(self.normalise(text)))
-        parts = self.special.split(text)
-        counts = Counter(token for part in parts for token in self.cut(self.normalise(part)))
-        if len(parts) > 1:
-            counts[SPECIAL] = len(parts) - 1
-        return counts
-
-
-def packed(docs: np.ndarray, counts: np.ndarray) -> bytes:
-    """Pairs of document and count as bytes; most counts are 1, so those take no room."""
-    many = counts > 1
-    return b"".join([np.array([len(docs), int(many.sum())], np.uint32).tobytes(), docs.astype(np.uint16).tobytes(),
-                     np.flatnonzero(many).astype(np.uint16).tobytes(), counts[many].astype(np.uint32).tobytes()])
-
-
-def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, many = np.frombuffer(data, np.uint32, 2)
-    docs = np.frombuffer(data, np.uint16, n, 8)
-    counts = np.ones(n, np.int64)
-    at = 8 + 2 * int(n)
-    counts[np.frombuffer(data, np.uint16, many, at)] = np.frombuffer(data[at + 2 * int(many):], np.uint32, many)
-    return docs, counts
+        self.reset()
+
+    def reset(self) -> None:
+        self.words, self.tokens = Numbering(), Numbering()
+        self.flat = self.starts = self.lengths = np.empty(0, np.int64)
+
+    def split(self, text: str) -> list[str]:
+        """Words of the normalised text: no pre-token holds white space."""
+        if self.plain(text) and is_normalized("NFC", text):
+            return text.lower().split()
+        return self.normalise(text).split(" ")
+
+    def of(self, text: str) -> np.ndarray:
+        """The number of each pre-token of a text, in order but for special strings, which come last."""
+        specials = 0
+        if "<|" in text:
+            parts = self.special.split(text)
+            words, specials = [w for part in parts for w in self.split(part)], len(parts) - 1
+        else:
+            words = self.split(text)
+        known = len(self.words)
+        ids = self.words.of(words)
+        if len(self.words) > known:
+            new = list(islice(self.words, known, None))
+            cut = [self.fast(w) if self.plain(w) else [t for t, _ in self.sure(w)] for w in new]
+            lengths = np.fromiter(map(len, cut), np.int64, len(cut))
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+            self.lengths = np.concatenate([self.lengths, lengths])
+            self.flat = np.concatenate([self.flat, self.tokens.of([t for x in cut for t in x])])
+        out = self.flat[ranges(self.starts[ids], self.lengths[ids])]
+        return np.append(out, np.full(specials, self.tokens[SPECIAL])) if specials else out
+
+
+MORE = np.dtype([("doc", "<u2"), ("n", "<u4")])
+
+
+def slices(values: np.ndarray, edge: np.ndarray) -> pa.Array:
+    """Binary values, one for each pair of neighbours in ``edge``."""
+    width = values.dtype.itemsize
+    offsets = ((edge - edge[0]) * width).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values[edge[0]:edge[-1]]).tobytes())])
+
+
+def flattened(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows of a binary column, and the row of each."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    width = np.dtype(kind).itemsize
+    data = column.buffers()[2]
+    values = np.frombuffer(data, kind, (offsets[-1] - offsets[0]) // width, offsets[0]) if data is not None and offsets[-1] > offsets[0] else np.empty(0, kind)
+    return values, np.repeat(np.arange(len(column)), np.diff(offsets) // width)
 
 
 def frequencies(docs: DataFrame, p: TokenParams) -> DataFrame:
-    """(chunk, token, docs): the documents of a chunk, as places in it, that hold a pre-token, and how often.
+    """(chunk, token, docs, more): the documents of a chunk, as places in it, that hold a pre-token, and how much oftener than once.
 
     A chunk is numbered by its partition and its place there. Its header row holds the documents' other
     columns and ``n_bytes``, as an Arrow stream.
@@ -102,50 +125,52 @@ def frequencies(docs: DataFrame, p: TokenParams) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, part, serial = Cutter(p), TaskContext.get().partitionId(), 0
 
-        def rows(own: list[pa.RecordBatch], counted: list[Counter]) -> Iterator[pa.RecordBatch]:
-            key = part << 32 | serial
+        def rows(own: list[pa.RecordBatch], cut: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, own[0].schema) as stream:
                 for x in own:
                     stream.write_batch(x)
-            yield out(key, [HEADER], [sink.getvalue().to_pybytes()])
-            number, at, n = {}, [], []
-            for counts in counted:
-                at += [number.setdefault(token, len(number)) for token in counts]
-                n += counts.values()
-            token = np.array(at, np.int64)
-            doc = np.repeat(np.arange(len(counted)), [len(c) for c in counted])
-            order = np.argsort(token, kind="stable")
-            doc, n = doc[order], np.array(n, np.int64)[order]
-            edge = np.concatenate([[0], np.cumsum(np.bincount(token, minlength=len(number)))])
-            names = list(number)
-            for a in range(0, len(names), 20_000):
-                b = min(a + 20_000, len(names))
-                yield out(key, names[a:b], [packed(doc[i:j], n[i:j]) for i, j in zip(edge[a:b], edge[a + 1:b + 1])])
-
-        def out(key: int, tokens: list[str], data: list[bytes]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(tokens), key)), pa.array(tokens, pa.string()), pa.array(data, pa.binary())],
-                                              ["chunk", "token", "docs"])
-
-        own, counted, size = [], [], 0
+            key = part << 32 | serial
+            none = np.zeros(2, np.int64)
+            yield out(key, [HEADER], pa.array([sink.getvalue().to_pybytes()], pa.binary()), slices(np.empty(0, MORE), none))
+            pair = np.sort(np.concatenate(cut) << 16 | np.repeat(np.arange(len(cut)), [len(x) for x in cut]))
+            new = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.empty(0, np.int64)
+            n = np.diff(np.append(new, len(pair)))
+            token, doc = pair[new] >> 16, (pair[new] & 0xFFFF).astype("<u2")
+            first = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.empty(0, np.int64)
+            edge = np.append(first, len(token))
+            many = np.flatnonzero(n > 1)
+            more = np.empty(len(many), MORE)
+            more["doc"], more["n"] = doc[many], n[many] - 1
+            more_edge = np.searchsorted(many, edge)
+            names = list(cutter.tokens)
+            for a in range(0, len(first), 20_000):
+                b = min(a + 20_000, len(first))
+                yield out(key, [names[t] for t in token[first[a:b]]], slices(doc, edge[a:b + 1]), slices(more, more_edge[a:b + 1]))
+
+        def out(key: int, tokens: list[str], docs: pa.Array, more: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(tokens), key)), pa.array(tokens, pa.string()), docs, more], ["chunk", "token", "docs", "more"])
+
+        own, cut, size = [], [], 0
         for batch in batches:
             rest, start, n_bytes = batch.select(keep), 0, []
             for i, value in enumerate(batch.column("text")):
                 text = value.as_py() or ""
-                counted.append(cutter.of(text))
+                cut.append(cutter.of(text))
                 n_bytes.append(len(text.encode()))
-                size += len(counted[-1])
-                full = len(counted) == p.chunk_docs or size >= p.chunk_pairs
+                size += len(cut[-1])
+                full = len(cut) == p.chunk_docs or size >= p.chunk_tokens
                 if full or i == batch.num_rows - 1:
                     own.append(passed_on(rest.slice(start, i + 1 - start), {"n_bytes": pa.array(n_bytes, pa.int64())}))
                     start, n_bytes = i + 1, []
                 if full:
-                    yield from rows(own, counted)
-                    own, counted, size, serial = [], [], 0, serial + 1
-        if counted:
-            yield from rows(own, counted)
+                    yield from rows(own, cut)
+                    own, cut, size, serial = [], [], 0, serial + 1
+                    cutter.reset()
+        if cut:
+            yield from rows(own, cut)
 
-    return docs.select(*keep, "text").mapInArrow(run, "chunk long, token string, docs binary")
+    return docs.select(*keep, "text").mapInArrow(run, "chunk long, token string, docs binary, more binary")
 
 
 def pieces(tokens: DataFrame, p: TokenParams) -> DataFrame:
@@ -167,8 +192,8 @@ def pieces(tokens: DataFrame, p: TokenParams) -> DataFrame:
     return tokens.select("token").distinct().mapInArrow(run, "token string, n long")
 
 
-def partial_sums(joined: DataFrame, held: int = 256) -> DataFrame:
-    """(chunk, docs): pieces times frequency by document, summed over the rows of a task (at most ``held`` chunks at once)."""
+def partial_sums(joined: DataFrame, docs: int, held: int = 256) -> DataFrame:
+    """(chunk, docs): pieces times frequency by document, summed over the rows of a task (at most ``held`` chunks of ``docs`` documents at once)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
 
@@ -180,18 +205,25 @@ def partial_sums(joined: DataFrame, held: int = 256) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(data, pa.binary())], ["chunk", "docs"])
 
         for batch in batches:
-            for chunk, n, docs in zip(batch.column("chunk").to_pylist(), batch.column("n").to_pylist(), batch.column("docs")):
-                if chunk not in sums:
-                    if len(sums) == held:
-                        yield out()
-                        sums.clear()
-                    sums[chunk] = np.zeros(1 << 16, np.int64)
-                places, counts = unpacked(docs.as_buffer())
-                sums[chunk][places] += counts * n  # a document occurs once in a row
+            chunks, chunk = np.unique(batch.column("chunk").to_numpy(), return_inverse=True)
+            if len(sums) + len(chunks) > held and sums:
+                yield out()
+                sums.clear()
+            n = batch.column("n").to_numpy()
+            doc, row = flattened(batch.column("docs"), "<u2")
+            more, more_row = flattened(batch.column("more"), MORE)
+            place = np.concatenate([chunk[row] << 16 | doc, chunk[more_row] << 16 | more["doc"]])
+            place, at = np.unique(place, return_inverse=True)
+            total = np.bincount(at, np.concatenate([n[row], n[more_row] * more["n"].astype(np.int64)])).astype(np.int64)
+            edge = np.searchsorted(place, np.arange(len(chunks) + 1) << 16)
+            for key, a, b in zip(chunks.tolist(), edge, edge[1:]):
+                if key not in sums:
+                    sums[key] = np.zeros(docs, np.int64)
+                sums[key][place[a:b] & 0xFFFF] += total[a:b]
         if sums:
             yield out()
 
-    return joined.select("chunk", "n", "docs").mapInArrow(run, "chunk long, docs binary")
+    return joined.select("chunk", "n", "docs", "more").mapInArrow(run, "chunk long, docs binary")
 
 
 def packed_sums(places: np.ndarray, sums: np.ndarray) -> bytes:
@@ -207,12 +239,12 @@ def token_counts(docs: DataFrame, p: TokenParams) -> DataFrame:
     """The columns of ``docs`` but ``text``, and n_bytes, n_tokens and over_limit."""
     counted = frequencies(docs, p).persist(StorageLevel.MEMORY_AND_DISK)
     tokens = counted.where(F.col("token") != HEADER)
-    sums = partial_sums(tokens.join(pieces(tokens, p), "token"))
+    sums = partial_sums(tokens.join(pieces(tokens, p), "token"), p.chunk_docs)
     heads = counted.where(F.col("token") == HEADER).select("chunk", "docs", F.lit(True).alias("head"))
     parts = heads.unionByName(sums.withColumn("head", F.lit(False)))
 
     def finish(table: pa.Table) -> pa.Table:
-        head, total = None, np.zeros(1 << 16, np.int64)
+        head, total = None, np.zeros(p.chunk_docs, np.int64)
         for is_head, data in zip(table.column("head").to_pylist(), table.column("docs").to_pylist()):
             if is_head:
                 head = pa.ipc.open_stream(data).read_all()
