@@ -64,7 +64,7 @@ def number_rows(ticks: DataFrame, layout: Layout = Layout(), base: DataFrame | N
     else:
         from tickwatch.session import default_parallelism
         par = parallelism or default_parallelism(ticks.sparkSession)
-        total = F.sum("_cnt").over(Window.partitionBy())  # one row per bucket: small
+        total = ticks.select(F.count(F.lit(1))).scalar()  # a scalar subquery: no task sees all buckets
         brows = F.least(F.greatest(F.ceil(total / F.lit(max(1, par * layout.blocks_per_core))),
                                    F.lit(layout.min_block_rows)), F.lit(layout.max_block_rows)).cast("long")
     offsets = counts.select("series", "_bkt", "_sub",

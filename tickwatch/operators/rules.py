@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ def rule_flags(df: DataFrame, params: RuleParams) -> DataFrame:
     ``mr_cond`` is the un-latched mean-reversion condition, NULL when the row
     cannot be evaluated (fewer than 10 previous prices or sigma = 0).
     """
+    if params.mr_k * math.sqrt(C.PRICE_WINDOW - 1) <= 1:
+        # one odd price among 120 could then be a breach, and the latch would need a look-back without bound
+        raise ValueError(f"mr_k must be above {1 / math.sqrt(C.PRICE_WINDOW - 1):.4f}, got {params.mr_k}")
     enough = F.col("rn") > F.lit(C.MIN_HISTORY)
     pct = F.coalesce(F.col("gated") & (F.abs("pct_change") >= F.lit(float(params.min_pct))), F.lit(False))
     absj = F.col("gated") & (F.abs("abs_change") >= F.lit(float(params.min_abs)))

@@ -212,8 +212,8 @@ def active_alert(spark, sf_dir):
 
 @register("anomalies_in_window", f"""{EVF},
 first_tick AS (SELECT series, min(t_us) AS t0 FROM {Q.last_n_sql('feed', C.MAX_PRICE_HISTORY)} GROUP BY series)
-SELECT ev.series, count(*) AS count FROM ev JOIN first_tick f ON ev.series = f.series AND ev.t_us >= f.t0
-GROUP BY ev.series""")
+SELECT f.series, count(ev.series) AS count FROM first_tick f LEFT JOIN ev ON ev.series = f.series AND ev.t_us >= f.t0
+GROUP BY f.series""")
 def anomalies_in_window(spark, sf_dir):
     """Anomalies at or after the first tick of the 500-tick feed, per series."""
     from tickwatch.plans.report import anomalies_in_window as aiw, last_n

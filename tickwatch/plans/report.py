@@ -29,7 +29,8 @@ def last_n(df: DataFrame, n: int, keys: tuple[str, ...] = ("series",)) -> DataFr
     Up to Spark's window-group-limit threshold the ``row_number <= n`` filter is
     planned as WindowGroupLimit (partial top-k before the shuffle).  Beyond it a
     plain window would move a whole series into one task, so the bucketed row
-    numbering is used instead: pos = rows of series - rn + 1."""
+    numbering is used instead: pos = rows of series - rn + 1.  Rows without a time
+    are the oldest of their series, whatever ``n`` is."""
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n <= limit or tuple(keys) != ("series",):
         w = Window.partitionBy(*keys).orderBy(*newest())
@@ -39,9 +40,16 @@ def last_n(df: DataFrame, n: int, keys: tuple[str, ...] = ("series",)) -> DataFr
     stash = {c: f"_keep_{c}" for c in ("rn", "_n", "_B", "pos") if c in cols}
     for c, t in stash.items():
         df = df.withColumnRenamed(c, t)
-    numbered = number_rows(df, Layout())
+    numbered = number_rows(df.where(F.col("t_us").isNotNull()), Layout())
     out = numbered.withColumn("pos", (F.col("_n") - F.col("rn") + 1).cast("long")).where(F.col("pos") <= n) \
         .drop("rn", "_n", "_B")
+    # rows without a time, numbered by their own order (as if it were the time) and put behind the others
+    timed = df.where(F.col("t_us").isNotNull()).groupBy("series").agg(F.count(F.lit(1)).alias("_timed"))
+    untimed = df.where(F.col("t_us").isNull()).withColumn("t_us", F.col("seq"))
+    untimed = number_rows(untimed, Layout()).join(timed, "series", "left") \
+        .withColumn("pos", (F.coalesce("_timed", F.lit(0)) + F.col("_n") - F.col("rn") + 1).cast("long")) \
+        .where(F.col("pos") <= n).drop("rn", "_n", "_B", "_timed").withColumn("t_us", F.lit(None).cast("long"))
+    out = out.unionByName(untimed)
     for c, t in stash.items():
         out = out.withColumnRenamed(t, c)
     return out.select(*cols, "pos")
@@ -177,10 +185,16 @@ def latest_delta(feed: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ J1, A9, A10, A11, A15
 
 def anomalies_in_window(events: DataFrame, feed: DataFrame) -> DataFrame:
-    """Per series, anomalies at or after the first tick of the feed."""
+    """Per series of the feed, anomalies at or after its first tick (0 without any)."""
     first = feed.groupBy("series").agg(F.min("t_us").alias("_first"))
-    j = events.join(first, "series").where(F.col("t_us") >= F.col("_first"))
-    return j.groupBy("series").agg(F.count(F.lit(1)).cast("long").alias("count"))
+    counted = anomaly_rows_in_window(events, feed).groupBy("series").agg(F.count(F.lit(1)).alias("_n"))
+    return first.join(counted, "series", "left").select("series", F.coalesce("_n", F.lit(0)).cast("long").alias("count"))
+
+
+def anomaly_rows_in_window(events: DataFrame, feed: DataFrame) -> DataFrame:
+    """The anomalies at or after the first tick of their series' feed."""
+    first = feed.groupBy("series").agg(F.min("t_us").alias("_first"))
+    return events.join(first, "series").where(F.col("t_us") >= F.col("_first")).drop("_first")
 
 
 def events_per_minute(events: DataFrame) -> DataFrame:

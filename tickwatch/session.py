@@ -30,7 +30,8 @@ def default_parallelism(spark: SparkSession) -> int:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) do we create one of our own.
+    Only a local session that names none (tests) gets a folder of its own; on a cluster
+    that is an error, as executors don't share the driver's folders.
     """
     try:
         sc = spark.sparkContext
@@ -38,13 +39,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # no SparkContext handle (e.g. a remote session): use the session conf
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            configured = tempfile.mkdtemp(prefix="tickwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-            spark.conf.set("spark.checkpoint.dir", configured)
+            raise ValueError("set spark.checkpoint.dir to a folder that the cluster shares") from None
         return configured
     if current.isDefined():
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master.startswith("local-cluster") or not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the cluster shares")
         configured = tempfile.mkdtemp(prefix="tickwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()

@@ -59,10 +59,12 @@ def coerce_anomaly_log(raw: DataFrame, max_rows: int | None = C.ANOMALY_LOG_ROWS
         F.coalesce(F.col("severity"), fallback_severity(types)).alias("severity"),
         F.col("timestamp").alias("ts_iso"))
     out = out.withColumn("primary_type", primary_type(F.col("types"))) \
-        .withColumn("t_us", t_us(F.col("ts"))).withColumn("seq", F.lit(0).cast("long"))
+        .withColumn("t_us", t_us(F.col("ts")))
+    # the log has no sequence number: equal times are ordered by content, the same in every run
+    out = out.withColumn("seq", F.xxhash64(*out.columns))
     if max_rows:
         out = last_n(out, max_rows).drop("pos")
-    return out
+    return out.orderBy("series", "t_us", "seq")
 
 
 def write_price_feed(feed: DataFrame, path: str, n: int = C.MAX_PRICE_HISTORY) -> None:
@@ -74,14 +76,20 @@ def write_price_feed(feed: DataFrame, path: str, n: int = C.MAX_PRICE_HISTORY) -
 
 
 def read_price_feed(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Read the feed, coerce, drop rows without time or price, order by time."""
-    schema = T.StructType(list(PRICE_FEED_ROW.fields) + [T.StructField("series", T.StringType())])
+    """Read the feed as text fields and coerce them (bad scores 0.0, bad flags false),
+    drop rows without time or price, order by time."""
+    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in PRICE_FEED_ROW.fields]
+                          + [T.StructField("series", T.StringType())])
     raw = spark.read.schema(schema).option("multiLine", multiline).option("mode", "DROPMALFORMED").json(path)
     ts = parse_iso(F.col("timestamp"))
-    return (raw.select(F.coalesce("series", F.lit("")).alias("series"), ts.alias("ts"), "price",
-                       F.coalesce("if_score", F.lit(0.0)).alias("if_score"),
-                       F.coalesce("anomaly", F.lit(False)).alias("anomaly"),
-                       F.coalesce("if_ready", F.lit(False)).alias("if_ready"))
+
+    def flag(c: str):
+        return F.coalesce(F.col(c).try_cast("boolean"), F.lit(False)).alias(c)
+
+    return (raw.select(F.coalesce("series", F.lit("")).alias("series"), ts.alias("ts"),
+                       F.col("price").try_cast("double").alias("price"),
+                       F.coalesce(F.col("if_score").try_cast("double"), F.lit(0.0)).alias("if_score"),
+                       flag("anomaly"), flag("if_ready"))
             .where(F.col("ts").isNotNull() & F.col("price").isNotNull())
             .withColumn("t_us", t_us(F.col("ts"))).orderBy("series", "t_us"))
 

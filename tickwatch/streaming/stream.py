@@ -22,6 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,8 +64,13 @@ def decode_kafka_records(raw: DataFrame) -> DataFrame:
     """Kafka records (key, value, topic, offset, ...) -> canonical ticks: payload JSON in
     ``value``, series = key (else the topic), seq = offset."""
     series = F.coalesce(F.col("key").cast("string"), F.col("topic"))
-    return decode_ticks(raw, "value", series=series).select("series", "ts", "t_us",
-                                                             F.col("offset").alias("seq"), "price")
+    if "partition" in raw.columns:
+        # without a key all partitions of a topic are one series, and offsets are unique in a partition only
+        seq = F.when(F.col("key").isNull(), F.shiftleft("offset", 16) + F.col("partition")).otherwise(F.col("offset"))
+    else:
+        seq = F.col("offset")
+    return decode_ticks(raw.withColumn("_seq", seq), "value", series=series).select(
+        "series", "ts", "t_us", F.col("_seq").alias("seq"), "price")
 
 
 def payload_file_ticks(spark: SparkSession, path: str, series: str = "series",
@@ -117,7 +123,7 @@ class StreamDetector:
     # -- state -------------------------------------------------------------------------
     def _state_root(self, spark: SparkSession) -> str:
         if not self.state_path:
-            self.state_path = checkpoint_dir(spark).rstrip("/") + "/tickwatch-state"
+            raise ValueError("the detector needs a state_path, or a start() with a checkpoint path")
         return self.state_path
 
     def _latest_version(self, spark: SparkSession, below: int) -> int | None:
@@ -221,7 +227,10 @@ class StreamDetector:
             anomaly_json(events).write.mode("overwrite").json(f"{self.events_path}/batch_id={batch_id}")
             new_rows = cur.select("series", "ts", "t_us", "seq", "price", "rn", "if_score",
                                   (F.size("types") > 0).alias("anomaly"), "if_ready")
-            rows = last_n(prev_rows.unionByName(new_rows), self.tail_rows()).drop("pos")
+            # the tail by row number: a tick later than the tail is still the newest row
+            rows = prev_rows.unionByName(new_rows)
+            newest = rows.groupBy("series").agg(F.max("rn").alias("_last"))
+            rows = rows.join(newest, "series").where(F.col("rn") > F.col("_last") - self.tail_rows()).drop("_last")
             self._write_state(spark, batch_id, rows)
             if self.feed_path:
                 from tickwatch.sources.files import write_price_feed
@@ -233,10 +242,15 @@ class StreamDetector:
 
     def start(self, ticks: DataFrame, checkpoint: str | None = None, trigger: str | None = "3 seconds",
               available_now: bool = False):
-        """Run ``process`` per micro-batch (processing-time trigger, or availableNow)."""
-        spark = ticks.sparkSession
-        ckpt = checkpoint or checkpoint_dir(spark).rstrip("/") + "/tickwatch-stream"
-        w = ticks.writeStream.foreachBatch(self.process).option("checkpointLocation", ckpt)
+        """Run ``process`` per micro-batch (processing-time trigger, or availableNow).
+
+        ``checkpoint`` is a lasting path of this query's own: it holds the offsets and, unless
+        ``state_path`` names another, the state, so a restarted application finds both."""
+        if not checkpoint:
+            raise ValueError("a checkpoint path is needed: without it a restart finds neither offsets nor state")
+        if not self.state_path:
+            self.state_path = checkpoint.rstrip("/") + "/tickwatch-state"
+        w = ticks.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
         return w.start()
 
@@ -268,8 +282,43 @@ def kafka_sink(ticks: DataFrame, servers: str, topic: str, checkpoint: str | Non
     return None
 
 
+class RunTotals(StreamingQueryListener):
+    """Lifetime totals of detector queries, by query id; register with ``spark.streams.addListener``.
+
+    A query itself keeps only its newest progress reports."""
+
+    def __init__(self) -> None:
+        self.batches: dict[str, int] = {}
+        self.rows: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.numInputRows:
+            self.batches[str(p.id)] = self.batches.get(str(p.id), 0) + 1
+            self.rows[str(p.id)] = self.rows.get(str(p.id), 0) + p.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query, events: DataFrame | None = None) -> dict:
+        """Totals of a query, with the anomalies in its event log and their rate where the log is given."""
+        rows = self.rows.get(str(query.id), 0)
+        out = {"batches": self.batches.get(str(query.id), 0), "total_rows": rows}
+        if events is not None:
+            anomalies = events.count()
+            out |= {"total_anomalies": anomalies, "anomaly_rate": anomalies / rows if rows else 0.0}
+        return out
+
+
 def run_stats(query) -> dict:
-    """Totals and rate of a running detector query from its progress reports."""
+    """Rows and rate of a running detector query from its newest progress reports
+    (``RunTotals`` keeps the lifetime totals)."""
     progress = query.recentProgress or []
     total = sum(int(p.get("numInputRows", 0)) for p in progress)
     last = progress[-1] if progress else {}
