@@ -74,3 +74,29 @@ def test_truncate(spark, tmpdir_path):
     files.write_anomaly_log(_events(spark), path)
     files.truncate(spark, path, ANOMALY_EVENT)
     assert files.read_anomaly_log(spark, path, max_rows=None).count() == 0
+
+
+def test_feed_with_bad_fields_keeps_its_rows(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "feed.json")
+    with open(path, "w") as f:
+        f.write('{"timestamp": "2024-01-01T00:00:00", "price": 1.5, "if_score": "n/a", "anomaly": true, "if_ready": 3}\n')
+        f.write('{"timestamp": "2024-01-01T00:00:01", "price": "2.5", "if_score": 0.5}\n')
+        f.write('{"timestamp": "?", "price": 3.0}\n')
+    rows = files.read_price_feed(spark, path).collect()
+    assert [(r.price, r.if_score, r.anomaly) for r in rows] == [(1.5, 0.0, True), (2.5, 0.5, False)]
+
+
+def test_log_rows_without_a_time_count_as_oldest(spark):
+    from tickwatch.plans.report import last_n
+    df = spark.createDataFrame([("a", 5, 1, 1.0), ("a", None, 2, 2.0), ("a", None, 3, 3.0), ("b", None, 4, 4.0)],
+                               "series string, t_us long, seq long, price double")
+    for n in (2, 3, 2000):
+        got = {(r.series, r.price) for r in last_n(df, n).collect()}
+        assert got == {("a", 1.0), ("a", 3.0), ("b", 4.0)} | ({("a", 2.0)} if n > 2 else set())
+
+
+def test_model_table_saved_and_loaded(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "model")
+    assert files.load_model(spark, path) is None
+    files.save_model(spark.createDataFrame([("a", [1.0], 0.5)], "series string, mu array<double>, cut double"), path)
+    assert files.load_model(spark, path).collect()[0].cut == 0.5

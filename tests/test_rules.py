@@ -146,3 +146,22 @@ def test_numbering_splits_bursts(spark):
     n = number_rows(df, Layout(bucket_rows=20)).select("t_us", "seq", "rn").collect()
     got = sorted((r["t_us"], r["seq"], r["rn"]) for r in n)
     assert [r[2] for r in got] == list(range(1, len(rows) + 1))
+
+
+def test_rounding_keeps_large_values(spark):
+    from pyspark.sql import functions as F
+
+    from tickwatch.functions.numeric import fround
+    values = [2e13, -3e300, 0.1, -2.5, 1e9 + 0.25, float("inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(fround(F.col("v"), 6)).collect()] == values
+    assert df.select(fround("v", 0)).collect()[3][0] == -3.0
+
+
+def test_a_tiny_band_factor_is_rejected(spark):
+    import pytest
+
+    from tickwatch.schema import RuleParams
+    from tickwatch.operators.rules import rule_flags
+    with pytest.raises(ValueError, match="mr_k"):
+        rule_flags(spark.createDataFrame([(1,)], "rn int"), RuleParams(mr_k=0.05))

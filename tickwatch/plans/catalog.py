@@ -189,6 +189,26 @@ def anomaly_log_view(spark, sf_dir):
                     "if_score", "lstm_score", "severity", F.size("types").cast("long").alias("n_types"))
 
 
+@register("price_feed_view", """
+SELECT event_type AS series, epoch_us(ts) AS t_us, value AS price,
+       CASE WHEN event_id % 3 = 0 THEN 0.0 ELSE 0.25 END AS if_score,
+       event_id % 4 = 0 AS anomaly, event_id % 2 = 0 AS if_ready
+FROM events WHERE event_id % 7 <> 0 AND event_id % 5 <> 0 AND value IS NOT NULL""")
+def price_feed_view(spark, sf_dir):
+    """Feed lines with bad times, prices, scores and flags put in, read back and coerced."""
+    from tickwatch.sources.decode import iso_utc
+    from tickwatch.sources.files import coerce_price_feed
+    k = F.col("event_id")
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        F.col("event_type").alias("series"),
+        F.when(k % 7 == 0, F.lit("bad")).otherwise(iso_utc(F.col("ts"))).alias("timestamp"),
+        F.when(k % 5 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("price"),
+        F.when(k % 3 == 0, F.lit("n/a")).otherwise(F.lit("0.25")).alias("if_score"),
+        F.when(k % 4 == 0, F.lit("true")).when(k % 4 == 1, F.lit("false")).otherwise(F.lit("?")).alias("anomaly"),
+        F.when(k % 2 == 0, F.lit("true")).alias("if_ready"))
+    return coerce_price_feed(raw).select("series", "t_us", "price", "if_score", "anomaly", "if_ready")
+
+
 @register("filter_view", f"""{EV}
 SELECT series, seq, severity, types FROM {Q.last_n_sql('ev', C.VIEW_ROWS_DEFAULT,
     "severity IN ('HIGH') AND list_has_any(type_list, ['pct_spike', 'abs_jump', 'lstm_anomaly'])")}""")

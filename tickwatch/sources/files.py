@@ -6,6 +6,7 @@ plain DataFrame writers, partitioned so later reads prune by series/date.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,7 +81,10 @@ def read_price_feed(spark: SparkSession, path: str, multiline: bool = False) ->
     drop rows without time or price, order by time."""
     schema = T.StructType([T.StructField(f.name, T.StringType()) for f in PRICE_FEED_ROW.fields]
                           + [T.StructField("series", T.StringType())])
-    raw = spark.read.schema(schema).option("multiLine", multiline).option("mode", "DROPMALFORMED").json(path)
+    return coerce_price_feed(spark.read.schema(schema).option("multiLine", multiline).option("mode", "DROPMALFORMED").json(path))
+
+
+def coerce_price_feed(raw: DataFrame) -> DataFrame:
     ts = parse_iso(F.col("timestamp"))
 
     def flag(c: str):
@@ -109,6 +113,21 @@ def save_history(ticks: DataFrame, path: str) -> None:
     ticks.select("series", "ts", "seq", "price").write.mode("overwrite").partitionBy("series").parquet(path)
 
 
+def save_model(model: DataFrame, path: str) -> None:
+    """M5: persist a model table (of ``train_static``) as Parquet."""
+    model.write.mode("overwrite").parquet(path)
+
+
+def load_model(spark: SparkSession, path: str) -> DataFrame | None:
+    """M5: the model table saved at ``path``; None where there is none, so that a detector starts cold."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def load_history(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
     return df.withColumn("t_us", t_us(F.col("ts")))
