@@ -11,7 +11,7 @@ the scale of the weights and is the Jaccard similarity where they are equal.
    pairs. Each pair is verified by the exact J_P of its shingles.
 3. Connected components of the verified pairs. Buckets that still hold several components are
    compared again, in blocks: agreement of whole signatures picks the pairs that can reach the
-   threshold, and those are verified exactly as well. So no bucket hides a link.
+   threshold, and the block's task verifies those exactly. So no bucket hides a link.
 4. Components of all links are the classes.
 
 Null, empty and blank texts have no shingles and stand alone. ``class_id`` is the smallest
@@ -59,7 +59,7 @@ def node_key(words: list[str]) -> bytes | None:
 class Shingles:
     """Hashes and weights of the shingles of texts."""
 
-    def __init__(self, p: NearDupParams, keep: int = 300_000):
+    def __init__(self, p: NearDupParams, keep: int = 150_000):
         self.n, self.keep = p.words, keep
         self.known, self.hashes = Numbering(), np.empty(0, np.uint64)
 
@@ -147,7 +147,7 @@ def nodes(docs: DataFrame, p: NearDupParams) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(p)
         for batch in batches:
-            for start, texts in text_slices(batch, max_chars=1_500_000):
+            for start, texts in text_slices(batch, max_docs=128, max_chars=400_000):
                 split = _split(texts)
                 winner = prob_min_hash(*shingles.of(split), len(texts), p.registers)
                 band = np.zeros((len(texts), p.bands), np.uint64)
@@ -183,21 +183,23 @@ def star_pairs(shared: DataFrame) -> DataFrame:
     return met.select(F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b")).distinct()
 
 
-def block_pairs(split: DataFrame, p: NearDupParams) -> DataFrame:
-    """(a, b) in buckets with several components: nodes of different components whose signatures nearly agree.
+def block_links(split: DataFrame, content: DataFrame, p: NearDupParams) -> DataFrame:
+    """(a, b): verified pairs of nodes of different components in buckets that hold several.
 
     ``split`` is (band, bucket, key, n, component, signature). A bucket is cut into blocks; each
-    pair of blocks is one task's group, of at most some 2 * BLOCK nodes.
+    pair of blocks is one task's group, of at most some 2 * BLOCK nodes with their shingles. Pairs
+    whose signatures can reach the threshold are verified there, each in the first band that it
+    shares, so only links leave the task, not pairs.
     """
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     cut = split.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("key", "band"), F.col("blocks")).cast("int"))
-    dealt = (cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("band", "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "key", "component", "signature"))
+    dealt = (cut.join(content, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("band", "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "key", "component", "signature", "content"))
     least = p.threshold - p.slack
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
-        key, own = group["key"].to_numpy(), group["own"].to_numpy()
+        low, high, band = int(group["low"].iloc[0]), int(group["high"].iloc[0]), int(group["band"].iloc[0])
+        key, own, content = group["key"].to_numpy(), group["own"].to_numpy(), group["content"].to_numpy()
         component = pd.factorize(group["component"].map(bytes))[0]
         sig = np.frombuffer(b"".join(group["signature"]), np.uint8).reshape(len(group), -1)
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
@@ -205,29 +207,33 @@ def block_pairs(split: DataFrame, p: NearDupParams) -> DataFrame:
         for i in left:
             others = right[(component[right] != component[i]) & ((right > i) | (low != high))]
             if len(others):
-                agree = (sig[others] == sig[i]).mean(1)
-                out += [(key[i], key[j]) if key[i] < key[j] else (key[j], key[i]) for j in others[agree >= least]]
+                agree = sig[others] == sig[i]
+                near = agree.mean(1) >= least
+                first = agree[near].reshape(-1, p.bands, p.rows).all(2).argmax(1)
+                for j in others[near][first == band]:
+                    if similarity(unpacked(content[i]), unpacked(content[j])) >= p.threshold:
+                        out.append((key[i], key[j]) if key[i] < key[j] else (key[j], key[i]))
         return pd.DataFrame(out, columns=["a", "b"])
 
     return dealt.groupBy("band", "bucket", "low", "high").applyInPandas(compare, "a binary, b binary").distinct()
 
 
-def node_filter(pairs: DataFrame, p: NearDupParams) -> np.ndarray:
-    """A bit map of hashed keys of the nodes in pairs, of 2^filter_bits bits whatever their number."""
+def node_filter(wanted: DataFrame, p: NearDupParams) -> np.ndarray:
+    """A bit map of the hashed keys of nodes, of 2^filter_bits bits whatever their number."""
     slot = F.shiftrightunsigned(F.xxhash64("key"), 64 - p.filter_bits)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).select(slot.alias("slot"))
+    ends = wanted.select(slot.alias("slot"))
     bytes_ = ends.groupBy(F.shiftright("slot", 5).alias("at")).agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 31 AS INT))) AS bits")).toPandas()
     bits = np.zeros(1 << p.filter_bits - 5, np.uint32)
     bits[bytes_["at"].to_numpy(np.int64)] = bytes_["bits"].to_numpy(np.int64)
     return bits
 
 
-def contents(docs: DataFrame, pairs: DataFrame, p: NearDupParams) -> DataFrame:
-    """(key, content): the weighted shingles of each node in pairs.
+def contents(docs: DataFrame, wanted: DataFrame, p: NearDupParams) -> DataFrame:
+    """(key, content): the weighted shingles of the wanted nodes (key, each once).
 
-    A bounded bit map leaves out most texts that are in no pair; the join leaves out the rest.
+    A bounded bit map leaves out most texts that aren't wanted; the join leaves out the rest.
     """
-    bits = docs.sparkSession.sparkContext.broadcast(node_filter(pairs, p))
+    bits = docs.sparkSession.sparkContext.broadcast(node_filter(wanted, p))
     keyed = keys(docs.select("text"), p, text=True).where("key IS NOT NULL").withColumn("slot", F.shiftrightunsigned(F.xxhash64("key"), 64 - p.filter_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,26 +241,26 @@ def contents(docs: DataFrame, pairs: DataFrame, p: NearDupParams) -> DataFrame:
         for batch in batches:
             slot = batch.column("slot").to_numpy()
             batch = batch.filter(pa.array((bits.value[slot >> 5] >> (slot & 31).astype(np.uint32) & 1).astype(bool)))
-            for start, texts in text_slices(batch, max_chars=1_500_000):
+            for start, texts in text_slices(batch, max_docs=128, max_chars=400_000):
                 row, code, weight = shingles.of(_split(texts))
                 cut = np.searchsorted(row, np.arange(len(texts) + 1))
                 data = [code[a:b].tobytes() + weight[a:b].astype(np.uint32).tobytes() for a, b in zip(cut, cut[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column("key").slice(start, len(texts)), pa.array(data, pa.binary())], ["key", "content"])
 
     found = keyed.select("key", "slot", "text").mapInArrow(run, "key binary, content binary")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     return found.groupBy("key").agg(F.first("content").alias("content")).join(wanted, "key", "left_semi")
 
 
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(data) // 12
+    return np.frombuffer(data, np.uint64, n), np.frombuffer(data, np.uint32, n, 8 * n)
+
+
 def verified(pairs: DataFrame, content: DataFrame, p: NearDupParams) -> DataFrame:
     """The pairs (a, b) whose exact similarity reaches the threshold."""
-    def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-        n = len(data) // 12
-        return np.frombuffer(data, np.uint64, n), np.frombuffer(data, np.uint32, n, 8 * n)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            alike = [similarity(unpack(x.as_buffer()), unpack(y.as_buffer())) >= p.threshold
+            alike = [similarity(unpacked(x.as_buffer()), unpacked(y.as_buffer())) >= p.threshold
                      for x, y in zip(batch.column("of_a"), batch.column("of_b"))]
             yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
@@ -299,14 +305,15 @@ def links(docs: DataFrame, sketched: DataFrame, p: NearDupParams) -> DataFrame:
     """(a, b): verified pairs that connect all nodes of a class."""
     shared = written(shared_buckets(sketched))
     stars = written(star_pairs(shared))
-    linked = written(verified(stars, contents(docs, stars, p), p))
+    ends = written(stars.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    linked = written(verified(stars, contents(docs, ends, p), p))
     label = components(linked)
     placed = shared.join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
     several = placed.groupBy("band", "bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("band", "bucket")
     split = placed.join(several, ["band", "bucket"]).where("n > 2")  # the pair of a bucket of two has been compared
-    rest = block_pairs(split.join(sketched.select("key", "signature"), "key"), p)
-    rest = written(rest.join(stars, ["a", "b"], "left_anti"))
-    return linked.unionByName(verified(rest, contents(docs, rest, p), p))
+    split = written(split.join(sketched.select("key", "signature"), "key"))
+    inside = written(split.select("key").distinct())
+    return linked.unionByName(block_links(split, contents(docs, inside, p), p))
 
 
 def near_duplicates(docs: DataFrame, p: NearDupParams = NearDupParams()) -> DataFrame:
