@@ -104,8 +104,7 @@ def disclosing(docs: DataFrame, found: DataFrame, p: PiiParams) -> DataFrame:
     together = (beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("df_te"), F.first("df_e").alias("df_e"))
                 .where(F.col("texts") >= p.support))
     alone = docs.select(F.explode_outer(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
-    known = together.join(alone, "term").join(F.broadcast(n))  # n is one row
+    known = together.join(alone, "term").withColumn("n", docs.select(F.count(F.lit(1))).scalar())
     information = F.log(F.col("n") / F.col("df_e"))
     mutual = F.log(F.col("n") * F.col("df_te") / (F.col("df_t") * F.col("df_e")))
     revealing = written(known.withColumn("gone", F.col("df_te") >= F.col("df_t")).where((information > 0) & (mutual >= p.disclosure * information)).select("entity", "term", "gone"))
