@@ -45,7 +45,7 @@ def test_every_character(whole):
     for start in range(0, 0x30000, 64):
         text = "".join(f"a{chr(c)}1{chr(c)} " for c in range(start, start + 64) if not 0xD800 <= c < 0xE000)
         want = [(token, a) for token, a in whole.pre_tokenizer.pre_tokenize_str(whole.normalizer.normalize_str(text))]
-        if len(want) != len(cutter.of(text)):
+        if len(want) != len(cutter.of([text])[0]):
             odd.append(hex(start))
     assert not odd
 

@@ -25,7 +25,7 @@ from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwatch.llm.common import Numbering, passed_on, ranges
+from tickwatch.llm.common import SLICE_DOCS, Numbering, passed_on, ranges, text_slices
 
 #: The row of a chunk that carries its documents' own columns instead of counts (no pre-token is empty).
 HEADER = ""
@@ -40,7 +40,7 @@ class TokenParams:
     tokenizer_path: str
     cut: str = CUT
     chunk_docs: int = 16_384  # fewer than 2^16
-    chunk_tokens: int = 6_000_000  # pre-tokens in a chunk, but for its last text
+    chunk_tokens: int = 6_000_000  # pre-tokens in a chunk, but for its last slice of texts
     limit: int = 2048
     specials: tuple[str, ...] = field(default=("<|startoftext|>", "<|endoftext|>"))
 
@@ -74,16 +74,15 @@ class Cutter:
             return text.lower().split()
         return self.normalise(text).split(" ")
 
-    def of(self, text: str) -> np.ndarray:
-        """The number of each pre-token of a text, in order but for special strings, which come last."""
-        specials = 0
-        if "<|" in text:
-            parts = self.special.split(text)
-            words, specials = [w for part in parts for w in self.split(part)], len(parts) - 1
-        else:
-            words = self.split(text)
+    def of(self, texts: list[str]) -> list[np.ndarray]:
+        """The number of each pre-token of each text, in order but for special strings, which come last."""
+        words, specials = [], []
+        for text in texts:
+            parts = self.special.split(text) if "<|" in text else [text]
+            words.append([w for part in parts for w in self.split(part)])
+            specials.append(len(parts) - 1)
         known = len(self.words)
-        ids = self.words.of(words)
+        ids = [self.words.of(x) for x in words]
         if len(self.words) > known:
             new = list(islice(self.words, known, None))
             cut = [self.fast(w) if self.plain(w) else [t for t, _ in self.sure(w)] for w in new]
@@ -91,8 +90,8 @@ class Cutter:
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.flat = np.concatenate([self.flat, self.tokens.of([t for x in cut for t in x])])
-        out = self.flat[ranges(self.starts[ids], self.lengths[ids])]
-        return np.append(out, np.full(specials, self.tokens[SPECIAL])) if specials else out
+        out = [self.flat[ranges(self.starts[i], self.lengths[i])] for i in ids]
+        return [np.append(x, np.full(n, self.tokens[SPECIAL])) if n else x for x, n in zip(out, specials)]
 
 
 MORE = np.dtype([("doc", "<u2"), ("n", "<u4")])
@@ -152,18 +151,16 @@ def frequencies(docs: DataFrame, p: TokenParams) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(tokens), key)), pa.array(tokens, pa.string()), docs, more], ["chunk", "token", "docs", "more"])
 
         own, cut, size = [], [], 0
+        most = min(SLICE_DOCS, p.chunk_docs)
         for batch in batches:
-            rest, start, n_bytes = batch.select(keep), 0, []
-            for i, value in enumerate(batch.column("text")):
-                text = value.as_py() or ""
-                cut.append(cutter.of(text))
-                n_bytes.append(len(text.encode()))
-                size += len(cut[-1])
-                full = len(cut) == p.chunk_docs or size >= p.chunk_tokens
-                if full or i == batch.num_rows - 1:
-                    own.append(passed_on(rest.slice(start, i + 1 - start), {"n_bytes": pa.array(n_bytes, pa.int64())}))
-                    start, n_bytes = i + 1, []
-                if full:
+            rest = batch.select(keep)
+            for start, texts in text_slices(batch, max_docs=most):
+                n_bytes = pa.array([len(t.encode()) for t in texts], pa.int64())
+                own.append(passed_on(rest.slice(start, len(texts)), {"n_bytes": n_bytes}))
+                more = cutter.of(texts)
+                cut += more
+                size += sum(map(len, more))
+                if len(cut) + most > p.chunk_docs or size >= p.chunk_tokens:
                     yield from rows(own, cut)
                     own, cut, size, serial = [], [], 0, serial + 1
                     cutter.reset()
