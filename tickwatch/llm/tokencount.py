@@ -90,8 +90,8 @@ class Cutter:
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.flat = np.concatenate([self.flat, self.tokens.of([t for x in cut for t in x])])
-        out = [self.flat[ranges(self.starts[i], self.lengths[i])] for i in ids]
-        return [np.append(x, np.full(n, self.tokens[SPECIAL])) if n else x for x, n in zip(out, specials)]
+        out = [self.flat[ranges(self.starts[i], self.lengths[i])].astype(np.int32) for i in ids]
+        return [np.append(x, np.full(n, self.tokens[SPECIAL], np.int32)) if n else x for x, n in zip(out, specials)]
 
 
 MORE = np.dtype([("doc", "<u2"), ("n", "<u4")])
@@ -132,7 +132,12 @@ def frequencies(docs: DataFrame, p: TokenParams) -> DataFrame:
             key = part << 32 | serial
             none = np.zeros(2, np.int64)
             yield out(key, [HEADER], pa.array([sink.getvalue().to_pybytes()], pa.binary()), slices(np.empty(0, MORE), none))
-            pair = np.sort(np.concatenate(cut) << 16 | np.repeat(np.arange(len(cut)), [len(x) for x in cut]))
+            lengths = [len(x) for x in cut]
+            pair = np.concatenate(cut, dtype=np.int64)
+            cut.clear()  # the pairs are all that is needed from here on
+            pair <<= 16
+            pair |= np.repeat(np.arange(len(lengths)), lengths)
+            pair.sort()
             new = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.empty(0, np.int64)
             n = np.diff(np.append(new, len(pair)))
             token, doc = pair[new] >> 16, (pair[new] & 0xFFFF).astype("<u2")
