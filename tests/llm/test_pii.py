@@ -101,3 +101,21 @@ def test_query(spark):
         g = got[r.doc_id]
         assert [g.n_email, g.n_ip, g.n_card, g.n_phone] == [sum(x[1] == k for x in found) for k in range(4)]
         assert g.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, _, b, k in found).encode()).hexdigest()
+
+
+def test_entities_of_any_frequency(spark):
+    """Entities in one text only, two of them in the same text: what stands in no other text reveals them."""
+    rows = [(i, f"plain words here number{'abcdefgh'[i % 8]}") for i in range(40)]
+    rows += [(40, "plain words Quillon a.b@c.de here +49 30 1234 5678"), (41, "plain words Brandor x.y@z.de"), (41, "plain words Brandor x.y@z.de")]
+    got = {r.doc_id: r for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string"), P).collect()}
+    for n, name in ((40, "Quillon"), (41, "Brandor")):
+        text = dict(rows)[n]
+        assert [text[s.start:s.end] for s in got[n].spans if s.kind == "term"] == [name]
+        assert name not in got[n].sanitised and "plain words" in got[n].sanitised
+    assert not got[0].spans
+
+
+def test_terms_on_the_given_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    spans = [s for r in pii.scan(docs).collect() for s in r.spans]
+    assert sum(s.kind == "term" for s in spans) > 100

@@ -3,9 +3,10 @@
 Patterns find e-mail addresses, IP addresses, card and phone numbers. What they find are the
 protected entities. A term reveals an entity as far as their pointwise mutual information over
 the corpus, log N df(t, e) / (df(t) df(e)), comes near the entity's whole information content,
-log N / df(e) (Sanchez and Batet 2016). Terms that reach ``disclosure`` of it, and meet the
-entity in ``support`` different texts, are spans of kind ``term`` wherever they stand beside
-that entity: a term that reveals it fully is removed, another generalised.
+log N / df(e) (Sanchez and Batet 2016). Entities of any frequency take part: most are in one text
+only, and what stands in no other text reveals them. Terms that reach ``disclosure`` of it are
+spans of kind ``term`` wherever they stand beside that entity: a term that reveals it fully is
+removed, another generalised.
 
 Places are code points, ends exclusive. Null and empty texts have no spans. Every row is one row
 of the result, repeated rows and null ids too; other columns pass through, but columns named
@@ -31,7 +32,7 @@ TERM = r"\p{L}{3,}"
 @dataclass(frozen=True)
 class PiiParams:
     disclosure: float = 0.9
-    support: int = 3
+    support: int = 1  # fewest different texts of an entity, and of a term with it: entities of any frequency take part
 
 
 def places(text: Column, pattern: Column, kind: str, order: int) -> Column:
@@ -84,6 +85,21 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(emails, ips, cards, phones))
 
 
+def term_places(text: Column, wanted: Column) -> Column:
+    """The words that are wanted terms, as spans; their places are summed up over all words."""
+    parts = F.arrays_zip(F.split(text, F.lit(TERM), -1).alias("gap"), F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("found"))
+
+    def add(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        end = start + F.length(x["found"])
+        span = F.struct(start.alias("start"), F.lit(len(KINDS)).alias("ord"), end.alias("end"), F.lit("term").alias("kind"), x["found"].alias("found"))
+        more = F.when(F.array_contains(wanted, F.lower(x["found"])), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
+        return F.when(x["found"].isNull(), acc).otherwise(F.struct(end.alias("at"), more.alias("spans")))
+
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+    return F.aggregate(parts, zero, add)["spans"]
+
+
 def terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
@@ -91,24 +107,27 @@ def terms(text: Column) -> Column:
 def disclosing(docs: DataFrame, found: DataFrame, p: PiiParams) -> DataFrame:
     """(key, terms, gone): for each text with entities the terms that reveal one, and those that reveal one fully.
 
-    ``found`` is (key, text, spans) of the rows with spans. Entities are counted first and only
-    those in enough texts meet terms; the terms of all texts are counted once, pre-aggregated.
+    ``found`` is (key, text, spans) of the rows with spans. Entities of the same texts meet the same
+    terms, so they are counted once, as one group; the terms of all texts are counted once, pre-aggregated.
     """
     entity = F.explode_outer(F.array_distinct(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["found"]))))
     met = found.select("key", entity.alias("entity"))
     weight = found.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
     pairs = written(met.distinct().join(weight, "key"))
-    common = written(pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("df_e")).where(F.col("texts") >= p.support))
+    # the digests of an entity's texts, in any order, name its group
+    alike = [F.bit_xor(F.xxhash64("key", F.lit(seed))).alias(f"g{seed}") for seed in (1, 2)]
+    entities = pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("df_e"), *alike).where(F.col("texts") >= p.support)
+    members = written(pairs.join(entities, "entity").select("g1", "g2", "df_e", "key", "rows").distinct())
     texts = found.groupBy("key").agg(F.first("text").alias("text"))
-    beside = pairs.join(common, "entity").join(texts, "key").select("entity", "df_e", "key", "rows", F.explode_outer(terms(F.col("text"))).alias("term"))
-    together = (beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("df_te"), F.first("df_e").alias("df_e"))
+    beside = members.join(texts, "key").select("g1", "g2", "df_e", "rows", F.explode_outer(terms(F.col("text"))).alias("term"))
+    together = (beside.groupBy("g1", "g2", "df_e", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("df_te"))
                 .where(F.col("texts") >= p.support))
     alone = docs.select(F.explode_outer(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
     known = together.join(alone, "term").withColumn("n", docs.select(F.count(F.lit(1))).scalar())
     information = F.log(F.col("n") / F.col("df_e"))
     mutual = F.log(F.col("n") * F.col("df_te") / (F.col("df_t") * F.col("df_e")))
-    revealing = written(known.withColumn("gone", F.col("df_te") >= F.col("df_t")).where((information > 0) & (mutual >= p.disclosure * information)).select("entity", "term", "gone"))
-    return (pairs.join(revealing, "entity").groupBy("key")
+    revealing = written(known.withColumn("gone", F.col("df_te") >= F.col("df_t")).where((information > 0) & (mutual >= p.disclosure * information)).select("g1", "g2", "term", "gone"))
+    return (members.join(revealing, ["g1", "g2"]).groupBy("key")
             .agg(F.sort_array(F.collect_set("term")).alias("terms"), F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("gone")))
 
 
@@ -135,9 +154,8 @@ def scan(docs: DataFrame, p: PiiParams = PiiParams()) -> DataFrame:
     hit = base.where("__key IS NOT NULL")
     own = disclosing(docs.select("text"), hit.select(F.col("__key").alias("key"), F.col("__text").alias("text"), F.col("__spans").alias("spans")), p)
     own = own.select(F.col("key").alias("__key"), F.col("terms").alias("__terms"), F.col("gone").alias("__gone"))
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("__terms", "|"), F.lit(r")(?!\p{L})"))
     term_spans = F.when(F.col("__terms").isNotNull(), F.filter(
-        places(F.col("__text"), pattern, "term", len(KINDS)),
+        term_places(F.col("__text"), F.col("__terms")),
         lambda t: ~F.exists("__spans", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))).otherwise(F.array().cast(f"array<{SPAN}>"))
     full = hit.join(own, "__key", "left").withColumn("__all", F.array_sort(F.concat("__spans", term_spans)))
     out = F.transform("__all", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
