@@ -119,3 +119,18 @@ def test_terms_on_the_given_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     spans = [s for r in pii.scan(docs).collect() for s in r.spans]
     assert sum(s.kind == "term" for s in spans) > 100
+
+
+def test_terms_away_from_their_entity(spark):
+    """A term in eight texts of an entity and one without it discloses there too; the reverse of few and many doesn't."""
+    rows = [(i, f"plain words here number{'abcdefgh'[i % 8]}") for i in range(4000)]
+    rows += [(5000 + i, f"plain words Marvossa at a.b@c.de item{'abcdefgh'[i]}") for i in range(8)]
+    rows += [(6000, "plain Marvossa words, MARVOSSA"), (6000, "plain Marvossa words, MARVOSSA"), (6001, "plain words at"), (6002, None)]
+    got = pii.scan(spark.createDataFrame(rows, "doc_id long, text string"), P).collect()
+    assert len(got) == len(rows)
+    away = [r for r in got if r.doc_id == 6000]
+    assert len(away) == 2
+    for r in away:
+        assert [(s.kind, s.start, s.end) for s in r.spans] == [("term", 6, 14), ("term", 22, 30)]
+        assert r.sanitised == "plain [TERM] words, [TERM]"
+    assert all(not r.spans and r.sanitised is None for r in got if r.doc_id < 5000 or r.doc_id > 6000)

@@ -5,8 +5,8 @@ protected entities. A term reveals an entity as far as their pointwise mutual in
 the corpus, log N df(t, e) / (df(t) df(e)), comes near the entity's whole information content,
 log N / df(e) (Sanchez and Batet 2016). Entities of any frequency take part: most are in one text
 only, and what stands in no other text reveals them. Terms that reach ``disclosure`` of it are
-spans of kind ``term`` wherever they stand beside that entity: a term that reveals it fully is
-removed, another generalised.
+spans of kind ``term`` wherever they stand, in texts with and without that entity: a term that
+reveals one fully is removed, another generalised.
 
 Places are code points, ends exclusive. Null and empty texts have no spans. Every row is one row
 of the result, repeated rows and null ids too; other columns pass through, but columns named
@@ -85,6 +85,10 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(emails, ips, cards, phones))
 
 
+def key(text: Column) -> Column:
+    return F.md5(text.cast("binary"))
+
+
 def term_places(text: Column, wanted: Column) -> Column:
     """The words that are wanted terms, as spans; their places are summed up over all words."""
     parts = F.arrays_zip(F.split(text, F.lit(TERM), -1).alias("gap"), F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("found"))
@@ -105,7 +109,7 @@ def terms(text: Column) -> Column:
 
 
 def disclosing(docs: DataFrame, found: DataFrame, p: PiiParams) -> DataFrame:
-    """(key, terms, gone): for each text with entities the terms that reveal one, and those that reveal one fully.
+    """(term, gone): the terms that reveal an entity, and whether they reveal one fully.
 
     ``found`` is (key, text, spans) of the rows with spans. Entities of the same texts meet the same
     terms, so they are counted once, as one group; the terms of all texts are counted once, pre-aggregated.
@@ -126,9 +130,16 @@ def disclosing(docs: DataFrame, found: DataFrame, p: PiiParams) -> DataFrame:
     known = together.join(alone, "term").withColumn("n", docs.select(F.count(F.lit(1))).scalar())
     information = F.log(F.col("n") / F.col("df_e"))
     mutual = F.log(F.col("n") * F.col("df_te") / (F.col("df_t") * F.col("df_e")))
-    revealing = written(known.withColumn("gone", F.col("df_te") >= F.col("df_t")).where((information > 0) & (mutual >= p.disclosure * information)).select("g1", "g2", "term", "gone"))
-    return (members.join(revealing, ["g1", "g2"]).groupBy("key")
-            .agg(F.sort_array(F.collect_set("term")).alias("terms"), F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("gone")))
+    revealing = known.where((information > 0) & (mutual >= p.disclosure * information))
+    return written(revealing.groupBy("term").agg(F.max(F.col("df_te") >= F.col("df_t")).alias("gone")))
+
+
+def held(docs: DataFrame, revealing: DataFrame) -> DataFrame:
+    """(key, terms, gone): for each text with disclosing terms these terms, and those that reveal fully."""
+    each = docs.select(key(F.col("text")).alias("key"), F.explode_outer(terms(F.col("text"))).alias("term"))
+    # copies of a text become one before the text's terms are gathered
+    own = each.join(revealing, "term").groupBy("key", "term").agg(F.first("gone").alias("gone"))
+    return written(own.groupBy("key").agg(F.collect_list("term").alias("terms"), F.collect_list(F.when(F.col("gone"), F.col("term"))).alias("gone")))
 
 
 def sanitised(text: Column, spans: Column, gone: Column) -> Column:
@@ -150,15 +161,20 @@ def scan(docs: DataFrame, p: PiiParams = PiiParams()) -> DataFrame:
     spanned = docs.select(*keep, text.alias("__text"), base_spans(text).alias("__spans"))
     some = F.size("__spans") > 0
     # a table of all rows, with the text only where something was found
-    base = written(spanned.select(*keep, "__spans", F.when(some, F.col("__text")).alias("__text")).withColumn("__key", F.md5(F.col("__text").cast("binary"))))
-    hit = base.where("__key IS NOT NULL")
-    own = disclosing(docs.select("text"), hit.select(F.col("__key").alias("key"), F.col("__text").alias("text"), F.col("__spans").alias("spans")), p)
-    own = own.select(F.col("key").alias("__key"), F.col("terms").alias("__terms"), F.col("gone").alias("__gone"))
+    base = written(spanned.select(*keep, "__spans", key(F.col("__text")).alias("__key"), F.when(some, F.col("__text")).alias("__text")))
+    hit = base.where("__text IS NOT NULL")
+    plain = docs.select(text.alias("text"))
+    own = held(plain, disclosing(plain, hit.select(F.col("__key").alias("key"), F.col("__text").alias("text"), F.col("__spans").alias("spans")), p))
+    # the texts that hold a disclosing term but nothing that the patterns find, read again
+    beyond = own.select("key").join(hit.select(F.col("__key").alias("key")).distinct(), "key", "left_anti")
+    more = (plain.withColumn("key", key(F.col("text"))).join(beyond, "key", "left_semi")
+            .groupBy("key").agg(F.first("text").alias("__more")))
+    own = own.join(more, "key", "left").select(F.col("key").alias("__key"), F.col("terms").alias("__terms"), F.col("gone").alias("__gone"), "__more")
+    full = base.join(own, "__key", "left").withColumn("__text", F.coalesce("__text", "__more"))
     term_spans = F.when(F.col("__terms").isNotNull(), F.filter(
         term_places(F.col("__text"), F.col("__terms")),
         lambda t: ~F.exists("__spans", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))).otherwise(F.array().cast(f"array<{SPAN}>"))
-    full = hit.join(own, "__key", "left").withColumn("__all", F.array_sort(F.concat("__spans", term_spans)))
+    full = full.withColumn("__all", F.array_sort(F.concat("__spans", term_spans)))
     out = F.transform("__all", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    done = full.select(*keep, out.alias("spans"), sanitised(F.col("__text"), F.col("__all"), F.col("__gone")).alias("sanitised"))
-    empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    return done.unionByName(base.where("__key IS NULL").select(*keep, empty.alias("spans"), F.lit(None).cast("string").alias("sanitised")))
+    changed = F.when(F.size("__all") > 0, sanitised(F.col("__text"), F.col("__all"), F.col("__gone")))
+    return full.select(*keep, out.alias("spans"), changed.alias("sanitised"))
