@@ -105,3 +105,16 @@ def test_junk_is_rejected_and_clean_text_kept(spark):
     assert sound[sound.quality == 1].kept.mean() > 0.97
     assert out[out.quality == 0].kept.mean() < 0.7
     assert np.isfinite(sound.nll).all()
+
+
+def test_unseen_ngrams_take_no_others_weight(spark):
+    """However few slot bits: the model is exact, and random letters stay far worse than the text."""
+    rng = random.Random(8)
+    known = ["".join(rng.choices("abcdefghijkl", k=6)) for _ in range(400)]
+    docs = spark.createDataFrame([(1, " ".join(known), "en")], "doc_id long, text string, lang string")
+    p = px.PerplexityParams(slot_bits=6)
+    model, exact = px.ngram_model(docs, p), brute_model([" ".join(known)])
+    unseen = ["".join(rng.choices("mnopqrstuvwxyz", k=6)) for _ in range(50)]
+    got = model.nll("en", [w.encode() for w in known[:50]], p)
+    assert got == pytest.approx([exact(w) for w in known[:50]], rel=1e-4)
+    assert model.nll("en", [w.encode() for w in unseen], p).min() > 2 * got.max()

@@ -3,9 +3,8 @@
 ``ngram_model`` is a character n-gram model with modified Kneser-Ney smoothing (Chen and Goodman
 1999), counted by Spark over every text: words are counted by language first, their n-grams
 (within a word and its borders) next, so the tables grow with the corpus but stay far smaller
-than it. Weights are kept in arrays sorted by the hash of language and n-gram, at most
-``2 ** slot_bits`` of them an order, so a worker holds a bounded model and looks n-grams up by
-binary search; n-grams that share a slot share the larger weight.
+than it. Every weight is kept, in arrays of each language sorted by the n-gram's number, and looked
+up by binary search, so an unseen n-gram never takes another's weight.
 
 ``rules`` measures every text: plain word, symbol and repetition counts, and the mean negative
 log-probability of its words' characters. For each language the quartiles over all texts give an
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwatch.llm.common import Numbering, csr_rows, hash64, mix64, passed_on, text_slices
+from tickwatch.llm.common import Numbering, csr_rows, mix64, passed_on, text_slices
 
 #: The characters that count as symbols, and the limits of the plain rules.
 SYMBOLS = "#*$%&|<>"
@@ -43,7 +42,7 @@ COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 @dataclass(frozen=True)
 class PerplexityParams:
     order: int = 4  # at most 4, so that an n-gram fits a long
-    slot_bits: int = 20
+    slot_bits: int = 20  # without effect since every n-gram has an entry of its own
     reach: float = 4.0  # quartile distances beyond the quartiles that are still within the bands
     bins: int = 64  # of one unit of log-probability, for the quartiles
 
@@ -127,11 +126,14 @@ def gram_counts(words: DataFrame, p: PerplexityParams) -> DataFrame:
     return out.select("lang", "k", "code", "c")
 
 
+Entries = dict[str, tuple[np.ndarray, np.ndarray]]
+
+
 @dataclass(frozen=True)
 class NgramModel:
-    """For each order sorted slots with the discounted probability of an n-gram, and the back-off weight of a context."""
-    alpha: dict[int, tuple[np.ndarray, np.ndarray]]
-    gamma: dict[int, tuple[np.ndarray, np.ndarray]]
+    """For each order and language the sorted n-grams with their discounted probabilities, and the contexts with their back-off weights."""
+    alpha: dict[int, Entries]
+    gamma: dict[int, Entries]
 
     def nll(self, lang: str, words: list[bytes], p: PerplexityParams) -> np.ndarray:
         """Negative log-probability of each word with its end."""
@@ -139,26 +141,20 @@ class NgramModel:
         prob = np.full(len(code), 2.0 ** -BITS)
         for k in range(1, p.order + 1):
             part = code & (1 << BITS * k) - 1
-            prob = (found(self.alpha[k], slots(lang, k, part, p), 0.0)
-                    + found(self.gamma[k], slots(lang, -k, part >> BITS, p), 1.0) * prob)
+            prob = found(self.alpha[k].get(lang), part, 0.0) + found(self.gamma[k].get(lang), part >> BITS, 1.0) * prob
         return np.bincount(row, -np.log(np.maximum(prob, 1e-12)), minlength=len(words))
 
 
-def slots(lang: str, k: int, code: np.ndarray, p: PerplexityParams) -> np.ndarray:
-    seed = hash64([f"{lang}:{k}"])[0]
-    return (mix64(code.astype(np.uint64) ^ seed) >> np.uint64(64 - p.slot_bits)).astype(np.int32)
-
-
-def found(entries: tuple[np.ndarray, np.ndarray], slot: np.ndarray, default: float) -> np.ndarray:
+def found(entries: tuple[np.ndarray, np.ndarray] | None, code: np.ndarray, default: float) -> np.ndarray:
+    if not entries:
+        return np.full(len(code), default)
     keys, values = entries
-    if not len(keys):
-        return np.full(len(slot), default)
-    at = np.minimum(np.searchsorted(keys, slot), len(keys) - 1)
-    return np.where(keys[at] == slot, values[at], default)
+    at = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
+    return np.where(keys[at] == code, values[at], default)
 
 
 def ngram_model(docs: DataFrame, p: PerplexityParams = PerplexityParams()) -> NgramModel:
-    """Counts all texts and keeps the smoothed weights, at most ``2 ** slot_bits`` an order and kind."""
+    """Counts all texts and keeps the smoothed weights of every n-gram and context."""
     counts = gram_counts(word_counts(docs), p).checkpoint()
     n = [F.coalesce(F.sum((F.col("c") == i).cast("double")), F.lit(0.0)).alias(f"n{i}") for i in (1, 2, 3, 4)]
     y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
@@ -176,22 +172,14 @@ def ngram_model(docs: DataFrame, p: PerplexityParams = PerplexityParams()) -> Ng
              .select("lang", "k", "code", (F.greatest(F.col("c") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("w")))
     gamma = contexts.select("lang", (-F.col("k")).alias("k"), F.col("context").alias("code"), F.least(F.col("left") / F.col("total"), F.lit(1.0)).alias("w"))
 
-    def slotted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            code, k = batch.column("code").to_numpy(), batch.column("k").to_numpy()
-            lang = np.array(batch.column("lang").to_pylist(), dtype=object)
-            slot = np.zeros(len(code), np.int32)
-            for of, kind in {*zip(lang, k)}:
-                some = (lang == of) & (k == kind)
-                slot[some] = slots(of, int(kind), code[some], p)
-            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(slot), batch.column("w")], ["k", "slot", "w"])
-
-    rows = (alpha.unionByName(gamma).mapInArrow(slotted, "k int, slot int, w double")
-            .groupBy("k", "slot").agg(F.max("w").alias("w")).toPandas().sort_values(["k", "slot"]))
-    of = {k: (part["slot"].to_numpy(np.int32), part["w"].to_numpy(np.float32)) for k, part in rows.groupby("k")}
-    none = np.empty(0, np.int32), np.empty(0, np.float32)
-    orders = range(1, p.order + 1)
-    return NgramModel({k: of.get(k, none) for k in orders}, {k: of.get(-k, none) for k in orders})
+    # twelve bytes an entry; the entries are as many as the corpus has n-grams
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    alphas, gammas = ({k: {} for k in range(1, p.order + 1)} for _ in range(2))
+    for lang in langs:
+        rows = alpha.unionByName(gamma).where(F.col("lang") == lang).select("k", "code", F.col("w").cast("float").alias("w")).toPandas()
+        for k, part in rows.sort_values(["k", "code"]).groupby("k"):
+            (alphas if k > 0 else gammas)[abs(k)][lang] = part["code"].to_numpy(np.int64), part["w"].to_numpy(np.float32)
+    return NgramModel(alphas, gammas)
 
 
 def base_measures(text: str, words: list[bytes], ids: np.ndarray) -> tuple[int, int, int]:
