@@ -86,7 +86,7 @@ def base_spans(text: Column) -> Column:
 
 
 def key(text: Column) -> Column:
-    return F.md5(text.cast("binary"))
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def term_places(text: Column, wanted: Column) -> Column:
@@ -136,7 +136,8 @@ def disclosing(docs: DataFrame, found: DataFrame, p: PiiParams) -> DataFrame:
 
 def held(docs: DataFrame, revealing: DataFrame) -> DataFrame:
     """(key, terms, gone): for each text with disclosing terms these terms, and those that reveal fully."""
-    each = docs.select(key(F.col("text")).alias("key"), F.explode_outer(terms(F.col("text"))).alias("term"))
+    # a text's key once, below the explosion, not once a term
+    each = docs.select(key(F.col("text")).alias("key"), terms(F.col("text")).alias("terms")).select("key", F.explode_outer("terms").alias("term"))
     # copies of a text become one before the text's terms are gathered
     own = each.join(revealing, "term").groupBy("key", "term").agg(F.first("gone").alias("gone"))
     return written(own.groupBy("key").agg(F.collect_list("term").alias("terms"), F.collect_list(F.when(F.col("gone"), F.col("term"))).alias("gone")))
