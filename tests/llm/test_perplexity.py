@@ -118,3 +118,28 @@ def test_unseen_ngrams_take_no_others_weight(spark):
     got = model.nll("en", [w.encode() for w in known[:50]], p)
     assert got == pytest.approx([exact(w) for w in known[:50]], rel=1e-4)
     assert model.nll("en", [w.encode() for w in unseen], p).min() > 2 * got.max()
+
+
+def test_running_text_against_brute_force(spark):
+    rows = [(i, t, ["en", None][i % 2]) for i, t in enumerate(texts())]
+    p = px.PerplexityParams(running=True)
+    joined = {i: "\1".join(w.decode() for w in (t or "").encode().split()) for i, t, _ in rows}
+    models = {lang: brute_model([joined[i] for i, _, of in rows if of == lang]) for lang in ("en", None)}
+    got = px.rules(spark.createDataFrame(rows, "doc_id long, text string, lang string"), p).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if joined[r.doc_id]:
+            assert r.nll == pytest.approx(models[r.lang](joined[r.doc_id]) / (len(joined[r.doc_id]) + 1), rel=1e-4)
+        else:
+            assert r.nll is None and not r.kept
+
+
+def test_shuffled_clean_text_scores_worse(spark):
+    """By the query's own parameters."""
+    rng = random.Random(3)
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text").collect() if r.lang == "en" and len(r.text or "") > 1500][:100]
+    mixed = [(r.doc_id, r.lang, " ".join(rng.sample(r.text.split(), len(r.text.split())))) for r in rows]
+    model = px.ngram_model(spark.createDataFrame([tuple(r) for r in rows], "doc_id long, lang string, text string"), px.PerplexityParams(running=True))
+    nll = [{r.doc_id: r.nll for r in px.measures(spark.createDataFrame(x, "doc_id long, lang string, text string"), model, px.PerplexityParams(running=True)).collect()}
+           for x in ([tuple(r) for r in rows], mixed)]
+    assert np.mean([nll[1][i] > nll[0][i] for i in nll[0]]) > 0.95

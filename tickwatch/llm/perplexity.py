@@ -1,9 +1,10 @@
 """Quality rules: n-gram perplexity bands by language.
 
 ``ngram_model`` is a character n-gram model with modified Kneser-Ney smoothing (Chen and Goodman
-1999), counted by Spark over every text: words are counted by language first, their n-grams
-(within a word and its borders) next, so the tables grow with the corpus but stay far smaller
-than it. Every weight is kept, in arrays of each language sorted by the n-gram's number, and looked
+1999), counted by Spark over every text: words are counted by language first, their n-grams next,
+so the tables grow with the corpus but stay far smaller than it. With ``running`` n-grams run over
+the text, its words with one border between them: a word holds the n-grams behind its border, a
+joint (the last characters before a border and the first behind it) those that cross one. Every weight is kept, in arrays of each language sorted by the n-gram's number, and looked
 up by binary search, so an unseen n-gram never takes another's weight.
 
 ``rules`` measures every text: plain word, symbol and repetition counts, and the mean negative
@@ -44,6 +45,7 @@ class PerplexityParams:
     order: int = 4  # at most 4, so that an n-gram fits a long
     slot_bits: int = 20  # without effect since every n-gram has an entry of its own
     reach: float = 4.0  # quartile distances beyond the quartiles that are still within the bands
+    running: bool = False  # n-grams cross the words' borders; else each word stands alone
     bins: int = 64  # of one unit of log-probability, for the quartiles
 
 
@@ -51,14 +53,37 @@ def language(docs: DataFrame) -> Column:
     return F.coalesce("lang", F.lit(NO_LANGUAGE)) if "lang" in docs.columns else F.lit(NO_LANGUAGE)
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, n) over all texts."""
+class Edges:
+    """What of each word meets its neighbours: the numbers of its last and of its first characters."""
+
+    def __init__(self, p: PerplexityParams):
+        self.width = p.order - 2
+        self.tails, self.heads = Numbering({" " * self.width: 0}), Numbering()
+        self.tail, self.head = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, words: list[bytes]) -> None:
+        texts = [w.decode() for w in words]
+        self.tail = np.append(self.tail, self.tails.of([(" " + t)[-self.width:] for t in texts]))
+        self.head = np.append(self.head, self.heads.of([(t + " ")[:self.width] for t in texts]))
+
+    def joints(self, ids: np.ndarray) -> np.ndarray:
+        """A text's joints, one before each word: before the first one there are only borders."""
+        return np.append(0, self.tail[ids])[:len(ids)] << 32 | self.head[ids]
+
+    def units(self, joints: list[int]) -> list[bytes]:
+        tails, heads = list(self.tails), list(self.heads)
+        return [f"{tails[j >> 32]} {heads[j & 0xffffffff]}".encode() for j in joints]
+
+
+def word_counts(docs: DataFrame, p: PerplexityParams) -> DataFrame:
+    """(lang, word, n) over all texts; joints, which hold a space, are words too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = {}
+        held: dict[str, tuple[Numbering, Edges, list[np.ndarray], Counter]] = {}
 
         def out() -> Iterator[pa.RecordBatch]:
-            for lang, counts in held.items():
-                words, n = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+            for lang, (number, edges, counts, joints) in held.items():
+                words = list(number) + edges.units(list(joints))
+                n = np.append(counts[0], np.fromiter(joints.values(), np.int64, len(joints)))
                 for at in range(0, len(words), 50_000):
                     part = words[at:at + 50_000]
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array(part, pa.binary()).cast(pa.string()), pa.array(n[at:at + 50_000])],
@@ -68,9 +93,20 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for start, texts in text_slices(batch):
+                split: dict[str, list[list[bytes]]] = {}
                 for lang, text in zip(langs[start:], texts):
-                    held.setdefault(lang, Counter()).update(text.encode().split())
-                if sum(map(len, held.values())) > 300_000:
+                    split.setdefault(lang, []).append(text.encode().split())
+                for lang, own in split.items():
+                    number, edges, counts, joints = held.setdefault(lang, (Numbering(), Edges(p), [np.empty(0, np.int64)], Counter()))
+                    ids = [number.of(words) for words in own]
+                    n = np.bincount(np.concatenate(ids), minlength=len(number))
+                    n[:len(counts[0])] += counts[0]
+                    counts[0] = n
+                    if p.running:
+                        edges.add(list(number)[len(edges.head):])
+                        codes, times = np.unique(np.concatenate([edges.joints(x) for x in ids]), return_counts=True)
+                        joints.update(dict(zip(codes.tolist(), times.tolist())))
+                if sum(len(x[0]) + len(x[3]) for x in held.values()) > 300_000:
                     yield from out()
         yield from out()
 
@@ -78,25 +114,26 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def grams(words: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The word number and the n-gram before and with each character of each word and its end."""
-    texts = [w.decode() for w in words]
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+def grams(words: list[bytes], p: PerplexityParams) -> tuple[np.ndarray, np.ndarray]:
+    """The word number and the n-gram before and with each character of each word and its end, or of each joint's end.
+
+    With ``running`` a word's first characters, which depend on the word before, belong to the joint.
+    """
+    order = p.order
+    before = " " if p.running else " " * (order - 1)
+    texts = [t if " " in t else f"{before}{t} " for t in (w.decode() for w in words)]
+    width = np.fromiter(map(len, texts), np.int64, len(texts))
     cp = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
-    cp = np.where(cp < 1 << BITS, np.maximum(cp, 2), (cp * 40_503 & (1 << BITS) - 1) | 1 << BITS - 1)
-    pad = order - 1
-    width = lengths + pad + 1
-    flat = np.full(int(width.sum()), BORDER)
-    starts = np.cumsum(width) - width
-    flat[np.arange(len(cp)) + np.repeat(starts + pad - (np.cumsum(lengths) - lengths), lengths)] = cp
+    flat = np.where(cp < 1 << BITS, np.maximum(cp, 2), (cp * 40_503 & (1 << BITS) - 1) | 1 << BITS - 1)
+    flat[cp == ord(" ")] = BORDER
     code = np.zeros(len(flat), np.int64)
     for back in range(order):
         shifted = np.zeros(len(flat), np.int64)
         shifted[back:] = flat[:len(flat) - back]
         code |= shifted << BITS * back
     row = csr_rows(width)
-    place = np.arange(len(flat)) - np.repeat(starts, width)
-    return row[place >= pad], code[place >= pad]
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(width) - width, width)
+    return row[place >= order - 1], code[place >= order - 1]
 
 
 def gram_counts(words: DataFrame, p: PerplexityParams) -> DataFrame:
@@ -107,7 +144,7 @@ def gram_counts(words: DataFrame, p: PerplexityParams) -> DataFrame:
             words = [w.encode() for w in batch.column("word").to_pylist()]
             n = batch.column("n").to_numpy()
             for at in range(0, len(words), 20_000):
-                row, code = grams(words[at:at + 20_000], p.order)
+                row, code = grams(words[at:at + 20_000], p)
                 of, n_of = lang[at:at + 20_000][row], n[at:at + 20_000][row]
                 order = np.lexsort((code, of))
                 code, of, n_of = code[order], of[order], n_of[order]
@@ -136,8 +173,8 @@ class NgramModel:
     gamma: dict[int, Entries]
 
     def nll(self, lang: str, words: list[bytes], p: PerplexityParams) -> np.ndarray:
-        """Negative log-probability of each word with its end."""
-        row, code = grams(words, p.order)
+        """Negative log-probability of each word with its end, or of each joint."""
+        row, code = grams(words, p)
         prob = np.full(len(code), 2.0 ** -BITS)
         for k in range(1, p.order + 1):
             part = code & (1 << BITS * k) - 1
@@ -155,7 +192,7 @@ def found(entries: tuple[np.ndarray, np.ndarray] | None, code: np.ndarray, defau
 
 def ngram_model(docs: DataFrame, p: PerplexityParams = PerplexityParams()) -> NgramModel:
     """Counts all texts and keeps the smoothed weights of every n-gram and context."""
-    counts = gram_counts(word_counts(docs), p).checkpoint()
+    counts = gram_counts(word_counts(docs, p), p).checkpoint()
     n = [F.coalesce(F.sum((F.col("c") == i).cast("double")), F.lit(0.0)).alias(f"n{i}") for i in (1, 2, 3, 4)]
     y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
 
@@ -207,11 +244,13 @@ def measures(docs: DataFrame, model: NgramModel, p: PerplexityParams) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[Numbering, np.ndarray, np.ndarray]] = {}
+        met: dict[str, tuple[Edges, Numbering, np.ndarray]] = {}
         for batch in batches:
             langs, out = batch.column("__lang").to_pylist(), []
             for start, texts in text_slices(batch):
                 if sum(len(x[0]) for x in known.values()) > 300_000:
                     known.clear()
+                    met.clear()
                 split: dict[str, list[tuple[int, list[bytes]]]] = {}
                 for i, text in enumerate(texts):
                     split.setdefault(langs[start + i], []).append((i, text.encode().split()))
@@ -224,9 +263,19 @@ def measures(docs: DataFrame, model: NgramModel, p: PerplexityParams) -> DataFra
                         nll = np.concatenate([nll, handle.value.nll(lang, new, p)])
                         chars = np.concatenate([chars, np.fromiter((len(w.decode()) for w in new), np.int64, len(new))])
                     known[lang] = number, nll, chars
-                    for (i, words), at in zip(own, ids):
+                    joint = [0.0] * len(ids)
+                    if p.running:
+                        edges, numbered, of_joint = met.get(lang) or (Edges(p), Numbering(), np.empty(0))
+                        edges.add(new)
+                        joints, of_text = np.unique(np.concatenate([edges.joints(at) for at in ids]), return_inverse=True)
+                        which = numbered.of(joints.tolist())
+                        if len(numbered) > len(of_joint):
+                            of_joint = np.append(of_joint, handle.value.nll(lang, edges.units(list(numbered)[len(of_joint):]), p))
+                        met[lang] = edges, numbered, of_joint
+                        joint = np.bincount(csr_rows(np.array([len(at) for at in ids])), of_joint[which][of_text], minlength=len(ids))
+                    for (i, words), at, between in zip(own, ids, joint):
                         n_chars = int(chars[at].sum())
-                        mean = float(nll[at].sum()) / (n_chars + len(at)) if len(at) else None
+                        mean = float(nll[at].sum() + between) / (n_chars + len(at)) if len(at) else None
                         rows[i] = (len(at), n_chars, *base_measures(texts[i], words, at), mean)
                 out += rows
             columns = list(zip(*out)) or [()] * 6

@@ -113,7 +113,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the plain counts, base_failed and kept of every document, and its log-perplexity."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return perplexity.rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "nll")
+    return perplexity.rules(docs, perplexity.PerplexityParams(running=True)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "nll")
 
 
 @query("op3_near_duplicates")
