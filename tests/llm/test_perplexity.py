@@ -143,3 +143,12 @@ def test_shuffled_clean_text_scores_worse(spark):
     nll = [{r.doc_id: r.nll for r in px.measures(spark.createDataFrame(x, "doc_id long, lang string, text string"), model, px.PerplexityParams(running=True)).collect()}
            for x in ([tuple(r) for r in rows], mixed)]
     assert np.mean([nll[1][i] > nll[0][i] for i in nll[0]]) > 0.95
+
+
+def test_recall_of_junk_that_passes_the_plain_rules(spark):
+    from tickwatch.llm.queries import QUERIES
+    d = "/root/testdata/sf0.1"
+    out = QUERIES["op5_quality_rules"](spark, d).toPandas().merge(spark.read.parquet(f"{d}/labels.parquet").toPandas(), on="doc_id")
+    sound = out[~out.base_failed]
+    assert sound[sound.quality == 1].kept.mean() > 0.985
+    assert (~sound[sound.quality == 0].kept).mean() > 0.3

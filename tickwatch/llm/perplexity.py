@@ -44,7 +44,9 @@ COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 class PerplexityParams:
     order: int = 4  # at most 4, so that an n-gram fits a long
     slot_bits: int = 20  # without effect since every n-gram has an entry of its own
-    reach: float = 4.0  # quartile distances beyond the quartiles that are still within the bands
+    #: Quartile distances beyond the quartiles that are still within the bands: Tukey's inner fences, which
+    #: normal scores leave in 0.7 % of cases; of the labelled good documents of sf0.1 they reject 1.0 %.
+    reach: float = 1.5
     running: bool = False  # n-grams cross the words' borders; else each word stands alone
     bins: int = 64  # of one unit of log-probability, for the quartiles
 
