@@ -1,14 +1,15 @@
-"""Per-series row numbering and block/halo layout.
+"""Row numbering in a total order, and block/halo layout.
 
 A series is one logical ordered sequence, but a single series may hold a large
 share of all rows, so no window here is ever partitioned by ``series`` alone:
 
-1. ``number_rows``: rows are grouped into coarse time buckets whose width comes
-   from a scalar subquery (span * bucket_rows / rows); a bucket holding more
-   than ``bucket_rows`` rows (a burst) is cut again into equal time slices; the
-   slices are counted, prefix-summed over that small table, and numbered with
-   ``row_number`` inside each slice.  Result: a dense 1-based ``rn`` per series
-   in ``(t_us, seq)`` order.
+1. ``number_in_order``: rows are range-partitioned by (keys, order), so that a
+   partition holds about ``part_rows`` consecutive rows whatever the
+   distribution of times (outliers, bursts, equal times), and sorted inside
+   each partition.  A row's place in its partition, the first place of its key
+   there and the prefix sum of the (partition, key) counts give its number: a
+   dense 1-based ``rn`` per key.  Only the table of counts, one row per
+   partition and key, passes through a window.
 2. ``to_blocks``: rows are cut into blocks of exactly ``B`` rows by ``rn``; each
    row is also copied (``own = false``) into the following block(s) when it is
    among the ``halo`` rows preceding that block's first row.  A window with a
@@ -24,60 +25,59 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwatch.schema import Layout
+from tickwatch.session import checkpoint_dir, default_parallelism
 
+#: monotonically_increasing_id() keeps a row's place in its partition in the lower bits.
+PLACE_BITS = 33
 
-def _bucket_width(df: DataFrame, bucket_rows: int) -> Column:
-    """One scalar subquery: bucket width in microseconds so that a bucket holds about
-    ``bucket_rows`` rows of all series together (at least 1 us)."""
-    return df.select(
-        F.greatest(F.lit(1.0), (F.max("t_us") - F.min("t_us") + F.lit(1)).cast("double")
-                   * F.lit(float(bucket_rows)) / F.greatest(F.count(F.lit(1)), F.lit(1)))
-    ).scalar()
+
+def placed(df: DataFrame, keys: list[str], order: list[str], parts: int) -> DataFrame:
+    """The rows range-partitioned and sorted by (keys, order), with ``_at``: partition and place in it.
+
+    The places must not change between the reads that follow, so the rows are checkpointed (the range
+    bounds come from a sample, which another evaluation would draw anew)."""
+    checkpoint_dir(df.sparkSession)
+    by = [*keys, *order]
+    return (df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+            .withColumn("_at", F.monotonically_increasing_id()).checkpoint())
+
+
+def number_in_order(df: DataFrame, keys: list[str], order: list[str], parts: int,
+                    number: str = "rn", size: str = "_n") -> DataFrame:
+    """Adds ``number`` (dense, from 1, by ``order`` within ``keys``) and ``size`` (rows of the key).
+
+    Eager: the rows are written once to the checkpoint folder.  Rows without a key are left out; rows
+    equal in ``keys`` and ``order`` are numbered in any order, once and for all.  Nulls come first."""
+    at = placed(df, keys, order, parts).withColumn("_part", F.shiftright("_at", PLACE_BITS))
+    counts = at.groupBy(*keys, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    of_key = Window.partitionBy(*keys)
+    before = of_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_part", F.sum("_cnt").over(of_key).alias(size),
+                            (F.coalesce(F.sum("_cnt").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return at.join(offsets, [*keys, "_part"]).withColumn(number, F.col("_at") + F.col("_shift")) \
+        .drop("_part", "_at", "_shift")
 
 
 def number_rows(ticks: DataFrame, layout: Layout = Layout(), base: DataFrame | None = None,
-                stats_from: DataFrame | None = None, parallelism: int | None = None) -> DataFrame:
+                parallelism: int | None = None) -> DataFrame:
     """Add ``rn`` (1-based, per series, ordered by ``t_us, seq``), ``_B`` (block rows)
     and ``_n`` (rows of the series in this frame).
 
-    ``base`` (series, rn0) shifts numbering per series (streaming continuation).
-    ``stats_from``: where to take the bucket-width statistics (any superset of
-    the rows works: the width only sizes buckets, it never changes ``rn``).
+    ``base`` (series, rn0) shifts numbering per series (continuation of earlier rows).
+    Partitions hold about ``layout.bucket_rows`` rows, fewer where the cores would idle.
     Block rows: ``layout.block_rows`` or, adaptively, total rows / (cores x
-    blocks_per_core) clamped, taken from the small bucket-count table.
+    blocks_per_core), clamped.
     """
-    width = _bucket_width(stats_from if stats_from is not None else ticks, layout.bucket_rows)
-    keyed = ticks.withColumn("_bkt", F.floor(F.col("t_us") / width).cast("long"))
-    # level 2: a bucket holding more than bucket_rows rows (a burst) is cut into
-    # ceil(count / bucket_rows) equal time slices, so no numbering window is hot
-    c1 = keyed.groupBy("series", "_bkt").agg(F.count(F.lit(1)).alias("_c1"))
-    split = c1.select("series", "_bkt", F.ceil(F.col("_c1") / F.lit(float(layout.bucket_rows)))
-                      .cast("long").alias("_f")).where(F.col("_f") > 1)
-    keyed = keyed.join(split, ["series", "_bkt"], "left")
-    frac = (F.col("t_us") - F.col("_bkt") * width) / width
-    keyed = keyed.withColumn("_sub", F.when(F.col("_f").isNull(), F.lit(0)).otherwise(
-        F.least(F.greatest(F.floor(frac * F.col("_f")), F.lit(0)), F.col("_f") - 1)).cast("long")).drop("_f")
-    counts = keyed.groupBy("series", "_bkt", "_sub").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy("series").orderBy("_bkt", "_sub").rowsBetween(Window.unboundedPreceding, -1)
-    if layout.block_rows:
-        brows = F.lit(int(layout.block_rows)).cast("long")
-    else:
-        from tickwatch.session import default_parallelism
-        par = parallelism or default_parallelism(ticks.sparkSession)
-        total = ticks.select(F.count(F.lit(1))).scalar()  # a scalar subquery: no task sees all buckets
-        brows = F.least(F.greatest(F.ceil(total / F.lit(max(1, par * layout.blocks_per_core))),
-                                   F.lit(layout.min_block_rows)), F.lit(layout.max_block_rows)).cast("long")
-    offsets = counts.select("series", "_bkt", "_sub",
-                            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-                            brows.alias("_B"), F.sum("_cnt").over(Window.partitionBy("series")).alias("_n"))
-    if base is not None:
-        offsets = offsets.join(base.select("series", F.col("rn0").alias("_rn0")), "series", "left") \
-            .select("series", "_bkt", "_sub", (F.col("_off") + F.coalesce("_rn0", F.lit(0))).alias("_off"),
-                    "_B", "_n")
-    inner = Window.partitionBy("series", "_bkt", "_sub").orderBy("t_us", "seq")
-    return (keyed.join(offsets, ["series", "_bkt", "_sub"])
-            .withColumn("rn", (F.col("_off") + F.row_number().over(inner)).cast("long"))
-            .drop("_bkt", "_sub", "_off"))
+    cores = parallelism or default_parallelism(ticks.sparkSession)
+    total = ticks.count()
+    parts = max(1, -(-total // layout.bucket_rows), min(cores, -(-total // layout.min_block_rows)))
+    block = layout.block_rows or min(max(-(-total // (cores * layout.blocks_per_core)), layout.min_block_rows),
+                                     layout.max_block_rows)
+    out = number_in_order(ticks, ["series"], ["t_us", "seq"], parts).withColumn("_B", F.lit(int(block)).cast("long"))
+    if base is None:
+        return out
+    out = out.join(base.select("series", F.col("rn0").alias("_rn0")), "series", "left")
+    return out.withColumn("rn", F.col("rn") + F.coalesce("_rn0", F.lit(0))).drop("_rn0")
 
 
 def to_blocks(numbered: DataFrame, halo: int, block_rows: Column | None = None) -> DataFrame:
