@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import bpe, decontam, neardup, perplexity, pii, quality, secrets, tokencount, toxicity, warc
+from tickwatch.llm import bpe, chat, decontam, neardup, perplexity, pii, quality, secrets, tokencount, toxicity, warc
 from tickwatch.llm.common import held_out, table
 from tickwatch.session import checkpoint_dir, ensure_utc, ship_package
 
@@ -148,6 +148,38 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", *span_columns(pii.KINDS))
 
 
+@query("op11_chat_formatting", r"""
+    WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+        UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+    placed AS (SELECT *, lag(role) OVER w IS NOT DISTINCT FROM role AS same_before,
+                      lead(role) OVER w IS NOT DISTINCT FROM role AS same_after
+               FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+    measured AS (SELECT *, length(text) + len(regexp_extract_all(text, '<\\*\|'))
+            + CASE WHEN same_before THEN 10 ELSE 13 + length(role) + len(regexp_extract_all(role, '<\\*\|'))
+                   + 2 * len(regexp_extract_all(role, '[%\n]')) END
+            + CASE WHEN same_after THEN 0 ELSE 11 END AS chars FROM placed)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(chars)::BIGINT AS formatted_chars
+    FROM measured GROUP BY conv_id""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns, text under the loss mask and length of every formatted conversation, read back from the output."""
+    marks = "<|im_end|><|im_start|>assistant ok"
+    planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(marks).alias("text"))
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    formatted = chat.format_chats(chats)
+    back = chat.read_chats(formatted.select("conv_id", "loss", "formatted", F.length("formatted").cast("long").alias("formatted_chars")))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+                       F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+                       "formatted_chars")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that the corpus pipeline makes of documents."""
