@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import bpe, chat, decontam, neardup, perplexity, pii, quality, secrets, tokencount, toxicity, warc
+from tickwatch.llm import bpe, chat, decontam, neardup, perplexity, pii, prefixtrie, quality, secrets, tokencount, toxicity, warc
 from tickwatch.llm.common import held_out, table
 from tickwatch.session import checkpoint_dir, ensure_utc, ship_package
 
@@ -180,6 +180,50 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "formatted_chars")
 
 
+#: The conversations as op13 rebuilds them, each prefix by the digests of its turns.
+TRIE_SQL = r"""
+    WITH own AS (
+        SELECT conv_id, sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place
+        FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (
+        -- crc32 of the id's decimal digits, a byte and then its eight bits at a time
+        SELECT conv_id, conv_id - conv_id % 20 AS source, count(*) AS n_own,
+               xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                   lambda ch: list_concat([ascii(ch)], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+                   lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END),
+                   4294967295) % 4 AS h
+        FROM own GROUP BY conv_id),
+    begun AS (SELECT c.conv_id, o.place, o.digest, o.words FROM convs c JOIN own o ON o.conv_id = c.source AND o.place <= c.h),
+    taken AS (SELECT c.*, (SELECT count(*) FROM begun b WHERE b.conv_id = c.conv_id) AS taken FROM convs c),
+    rebuilt AS (
+        SELECT conv_id, place, digest, words FROM begun
+        UNION ALL SELECT conv_id, place - h + taken, digest, words FROM own JOIN taken USING (conv_id) WHERE place > h),
+    paths AS (
+        SELECT conv_id, place AS depth, words, string_agg(digest, '' ORDER BY place) OVER w AS node,
+               coalesce(string_agg(digest, '' ORDER BY place) OVER (PARTITION BY conv_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS parent
+        FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+        UNION ALL SELECT conv_id, 0, 0, '', NULL FROM convs),
+    nodes AS (SELECT node, depth, parent, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM paths GROUP BY ALL),
+    counted AS (SELECT n.*, (SELECT count(*) FROM nodes c WHERE c.parent = n.node) AS n_children FROM nodes n),
+    totals AS (SELECT a.node, count(*) FILTER (b.n_children = 0) AS n_leaves, sum((b.n_convs - 1) * b.words)::BIGINT AS saved_tokens
+               FROM counted a JOIN counted b ON starts_with(b.node, a.node) GROUP BY a.node),
+    ends AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+             FROM paths JOIN (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id) USING (conv_id, depth) GROUP BY node)
+    SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens,
+           sha256(coalesce(ids, '')) AS ends_sha256
+    FROM counted n LEFT JOIN nodes p ON p.node = n.parent JOIN totals t ON t.node = n.node LEFT JOIN ends e ON e.node = n.node"""
+
+
+@query("op13_prefix_trie", TRIE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations, with its totals."""
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trie = prefixtrie.prefix_trie(prefixtrie.rebuilt(prefixtrie.turns(chats)))
+    return trie.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that the corpus pipeline makes of documents."""
