@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwatch.llm import bpe, chat, decontam, neardup, perplexity, pii, prefixtrie, quality, secrets, tokencount, toxicity, warc
+from tickwatch.llm import bpe, chat, decontam, neardup, perplexity, pii, prefixtrie, quality, secrets, tokencount, toxicity, warc, whitening
 from tickwatch.llm.common import held_out, table
 from tickwatch.session import checkpoint_dir, ensure_utc, ship_package
 
@@ -224,6 +224,12 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row's exact deviation and its whitened components, fitted over the distinct vectors."""
+    return whitening.by_component(whitening.whitened(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that the corpus pipeline makes of documents."""
