@@ -5,11 +5,13 @@ restart from the checkpoint neither loses nor duplicates rows."""
 import os
 import time
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tickwatch.plans import detect
 from tickwatch.schema import EVENTS_PARAMS, Layout, events_ticks
-from tickwatch.streaming.stream import StreamDetector, parquet_file_ticks, read_events
+from tickwatch.streaming.stream import StreamDetector, lifetime_totals, parquet_file_ticks, read_events, read_feed
 
 SF = "/root/testdata/sf0.001"
 COLS = ["series", "price", "pct_change", "abs_change", "severity"]
@@ -43,7 +45,7 @@ def test_stream_equals_batch(spark, tmpdir_path):
     _write_chunks(spark, src, 7)
     out = os.path.join(tmpdir_path, "events")
     det = StreamDetector(events_path=out, feed_path=os.path.join(tmpdir_path, "feed"),
-                         state_path=os.path.join(tmpdir_path, "state"), params=EVENTS_PARAMS,
+                         params=EVENTS_PARAMS,
                          layout=Layout(block_rows=64))
     q = det.start(parquet_file_ticks(spark, src, max_files_per_trigger=1),
                   checkpoint=os.path.join(tmpdir_path, "ckpt"), available_now=True)
@@ -53,7 +55,7 @@ def test_stream_equals_batch(spark, tmpdir_path):
     from tickwatch.streaming.stream import run_stats
     st = run_stats(q)
     assert st["batches"] == 7 and st["total_rows"] == events_ticks(spark, SF).count()
-    feed = spark.read.json(os.path.join(tmpdir_path, "feed"))
+    feed = read_feed(spark, os.path.join(tmpdir_path, "feed"))
     assert feed.count() == events_ticks(spark, SF).count()  # < 500 ticks per series at sf0.001
 
 
@@ -61,7 +63,7 @@ def test_restart_no_duplicates(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "src")
     _write_chunks(spark, src, 4)
     out = os.path.join(tmpdir_path, "events")
-    kw = dict(events_path=out, state_path=os.path.join(tmpdir_path, "state"), params=EVENTS_PARAMS,
+    kw = dict(events_path=out, params=EVENTS_PARAMS,
               layout=Layout(block_rows=64))
     ckpt = os.path.join(tmpdir_path, "ckpt")
     # first run sees only the first two files
@@ -79,36 +81,76 @@ def test_restart_no_duplicates(spark, tmpdir_path):
     assert _stream_events(spark, out) == _batch_events(spark)
 
 
-def test_replayed_batch_is_idempotent(spark, tmpdir_path):
-    """Calling the batch callback twice for the same id overwrites its outputs and state."""
-    t = events_ticks(spark, SF).select("series", "ts", "t_us", "seq", "price")
-    out = os.path.join(tmpdir_path, "events")
-    det = StreamDetector(events_path=out, state_path=os.path.join(tmpdir_path, "state"),
-                         params=EVENTS_PARAMS, layout=Layout(block_rows=64))
-    det.process(t, 0)
-    det.process(t, 0)
+def test_failed_batch_is_replayed(spark, tmpdir_path):
+    """A batch that fails after its events are written runs again from the state before it: nothing lost or doubled."""
+    src = os.path.join(tmpdir_path, "src")
+    _write_chunks(spark, src, 4)
+    out, ckpt = os.path.join(tmpdir_path, "events"), os.path.join(tmpdir_path, "ckpt")
+    kw = dict(events_path=out, feed_path=os.path.join(tmpdir_path, "feed"), params=EVENTS_PARAMS, layout=Layout(block_rows=64))
+
+    class Failing(StreamDetector):
+        def process(self, batch, batch_id):
+            super().process(batch, batch_id)
+            if batch_id == 2:
+                raise RuntimeError("lost")
+
+    q = Failing(**kw).start(parquet_file_ticks(spark, src, 1), checkpoint=ckpt, available_now=True)
+    with pytest.raises(Exception, match="lost"):
+        q.awaitTermination(600)
+    q = StreamDetector(**kw).start(parquet_file_ticks(spark, src, 1), checkpoint=ckpt, available_now=True)
+    q.awaitTermination(600)
     assert _stream_events(spark, out) == _batch_events(spark)
+    # totals live on over the restart, and count the replayed batch once
+    ticks, events = events_ticks(spark, SF).count(), len(_batch_events(spark))
+    totals = lifetime_totals(spark, os.path.join(ckpt, "tickwatch-totals")).first()
+    assert tuple(totals) == (4, ticks, events, events / ticks)
+    assert read_feed(spark, kw["feed_path"], None).count() == ticks
 
 
-def test_late_tick_as_arrived(spark, tmpdir_path):
-    """Case K: a tick older than its predecessor (next batch) skips the gated rules."""
+def _seconds(spark, root, name, rows, order):
+    """A file of ticks (seq, second, price) of one series."""
     import datetime as dt
-    from tickwatch.streaming.stream import StreamDetector
-    mk = lambda rows: spark.createDataFrame(
-        [("s", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s), i, p) for i, s, p in rows],
-        "series string, ts timestamp_ntz, seq long, price double").withColumn(
-        "t_us", F.unix_micros(F.col("ts").cast("timestamp")))
-    det = StreamDetector(events_path=os.path.join(tmpdir_path, "ev"), state_path=os.path.join(tmpdir_path, "st"))
-    prev_rows, prev_latch = det._read_state(spark, 0)
-    a = det.detect_batch(mk([(0, 10, 100.0), (1, 20, 100.0)]), prev_rows, prev_latch)
-    assert a.count() == 2
-    det.process(mk([(0, 10, 100.0), (1, 20, 100.0)]), 0)
-    prev_rows, prev_latch = det._read_state(spark, 1)
-    b = det.detect_batch(mk([(2, 15, 200.0)]), prev_rows, prev_latch).collect()
-    assert b[0]["rn"] == 3 and list(b[0]["rule_types"]) == []
-    drop = StreamDetector(events_path=os.path.join(tmpdir_path, "ev2"), state_path=os.path.join(tmpdir_path, "st"),
-                          late="drop")
-    assert drop.detect_batch(mk([(2, 15, 200.0)]), prev_rows, prev_latch).count() == 0
+    os.makedirs(root, exist_ok=True)
+    path = os.path.join(root, name)
+    pd.DataFrame([("s", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s), i, p) for i, s, p in rows],
+                 columns=["series", "ts", "seq", "price"]).to_parquet(path, index=False, coerce_timestamps="us")
+    os.utime(path, (time.time() - 1000 + order,) * 2)
+
+
+@pytest.mark.parametrize("late", ["as_arrived", "drop"])
+def test_late_tick(spark, tmpdir_path, late):
+    """Case K: a tick older than those of earlier batches skips the gated rules but counts as the newest row;
+    with late="drop" the watermark keeps it out, but not a tick of the newest time."""
+    src = os.path.join(tmpdir_path, "src")
+    _seconds(spark, src, "a.parquet", [(0, 10, 100.0), (1, 20, 100.0)], 0)
+    _seconds(spark, src, "b.parquet", [(2, 15, 200.0), (3, 20, 100.5)], 1)
+    _seconds(spark, src, "c.parquet", [(4, 25, 101.0)], 2)
+    feed = os.path.join(tmpdir_path, "feed")
+    det = StreamDetector(events_path=os.path.join(tmpdir_path, "ev"), feed_path=feed, late=late)
+    q = det.start(parquet_file_ticks(spark, src, 1), checkpoint=os.path.join(tmpdir_path, "ckpt"), available_now=True)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    got = [(r["seq"], r["rn"], r["anomaly"]) for r in read_feed(spark, feed).orderBy("rn").collect()]
+    if late == "drop":
+        assert got == [(0, 1, False), (1, 2, False), (3, 3, False), (4, 4, True)]
+    else:
+        # numbered as it arrived; the tick after it sees a change of -99.5 %
+        assert got == [(0, 1, False), (1, 2, False), (2, 3, False), (3, 4, True), (4, 5, True)]
+    assert [r["seq"] for r in read_feed(spark, feed, 2).orderBy("rn").collect()] == [3, 4]
+
+
+def test_state_is_the_engines_own(spark, tmpdir_path):
+    """Each series' last row number and last ticks can be read from the query's state store."""
+    src = os.path.join(tmpdir_path, "src")
+    _write_chunks(spark, src, 3)
+    ckpt = os.path.join(tmpdir_path, "ckpt")
+    det = StreamDetector(events_path=os.path.join(tmpdir_path, "events"), params=EVENTS_PARAMS)
+    det.start(parquet_file_ticks(spark, src, 1), checkpoint=ckpt, available_now=True).awaitTermination(600)
+    state = spark.read.format("statestore").load(ckpt)
+    got = {r["s"]: (r["rn"], r["n"]) for r in state.select(
+        F.col("key.series").alias("s"), F.col("value.groupState.rn").alias("rn"), F.size("value.groupState.price").alias("n")).collect()}
+    sizes = {r["series"]: r["count"] for r in events_ticks(spark, SF).groupBy("series").count().collect()}
+    assert got == {s: (n, min(n, det.tail_rows())) for s, n in sizes.items()}
 
 
 def test_stream_equals_batch_with_forest(spark, tmpdir_path):
@@ -126,7 +168,7 @@ def test_stream_equals_batch_with_forest(spark, tmpdir_path):
         part.sample(frac=1.0, random_state=i).to_parquet(p, index=False, coerce_timestamps="us")
         os.utime(p, (base + i, base + i))
     out = os.path.join(tmpdir_path, "events")
-    det = StreamDetector(events_path=out, state_path=os.path.join(tmpdir_path, "state"), params=EVENTS_PARAMS,
+    det = StreamDetector(events_path=out, params=EVENTS_PARAMS,
                          layout=Layout(block_rows=1000), iforest=True)
     q = det.start(parquet_file_ticks(spark, src, 1), checkpoint=os.path.join(tmpdir_path, "ckpt"),
                   available_now=True)
@@ -172,7 +214,7 @@ def test_stream_equals_batch_with_sequence_model(spark, tmpdir_path):
         part.sample(frac=1.0, random_state=i).to_parquet(p, index=False, coerce_timestamps="us")
         os.utime(p, (base + i, base + i))
     out = os.path.join(tmpdir_path, "events")
-    det = StreamDetector(events_path=out, state_path=os.path.join(tmpdir_path, "state"), params=EVENTS_PARAMS,
+    det = StreamDetector(events_path=out, params=EVENTS_PARAMS,
                          layout=Layout(block_rows=1000), sequence_model=model)
     q = det.start(parquet_file_ticks(spark, src, 1), checkpoint=os.path.join(tmpdir_path, "ckpt"),
                   available_now=True)
@@ -208,7 +250,7 @@ def test_stream_equals_batch_with_pretrained_forest(spark, tmpdir_path):
         part.sample(frac=1.0, random_state=i).to_parquet(p, index=False, coerce_timestamps="us")
         os.utime(p, (base + i, base + i))
     out = os.path.join(tmpdir_path, "events")
-    det = StreamDetector(events_path=out, state_path=os.path.join(tmpdir_path, "state"), params=EVENTS_PARAMS,
+    det = StreamDetector(events_path=out, params=EVENTS_PARAMS,
                          layout=Layout(block_rows=1000), iforest=True, iforest_model=model)
     q = det.start(parquet_file_ticks(spark, src, 1), checkpoint=os.path.join(tmpdir_path, "ckpt"),
                   available_now=True)
@@ -226,16 +268,35 @@ def test_stream_equals_batch_with_pretrained_forest(spark, tmpdir_path):
     assert a == e and any("iforest_anomaly" in r[3] for r in e)
 
 
-def test_state_versions_are_pruned(spark, tmpdir_path):
+def test_session_stream_equals_batch(spark, tmpdir_path):
+    """Sessions in append mode are the batch sessions; a last far tick closes those of all series."""
+    from tickwatch.operators.sessions import tick_sessions
+    from tickwatch.streaming.stream import tick_sessions_stream
     src = os.path.join(tmpdir_path, "src")
-    _write_chunks(spark, src, 6)
-    state = os.path.join(tmpdir_path, "state")
-    det = StreamDetector(events_path=os.path.join(tmpdir_path, "events"), state_path=state, params=EVENTS_PARAMS,
-                         layout=Layout(block_rows=64), retain_versions=2)
-    q = det.start(parquet_file_ticks(spark, src, 1), checkpoint=os.path.join(tmpdir_path, "ckpt"), available_now=True)
+    _write_chunks(spark, src, 3)
+    _seconds(spark, src, "y.parquet", [(i, 31 * 86400 + at, 1.0) for i, at in enumerate([0, 6 * 3600, 12 * 3600 + 1])], 500)
+    _seconds(spark, src, "z.parquet", [(9, 400 * 86400 * 30, 1.0)], 600)
+    gap = 3600.0 * 6
+    ticks = parquet_file_ticks(spark, src, 1)
+    q = (tick_sessions_stream(ticks, gap, "30000 days").writeStream.outputMode("append").format("memory")
+         .queryName("tw_sessions").option("checkpointLocation", os.path.join(tmpdir_path, "ck"))
+         .trigger(availableNow=True).start())
     q.awaitTermination(600)
-    assert sorted(os.listdir(state)) == ["v=3", "v=4", "v=5"]
-    assert _stream_events(spark, os.path.join(tmpdir_path, "events")) == _batch_events(spark)
+    # the watermark lags so far that nothing is late or closed yet
+    assert spark.table("tw_sessions").count() == 0
+    q = (tick_sessions_stream(ticks, gap, "1 day").writeStream.outputMode("append").format("memory")
+         .queryName("tw_sessions2").option("checkpointLocation", os.path.join(tmpdir_path, "ck2"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert q.exception() is None
+    from tickwatch.schema import t_us
+    static = spark.read.parquet(*[os.path.join(src, f) for f in sorted(os.listdir(src)) if f != "z.parquet"])
+    want = tick_sessions(static.withColumn("t_us", t_us(F.col("ts"))), gap, Layout(block_rows=50))
+    cols = ["series", "first_ts", "last_ts", "ticks", "lo", "hi"]
+    got = sorted(map(tuple, spark.table("tw_sessions2").where("first_ts < '2050-01-01'").select(cols).collect()))
+    assert got == sorted(map(tuple, want.select(cols).collect())) and len(got) > 10
+    # ticks exactly the gap apart are one session, a second more parts them
+    assert [r[3] for r in got if r[0] == "s"] == [2, 1]
 
 
 def test_payload_file_stream(spark, tmpdir_path):

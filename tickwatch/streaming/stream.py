@@ -1,45 +1,54 @@
 """S1 + X1-X9: detection over a stream with Structured Streaming.
 
-Each micro-batch runs the *same* Spark plan as the batch path.  Per-series
-context lives in a small state table (last K rows, latch, last row number)
-versioned by batch id under the shared checkpoint folder (the per-series last
-row number and last time are derived from the tail rows), so:
-
-* a replayed batch (after a failure) reads version ``id - 1`` again and
-  overwrites version ``id`` and its outputs: no duplicates (X6, X8);
-* lineage is cut at every batch (state is read back from files);
-* a hot series inside one batch is still split into row blocks.
+A stateful operator (``applyInPandasWithState``) keeps, in the query's own state
+store, each series' last row number and its last K ticks.  For every micro-batch
+it numbers the series' new ticks and hands them on behind those K context rows;
+``foreachBatch`` then runs the *same* Spark plan as the batch path on them:
+
+* the engine versions, checkpoints and prunes the state; a batch replayed after
+  a failure starts from the state before it and overwrites its own outputs, so
+  nothing is lost or doubled (X6, X8);
+* a hot series inside one batch is still split into row blocks for the windows
+  (its ticks of one micro-batch, which the source's rate options bound, are
+  sorted in one task, as a keyed operator sees them);
+* only new scored ticks are written, never the tail of a series again.
 
 Order semantics (X4): ``late="as_arrived"`` numbers a batch's rows after all
 earlier batches' rows (ordered by time inside the batch), as the live detector
 does; a tick older than its predecessor then has dt < 0, skips the gated rules,
-but still updates the rolling state.  ``late="drop"`` drops ticks older than
-the newest tick already seen for their series.
+but still updates the rolling state.  ``late="drop"`` puts a watermark on the
+ticks' time: the engine drops ticks more than ``max_lateness`` older than the
+newest tick of all series in earlier batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql.streaming import StreamingQueryListener
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickwatch import constants as C
 from tickwatch.operators import stats
-from tickwatch.operators.blocks import number_rows
 from tickwatch.operators.rules import fired_types
 from tickwatch.plans import detect
-from tickwatch.plans.report import last_n
 from tickwatch.schema import Layout, RuleParams
 from tickwatch.session import checkpoint_dir
 from tickwatch.sources.decode import decode_ticks
+from tickwatch.sources.files import anomaly_json
 
 STREAM_BLOCK_ROWS = 1 << 16
 
-STATE_ROWS = T.StructType([
+#: What the state store keeps of a series: its rows so far, and its last ticks.
+SERIES_STATE = "rn long, t_us array<long>, seq array<long>, price array<double>"
+NUMBERED = "series string, t_us long, seq long, price double, rn long, ctx boolean"
+
+#: A scored tick as the feed log keeps it.
+FEED_TICK = T.StructType([
     T.StructField("series", T.StringType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("t_us", T.LongType()), T.StructField("seq", T.LongType()),
     T.StructField("price", T.DoubleType()), T.StructField("rn", T.LongType()),
@@ -96,94 +105,77 @@ def parquet_file_ticks(spark: SparkSession, path: str, max_files_per_trigger: in
     return df.withColumn("t_us", F.unix_micros(F.col("ts").cast("timestamp")))
 
 
-# ----------------------------------------------------------------------------- detector
+# ----------------------------------------------------------------------------- state
+
+def numbering(keep_rows: int, drop_late: bool = False) -> Callable:
+    """The stateful function: a series' new ticks numbered behind its last ``keep_rows`` ticks, which are
+    sent first as context (``ctx``).  ``drop_late`` leaves out ticks up to the watermark (the engine's own
+    filter before this operator uses the watermark of one batch earlier)."""
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        new = pd.concat([f[["t_us", "seq", "price"]] for f in frames], ignore_index=True)
+        if drop_late:
+            new = new[new["t_us"] > state.getCurrentWatermarkMs() * 1000]
+        if new.empty:
+            return
+        rn, t_us, seq, price = state.get if state.exists else (0, [], [], [])
+        new = new.sort_values(["t_us", "seq"], kind="stable", ignore_index=True)
+        context = pd.DataFrame({"t_us": t_us, "seq": seq, "price": price}).astype(new.dtypes.to_dict())
+        rows = pd.concat([context, new], ignore_index=True)
+        rows.insert(0, "series", key[0])
+        rows["rn"] = range(rn - len(context) + 1, rn + len(new) + 1)
+        rows["ctx"] = rows.index < len(context)
+        last = rows.tail(keep_rows)
+        state.update((int(rows["rn"].iloc[-1]), last["t_us"].tolist(), last["seq"].tolist(), last["price"].tolist()))
+        yield rows
+
+    return run
+
+
+# ----------------------------------------------------------------------------- detector
 
 @dataclass
 class StreamDetector:
-    """Keyed stream detector; ``process`` is the ``foreachBatch`` callback."""
+    """Keyed stream detector; ``process`` is the ``foreachBatch`` callback.
+
+    ``events_path`` gets the anomaly records, ``feed_path`` every scored tick (``read_feed`` gives the
+    last ones of each series), ``totals_path`` a row of totals a batch (default: under the checkpoint),
+    each in a folder ``batch_id=N`` that a replayed batch overwrites."""
 
     events_path: str
     feed_path: str | None = None
-    state_path: str | None = None
+    totals_path: str | None = None
     params: RuleParams = field(default_factory=RuleParams)
     layout: Layout = field(default_factory=Layout)
     iforest: bool = False
     iforest_model: DataFrame | None = None  # from operators.iforest.train_static: pre-trained schedule
     sequence_model: object | None = None  # operators.sequence.SequenceModel
     late: str = "as_arrived"
-    feed_rows: int = C.MAX_PRICE_HISTORY
-    retain_versions: int | None = 100  # like spark.sql.streaming.minBatchesToRetain; None keeps all
+    max_lateness: str = "1 millisecond"  # for late="drop"; a watermark drops the ticks at its own time as well
 
     def tail_rows(self) -> int:
         k = detect.needed_halo(self.sequence_model is not None)
         if self.iforest:
             k = max(k, C.IF_WINDOW + C.IF_RETRAIN + C.IF_WARMUP + C.IF_RETRAIN)  # fit window + open epoch
-        return max(k, self.feed_rows)
-
-    # -- state -------------------------------------------------------------------------
-    def _state_root(self, spark: SparkSession) -> str:
-        if not self.state_path:
-            raise ValueError("the detector needs a state_path, or a start() with a checkpoint path")
-        return self.state_path
-
-    def _latest_version(self, spark: SparkSession, below: int) -> int | None:
-        root = self._state_root(spark)
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(root)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return None
-        best = None
-        for st in fs.listStatus(path):
-            name = st.getPath().getName()
-            # a version counts once its rows were committed (the writer's _SUCCESS marker)
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "rows/_SUCCESS")):
-                v = int(name[2:])
-                if v < below and (best is None or v > best):
-                    best = v
-        return best
-
-    def _read_state(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame, DataFrame]:
-        """Tail rows of the latest committed version before ``batch_id`` and, derived from them,
-        the per-series last row number and last time."""
-        v = self._latest_version(spark, batch_id)
-        if v is None:
-            rows = spark.createDataFrame([], STATE_ROWS)
-        else:
-            rows = spark.read.schema(STATE_ROWS).parquet(f"{self._state_root(spark)}/v={v}/rows")
-        latch = rows.groupBy("series").agg(F.max("rn").alias("last_rn"), F.max("t_us").alias("last_t"))
-        return rows, latch
-
-    def _write_state(self, spark: SparkSession, batch_id: int, rows: DataFrame) -> None:
-        root = f"{self._state_root(spark)}/v={batch_id}"
-        rows.write.mode("overwrite").parquet(f"{root}/rows")
-        if self.retain_versions:
-            self._prune(spark, batch_id - self.retain_versions)
-
-    def _prune(self, spark: SparkSession, below: int) -> None:
-        """Drop this detector's own state versions older than ``below`` (committed newer ones remain)."""
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self._state_root(spark))
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for st in fs.listStatus(path):
-            name = st.getPath().getName()
-            if name.startswith("v=") and int(name[2:]) < below:
-                fs.delete(st.getPath(), True)
+        return k
+
+    def numbered(self, ticks: DataFrame) -> DataFrame:
+        """The stream of numbered ticks with their context, from the engine's keyed state."""
+        drop = self.late == "drop"
+        rows = ticks.select("series", F.col("ts").cast("timestamp").alias("ts"), "t_us",
+                            F.coalesce("seq", F.lit(0)).alias("seq"), "price")  # ticks without a number: 0
+        if drop:
+            rows = rows.withWatermark("ts", self.max_lateness)
+        return rows.groupBy("series").applyInPandasWithState(
+            numbering(self.tail_rows(), drop), NUMBERED, SERIES_STATE, "append",
+            GroupStateTimeout.EventTimeTimeout if drop else GroupStateTimeout.NoTimeout)
 
     # -- one micro-batch ---------------------------------------------------------------
-    def detect_batch(self, ticks: DataFrame, prev_rows: DataFrame, prev_latch: DataFrame) -> DataFrame:
-        """All detector columns for the batch's rows, with context from the previous state."""
-        if self.late == "drop":
-            seen = prev_latch.select("series", "last_t")
-            ticks = ticks.join(seen, "series", "left").where(
-                F.col("last_t").isNull() | (F.col("t_us") >= F.col("last_t"))).drop("last_t")
-        base = prev_latch.select("series", F.col("last_rn").alias("rn0"))
-        new = number_rows(ticks.select("series", "ts", "t_us", "seq", "price"), self.layout, base) \
-            .withColumn("ctx", F.lit(False))
-        ctx = prev_rows.select("series", "ts", "t_us", "seq", "price", "rn").withColumn("ctx", F.lit(True))
+    def detect_batch(self, numbered: DataFrame) -> DataFrame:
+        """All detector columns for the new rows (``ctx`` false) of a batch with its context."""
         # context and new rows must share one block size: micro-batches are bounded, use a fixed one
         block = int(self.layout.block_rows or STREAM_BLOCK_ROWS)
-        rows = ctx.unionByName(new.drop("_B", "_n")).withColumn("_B", F.lit(block).cast("long"))
+        rows = numbered.withColumn("ts", F.timestamp_micros("t_us").cast("timestamp_ntz")) \
+            .withColumn("_B", F.lit(block).cast("long"))
         seq_on = self.sequence_model is not None
         fr = detect.rules_on_numbered(rows, self.params, self.layout,
                                       features="online" if self.iforest else None, sequences=seq_on,
@@ -212,43 +204,39 @@ class StreamDetector:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # the batch feeds several scans (bucket width, counts, rows): read the source once
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        if batch.isEmpty():  # X7: nothing to do; the next batch reads the latest committed state
-            batch.unpersist()
+        # several scans below: evaluate the stateful operator once
+        rows = batch.checkpoint()
+        if rows.isEmpty():  # X7: nothing to do
             return
-        prev_rows, prev_latch = self._read_state(spark, batch_id)
-        cur = self.detect_batch(batch, prev_rows, prev_latch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            events = detect.event_record(cur, types="types", if_score="if_score", lstm_score="lstm_score")
-            from tickwatch.sources.files import anomaly_json
-            anomaly_json(events).write.mode("overwrite").json(f"{self.events_path}/batch_id={batch_id}")
-            new_rows = cur.select("series", "ts", "t_us", "seq", "price", "rn", "if_score",
-                                  (F.size("types") > 0).alias("anomaly"), "if_ready")
-            # the tail by row number: a tick later than the tail is still the newest row
-            rows = prev_rows.unionByName(new_rows)
-            newest = rows.groupBy("series").agg(F.max("rn").alias("_last"))
-            rows = rows.join(newest, "series").where(F.col("rn") > F.col("_last") - self.tail_rows()).drop("_last")
-            self._write_state(spark, batch_id, rows)
-            if self.feed_path:
-                from tickwatch.sources.files import write_price_feed
-                st = spark.read.schema(STATE_ROWS).parquet(f"{self._state_root(spark)}/v={batch_id}/rows")
-                write_price_feed(st, self.feed_path, self.feed_rows)
-        finally:
-            cur.unpersist()
-            batch.unpersist()
+        seen = Observation()
+        scored = self.detect_batch(rows).observe(seen, F.count(F.lit(1)).alias("ticks"),
+                                                 F.count_if(F.size("types") > 0).alias("anomalies"))
+        scored = scored.select("series", "ts", "t_us", "seq", "price", "rn", "if_score", "if_ready", "pct_change",
+                               "abs_change", "types", "lstm_score", (F.size("types") > 0).alias("anomaly"))
+        if self.feed_path:
+            # the whole batch is written once; its events are read from there
+            folder = f"{self.feed_path}/batch_id={batch_id}"
+            scored.write.mode("overwrite").parquet(folder)
+            scored = spark.read.schema(scored.schema).parquet(folder)
+        events = detect.event_record(scored, types="types", if_score="if_score", lstm_score="lstm_score")
+        anomaly_json(events).write.mode("overwrite").json(f"{self.events_path}/batch_id={batch_id}")
+        if self.totals_path:
+            totals = spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in seen.get.items()])
+            totals.write.mode("overwrite").json(f"{self.totals_path}/batch_id={batch_id}")
 
     def start(self, ticks: DataFrame, checkpoint: str | None = None, trigger: str | None = "3 seconds",
               available_now: bool = False):
         """Run ``process`` per micro-batch (processing-time trigger, or availableNow).
 
-        ``checkpoint`` is a lasting path of this query's own: it holds the offsets and, unless
-        ``state_path`` names another, the state, so a restarted application finds both."""
+        ``checkpoint`` is a lasting path of this query's own: it holds the offsets and the state, so a
+        restarted application finds both."""
         if not checkpoint:
             raise ValueError("a checkpoint path is needed: without it a restart finds neither offsets nor state")
-        if not self.state_path:
-            self.state_path = checkpoint.rstrip("/") + "/tickwatch-state"
-        w = ticks.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
+        checkpoint_dir(ticks.sparkSession)
+        if not self.totals_path:
+            self.totals_path = checkpoint.rstrip("/") + "/tickwatch-totals"
+        w = self.numbered(ticks).writeStream.outputMode("append").foreachBatch(self.process) \
+            .option("checkpointLocation", checkpoint)
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
         return w.start()
 
@@ -261,6 +249,23 @@ def read_events(spark: SparkSession, events_path: str) -> DataFrame:
     return spark.read.schema(schema).json(events_path)
 
 
+def read_feed(spark: SparkSession, feed_path: str, n: int | None = C.MAX_PRICE_HISTORY) -> DataFrame:
+    """The last ``n`` scored ticks of each series (all with None) from the feed log of a detector, by arrival."""
+    ticks = spark.read.schema(FEED_TICK).parquet(feed_path)
+    if n is None:
+        return ticks
+    newest = ticks.groupBy("series").agg(F.max("rn").alias("_last"))
+    return ticks.join(newest, "series").where(F.col("rn") > F.col("_last") - n).drop("_last")
+
+
+def lifetime_totals(spark: SparkSession, totals_path: str) -> DataFrame:
+    """Batches, ticks, anomalies and their rate over the whole life of a detector query, restarts included."""
+    rows = spark.read.schema("ticks long, anomalies long, batch_id long").json(totals_path)
+    return rows.agg(F.count(F.lit(1)).alias("batches"), F.coalesce(F.sum("ticks"), F.lit(0)).alias("total_rows"),
+                    F.coalesce(F.sum("anomalies"), F.lit(0)).alias("total_anomalies")) \
+        .withColumn("anomaly_rate", F.coalesce(F.try_divide("total_anomalies", "total_rows"), F.lit(0.0)))
+
+
 # ----------------------------------------------------------------------------- sinks and run statistics
 
 def kafka_sink(ticks: DataFrame, servers: str, topic: str, checkpoint: str | None = None):
@@ -280,43 +285,9 @@ def kafka_sink(ticks: DataFrame, servers: str, topic: str, checkpoint: str | Non
     return None
 
 
-class RunTotals(StreamingQueryListener):
-    """Lifetime totals of detector queries, by query id; register with ``spark.streams.addListener``.
-
-    A query itself keeps only its newest progress reports."""
-
-    def __init__(self) -> None:
-        self.batches: dict[str, int] = {}
-        self.rows: dict[str, int] = {}
-
-    def onQueryStarted(self, event) -> None:
-        pass
-
-    def onQueryProgress(self, event) -> None:
-        p = event.progress
-        if p.numInputRows:
-            self.batches[str(p.id)] = self.batches.get(str(p.id), 0) + 1
-            self.rows[str(p.id)] = self.rows.get(str(p.id), 0) + p.numInputRows
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        pass
-
-    def of(self, query, events: DataFrame | None = None) -> dict:
-        """Totals of a query, with the anomalies in its event log and their rate where the log is given."""
-        rows = self.rows.get(str(query.id), 0)
-        out = {"batches": self.batches.get(str(query.id), 0), "total_rows": rows}
-        if events is not None:
-            anomalies = events.count()
-            out |= {"total_anomalies": anomalies, "anomaly_rate": anomalies / rows if rows else 0.0}
-        return out
-
-
 def run_stats(query) -> dict:
     """Rows and rate of a running detector query from its newest progress reports
-    (``RunTotals`` keeps the lifetime totals)."""
+    (``lifetime_totals`` has those of its whole life)."""
     progress = query.recentProgress or []
     total = sum(int(p.get("numInputRows", 0)) for p in progress)
     last = progress[-1] if progress else {}
@@ -334,3 +305,18 @@ def minute_counts_stream(events: DataFrame, watermark: str = "10 minutes") -> Da
             .groupBy("series", F.window("_ts", "1 minute").alias("w"))
             .agg(F.count(F.lit(1)).alias("count"))
             .select("series", F.col("w.start").alias("minute"), F.col("count").cast("long").alias("count")))
+
+
+def tick_sessions_stream(ticks: DataFrame, gap_seconds: float, watermark: str = "10 minutes") -> DataFrame:
+    """Sessions of each series in event time: runs of ticks at most ``gap_seconds`` apart.
+
+    Append mode gives each session once, when the watermark has passed its end.  The batch form is
+    ``report.tick_sessions``.  (Spark's session windows end a gap after their last tick, so ticks
+    exactly that gap apart would part; one microsecond more keeps them together.)"""
+    gap = F.lit(f"{int(round(gap_seconds * 1e6)) + 1} microseconds")
+    return (ticks.select("series", F.col("ts").cast("timestamp").alias("_ts"), "price").withWatermark("_ts", watermark)
+            .groupBy("series", F.session_window("_ts", gap).alias("w"))
+            .agg(F.count(F.lit(1)).alias("ticks"), F.min("_ts").alias("first_ts"), F.max("_ts").alias("last_ts"),
+                 F.min("price").alias("lo"), F.max("price").alias("hi"))
+            .select("series", F.col("first_ts").cast("timestamp_ntz").alias("first_ts"),
+                    F.col("last_ts").cast("timestamp_ntz").alias("last_ts"), F.col("ticks").cast("long").alias("ticks"), "lo", "hi"))
