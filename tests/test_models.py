@@ -143,3 +143,68 @@ def test_walk_forward_independent_of_partitioning(spark):
     b = detect.iforest_frame(t.repartition(3), EVENTS_PARAMS, Layout(block_rows=700, bucket_rows=333)) \
         .select("series", "seq", "if_score")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def _windows(t, n=C.SEQ_LEN):
+    """Per series of a pandas table of ticks: standardised windows by the scaler over all training windows."""
+    out = {}
+    for s, g in t.sort_values(["t_us", "seq"]).groupby("series"):
+        w = np.lib.stride_tricks.sliding_window_view(g["price"].to_numpy(), n)
+        train = w[:-1]
+        out[s] = (g["seq"].to_numpy()[n - 1:], (w - train.mean()) / train.std())
+    return out
+
+
+@pytest.fixture(scope="module")
+def ticks():
+    import pyarrow.parquet as pq
+    t = pq.read_table("/root/testdata/sf0.01/events.parquet").to_pandas()
+    t = t[t["value"].notna()]
+    return t.assign(series=t["event_type"], seq=t["event_id"], price=t["value"], t_us=t["ts"].astype("int64"))
+
+
+def test_recon_scores_equal_brute_force(spark, ticks):
+    """Errors of the principal components of all training windows, and no window in the plan."""
+    from tickwatch.plans import detect
+    from tickwatch.schema import EVENTS_PARAMS, Layout, events_ticks
+    w = _windows(ticks)
+    train = np.concatenate([x[:-1] for _, x in w.values()])
+    mean = train.mean(0)
+    _, v = np.linalg.eigh(np.cov(train.T, bias=True))
+    p = v[:, ::-1][:, :8]
+
+    def errors(x):
+        return np.mean(((x - mean) - (x - mean) @ p @ p.T) ** 2, axis=1)
+    want = {(s, q): e for s, (seq, x) in w.items() for q, e in zip(seq, errors(x))}
+    base = errors(train)
+    fr = detect.full_frame(events_ticks(spark, "/root/testdata/sf0.01"), EVENTS_PARAMS, Layout(block_rows=700), iforest=False)
+    assert "collect_list" not in fr._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["series"], r["seq"]): r["seq_err"] for r in fr.where("seq_err IS NOT NULL").select("series", "seq", "seq_err").collect()}
+    assert got.keys() == want.keys()
+    assert max(abs(got[k] - want[k]) for k in want) < 1e-9
+    model = detect.fit_sequence(events_ticks(spark, "/root/testdata/sf0.01"))
+    assert model.base_threshold == pytest.approx(base.mean() + 3 * base.std(), rel=1e-9)
+
+
+def test_plug_in_model(spark, ticks):
+    """Any function of windows made once a worker: here each price is foretold by the one before."""
+    from tickwatch.plans import detect
+    from tickwatch.schema import EVENTS_PARAMS, Layout, events_ticks
+
+    def make_predict():
+        import numpy as np
+        return lambda windows: np.concatenate([windows[:, :1], windows[:, :-1]], axis=1)
+
+    t = events_ticks(spark, "/root/testdata/sf0.01")
+    model = detect.fit_sequence(t, Layout(block_rows=700), make_predict=make_predict)
+    fr = detect.full_frame(t, EVENTS_PARAMS, Layout(block_rows=300), iforest=False, sequence_model=model)
+    got = {(r["series"], r["seq"]): r["seq_err"] for r in fr.where("seq_err IS NOT NULL").select("series", "seq", "seq_err").collect()}
+    want = {(s, q): e for s, (seq, x) in _windows(ticks).items() for q, e in zip(seq, (np.diff(x, axis=1) ** 2).sum(1) / C.SEQ_LEN)}
+    assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) < 1e-9
+
+
+def test_sequence_model_needs_a_window(spark):
+    from tickwatch.plans import detect
+    from tickwatch.schema import events_ticks
+    with pytest.raises(ValueError, match="window"):
+        detect.fit_sequence(events_ticks(spark, "/root/testdata/sf0.001").limit(20))

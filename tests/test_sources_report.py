@@ -5,6 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tickwatch.functions.numeric import fround
+
 from tickwatch.functions.severity import severity
 from tickwatch.plans import report
 from tickwatch.sources import decode
@@ -146,3 +148,33 @@ def test_panel_gate_and_detector_dim(spark):
     assert report.recon_panel_active(ev2).first()["active"] is True
     dim = {r["type"]: (r["layer"], r["severity"], r["is_ml"]) for r in detector_dim(spark).collect()}
     assert len(dim) == 6 and dim["iforest_anomaly"] == ("ML", "MED", True) and dim["abs_jump"][2] is False
+
+
+def test_minutes_up_to_a_far_time(spark):
+    """A tick of the year 9999 fills no array of all minutes before it; gaps keep their places."""
+    from tickwatch.plans.report import DAY, events_per_minute
+    t = dt.datetime(2024, 1, 1, 0, 0, 30)
+    gap = DAY * DAY + DAY + 7  # a piece of each size
+    rows = [("a", t), ("a", t), ("a", t + dt.timedelta(minutes=gap)), ("b", t), ("c", t), ("c", dt.datetime(9999, 12, 31))]
+    out = events_per_minute(spark.createDataFrame(rows, "series string, ts timestamp_ntz"))
+    a = out.where("series = 'a'")
+    assert a.count() == gap + 1 and a.select("minute").distinct().count() == gap + 1
+    assert sorted((r["minute"], r["count"]) for r in a.where("count > 0").collect()) == \
+        [(t.replace(second=0), 2), (t.replace(second=0) + dt.timedelta(minutes=gap), 1)]
+    assert out.where("series = 'b'").count() == 1
+    assert len(out.where("series = 'c'").limit(3).collect()) == 3
+
+
+def test_severity_rules_differ_on_model_types(spark):
+    from __spark_entry__ import queries
+    rows = queries()["severity_with_model"](spark, "/root/testdata/sf0.01").where("types LIKE '%lstm%'").collect()
+    assert rows and any(r["full_sev"] != r["rules_only_sev"] for r in rows)
+
+
+def test_feed_sink_rounds_like_the_query(spark, tmpdir_path):
+    from tickwatch.sources.files import read_price_feed, write_price_feed
+    feed = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), 0, 1, 2.675, 0.12345, True, False)],
+                                 "series string, ts timestamp_ntz, t_us long, seq long, price double, if_score double, anomaly boolean, if_ready boolean")
+    write_price_feed(feed, tmpdir_path + "/feed")
+    got = read_price_feed(spark, tmpdir_path + "/feed").first()
+    assert got["price"] == feed.select(fround("price", 2)).first()[0]

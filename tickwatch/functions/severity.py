@@ -75,6 +75,10 @@ def type_meta_severity(t: Column) -> Column:
     return F.coalesce(_map({k: v[1] for k, v in C.TYPE_META.items()})[t], F.lit(C.META_DEFAULT[1]))
 
 
+def type_description(t: Column) -> Column:
+    return F.coalesce(_map({k: v[2] for k, v in C.TYPE_META.items()})[t], F.lit(C.META_DEFAULT[2]))
+
+
 def layer_tag(layer: Column) -> Column:
     """P21: 'ml' for ML / Deep ML layers, else 'rule'."""
     return F.when(layer.isin(*C.ML_LAYERS), F.lit("ml")).otherwise(F.lit("rule"))

@@ -1,28 +1,34 @@
 """M6-M10 + W9: the sequence-reconstruction detector.
 
-The sequence model is a linear autoencoder over 60-price windows: windows are
-standardised with one scalar scaler per series (M6), principal components are
-fitted with MLlib ``PCA`` (distributed covariance; pooled over series, the
-windows being standardised per series), and a window's error is the mean
-squared difference between it and its reconstruction from ``k`` components
-(M9).  The model itself is 60 x (k + 1) doubles, so it ships inside the scoring
-UDF whatever the data size.
+A window is the last 60 prices, standardised with one scalar scaler per series (M6); its error is the
+mean squared difference between it and its reconstruction by a model (M9).  No row carries its window:
+prices travel one a row, in blocks sorted by row number, and a task slides over them, a batch of rows at a
+time (``sliding``).
+
+The model is any function from windows to reconstructed windows (M7), made once in each Python worker by a
+``make_predict_fn`` as in ``pyspark.ml.functions.predict_batch_udf``.  The built-in one is a linear
+autoencoder: the ``k`` principal components of the training windows (pooled over series), whose 60 x 60
+covariance the tasks add up from their windows' products.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwatch import constants as C
+from tickwatch.operators.blocks import block_window
+
+#: A model: makes a function from windows (rows, seq_len) to their reconstructions.
+MakePredict = Callable[[], Callable[[np.ndarray], np.ndarray]]
+#: Windows formed at once in a task.
+BATCH_ROWS = 4096
 
 
 def training_weight(rn: Column, length: Column, seq_len: int = C.SEQ_LEN) -> Column:
@@ -48,81 +54,141 @@ def sequence_scaler(numbered: DataFrame, seq_len: int = C.SEQ_LEN) -> DataFrame:
 
 @dataclass
 class SequenceModel:
-    mean: np.ndarray  # (seq_len,)
-    components: np.ndarray  # (seq_len, k)
+    make_predict: MakePredict
     base_threshold: float
     scaler: DataFrame  # series, seq_mean, seq_sd
+    seq_len: int = C.SEQ_LEN
+
+
+def linear_autoencoder(mean: np.ndarray, components: np.ndarray) -> MakePredict:
+    """Reconstruction from principal components (columns): one dot product a component and row."""
+    def make() -> Callable[[np.ndarray], np.ndarray]:
+        return lambda windows: mean + ((windows - mean) @ components) @ components.T
+
+    return make
 
 
-def _scaled(col: str = "seq_prices") -> Column:
+# ------------------------------------------------------------------------------ sliding over blocks
+
+def scaled(frame: DataFrame, scaler: DataFrame) -> DataFrame:
+    """Adds ``_place`` (row of the block, from 1) and ``_x`` (standardised price; null without a scaler), rows of a
+    block together and in order: a window function over the block asks Spark for that."""
     sd = F.when((F.col("seq_sd") == 0) | F.col("seq_sd").isNull(), F.lit(1.0)).otherwise(F.col("seq_sd"))
-    return F.transform(col, lambda x: (x - F.col("seq_mean")) / sd)
+    j = frame.join(scaler, "series", "left").withColumn("_x", (F.col("price") - F.col("seq_mean")) / sd)
+    return j.drop("seq_mean", "seq_sd").withColumn("_place", F.row_number().over(block_window()))
 
 
-def error_udf(mean: np.ndarray, components: np.ndarray):
-    """M9: pandas UDF: mean squared reconstruction error of each scaled window."""
-    mu = np.asarray(mean, dtype=np.float64)
-    P = np.asarray(components, dtype=np.float64)
-    proj = P @ P.T
+def reconstruction_error(make_predict: MakePredict, seq_len: int):
+    """M9: pandas UDF over (place, value) of rows in block order: each row's error, NaN before a block's first window.
 
+    Not deterministic for the optimizer: rows filtered out before it would be missing in others' windows."""
     @F.pandas_udf("double")
-    def recon_error(windows: pd.Series) -> pd.Series:
-        out = np.full(len(windows), np.nan)
-        ok = windows.notna().to_numpy()
-        if ok.any():
-            X = np.stack(windows[ok].to_numpy())
-            centred = X - mu
-            recon = mu + centred @ proj
-            out[ok] = np.mean((X - recon) ** 2, axis=1)
-        return pd.Series(out)
-
-    return recon_error
-
-
-def fit_sequence_model(seq_frame: DataFrame, scaler: DataFrame | None = None, k: int = 8,
-                       seq_len: int = C.SEQ_LEN) -> SequenceModel:
-    """M6 + M7 + M8: per-series scaler, PCA on the training windows (rows with
-    ``seq_prices`` except each series' last row) and the base threshold
-    mean + 3 sigma of training errors.
-
-    ``seq_frame``: own rows with ``series, rn, price, seq_prices`` (see
-    ``stats.price_sequences``).  The fit is eager, like an MLlib estimator: the
-    history is kept only while fitting, and the (one row per series) scaler is
-    checkpointed to the shared checkpoint folder so scoring plans do not
-    recompute the history."""
+    def recon_error(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        predict = make_predict()
+        for place, x in _with_carry(batches, seq_len):
+            yield pd.Series(_errors(predict, place, x, seq_len))
+
+    return recon_error.asNondeterministic()
+
+
+def _with_carry(batches, seq_len: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, values) of each batch, the values behind the last ``seq_len`` - 1 of the batch before."""
+    carry = np.empty(0)
+    for place, x in batches:
+        values = np.concatenate([carry, np.asarray(x, dtype=np.float64)])
+        yield np.asarray(place), values
+        carry = values[max(0, len(values) - (seq_len - 1)):]
+
+
+def _windows(place: np.ndarray, values: np.ndarray, seq_len: int, wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row numbers, windows) of a batch's rows that end a window within their block, a piece at a time."""
+    before = len(values) - len(place)
+    at = np.flatnonzero(place >= seq_len if wanted is None else wanted & (place >= seq_len))
+    if len(at):
+        views = np.lib.stride_tricks.sliding_window_view(values, seq_len)
+        for i in range(0, len(at), BATCH_ROWS):
+            piece = at[i:i + BATCH_ROWS]
+            yield piece, views[piece + before - (seq_len - 1)]
+
+
+def _errors(predict, place: np.ndarray, values: np.ndarray, seq_len: int) -> np.ndarray:
+    out = np.full(len(place), np.nan)
+    for at, w in _windows(place, values, seq_len):
+        out[at] = np.mean((w - predict(w)) ** 2, axis=1)
+    return out
+
+
+def window_products(seq_len: int):
+    """Per task: number, sum and product of the training windows (``_train``), as rows (i, n, s, row of the product)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, product = 0, np.zeros(seq_len), np.zeros((seq_len, seq_len))
+        read = []
+
+        def columns():
+            for b in batches:
+                read.append(b.column("_train").to_numpy(zero_copy_only=False))
+                yield b.column("_place").to_numpy(zero_copy_only=False), b.column("_x").to_numpy(zero_copy_only=False)
+
+        for place, values in _with_carry(columns(), seq_len):
+            for _, w in _windows(place, values, seq_len, read.pop()):
+                n, total, product = n + len(w), total + w.sum(0), product + w.T @ w
+        if n:
+            yield pa.RecordBatch.from_pydict({"i": pa.array(range(seq_len), pa.int32()), "n": pa.array([n] * seq_len, pa.int64()),
+                                              "s": pa.array(total), "row": pa.array(list(product), pa.list_(pa.float64()))})
+
+    return run
+
+
+# ------------------------------------------------------------------------------ fit and score
+
+def training_frame(blocked: DataFrame, scaler: DataFrame, seq_len: int) -> DataFrame:
+    """The blocked rows with ``_train``: does a training window end here?  (All but each series' last row.)"""
+    lengths = blocked.where("own").groupBy("series").agg(F.max("rn").alias("_len"))
+    rows = blocked.select("series", "block", "own", "rn", "price").join(lengths, "series", "left")
+    return scaled(rows.withColumn("_train", F.col("own") & (F.col("rn") < F.col("_len"))), scaler)
+
+
+def principal_components(train: DataFrame, k: int, seq_len: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and first ``k`` components (columns) of the training windows.
+
+    The windows are standardised, so their plain products keep their digits; 60 x 61 numbers come to the driver."""
+    parts = train.select("_place", "_x", "_train").mapInArrow(window_products(seq_len), "i int, n long, s double, row array<double>")
+    parts = parts.select("i", "n", "s", F.posexplode("row").alias("j", "v"))
+    mean, product, n = np.zeros(seq_len), np.zeros((seq_len, seq_len)), 0
+    for r in parts.groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("v").alias("v")).collect():
+        n, mean[r["i"]], product[r["i"], r["j"]] = r["n"], r["s"] / r["n"], r["v"] / r["n"]
+    if not n:
+        raise ValueError(f"no series has a window of {seq_len} prices before its last row")
+    _, vectors = np.linalg.eigh(product - np.outer(mean, mean))
+    return mean, vectors[:, ::-1][:, :k]
+
+
+def fit_sequence_model(blocked: DataFrame, scaler: DataFrame | None = None, k: int = 8, seq_len: int = C.SEQ_LEN,
+                       make_predict: MakePredict | None = None) -> SequenceModel:
+    """M6 + M7 + M8: per-series scaler, the model and the base threshold mean + 3 sigma of the training errors.
+
+    ``blocked``: rows in blocks with a halo of ``seq_len`` (see ``blocks.to_blocks``).  ``make_predict`` plugs in
+    another model, trained elsewhere; else principal components are fitted here.  The fit is eager, like an MLlib
+    estimator; the (one row per series) scaler is checkpointed, so scoring plans don't read the history again."""
     from tickwatch.session import checkpoint_dir
-    checkpoint_dir(seq_frame.sparkSession)
-    hist = seq_frame.select("series", "rn", "price", "seq_prices").persist(StorageLevel.MEMORY_AND_DISK)
-    train = None
-    try:
-        if scaler is None:
-            scaler = sequence_scaler(hist.select("series", "rn", "price"), seq_len)
-        scaler = scaler.checkpoint()
-        lengths = hist.groupBy("series").agg(F.max("rn").alias("_len"))
-        train = (hist.where(F.col("seq_prices").isNotNull()).join(lengths, "series")
-                 .where(F.col("rn") < F.col("_len")).join(scaler, "series")
-                 .select(_scaled().alias("x")).withColumn("v", array_to_vector("x")))
-        # fitting runs several passes (covariance, mean, errors): keep the windows meanwhile
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-        pca = PCA(k=k, inputCol="v", outputCol="p").fit(train.select("v"))
-        mean = np.asarray(train.select(Summarizer.mean(F.col("v")).alias("m")).first()["m"].toArray())
-        comps = np.asarray(pca.pc.toArray())
-        errs = train.select(error_udf(mean, comps)(F.col("x")).alias("e"))
-        st = errs.agg(F.avg("e").alias("m"), F.stddev_pop("e").alias("s")).first()
-    finally:
-        if train is not None:
-            train.unpersist()
-        hist.unpersist()
-    base = float(st["m"] + C.BASE_K * st["s"])
-    return SequenceModel(mean, comps, base, scaler)
+    checkpoint_dir(blocked.sparkSession)
+    if scaler is None:
+        scaler = sequence_scaler(blocked.where("own").select("series", "rn", "price"), seq_len)
+    scaler = scaler.checkpoint()
+    train = training_frame(blocked, scaler, seq_len)
+    if make_predict is None:
+        make_predict = linear_autoencoder(*principal_components(train, k, seq_len))
+    error = reconstruction_error(make_predict, seq_len)
+    errors = train.withColumn("e", error("_place", "_x")).where(F.col("_train") & ~F.isnan("e"))
+    st = errors.agg(base_threshold_expr(F.col("e")).alias("base")).first()
+    return SequenceModel(make_predict, float(st["base"]), scaler, seq_len)
 
 
 def score_sequences(frame: DataFrame, model: SequenceModel, out: str = "seq_err") -> DataFrame:
-    """Reconstruction error for every row with a full window (NULL otherwise)."""
-    j = frame.join(model.scaler, "series", "left")
-    return j.withColumn(out, F.when(F.col("seq_prices").isNotNull(),
-                                    error_udf(model.mean, model.components)(_scaled()))) \
-        .drop("seq_mean", "seq_sd")
+    """Reconstruction error of every row of a blocked frame that ends a whole window (NULL otherwise)."""
+    j = scaled(frame, model.scaler)
+    j = j.withColumn(out, reconstruction_error(model.make_predict, model.seq_len)("_place", "_x"))
+    return j.withColumn(out, F.when(~F.isnan(out), F.col(out))).drop("_place", "_x")
 
 
 def base_threshold_expr(errors: Column) -> Column:

@@ -261,7 +261,8 @@ c AS (SELECT type, count(*) AS count FROM x GROUP BY type)
 SELECT type, count,
   CASE type {' '.join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in C.TYPE_META.items())} ELSE '?' END AS layer,
   CASE type {' '.join(f"WHEN '{k}' THEN '{v[1]}'" for k, v in C.TYPE_META.items())} ELSE 'LOW' END AS severity,
-  CASE WHEN type IN ('iforest_anomaly', 'lstm_anomaly') THEN 'ml' ELSE 'rule' END AS layer_tag
+  CASE WHEN type IN ('iforest_anomaly', 'lstm_anomaly') THEN 'ml' ELSE 'rule' END AS layer_tag,
+  CASE type {' '.join(f"WHEN '{k}' THEN '{v[2]}'" for k, v in C.TYPE_META.items())} ELSE '' END AS description
 FROM c""")
 def type_counts(spark, sf_dir):
     """Fired-detector counts with layer / severity metadata."""
@@ -282,11 +283,12 @@ def top_detector(spark, sf_dir):
     return td(_events(spark, sf_dir))
 
 
-@register("session_kpis", f"""{EVF},
+def _kpi_sql(feed: str, ev: str) -> str:
+    return f"""{EVF},
 f AS (SELECT series, count(*) AS ticks, max(price) AS hi, min(price) AS lo, (max(t_us) - min(t_us)) / 1e6 AS span_s,
-             bool_or(if_ready) AS if_ready FROM feed GROUP BY series),
+             bool_or(if_ready) AS if_ready FROM {feed} GROUP BY series),
 e AS (SELECT series, count(*) AS anomalies, count_if(severity = 'HIGH') AS high, count_if(severity = 'MED') AS med
-      FROM ev GROUP BY series),
+      FROM {ev} GROUP BY series),
 j AS (SELECT f.*, coalesce(e.anomalies, 0) AS anomalies, coalesce(e.high, 0) AS high, coalesce(e.med, 0) AS med,
              coalesce(e.anomalies, 0) / greatest(f.ticks, 1) * 100.0 AS rate,
              greatest((f.hi - f.lo) * {C.CHART_PAD_FRACTION}, {C.CHART_PAD_MIN}) AS pad
@@ -302,7 +304,19 @@ SELECT series, CAST(ticks AS BIGINT) AS ticks, CAST(anomalies AS BIGINT) AS anom
        ELSE printf('%dm %ds', CAST(floor(span_s / 60) AS BIGINT), CAST(floor(fmod(span_s, 60)) AS BIGINT)) END
     AS elapsed,
   round(least(ticks / {float(C.IF_WARMUP)}, 1.0), 6) AS warmup, if_ready
-FROM j""")
+FROM j"""
+
+
+@register("session_kpis_mixed", _kpi_sql(f"(SELECT * FROM {Q.last_n_sql('feed', C.MAX_PRICE_HISTORY)})",
+                                         f"(SELECT * FROM {Q.last_n_sql('ev', C.ANOMALY_LOG_ROWS)})"))
+def session_kpis_mixed(spark, sf_dir):
+    """A5 with the mixed windows of a live view: the last 500 ticks, the last 3000 events."""
+    from tickwatch.plans.report import mixed_window_kpis
+    fr = _events_rules(spark, sf_dir)
+    return mixed_window_kpis(detect.feed_frame(fr), detect.event_record(fr, types="rule_types"))
+
+
+@register("session_kpis", _kpi_sql("feed", "ev"))
 def session_kpis(spark, sf_dir):
     """Per-series KPIs over the whole series."""
     from tickwatch.functions.severity import top_severity
@@ -618,6 +632,78 @@ def dynamic_threshold(spark, sf_dir):
                     fround("ratio", 6).alias("ratio"), F.col("err_flag").alias("flag"))
 
 
+_WITH_MODEL = f"""{_SEQ_BASE},
+d AS (SELECT v.*, bt.base,
+  avg(err) OVER ({_SEQ_S} ROWS BETWEEN {C.ERR_WINDOW - 1} PRECEDING AND CURRENT ROW)
+    + {C.ERR_K} * stddev_pop(err) OVER ({_SEQ_S} ROWS BETWEEN {C.ERR_WINDOW - 1} PRECEDING AND CURRENT ROW) AS dyn
+  FROM v JOIN bt USING (series)),
+th AS (SELECT *, CASE WHEN rn - {C.SEQ_LEN - 1} > {C.ERR_MIN} THEN dyn ELSE base END AS thr FROM d WHERE rn >= {C.SEQ_LEN}),
+{Q.rules_ctes().replace("tk AS (", "tk2 AS (", 1).replace("FROM tk)", "FROM tk2)", 1)},
+m AS (SELECT r.series, r.seq, th.err / (CASE WHEN th.thr = 0 THEN {C.THRESH_EPS} ELSE th.thr END) AS ratio,
+        list_filter([CASE WHEN pct_spike THEN 'pct_spike' END, CASE WHEN abs_jump THEN 'abs_jump' END,
+                     CASE WHEN vol_breakout THEN 'vol_breakout' END,
+                     CASE WHEN mean_reversion_break THEN 'mean_reversion_break' END,
+                     CASE WHEN th.err > th.thr THEN 'lstm_anomaly' END], lambda x: x IS NOT NULL) AS types
+      FROM r LEFT JOIN th ON r.series = th.series AND r.seq = th.seq)"""
+
+
+def _with_model(spark, sf_dir):
+    """Rules and a sequence detector whose error is the windows' variance (a stand-in that SQL can express)."""
+    from tickwatch.operators.rules import fired_types
+    from tickwatch.operators.sequence import base_threshold_expr
+    from tickwatch.operators.stats import dynamic_threshold as dt
+    fr = detect.rule_frame(events_ticks(spark, sf_dir), EVENTS_PARAMS, LAYOUT, var_err=True, own_only=False)
+    own = fr.where("own")
+    lengths = own.groupBy("series").agg(F.max("rn").alias("_len"))
+    base = own.join(lengths, "series").where((F.col("rn") >= C.SEQ_LEN) & (F.col("rn") < F.col("_len"))) \
+        .groupBy("series").agg(base_threshold_expr(F.col("var_err")).alias("base"))
+    fr = dt(fr.join(base, "series", "left"), "var_err", F.col("base")).where("own")
+    lstm = fired_types([(C.LSTM_ANOMALY, F.coalesce("err_flag", F.lit(False)))])
+    return fr.select("series", "seq", "ratio", F.concat("rule_types", lstm).alias("types"))
+
+
+@register("severity_with_model", f"""{_WITH_MODEL}
+SELECT series, seq, array_to_string(types, ',') AS types,
+  CASE WHEN list_has_any(types, ['pct_spike', 'abs_jump', 'lstm_anomaly']) THEN 'HIGH'
+       WHEN list_has_any(types, ['vol_breakout', 'iforest_anomaly']) THEN 'MED' ELSE 'LOW' END AS full_sev,
+  CASE WHEN list_has_any(types, {C.FALLBACK_HIGH}) THEN 'HIGH'
+       WHEN list_has_any(types, {C.FALLBACK_MED}) THEN 'MED' ELSE 'LOW' END AS fallback_sev,
+  CASE WHEN list_has_any(types, {C.RULES_ONLY_HIGH}) THEN 'HIGH'
+       WHEN list_has_any(types, {C.RULES_ONLY_MED}) THEN 'MED' ELSE 'LOW' END AS rules_only_sev
+FROM m WHERE len(types) > 0""")
+def severity_with_model(spark, sf_dir):
+    """P6-P9 on fired lists that hold a model's detector, where the three severity rules differ."""
+    from tickwatch.functions.severity import severity as sev
+    ev = _with_model(spark, sf_dir).where(F.size("types") > 0)
+    return ev.select("series", "seq", F.array_join("types", ",").alias("types"), *[
+        sev(F.col("types"), v).alias(f"{v}_sev") for v in ("full", "fallback", "rules_only")])
+
+
+@register("recon_panel", f"""{_WITH_MODEL}
+SELECT series, bool_or(coalesce(ratio, 0) > 0) AS active FROM m WHERE len(types) > 0 GROUP BY series""")
+def recon_panel(spark, sf_dir):
+    """does any event of a series carry a sequence score?"""
+    from tickwatch.plans.report import recon_panel_active
+    ev = _with_model(spark, sf_dir).where(F.size("types") > 0)
+    return recon_panel_active(ev.withColumn("lstm_score", F.coalesce("ratio", F.lit(0.0))))
+
+
+# --------------------------------------------------------------------------- sessions
+
+@register("tick_sessions", f"""
+WITH tk AS ({Q.ticks_cte()}),
+g AS (SELECT *, CASE WHEN (t_us - lag(t_us) OVER ({_SEQ_S})) <= {EVENTS_PARAMS.max_dt} * 1e6 THEN 0 ELSE 1 END AS begins FROM tk),
+s AS (SELECT *, sum(begins) OVER ({_SEQ_S}) AS session FROM g)
+SELECT series, session::BIGINT AS session, {Q.fmt_ts('min(ts)')} AS first_ts, {Q.fmt_ts('max(ts)')} AS last_ts,
+       count(*) AS ticks, min(price) AS lo, max(price) AS hi FROM s GROUP BY series, session""")
+def tick_sessions(spark, sf_dir):
+    """Sessions of each series: runs of ticks with gaps of at most ``max_dt``."""
+    from tickwatch.operators.sessions import tick_sessions as ts
+    out = ts(events_ticks(spark, sf_dir), EVENTS_PARAMS.max_dt, LAYOUT)
+    return out.select("series", "session", _fmt_ts("first_ts").alias("first_ts"), _fmt_ts("last_ts").alias("last_ts"),
+                      "ticks", "lo", "hi")
+
+
 # --------------------------------------------------------------------------- models (rows-only checks)
 
 @register("iforest_scores")

@@ -32,27 +32,26 @@ def rule_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layo
                features: str | None = None, sequences: bool = False, var_err: bool = False,
                own_only: bool = True) -> DataFrame:
     """All rule columns for every tick (R1-R4, W1-W3, W7), optionally IF features
-    (W4-W6, ``features`` = "online" | "training") and 60-price sequences (W8).  One Exchange + Sort for all windows."""
+    (W4-W6, ``features`` = "online" | "training"); ``sequences``: blocks with the context that the sequence
+    model needs.  One Exchange for all windows."""
     df = blocked(ticks, layout, needed_halo(sequences, var_err))
-    return rules_on_blocks(df, params, features, sequences, var_err, own_only)
+    return rules_on_blocks(df, params, features, var_err, own_only)
 
 
 def rules_on_numbered(numbered: DataFrame, params: RuleParams, layout: Layout, features: str | None = None,
                       sequences: bool = False, own_only: bool = True) -> DataFrame:
     """Same as ``rule_frame`` for rows that already carry ``rn`` (and ``ctx``)."""
     df = to_blocks(numbered, needed_halo(sequences))
-    return rules_on_blocks(df, params, features, sequences, False, own_only)
+    return rules_on_blocks(df, params, features, False, own_only)
 
 
-def rules_on_blocks(df: DataFrame, params: RuleParams, features: str | None = None, sequences: bool = False,
-                    var_err: bool = False, own_only: bool = True) -> DataFrame:
+def rules_on_blocks(df: DataFrame, params: RuleParams, features: str | None = None, var_err: bool = False,
+                    own_only: bool = True) -> DataFrame:
     df = stats.gated_change(df, params)
     df = stats.rolling_stats(df)
     df = rule_flags(df, params)
     if features:  # "online" (20 rows incl. current) or "training" (21 rows)
         df = stats.if_features(df, training=(features == "training"))
-    if sequences:
-        df = stats.price_sequences(df)
     if var_err:
         df = stats.sequence_variance(df)
     df = latch(df)
@@ -104,11 +103,10 @@ def iforest_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: L
     return walk_forward(fr.select(*keep), contamination)
 
 
-def fit_sequence(history: DataFrame, layout: Layout = Layout(), k: int = 8):
-    """Fit the sequence model (M6-M8) on a tick history."""
+def fit_sequence(history: DataFrame, layout: Layout = Layout(), k: int = 8, make_predict=None):
+    """Fit the sequence model (M6-M8) on a tick history; ``make_predict`` plugs in a model of one's own."""
     from tickwatch.operators.sequence import fit_sequence_model
-    hist_frame = stats.price_sequences(blocked(history, layout, C.SEQ_LEN)).where(F.col("own"))
-    return fit_sequence_model(hist_frame, k=k)
+    return fit_sequence_model(blocked(history, layout, C.SEQ_LEN), k=k, make_predict=make_predict)
 
 
 def full_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layout = Layout(),

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from tickwatch import constants as C
 from tickwatch.functions.numeric import fround
-from tickwatch.functions.severity import layer_tag, rules_only_severity, type_layer, type_meta_severity
+from tickwatch.functions.severity import layer_tag, rules_only_severity, type_description, type_layer, type_meta_severity
 from tickwatch.schema import Layout
+from tickwatch.session import checkpoint_dir
 
 def newest() -> list[Column]:
     return [F.col("t_us").desc(), F.col("seq").desc()]
@@ -36,6 +37,9 @@ def last_n(df: DataFrame, n: int, keys: tuple[str, ...] = ("series",)) -> DataFr
         w = Window.partitionBy(*keys).orderBy(*newest())
         return df.withColumn("pos", F.row_number().over(w).cast("long")).where(F.col("pos") <= n)
     from tickwatch.operators.blocks import number_rows
+    # counted, sampled for the ranges' bounds and dealt out: evaluate the rows once
+    checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()
     cols = df.columns
     stash = {c: f"_keep_{c}" for c in ("rn", "_n", "_B", "pos") if c in cols}
     for c, t in stash.items():
@@ -98,7 +102,7 @@ def type_counts(events: DataFrame, per_series: bool = False) -> DataFrame:
     c = ex.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
     layer = type_layer(F.col("type"))
     return (c.select(*keys, "count", layer.alias("layer"), type_meta_severity(F.col("type")).alias("severity"),
-                     layer_tag(layer).alias("layer_tag"))
+                     layer_tag(layer).alias("layer_tag"), type_description(F.col("type")).alias("description"))
             .orderBy(F.col("count").desc(), "type"))
 
 
@@ -168,6 +172,13 @@ def session_kpis(feed: DataFrame, events: DataFrame | None = None) -> DataFrame:
         F.col("if_ready"))
 
 
+def mixed_window_kpis(feed: DataFrame, events: DataFrame, ticks: int = C.MAX_PRICE_HISTORY,
+                      log_rows: int = C.ANOMALY_LOG_ROWS) -> DataFrame:
+    """A5 as a live view shows it: the last ``ticks`` of the feed against the last ``log_rows`` of the event log,
+    whatever their times, so the rate can exceed 100 %."""
+    return session_kpis(last_n(feed, ticks), last_n(events, log_rows))
+
+
 def latest_delta(feed: DataFrame) -> DataFrame:
     """Latest and previous price per series (previous = latest for a single row);
     percent delta is 0 when the previous price is 0."""
@@ -197,15 +208,32 @@ def anomaly_rows_in_window(events: DataFrame, feed: DataFrame) -> DataFrame:
     return events.join(first, "series").where(F.col("t_us") >= F.col("_first")).drop("_first")
 
 
+#: Minutes of a day: the most elements of an array while empty minutes are filled in.
+DAY = 1440
+
+
 def events_per_minute(events: DataFrame) -> DataFrame:
     """Events per minute per series, empty minutes included as 0, between the
-    first and last event minute of the series."""
-    m = events.select("series", F.date_trunc("minute", F.col("ts").cast("timestamp_ntz")).alias("minute"))
-    counts = m.groupBy("series", "minute").agg(F.count(F.lit(1)).alias("count"))
-    bounds = counts.groupBy("series").agg(F.min("minute").alias("lo"), F.max("minute").alias("hi"))
-    domain = bounds.select("series", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MINUTE"))).alias("minute"))
-    return domain.join(counts, ["series", "minute"], "left").select(
-        "series", "minute", F.coalesce("count", F.lit(0)).cast("long").alias("count"))
+    first and last event minute of the series.
+
+    Each minute with events is followed by its own gap up to the next one, cut into pieces of 1440 days,
+    days and minutes.  Pieces are dealt out anew before they are cut further: a far time makes many rows,
+    but neither a long array nor a long task (Spark holds all rows that a row explodes to within a stage)."""
+    us = F.unix_micros(F.col("ts").cast("timestamp_ntz").cast("timestamp"))
+    minute = F.expr("(_us - pmod(_us, 60000000)) div 60000000")
+    counts = events.select("series", us.alias("_us")).groupBy("series", minute.alias("_m")).agg(F.count(F.lit(1)).alias("_c"))
+    after = F.lead("_m").over(Window.partitionBy("series").orderBy("_m"))
+    rows = counts.withColumn("_n", F.coalesce(after - F.col("_m"), F.lit(1)))
+    rows = rows.withColumn("_at", F.lit(0).cast("long")).withColumn("_left", F.col("_n"))
+    for size in (DAY * DAY, DAY, 1):
+        if size < DAY * DAY:
+            rows = rows.repartition("series", "_m", "_at")
+        piece = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_left - 1) div {size}")))
+        rows = rows.select("series", "_m", "_c", "_at", "_left", piece.alias("_i")).select(
+            "series", "_m", "_c", (F.col("_at") + F.col("_i") * size).alias("_at"),
+            F.least(F.lit(size), F.col("_left") - F.col("_i") * size).alias("_left"))
+    return rows.select("series", F.timestamp_micros((F.col("_m") + F.col("_at")) * 60_000_000).cast("timestamp_ntz").alias("minute"),
+                       F.when(F.col("_at") == 0, F.col("_c")).otherwise(F.lit(0)).cast("long").alias("count"))
 
 
 def nice_step(lo: Column, hi: Column, maxbins: int = C.HIST_MAXBINS) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwatch import constants as C
+from tickwatch.functions.numeric import fround
 from tickwatch.functions.severity import fallback_severity, primary_type
 from tickwatch.plans.report import last_n
 from tickwatch.schema import ANOMALY_LOG_TEXT, PRICE_FEED_ROW, t_us
@@ -71,8 +72,8 @@ def coerce_anomaly_log(raw: DataFrame, max_rows: int | None = C.ANOMALY_LOG_ROWS
 def write_price_feed(feed: DataFrame, path: str, n: int = C.MAX_PRICE_HISTORY) -> None:
     """Overwrite the last ``n`` ticks per series (D7 rows)."""
     last = last_n(feed, n)
-    last.select("series", iso_utc(F.col("ts")).alias("timestamp"), F.round("price", 2).alias("price"),
-                F.round("if_score", 4).alias("if_score"), "anomaly", "if_ready") \
+    last.select("series", iso_utc(F.col("ts")).alias("timestamp"), fround("price", C.ROUND_PRICE).alias("price"),
+                fround("if_score", C.ROUND_SCORE).alias("if_score"), "anomaly", "if_ready") \
         .write.mode("overwrite").partitionBy("series").json(path)
 
 
