@@ -208,3 +208,61 @@ def test_sequence_model_needs_a_window(spark):
     from tickwatch.schema import events_ticks
     with pytest.raises(ValueError, match="window"):
         detect.fit_sequence(events_ticks(spark, "/root/testdata/sf0.001").limit(20))
+
+
+def _online_features(spark, sf="/root/testdata/sf0.01"):
+    from tickwatch.operators.stats import FEATURES
+    from tickwatch.plans import detect
+    from tickwatch.schema import EVENTS_PARAMS, Layout, events_ticks
+    fr = detect.rule_frame(events_ticks(spark, sf), EVENTS_PARAMS, Layout(block_rows=900), features="online")
+    return fr.select("series", "seq", "rn", "price", *FEATURES).checkpoint()
+
+
+def test_saved_epoch_models_score_the_same(spark, tmpdir_path):
+    """History scored from the saved table of (series, epoch) models equals the walk-forward scores."""
+    from tickwatch.operators.iforest import fit_epochs, score_epochs, walk_forward
+    from tickwatch.sources.files import load_model, save_model
+    fr = _online_features(spark)
+    want = walk_forward(fr)
+    save_model(fit_epochs(fr), tmpdir_path + "/m")
+    models = load_model(spark, tmpdir_path + "/m")
+    got = score_epochs(fr, models)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    # one model a fit of the schedule
+    n = {r["series"]: r["n"] for r in fr.groupBy("series").agg((F.max("rn") - 19).alias("n")).collect()}
+    assert models.count() == sum(max(0, (v - C.IF_WARMUP) // C.IF_RETRAIN + 1) for v in n.values())
+    # without its model an epoch isn't scored
+    cut = score_epochs(fr, models.where("_epoch < 2"))
+    assert cut.where("if_ready").count() == want.where((F.col("rn") < C.IF_WARMUP + C.IF_RETRAIN + 19) & F.col("if_ready")).count()
+
+
+def test_scores_by_sql_over_the_node_table(spark):
+    """The tree walk and the score as a recursive query in another engine give the scores and flags."""
+    import duckdb
+    from tickwatch.operators.iforest import fit_epochs, walk_forward
+    fr = _online_features(spark).where("series = 'view'")
+    scored = walk_forward(fr, n_trees=7).toPandas()
+    models = fit_epochs(fr, n_trees=7).toPandas()
+    rows = scored[scored["if_ready"]].sample(120, random_state=1)
+    con = duckdb.connect()
+    con.register("m", models)
+    con.register("r", rows)
+    got = con.execute("""
+        WITH RECURSIVE e AS (SELECT *, (rn - 19 - 300) // 500 + 1 AS epoch FROM r),
+        x AS (SELECT seq, epoch, [(f_price - mu[1]) / sd[1], (f_r1 - mu[2]) / sd[2], (f_r5 - mu[3]) / sd[3],
+                                  (f_sigma - mu[4]) / sd[4], (f_z - mu[5]) / sd[5]] AS v FROM e JOIN m ON m._epoch = e.epoch),
+        n AS (SELECT _epoch, generate_subscripts(feature, 1) - 1 AS node, unnest(feature) AS f, unnest(threshold) AS t,
+                     unnest("left") AS l, unnest("right") AS rt, unnest(size) AS size, unnest(depth) AS depth FROM m),
+        w AS (SELECT x.seq, x.epoch, x.v, tree AS node FROM x, range(7) q(tree)
+              UNION ALL
+              SELECT w.seq, w.epoch, w.v, CASE WHEN w.v[n.f + 1] < n.t THEN n.l ELSE n.rt END
+              FROM w JOIN n ON n._epoch = w.epoch AND n.node = w.node WHERE n.f >= 0),
+        leaf AS (SELECT w.seq, w.epoch, n.depth, n.size FROM w JOIN n ON n._epoch = w.epoch AND n.node = w.node WHERE n.f < 0),
+        h AS (SELECT seq, epoch, avg(depth + CASE WHEN size > 2 THEN 2 * (ln(size - 1) + 0.5772156649015329) - 2 * (size - 1) / size
+                                               WHEN size = 2 THEN 1 ELSE 0 END) AS h, count(*) AS n FROM leaf GROUP BY ALL)
+        SELECT seq, pow(2, -h / (2 * (ln(subsample - 1) + 0.5772156649015329) - 2 * (subsample - 1) / subsample)) AS score,
+               score > cut AS flag, n FROM h JOIN m ON m._epoch = h.epoch""").fetchdf().set_index("seq")
+    rows = rows.set_index("seq")
+    assert (got["n"] == 7).all() and len(got) == len(rows)
+    assert np.abs(got["score"] - rows["if_score"].loc[got.index]).max() < 1e-12
+    assert (got["flag"] == rows["if_flag"].loc[got.index]).all()

@@ -18,6 +18,7 @@ size, depth)``.
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -51,30 +52,59 @@ def group_seed(seed: int, *parts) -> int:
     return int.from_bytes(h, "little") & ((1 << 63) - 1)
 
 
-def _scale(train: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mu = train.mean(axis=0)
-    sd = train.std(axis=0)
-    sd[sd == 0] = 1.0
-    return (train - mu) / sd, (other - mu) / sd
+EPOCH_MODEL = T.StructType([
+    T.StructField("series", T.StringType()), T.StructField("_epoch", T.LongType()),
+    T.StructField("mu", T.ArrayType(T.DoubleType())), T.StructField("sd", T.ArrayType(T.DoubleType())),
+    T.StructField("cut", T.DoubleType()), T.StructField("n_trees", T.LongType()), T.StructField("subsample", T.LongType()),
+    *[T.StructField(f, T.ArrayType(T.LongType())) for f in ("feature", "left", "right", "size", "depth", "tree")],
+    T.StructField("threshold", T.ArrayType(T.DoubleType()))])
+
+
+@dataclass
+class EpochModel:
+    """A fitted epoch: scaler, forest, and the score above which a row is flagged."""
+
+    mu: np.ndarray
+    sd: np.ndarray
+    forest: isf.Forest
+    cut: float
+
+    @classmethod
+    def fit(cls, train: np.ndarray, contamination: float, n_trees: int, subsample: int, seed: int) -> "EpochModel":
+        mu, sd = train.mean(axis=0), train.std(axis=0)
+        sd[sd == 0] = 1.0
+        x = (train - mu) / sd
+        forest = isf.fit_forest(x, n_trees, subsample, seed)
+        return cls(mu, sd, forest, isf.flag_threshold(isf.forest_score(x, forest), contamination))
+
+    def score(self, out: pd.DataFrame, x: np.ndarray) -> pd.DataFrame:
+        """``out`` with score and flag of each row of features ``x`` (no score where one is missing)."""
+        ok = ~np.isnan(x).any(axis=1)
+        scores, flags = np.zeros(len(out)), np.zeros(len(out), dtype=bool)
+        scores[ok] = isf.forest_score((x[ok] - self.mu) / self.sd, self.forest)
+        flags[ok] = scores[ok] > self.cut
+        return out.assign(if_score=scores, if_flag=flags, if_ready=True)
 
+    def row(self, series: str, epoch: int) -> pd.DataFrame:
+        """The model as one row of a table of ``EPOCH_MODEL``."""
+        f = self.forest
+        arrays = {k: [getattr(f, k)] for k in ("feature", "left", "right", "size", "depth", "tree", "threshold")}
+        return pd.DataFrame({"series": [series], "_epoch": [epoch], "mu": [self.mu], "sd": [self.sd], "cut": [self.cut],
+                             "n_trees": [f.n_trees], "subsample": [f.subsample], **arrays})[EPOCH_MODEL.names]
 
-def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONLINE,
-                 n_trees: int = C.IF_TREES, subsample: int = C.IF_SUBSAMPLE, seed: int = C.IF_SEED,
-                 score_rows: str | None = None, pretrained: DataFrame | None = None) -> DataFrame:
-    """Score every row of ``frame`` (own rows with ``rn`` and the 5 feature columns)
-    with the model in force at that row.  Adds ``if_score`` (0.0 when no model),
-    ``if_flag`` and ``if_ready``; the rest of each row passes through unchanged.
-    Cold start: no model (score 0) before the 300th feature row.
-    ``score_rows``: optional boolean column; rows where it is false only train.
-    ``pretrained``: a model table from ``train_static``; then the pre-trained
-    schedule applies (model 0 scores until the first refit at feature row 500;
-    a series missing from the table gets no score until then).
-    """
-    pre = pretrained is not None
-    carry = [c for c in frame.columns]
-    out_fields = list(frame.schema.fields)
+    @classmethod
+    def of(cls, row: pd.Series) -> "EpochModel":
+        forest = isf.Forest(*[np.asarray(row[k]) for k in ("feature", "threshold", "left", "right", "size", "depth", "tree")],
+                            int(row["n_trees"]), int(row["subsample"]))
+        return cls(np.asarray(row["mu"]), np.asarray(row["sd"]), forest, float(row["cut"]))
+
+
+def _roles(frame: DataFrame, pretrained: DataFrame | None, score_rows: str | None) -> DataFrame:
+    """Each row once for every fit that trains on it and, unless ``score_rows`` is false, once for the one that
+    scores it: ``_epoch``, ``_scoring``; columns that training doesn't need are null in training rows."""
+    carry = frame.columns
     n = S.feature_index(F.col("rn"))
-    if pre:
+    if pretrained is not None:
         # M5 fallback: a series without a saved model warms up online (cold schedule)
         has_model = pretrained.select("series").distinct().withColumn("_pre", F.lit(True))
         frame = frame.join(has_model, "series", "left")
@@ -91,46 +121,54 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
             F.array().cast("array<struct<_epoch:bigint,_scoring:boolean>>"))
     roles = F.concat(score_role,
                      F.transform(train_epochs, lambda e: F.struct(e.alias("_epoch"), F.lit(False).alias("_scoring"))))
-    x = frame.withColumn("_role", F.explode(roles)).select(
+    return frame.withColumn("_role", F.explode(roles)).select(
         *[F.when(F.col("_role._scoring") | F.lit(c in FEATURES or c in ("series", "rn")), F.col(c)).alias(c)
           for c in carry],
         F.col("_role._epoch").alias("_epoch"), F.col("_role._scoring").alias("_scoring"))
-    out_schema = T.StructType(out_fields + [
-        T.StructField("if_score", T.DoubleType()), T.StructField("if_flag", T.BooleanType()),
-        T.StructField("if_ready", T.BooleanType())])
+
+
+def _training_rows(pdf: pd.DataFrame) -> np.ndarray:
+    # shuffles deliver a group's rows in any order: fix it so a recomputed task grows the same trees
+    return pdf[~pdf["_scoring"]].sort_values("rn", kind="stable")[FEATURES].to_numpy(dtype=np.float64)
+
+
+def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONLINE,
+                 n_trees: int = C.IF_TREES, subsample: int = C.IF_SUBSAMPLE, seed: int = C.IF_SEED,
+                 score_rows: str | None = None, pretrained: DataFrame | None = None) -> DataFrame:
+    """Score every row of ``frame`` (own rows with ``rn`` and the 5 feature columns)
+    with the model in force at that row.  Adds ``if_score`` (0.0 when no model),
+    ``if_flag`` and ``if_ready``; the rest of each row passes through unchanged.
+    Cold start: no model (score 0) before the 300th feature row.
+    ``score_rows``: optional boolean column; rows where it is false only train.
+    ``pretrained``: a model table from ``train_static``; then the pre-trained
+    schedule applies (model 0 scores until the first refit at feature row 500;
+    a series missing from the table gets no score until then).
+    """
+    carry = frame.columns
+    x = _roles(frame, pretrained, score_rows)
+    out_schema = _scored_schema(frame)
 
     def fit_score(pdf: pd.DataFrame, model: pd.DataFrame | None = None) -> pd.DataFrame:
         if len(pdf) == 0:  # a model-only cogroup group: nothing to score
             return pd.DataFrame({c: pd.Series([], dtype=object) for c in carry + ["if_score", "if_flag", "if_ready"]})
-        # shuffles deliver a group's rows in any order: fix it so a recomputed task grows the same trees
-        pdf = pdf.sort_values(["_scoring", "rn"], kind="stable").reset_index(drop=True)
-        scoring = pdf[pdf["_scoring"]]
+        scoring = pdf[pdf["_scoring"]].sort_values("rn", kind="stable").reset_index(drop=True)
         out = scoring[carry].copy()
         epoch = int(pdf["_epoch"].iloc[0])
         if len(out) == 0:
             return out.assign(if_score=[], if_flag=[], if_ready=[])
+        features = scoring[FEATURES].to_numpy(dtype=np.float64)
         if epoch == 0:
             if model is None or len(model) == 0:
                 return out.assign(if_score=0.0, if_flag=False, if_ready=False)
-            return score_with_model(out, scoring[FEATURES].to_numpy(dtype=np.float64), model)
-        train = pdf[~pdf["_scoring"]]
-        X_train = train[FEATURES].to_numpy(dtype=np.float64)
-        X_score = scoring[FEATURES].to_numpy(dtype=np.float64)
-        ok = ~np.isnan(X_score).any(axis=1)
-        scores = np.zeros(len(out))
-        flags = np.zeros(len(out), dtype=bool)
-        Xt, Xs = _scale(X_train, X_score[ok])
-        forest = isf.fit_forest(Xt, n_trees, subsample, group_seed(seed, out["series"].iloc[0], epoch))
-        thr = isf.flag_threshold(isf.forest_score(Xt, forest), contamination)
-        s = isf.forest_score(Xs, forest)
-        scores[ok] = s
-        flags[ok] = s > thr
-        return out.assign(if_score=scores, if_flag=flags, if_ready=True)
+            return score_with_model(out, features, model)
+        fitted = EpochModel.fit(_training_rows(pdf), contamination, n_trees, subsample,
+                                group_seed(seed, out["series"].iloc[0], epoch))
+        return fitted.score(out, features)
 
     # Python-heavy groups: spread them over at least a few tasks per core (AQE would
     # otherwise coalesce the small shuffle into about one partition per core)
     spread = _spread(x, ["series", "_epoch"])
-    if not pre:
+    if pretrained is None:
         # one-argument function: applyInPandas would pass the group key to a two-argument one
         def fit_score_cold(pdf: pd.DataFrame) -> pd.DataFrame:
             return fit_score(pdf, None)
@@ -140,6 +178,52 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
         fit_score, out_schema)
 
 
+def _scored_schema(frame: DataFrame) -> T.StructType:
+    return T.StructType(list(frame.schema.fields) + [
+        T.StructField("if_score", T.DoubleType()), T.StructField("if_flag", T.BooleanType()),
+        T.StructField("if_ready", T.BooleanType())])
+
+
+def fit_epochs(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONLINE, n_trees: int = C.IF_TREES,
+               subsample: int = C.IF_SUBSAMPLE, seed: int = C.IF_SEED) -> DataFrame:
+    """M5 + J3: the cold schedule's models as a table, one row a (series, epoch), each scoring the same as in
+    ``walk_forward``.  Save it (``save_model``) and later score the same or corrected history without fitting.
+
+    Columns that aren't features don't take part.  An epoch that scores no row yet is fitted as well once its
+    training rows are there."""
+    rows = _roles(frame.select("series", "rn", *FEATURES), None, None)
+    fits = rows.where(~F.col("_scoring"))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        series, epoch = pdf["series"].iloc[0], int(pdf["_epoch"].iloc[0])
+        m = EpochModel.fit(_training_rows(pdf), contamination, n_trees, subsample, group_seed(seed, series, epoch))
+        return m.row(series, epoch)
+
+    # an epoch is there once its last training row is
+    last = F.max(F.when(S.feature_index(F.col("rn")) == S.fit_point(F.col("_epoch")), F.lit(True)))
+    whole = fits.groupBy("series", "_epoch").agg(last.alias("_whole")).where("_whole").select("series", "_epoch")
+    return _spread(fits.join(whole, ["series", "_epoch"]), ["series", "_epoch"]).groupBy("series", "_epoch").applyInPandas(fit, EPOCH_MODEL)
+
+
+def score_epochs(frame: DataFrame, models: DataFrame) -> DataFrame:
+    """The rows of ``frame`` scored by the saved models of their epochs (see ``fit_epochs``): ``if_score``,
+    ``if_flag``, ``if_ready``; rows of an epoch without a model get no score."""
+    carry = frame.columns
+    n = S.feature_index(F.col("rn"))
+    rows = frame.withColumn("_epoch", F.when(n.isNull(), F.lit(0)).otherwise(S.scoring_epoch(n, False)).cast("long"))
+
+    def score(pdf: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) == 0:
+            return pd.DataFrame({c: pd.Series([], dtype=object) for c in carry + ["if_score", "if_flag", "if_ready"]})
+        out = pdf[carry].copy()
+        if len(model) == 0:
+            return out.assign(if_score=0.0, if_flag=False, if_ready=False)
+        return EpochModel.of(model.iloc[0]).score(out, out[FEATURES].to_numpy(dtype=np.float64))
+
+    return _spread(rows, ["series", "_epoch"]).groupBy("series", "_epoch").cogroup(
+        models.groupBy("series", "_epoch")).applyInPandas(score, _scored_schema(frame))
+
+
 def score_with_model(out: pd.DataFrame, X: np.ndarray, model: pd.DataFrame) -> pd.DataFrame:
     """Score rows with a static model table (one series): its scaler, trees and cut."""
     mu = np.asarray(model["mu"].iloc[0], dtype=np.float64)
@@ -164,30 +248,25 @@ def train_static(features: DataFrame, contamination: float = C.IF_CONTAMINATION_
     Returns the model table (node rows carrying ``mu``/``sd`` arrays and ``cut``),
     checkpointed to the shared checkpoint folder so it is computed once and can
     be saved/loaded as Parquet.  The cut is the (1 - contamination) quantile of
-    the training scores (``percentile_approx``: bounded memory per series)."""
-    from pyspark import StorageLevel
+    the training scores, linear and exact at any size (``exact_quantile``)."""
+    from tickwatch.operators.quantiles import exact_quantile
     from tickwatch.session import checkpoint_dir
     checkpoint_dir(features.sparkSession)
     cols = ["s_" + c[2:] for c in FEATURES]
-    # an eager fit (like an MLlib estimator): the feature rows are read several times
-    # (scaler, sizes, sampling, scoring), so keep them only while fitting
-    feats = features.select("series", "seq", *FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = feats.groupBy("series").agg(
-            F.array(*[F.avg(c) for c in FEATURES]).alias("mu"),
-            F.array(*[F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(F.lit(1.0)) for c in FEATURES])
-            .alias("sd"),
-            F.count(F.lit(1)).alias("_n")).checkpoint()
-        scaled = feats.join(stats, "series").select(
-            "series", "seq", *[((F.col(c) - F.col("mu")[i]) / F.col("sd")[i]).alias(o)
-                               for i, (c, o) in enumerate(zip(FEATURES, cols))])
-        nodes = fit_static(scaled, n_trees, subsample, seed, sizes=stats.select("series", "_n")).checkpoint()
-        scores = score_static(scaled, nodes, subsample, rows_per_task, sizes=stats.select("series", "_n"))
-        cut = scores.groupBy("series").agg(
-            F.percentile_approx("if_score", 1.0 - contamination, 10000).alias("cut"))
-        model = nodes.join(stats.drop("_n"), "series").join(cut, "series").checkpoint()
-    finally:
-        feats.unpersist()
+    # an eager fit: the feature rows are read several times (scaler, sizes, sampling, scoring)
+    feats = features.select("series", "seq", *FEATURES).checkpoint()
+    stats = feats.groupBy("series").agg(
+        F.array(*[F.avg(c) for c in FEATURES]).alias("mu"),
+        F.array(*[F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(F.lit(1.0)) for c in FEATURES])
+        .alias("sd"),
+        F.count(F.lit(1)).alias("_n")).checkpoint()
+    scaled = feats.join(stats, "series").select(
+        "series", "seq", *[((F.col(c) - F.col("mu")[i]) / F.col("sd")[i]).alias(o)
+                           for i, (c, o) in enumerate(zip(FEATURES, cols))])
+    nodes = fit_static(scaled, n_trees, subsample, seed, sizes=stats.select("series", "_n")).checkpoint()
+    scores = score_static(scaled, nodes, subsample, rows_per_task, sizes=stats.select("series", "_n"))
+    cut = exact_quantile(scores.select("series", "if_score").checkpoint(), "series", "if_score", 1.0 - contamination, "cut")
+    model = nodes.join(stats.drop("_n"), "series").join(cut, "series").checkpoint()
     return model
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_utc(spark: SparkSession) -> SparkSession:
@@ -52,6 +53,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows written to a table in the shared checkpoint folder and read again.
+
+    For loops: unlike a checkpoint, whose plan carries on (and in a loop of joins squares) the size estimates of
+    the plan that it replaces, a table is read with its true size."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tickwatch", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
