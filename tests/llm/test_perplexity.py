@@ -31,12 +31,17 @@ def texts():
     return ["".join(rng.choices(parts, k=rng.randint(0, 150))) for _ in range(120)] + [None, "", "word " * 8000, "x" * 30_000, "\n \n"]
 
 
+def units(text):
+    """The text with each UTF-16 code unit as a character of its own."""
+    return "".join(map(chr, np.frombuffer(text.encode("utf-16-le"), np.uint16)))
+
+
 def brute_model(lang_texts, order=4):
-    """Modified Kneser-Ney probabilities of character n-grams within padded words."""
+    """Modified Kneser-Ney probabilities of n-grams of UTF-16 code units within padded words."""
     top = Counter()
     for text in lang_texts:
         for word in (text or "").encode().split():
-            chars = "\1" * (order - 1) + word.decode() + "\1"
+            chars = "\1" * (order - 1) + units(word.decode()) + "\1"
             for i in range(order - 1, len(chars)):
                 top[chars[i - order + 1:i + 1]] += 1
     counts = {order: top}
@@ -62,13 +67,13 @@ def brute_model(lang_texts, order=4):
         d = discounts[k][min(c, 3) - 1] if c else 0
         return max(c - d, 0) / totals[context] + min(left[context] / totals[context], 1) * lower
 
-    return lambda word: -sum(math.log(prob(("\1" * (order - 1) + word + "\1")[i:i + order])) for i in range(len(word) + 1))
+    return lambda word: -sum(math.log(prob(("\1" * (order - 1) + units(word) + "\1")[i:i + order])) for i in range(len(units(word)) + 1))
 
 
 def test_against_brute_force(spark):
     rows = [(None if i == 3 else i, t, ["en", "de", None][i % 3], 0) for i, t in enumerate(texts())]
     docs = spark.createDataFrame(rows + rows[:2], "doc_id long, text string, lang string, kept int")
-    p = px.PerplexityParams(slot_bits=30)  # so wide that no two n-grams here share a slot
+    p = px.PerplexityParams(running=False)
     got = px.rules(docs, p).collect()
     assert len(got) == len(rows) + 2
     models = {lang: brute_model([t for _, t, of, _ in rows + rows[:2] if of == lang]) for lang in ("en", "de", None)}
@@ -108,11 +113,11 @@ def test_junk_is_rejected_and_clean_text_kept(spark):
 
 
 def test_unseen_ngrams_take_no_others_weight(spark):
-    """However few slot bits: the model is exact, and random letters stay far worse than the text."""
+    """The model is exact, and random letters stay far worse than the text."""
     rng = random.Random(8)
     known = ["".join(rng.choices("abcdefghijkl", k=6)) for _ in range(400)]
     docs = spark.createDataFrame([(1, " ".join(known), "en")], "doc_id long, text string, lang string")
-    p = px.PerplexityParams(slot_bits=6)
+    p = px.PerplexityParams(running=False)
     model, exact = px.ngram_model(docs, p), brute_model([" ".join(known)])
     unseen = ["".join(rng.choices("mnopqrstuvwxyz", k=6)) for _ in range(50)]
     got = model.nll("en", [w.encode() for w in known[:50]], p)
@@ -152,3 +157,22 @@ def test_recall_of_junk_that_passes_the_plain_rules(spark):
     sound = out[~out.base_failed]
     assert sound[sound.quality == 1].kept.mean() > 0.985
     assert (~sound[sound.quality == 0].kept).mean() > 0.3
+
+
+def test_characters_are_not_folded(spark):
+    """Words of characters that differ by 2^15 or lie beyond U+FFFF have n-grams of their own; columns of any name pass."""
+    from pyspark.sql import functions as F
+    words = [chr(0x4E00 + i) + chr(0x8100 + i) + chr(0x1F600 + i) for i in range(60)]
+    twins = [chr(0x4E00 + i ^ 0x8000) + chr(0x8100 + i ^ 0x8000) for i in range(60)]
+    rows = [(1, " ".join(words), "x"), (2, " ".join(words), "x"), (3, "a" * 5, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    p = px.PerplexityParams(running=False)
+    model = px.ngram_model(docs, p)
+    exact = brute_model([t for _, t, _ in rows])
+    for some in (words, twins):
+        assert model.nll("x", [w.encode() for w in some], p) == pytest.approx([exact(w) for w in some], rel=1e-4)
+    _, code = px.grams([w.encode() for w in words + twins], p)
+    assert len(np.unique(code)) == 60 * 5 + 60 * 3
+    named = docs.withColumns({c: F.lit(7) for c in ("low", "high", "k", "code", "d", "bin")})
+    out = px.rules(named)
+    assert [r["low"] + r["high"] + r["d"] for r in out.collect()] == [21] * 3

@@ -4,8 +4,12 @@
 1999), counted by Spark over every text: words are counted by language first, their n-grams next,
 so the tables grow with the corpus but stay far smaller than it. With ``running`` n-grams run over
 the text, its words with one border between them: a word holds the n-grams behind its border, a
-joint (the last characters before a border and the first behind it) those that cross one. Every weight is kept, in arrays of each language sorted by the n-gram's number, and looked
-up by binary search, so an unseen n-gram never takes another's weight.
+joint (the last characters before a border and the first behind it) those that cross one.
+
+A character here is a UTF-16 code unit (characters beyond U+FFFF are two), so that four of them fill
+a long without folding, and the border is the space, which no word holds: two n-grams never share an
+entry. Probabilities of the n-grams met and back-off weights of the contexts are kept in arrays of
+each language sorted by the n-gram's number and looked up by binary search.
 
 ``rules`` measures every text: plain word, symbol and repetition counts, and the mean negative
 log-probability of its words' characters. For each language the quartiles over all texts give an
@@ -27,15 +31,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwatch.llm.common import Numbering, csr_rows, mix64, passed_on, text_slices
+from tickwatch.llm.common import Numbering, csr_rows, mix64, passed_on, text_slices, written
 
 #: The characters that count as symbols, and the limits of the plain rules.
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
-BITS = 15  # of a character in an n-gram's number; characters beyond are folded
-BORDER = 1
+BITS = 16  # of a UTF-16 code unit in an n-gram's number
 NO_LANGUAGE = "\1none"
 COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "nll", "kept")
 
@@ -43,11 +46,10 @@ COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 @dataclass(frozen=True)
 class PerplexityParams:
     order: int = 4  # at most 4, so that an n-gram fits a long
-    slot_bits: int = 20  # without effect since every n-gram has an entry of its own
     #: Quartile distances beyond the quartiles that are still within the bands: Tukey's inner fences, which
     #: normal scores leave in 0.7 % of cases; of the labelled good documents of sf0.1 they reject 1.0 %.
     reach: float = 1.5
-    running: bool = False  # n-grams cross the words' borders; else each word stands alone
+    running: bool = True  # n-grams cross the words' borders; else each word stands alone
     bins: int = 64  # of one unit of log-probability, for the quartiles
 
 
@@ -124,18 +126,27 @@ def grams(words: list[bytes], p: PerplexityParams) -> tuple[np.ndarray, np.ndarr
     order = p.order
     before = " " if p.running else " " * (order - 1)
     texts = [t if " " in t else f"{before}{t} " for t in (w.decode() for w in words)]
+    units = "".join(texts).encode("utf-16-le")
     width = np.fromiter(map(len, texts), np.int64, len(texts))
-    cp = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
-    flat = np.where(cp < 1 << BITS, np.maximum(cp, 2), (cp * 40_503 & (1 << BITS) - 1) | 1 << BITS - 1)
-    flat[cp == ord(" ")] = BORDER
-    code = np.zeros(len(flat), np.int64)
+    flat = np.frombuffer(units, np.uint16).astype(np.uint64)
+    if len(flat) > width.sum():  # characters of two units
+        width = np.fromiter((len(t.encode("utf-16-le")) // 2 for t in texts), np.int64, len(texts))
+    code = np.zeros(len(flat), np.uint64)
     for back in range(order):
-        shifted = np.zeros(len(flat), np.int64)
-        shifted[back:] = flat[:len(flat) - back]
-        code |= shifted << BITS * back
+        code[back:] |= flat[:len(flat) - back] << np.uint64(BITS * back)
+    code = code.view(np.int64)
     row = csr_rows(width)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(width) - width, width)
-    return row[place >= order - 1], code[place >= order - 1]
+    starts = np.cumsum(width) - width
+    place = np.arange(len(flat)) - np.repeat(starts, width)
+    whole = place >= order - 1
+    if len(flat) > sum(map(len, texts)):
+        # a joint's tail and head are characters; of their units only those count that the border's n-grams reach
+        for i in np.flatnonzero(width > np.fromiter(map(len, texts), np.int64, len(texts))):
+            if b" " in words[i]:
+                border = len(texts[i][:order - 2].encode("utf-16-le")) // 2
+                own = slice(starts[i], starts[i] + width[i])
+                whole[own] = (place[own] > border) & (place[own] <= border + order - 2)
+    return row[whole], code[whole]
 
 
 def gram_counts(words: DataFrame, p: PerplexityParams) -> DataFrame:
@@ -155,10 +166,11 @@ def gram_counts(words: DataFrame, p: PerplexityParams) -> DataFrame:
                                                   pa.array(np.add.reduceat(n_of, np.flatnonzero(new)))], ["lang", "code", "c"])
 
     top = words.mapInArrow(run, "lang string, code long, c long").groupBy("lang", "code").agg(F.sum("c").alias("c"))
-    orders = [top.withColumn("k", F.lit(p.order))]
+    # each order is a table: the next shorter one comes from it, and the text is read once
+    orders = [written(top.withColumn("k", F.lit(p.order)))]
     for k in range(p.order - 1, 0, -1):
         longer = orders[-1].select("lang", F.col("code").bitwiseAND(F.lit((1 << BITS * k) - 1)).alias("code"))
-        orders.append(longer.groupBy("lang", "code").agg(F.count(F.lit(1)).alias("c")).withColumn("k", F.lit(k)))
+        orders.append(written(longer.groupBy("lang", "code").agg(F.count(F.lit(1)).alias("c")).withColumn("k", F.lit(k))))
     out = orders[0]
     for x in orders[1:]:
         out = out.unionByName(x)
@@ -168,19 +180,48 @@ def gram_counts(words: DataFrame, p: PerplexityParams) -> DataFrame:
 Entries = dict[str, tuple[np.ndarray, np.ndarray]]
 
 
+def context_of(code: np.ndarray) -> np.ndarray:
+    """The n-grams without their last character."""
+    return (code.view(np.uint64) >> np.uint64(BITS)).view(np.int64)
+
+
+def suffix_of(code: np.ndarray, k: int) -> np.ndarray:
+    """The last k characters of the n-grams."""
+    return code if BITS * k >= 64 else code & np.int64((1 << BITS * k) - 1)
+
+
 @dataclass(frozen=True)
 class NgramModel:
-    """For each order and language the sorted n-grams with their discounted probabilities, and the contexts with their back-off weights."""
-    alpha: dict[int, Entries]
+    """For each order and language the sorted n-grams met with their probabilities, and the contexts with their back-off weights."""
+    prob: dict[int, Entries]
     gamma: dict[int, Entries]
 
+    @classmethod
+    def of(cls, alpha: dict[int, Entries], gamma: dict[int, Entries], order: int) -> "NgramModel":
+        """From discounted probabilities: those of a shorter n-gram are added by the context's back-off weight."""
+        model = cls({k: {} for k in range(1, order + 1)}, gamma)
+        for k in range(1, order + 1):
+            for lang, (code, w) in alpha[k].items():
+                model.prob[k][lang] = code, (w + model.backed_off(lang, code, k)).astype(np.float32)
+        return model
+
+    def backed_off(self, lang: str, code: np.ndarray, k: int) -> np.ndarray:
+        """The share of n-grams of order k that comes from the next shorter order."""
+        return found(self.gamma[k].get(lang), context_of(code), 1.0) * self.probability(lang, suffix_of(code, k - 1), k - 1)
+
+    def probability(self, lang: str, code: np.ndarray, k: int) -> np.ndarray:
+        if k == 0:
+            return np.full(len(code), 2.0 ** -BITS)
+        out = found(self.prob[k].get(lang), code, 0.0)
+        unseen = np.flatnonzero(out == 0.0)
+        if len(unseen):
+            out[unseen] = self.backed_off(lang, code[unseen], k)
+        return out
+
     def nll(self, lang: str, words: list[bytes], p: PerplexityParams) -> np.ndarray:
         """Negative log-probability of each word with its end, or of each joint."""
         row, code = grams(words, p)
-        prob = np.full(len(code), 2.0 ** -BITS)
-        for k in range(1, p.order + 1):
-            part = code & (1 << BITS * k) - 1
-            prob = found(self.alpha[k].get(lang), part, 0.0) + found(self.gamma[k].get(lang), part >> BITS, 1.0) * prob
+        prob = self.probability(lang, code, p.order)
         return np.bincount(row, -np.log(np.maximum(prob, 1e-12)), minlength=len(words))
 
 
@@ -189,12 +230,12 @@ def found(entries: tuple[np.ndarray, np.ndarray] | None, code: np.ndarray, defau
         return np.full(len(code), default)
     keys, values = entries
     at = np.minimum(np.searchsorted(keys, code), len(keys) - 1)
-    return np.where(keys[at] == code, values[at], default)
+    return np.where(keys[at] == code, values[at].astype(float), default)
 
 
 def ngram_model(docs: DataFrame, p: PerplexityParams = PerplexityParams()) -> NgramModel:
     """Counts all texts and keeps the smoothed weights of every n-gram and context."""
-    counts = gram_counts(word_counts(docs, p), p).checkpoint()
+    counts = gram_counts(word_counts(docs, p), p)
     n = [F.coalesce(F.sum((F.col("c") == i).cast("double")), F.lit(0.0)).alias(f"n{i}") for i in (1, 2, 3, 4)]
     y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
 
@@ -203,22 +244,25 @@ def ngram_model(docs: DataFrame, p: PerplexityParams = PerplexityParams()) -> Ng
         usable = (F.col(f"n{i}") > 0) & (F.col("n1") > 0)
         return F.greatest(F.lit(0.1 * i), F.coalesce(F.when(usable, d), F.lit(0.5 * i))).alias(f"d{i}")
 
-    with_d = counts.join(counts.groupBy("lang", "k").agg(*n).select("lang", "k", *map(discount, (1, 2, 3))), ["lang", "k"])
+    # a row for each order of a language, written: small enough for Spark to broadcast by its true size
+    discounts = written(counts.groupBy("lang", "k").agg(*n).select("lang", "k", *map(discount, (1, 2, 3))))
+    with_d = counts.join(discounts, ["lang", "k"])
     with_d = with_d.withColumn("d", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")))
-    with_d = with_d.withColumn("context", F.shiftright("code", BITS))
+    with_d = with_d.withColumn("context", F.shiftrightunsigned("code", BITS))
     contexts = with_d.groupBy("lang", "k", "context").agg(F.sum("c").alias("total"), F.sum("d").alias("left"))
     alpha = (with_d.join(contexts, ["lang", "k", "context"])
              .select("lang", "k", "code", (F.greatest(F.col("c") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("w")))
     gamma = contexts.select("lang", (-F.col("k")).alias("k"), F.col("context").alias("code"), F.least(F.col("left") / F.col("total"), F.lit(1.0)).alias("w"))
 
     # twelve bytes an entry; the entries are as many as the corpus has n-grams
-    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    entries = written(alpha.unionByName(gamma).select("lang", "k", "code", F.col("w").cast("float").alias("w")))
+    langs = sorted(r["lang"] for r in discounts.select("lang").distinct().collect())
     alphas, gammas = ({k: {} for k in range(1, p.order + 1)} for _ in range(2))
     for lang in langs:
-        rows = alpha.unionByName(gamma).where(F.col("lang") == lang).select("k", "code", F.col("w").cast("float").alias("w")).toPandas()
+        rows = entries.where(F.col("lang") == lang).select("k", "code", "w").toPandas()
         for k, part in rows.sort_values(["k", "code"]).groupby("k"):
             (alphas if k > 0 else gammas)[abs(k)][lang] = part["code"].to_numpy(np.int64), part["w"].to_numpy(np.float32)
-    return NgramModel(alphas, gammas)
+    return NgramModel.of(alphas, gammas, p.order)
 
 
 def base_measures(text: str, words: list[bytes], ids: np.ndarray) -> tuple[int, int, int]:
@@ -314,6 +358,7 @@ def rules(docs: DataFrame, p: PerplexityParams = PerplexityParams()) -> DataFram
     measured = measures(docs, ngram_model(docs, p), p).checkpoint()
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     # one row a language: few, and small enough for Spark to broadcast after checking its size
-    out = measured.join(bands(measured, p), "__lang", "left").withColumn("base_failed", failed)
-    within = F.coalesce(F.col("nll").between(F.col("low"), F.col("high")), F.lit(False))
-    return out.withColumn("kept", ~F.col("base_failed") & within).drop("__lang", "low", "high")
+    band = bands(measured, p).select(F.col("__lang").alias("__of"), F.col("low").alias("__low"), F.col("high").alias("__high"))
+    out = measured.join(band, F.col("__lang") == F.col("__of"), "left").withColumn("base_failed", failed)
+    within = F.coalesce(F.col("nll").between(F.col("__low"), F.col("__high")), F.lit(False))
+    return out.withColumn("kept", ~F.col("base_failed") & within).drop("__lang", "__of", "__low", "__high")
