@@ -67,7 +67,11 @@ def brute_model(lang_texts, order=4):
         d = discounts[k][min(c, 3) - 1] if c else 0
         return max(c - d, 0) / totals[context] + min(left[context] / totals[context], 1) * lower
 
-    return lambda word: -sum(math.log(prob(("\1" * (order - 1) + units(word) + "\1")[i:i + order])) for i in range(len(units(word)) + 1))
+    def nll(word):
+        chars = "\1" * (order - 1) + units(word) + "\1"
+        return -sum(math.log(prob(chars[i:i + order])) for i in range(len(chars) - order + 1))
+
+    return nll
 
 
 def test_against_brute_force(spark):
