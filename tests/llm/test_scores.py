@@ -1,13 +1,16 @@
 """Quality and toxicity: held-out accuracy, and the string kernel against a plain sum over triples."""
 
 import itertools
+import math
 import random
+import re
 
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
 from tickwatch.llm import quality, toxicity
+from tickwatch.llm.common import hash64, mix64
 
 SF = "/root/testdata/sf0.1"
 
@@ -35,6 +38,50 @@ def test_quality_accuracy():
     assert ((1 / (1 + np.exp(-z)) >= p.threshold) == truth).mean() > 0.97
 
 
+def plain_features(text, bits):
+    """Slots and weights of one text by their definition, word by word."""
+    mix = lambda x: int(mix64(np.array([x], np.uint64))[0])
+    pieces = [int(hash64([p])[0]) for w in text.split() for p in re.findall(r"\w+|[^\w\s]+", w)]
+    marked = [int(quality.REPEATED) if i and pieces[i] == pieces[i - 1] else x for i, x in enumerate(pieces)]
+    count = {}
+    for slot in [mix(x) >> (64 - bits) for x in marked] + [mix((a * 3 + b) % 2**64) >> (64 - bits) for a, b in zip(marked, marked[1:])]:
+        count[slot] = count.get(slot, 0) + 1
+    x = {s: math.log(1 + n) for s, n in count.items()}
+    norm = math.sqrt(sum(v * v for v in x.values()))
+    return {s: v / norm for s, v in x.items()}
+
+
+def test_quality_by_definition(spark):
+    """FTRL-proximal and the sparse dot product written out for single coordinates."""
+    rng = random.Random(4)
+    words = ["good", "fine", "text", "###", "a1&", "x x", "x"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 12))) for _ in range(60)]
+    labels = [float("good" in t) for t in texts]
+    p = quality.QualityParams(epochs=2)
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= p.l1:
+            return 0.0
+        return -(z[i] - math.copysign(p.l1, z[i])) / ((p.beta + math.sqrt(n[i])) / p.alpha + p.l2)
+
+    for _ in range(p.epochs):
+        for t, y in zip(texts, labels):
+            x = {**plain_features(t, p.bits), "b": 1.0}
+            w = {i: weight(i) for i in x}
+            slip = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items()))) - y
+            for i, v in x.items():
+                g = slip * v
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / p.alpha
+                z[i], n[i] = z.get(i, 0.0) + g - sigma * w[i], n.get(i, 0.0) + g * g
+    model = quality.train(texts, np.array(labels), p)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    for r in quality.score(docs, model, p).collect():
+        margin = weight("b") + sum(weight(i) * v for i, v in plain_features(texts[r.doc_id], p.bits).items())
+        assert r.score == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-6)
+        assert r.predicted == int(r.score >= p.threshold)
+
+
 def text_margin(model, p, texts):
     cut = toxicity.Segments(p)
     row, _, segment = cut.of(texts)

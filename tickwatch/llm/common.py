@@ -9,7 +9,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwatch.session import checkpoint_dir
@@ -34,6 +34,21 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sampled_texts(docs: DataFrame, chosen: DataFrame, chars: int) -> DataFrame:
+    """The columns of ``chosen`` (doc_id, rank, ...; a bounded number of ids) and the text of each id.
+
+    Where an id has several texts, that with the smallest digest is taken, so there are no more rows
+    than ids. Texts are whole: by rank, those are taken that fit in ``chars`` characters with all before them.
+    """
+    text = F.coalesce("text", F.lit(""))
+    each = docs.select("doc_id", text.alias("text")).join(F.broadcast(chosen), "doc_id")
+    first = written(each.groupBy(*chosen.columns).agg(F.min(F.struct(F.md5(F.encode("text", "UTF-8")), "text"))["text"].alias("text")))
+    lengths = first.select("doc_id", "rank", F.length("text").cast("long").alias("n"))
+    so_far = F.sum("n").over(Window.orderBy("rank", "doc_id"))  # one task, over no more rows than ids
+    fits = lengths.withColumn("so_far", so_far).where(F.col("so_far") <= chars).select("doc_id")
+    return first.join(F.broadcast(fits), "doc_id", "left_semi")
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """True where crc32 of the id as text leaves that remainder (a null id counts as the empty text)."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus)) == remainder

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwatch.llm.common import (Numbering, csr_rows, flat_words, hash64, held_out, mix64, passed_on, ranges,
-                                  text_slices)
+                                  sampled_texts, text_slices)
 
 #: A word is cut into runs of word characters and runs of other characters.
 PIECES = re.compile(r"\w+|[^\w\s]+")
@@ -31,6 +31,7 @@ REPEATED = np.uint64(0x9E3779B97F4A7C15)  # stands for a piece equal to the one
 class QualityParams:
     bits: int = 18
     sample_rows: int = 8000  # most labelled rows that are learned from
+    sample_chars: int = 64_000_000  # most characters of theirs
     epochs: int = 3
     alpha: float = 0.5
     beta: float = 1.0
@@ -113,17 +114,16 @@ def train(texts: list[str], labels: np.ndarray, p: QualityParams) -> tuple[np.nd
     return w[:size].astype(np.float32), float(w[size])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from, rows: int) -> DataFrame:
-    """(rank, text, label) of at most ``rows`` labelled rows, those whose ids hash lowest.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from, rows: int, chars: int) -> DataFrame:
+    """(rank, doc_id, text, y) of at most ``rows`` labelled ids, those that hash lowest, within ``chars`` characters.
 
-    Only ids are ranked; the chosen ids, at most ``rows`` of them, are broadcast to the texts.
+    An id with conflicting labels has the largest of them, one with several texts is learned from once.
     """
     chosen = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & learn_from(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max(label).cast("double").alias("y"))
               .withColumn("rank", F.xxhash64(F.col("doc_id"), F.lit(17)))
               .orderBy("rank", "doc_id").limit(rows))
-    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .join(F.broadcast(chosen), "doc_id").select("rank", "doc_id", "text", "y"))
+    return sampled_texts(docs, chosen, chars).select("rank", "doc_id", "text", "y")
 
 
 def fit(sample: DataFrame, p: QualityParams = QualityParams()) -> tuple[np.ndarray, float]:
@@ -166,5 +166,5 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], p: QualityParams = Q
 def quality_scores(docs: DataFrame, labels: DataFrame, p: QualityParams = QualityParams()) -> DataFrame:
     """Fits on the labelled rows that are not held out (crc32 of the id mod 4 is 2) and scores every row."""
     learn = lambda c: ~held_out(c, 4, 2)
-    model = fit(labelled_sample(docs, labels, "quality", learn, p.sample_rows), p)
+    model = fit(labelled_sample(docs, labels, "quality", learn, p.sample_rows, p.sample_chars), p)
     return score(docs, model, p)

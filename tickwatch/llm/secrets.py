@@ -1,11 +1,15 @@
 """Secrets: fixed patterns, and strings that a Markov model of random characters explains best.
 
 Two first-order character models are trained from labelled samples, one on random strings, one
-on ordinary identifiers. A run of identifier characters is reported as ``random`` where its
-log-likelihood ratio per character passes the threshold and it doesn't overlap a finding of the
-patterns. The samples come from a bounded number of documents: values that the patterns find
+on ordinary identifiers. A run of identifier characters, less what the patterns find in it, is cut
+at ``/``, ``=``, ``_`` and ``-`` into pieces, and these are told apart as random and ordinary stretches
+by the log-likelihood ratio a character over the threshold, at a cost for each change inside the
+run. Stretches of enough random characters are reported as ``random``: a key at the end of a path
+without the path, and what follows a pattern's finding in the same run.
+
+The samples come from a bounded number of documents: values that the patterns find
 (and generated strings over the usual key alphabets) are random, all other runs and their joins
-in snake and camel case are ordinary.
+as paths, with hyphens, in snake and camel case are ordinary. A repeated id is learned from once.
 
 Null and empty texts have no spans. Rows are handled one by one, so repeated rows, null ids and
 other columns pass through (a column named like the output is replaced). Places are code points,
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwatch.llm.common import passed_on, text_slices
+from tickwatch.llm.common import passed_on, sampled_texts, text_slices
 
 #: The kinds, in their order, with their patterns and least lengths.
 BASE = ("assign", "access", "hex")
@@ -35,6 +39,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "api")
 
+PIECE = re.compile(r"[A-Za-z0-9+]+")
 SYMBOLS = string.ascii_letters + string.digits + "+/_=-"
 CODE = np.full(128, len(SYMBOLS), np.int64)
 CODE[[ord(c) for c in SYMBOLS]] = np.arange(len(SYMBOLS))
@@ -48,7 +53,9 @@ SPANS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
 class SecretParams:
     least_chars: int = 16
     threshold: float = 0.6  # log-likelihood ratio a character, in nats
+    change: float = 6.0  # what a change between ordinary and random inside a run costs, in nats
     sample_docs: int = 2000  # most documents that the models are trained on
+    sample_chars: int = 16_000_000  # most characters of theirs
     generated: int = 4000  # generated random strings in the sample
     seed: int = 11
 
@@ -74,6 +81,22 @@ def free_runs(text: str, base: list[tuple[int, int, int, str]], run: re.Pattern)
     return [r for r in runs if not any(b[0] < r[1] and r[0] < b[2] for b in base)] if base else runs
 
 
+def free_parts(text: str, base: list[tuple[int, int, int, str]], p: SecretParams) -> list[tuple[int, int]]:
+    """The stretches of runs that no finding of the patterns covers, where they are long enough."""
+    out, at = [], 0
+    base = sorted(base)
+    for m in p.run.finditer(text):
+        start = m.start()
+        while at < len(base) and base[at][0] < m.end():
+            out.append((start, base[at][0]))
+            start = max(start, base[at][2])
+            if start > m.end():
+                break  # it also covers a part of the next run
+            at += 1
+        out.append((start, m.end()))
+    return [(a, b) for a, b in out if b - a >= p.least_chars]
+
+
 def transitions(samples: list[str]) -> np.ndarray:
     """Log-probabilities of a character after another (or at the start), add-half smoothed."""
     n = np.full((len(SYMBOLS) + 1, len(SYMBOLS)), 0.5)
@@ -97,35 +120,77 @@ def train(texts: list[str], p: SecretParams) -> np.ndarray:
         ordinary += [text[a:b] for a, b in free_runs(text, base, words) if not text[a:b].isdigit()]
     for _ in range(len(ordinary) // 10):
         parts = rng.choices(ordinary, k=rng.randint(2, 4))
-        ordinary.append("_".join(parts) if rng.random() < 0.5 else "".join(x.capitalize() for x in parts))
+        joint = rng.choice(("_", "/", "-", ""))
+        ordinary.append(joint.join(parts) if joint else "".join(x.capitalize() for x in parts))
     alphabets = (string.hexdigits[:16], string.ascii_letters + string.digits, string.ascii_uppercase + string.digits,
                  string.ascii_lowercase + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_")
     keys += ["".join(rng.choices(alphabets[i % len(alphabets)], k=rng.randint(p.least_chars, 64))) for i in range(p.generated)]
     return transitions(keys) - transitions(ordinary)
 
 
-def ratio(runs: list[str], ratios: np.ndarray) -> np.ndarray:
-    """Log-likelihood ratio a character of each run; runs of digits only count as no secret."""
-    if not runs:
-        return np.empty(0)
+def ratios_of(runs: list[str], ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The log-likelihood ratio of each character of the runs, all in one array, and where each run starts."""
     lengths = np.fromiter(map(len, runs), np.int64, len(runs))
     c = CODE[np.frombuffer("".join(runs).encode(), np.uint8)]
     before = np.roll(c, 1)
     starts = np.cumsum(lengths) - lengths
     before[starts] = START
-    out = np.add.reduceat(ratios[before, c], starts) / lengths
+    return ratios[before, c], starts
+
+
+def ratio(runs: list[str], ratios: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio a character of each run; runs of digits only count as no secret."""
+    if not runs:
+        return np.empty(0)
+    each, starts = ratios_of(runs, ratios)
+    out = np.add.reduceat(each, starts) / np.diff(np.append(starts, len(each)))
     digits = np.fromiter(map(str.isdigit, runs), bool, len(runs))
     return np.where(digits, -np.inf, out)
 
 
+def stretches(run: str, over: np.ndarray, p: SecretParams) -> list[tuple[int, int]]:
+    """The random stretches of a run; ``over`` is each character's ratio less the threshold.
+
+    The best of all ways to call the pieces random or ordinary: random ones add up what they are over
+    the threshold, each change inside the run costs ``change``. In linear time, piece by piece.
+    """
+    pieces = [(m.start(), m.end()) for m in PIECE.finditer(run)]
+    total = np.concatenate([[0.0], np.cumsum(over)])
+    ordinary, randomly, came = 0.0, 0.0, []
+    for i, (start, end) in enumerate(pieces):
+        # a stretch that goes on pays for the separators before the piece, one that begins doesn't
+        on = randomly + (total[end] - total[pieces[i - 1][1]] if i else total[end] - total[start])
+        new = ordinary + total[end] - total[start] - (p.change if i else 0.0)
+        leave = randomly - p.change if i else -np.inf
+        came.append((new > on, leave > ordinary))
+        ordinary, randomly = max(ordinary, leave), max(on, new)
+    out, state = [], randomly >= ordinary
+    for i in range(len(pieces) - 1, -1, -1):
+        if state:
+            if not out or out[-1][0] != i + 1:
+                out.append([i, i])
+            out[-1][0] = i
+            state = not came[i][0]
+        else:
+            state = came[i][1]
+    found = []
+    for first, last in reversed(out):
+        a, b = pieces[first][0], pieces[last][1]
+        if total[b] >= total[a] and not run[a:b].isdigit():
+            b = b if run[b:].strip("=") else len(run)  # padding belongs to the key
+            found.append((a, b))
+    return [(a, b) for a, b in found if b - a >= p.least_chars]
+
+
 def find(texts: list[str], ratios: np.ndarray, p: SecretParams) -> list[list[tuple[int, int, int, str]]]:
     """All spans of each text, by start, then kind."""
     found = [base_spans(t) for t in texts]
-    runs = [(i, *r) for i, t in enumerate(texts) for r in free_runs(t, found[i], p.run)]
-    score = ratio([texts[i][a:b] for i, a, b in runs], ratios)
-    for (i, a, b), s in zip(runs, score):
-        if s >= p.threshold:
-            found[i].append((a, len(BASE), b, "random"))
+    runs = [(i, *r) for i, t in enumerate(texts) for r in free_parts(t, found[i], p)]
+    if runs:
+        values = [texts[i][a:b] for i, a, b in runs]
+        each, starts = ratios_of(values, ratios)
+        for (i, a, b), value, over in zip(runs, values, np.split(each - p.threshold, starts[1:])):
+            found[i] += [(a + x, len(BASE), a + y, "random") for x, y in stretches(value, over, p)]
     return [sorted(x) for x in found]
 
 
@@ -133,7 +198,7 @@ def fit(docs: DataFrame, p: SecretParams = SecretParams()) -> np.ndarray:
     """The models' log ratios, trained in one task on the documents whose ids hash lowest."""
     chosen = (docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.lit(1).alias("n"))
               .select("doc_id", F.xxhash64("doc_id", F.lit(23)).alias("rank")).orderBy("rank", "doc_id").limit(p.sample_docs))
-    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    sample = sampled_texts(docs, chosen, p.sample_chars)
 
     def in_one_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat([b[["rank", "doc_id", "text"]] for b in batches] or [pd.DataFrame({"rank": [], "doc_id": [], "text": []})])

@@ -48,6 +48,7 @@ class ToxicityParams:
     cost: float = 100.0
     rounds: int = 3
     sample_rows: int = 6000  # most labelled rows that are learned from
+    sample_chars: int = 64_000_000  # most characters of theirs
     least_excess: float = 8.0  # standard errors by which a first witness must be commoner in toxic texts
     seed: int = 7
 
@@ -316,4 +317,4 @@ def score(docs: DataFrame, model: ToxicityModel, p: ToxicityParams = ToxicityPar
 def toxicity_scores(docs: DataFrame, labels: DataFrame, p: ToxicityParams = ToxicityParams()) -> DataFrame:
     """Fits on the labelled rows that are not held out (crc32 of the id mod 5 is 0) and scores every row."""
     learn = lambda c: ~held_out(c, 5, 0)
-    return score(docs, fit(labelled_sample(docs, labels, "toxic", learn, p.sample_rows), p), p)
+    return score(docs, fit(labelled_sample(docs, labels, "toxic", learn, p.sample_rows, p.sample_chars), p), p)
