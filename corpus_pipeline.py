@@ -6,7 +6,7 @@ text are replaced), byte-level BPE (token ids, and the bytes they decode to).
 
 Every stage takes (spark, docs, sf_dir) and works on all documents that its predecessor kept; all
 but the last return the columns of documents. Null texts count as empty ones in every stage; null
-ids are kept by all stages but the near-duplicates', which keeps rows without any id in their class.
+ids count as ids in every stage; the near-duplicates' takes them for the largest.
 """
 
 from __future__ import annotations
@@ -38,18 +38,25 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the smallest id, once."""
+    """Of each class of near-duplicates one row: that of the smallest id (a null one last), then of the smallest digests.
+
+    Texts without words are alike to no other: of those with the same id one row stays, of those without any one of each.
+    """
     ready(spark)
-    classes = neardup.near_duplicates(docs.select("doc_id", "text"))
-    stays = classes.where("doc_id = class_id").select("doc_id").distinct()
-    nameless = docs.where("doc_id IS NULL")
-    kept = docs.join(stays, "doc_id").dropDuplicates(["doc_id"]).select(*docs.columns)
-    if nameless.isEmpty():
-        return kept
-    # a class without any id has none that could stay for the others, so each of its rows stays
-    alone = neardup.keys(nameless, neardup.NearDupParams(), text=True).withColumnRenamed("key", "__key")
-    named = neardup.keys(docs.where("doc_id IS NOT NULL").select("text"), neardup.NearDupParams()).select(F.col("key").alias("__key")).distinct()
-    return kept.unionByName(alone.join(named, "__key", "left_anti").select(*docs.columns))
+    digest = F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    whole = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])  # of all columns: only ties need it
+    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    row = F.struct(F.isnull("doc_id").alias("nameless"), "doc_id", digest.alias("digest"), whole.alias("whole"))
+    marked = docs.withColumns({"__row": row, "__id": id_text})
+    in_class = neardup.classified(marked.select("doc_id", "text", "__row", "__id"))
+    # a class of its own: keys of classes have 16 bytes
+    alone = F.when(F.col("__row.nameless"), F.concat(F.lit("without an id "), F.col("__row.digest"), F.col("__row.whole").cast("string")))
+    named = in_class.withColumn("class_key", F.coalesce("class_key", F.coalesce(alone, F.concat(F.lit("text without words "), "__id")).cast("binary")))
+    stays = (named.groupBy("class_key").agg(F.min("__row").alias("stays"))
+             .select("stays.*").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"), F.col("digest").alias("__digest"), F.col("whole").alias("__whole")))
+    rows = marked.select(*docs.columns, "__id", F.col("__row.digest").alias("__digest"), F.col("__row.whole").alias("__whole"))
+    place = ["__id", "__digest", "__whole"]
+    return rows.join(stays, place, "left_semi").dropDuplicates(place).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
