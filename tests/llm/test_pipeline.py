@@ -65,3 +65,29 @@ def test_odd_rows(spark):
     for stage in (cp.keep_quality, cp.drop_contaminated, cp.redact_secrets, cp.tokenise):
         assert stage(spark, docs.limit(0), D).count() == 0
         assert stage(spark, docs, D).count() <= 5
+
+
+def test_one_row_of_each_class(spark):
+    """Unlike texts of one id both stay; of a class the smallest id, then the smallest digest; the same on any partitioning."""
+    import hashlib
+    import corpus_pipeline as cp
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = a + " more"
+    rows = [(5, a, "en", "s", 1), (5, b, "en", "s", 1), (3, b, "en", "s", 1), (5, near, "en", "s", 1), (5, a, "de", "s", 1), (None, c, "en", "s", 1),
+            (None, c, "en", "s", 1), (None, c + " more", "en", "s", 1), (None, None, "en", "s", 0), (7, " ", "en", "s", 1), (7, "", "en", "s", 0), (8, "", "en", "s", 0)]
+    seen = set()
+    for parts in (1, 3, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(parts)
+        got = [tuple(r) for r in cp.drop_near_duplicates(spark, docs, D).collect()]
+        seen.add(tuple(sorted(map(repr, got))))
+        first = min((a, near), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+        unnamed = min((c, c + " more"), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+        blank = min((" ", ""), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+        assert sorted(map(repr, (r[:2] for r in got))) == sorted(map(repr, [(5, first), (3, b), (None, unnamed), (None, None), (7, blank), (8, "")]))
+    assert len(seen) == 1
+
+
+def test_a_column_named_key_stays(spark):
+    from tickwatch.llm import neardup
+    docs = spark.createDataFrame([(1, "a b c d e f", "k1"), (2, "a b c d e f", None)], "doc_id long, text string, key string")
+    assert sorted(map(tuple, neardup.near_duplicates(docs).collect())) == [(1, "k1", 1), (2, None, 1)]

@@ -16,8 +16,8 @@ the scale of the weights and is the Jaccard similarity where they are equal.
 
 Null, empty and blank texts have no shingles and stand alone. ``class_id`` is the smallest
 doc_id of a class (null ids don't count; a class without any id has a null class_id, a text
-without words its own doc_id). Repeated rows come back each. Other columns pass through, but a
-column named class_id is replaced.
+without words its own doc_id). Repeated rows come back each. Other columns pass through, but
+columns named class_id and __node are replaced.
 """
 
 from __future__ import annotations
@@ -234,7 +234,7 @@ def contents(docs: DataFrame, wanted: DataFrame, p: NearDupParams) -> DataFrame:
     A bounded bit map leaves out most texts that aren't wanted; the join leaves out the rest.
     """
     bits = docs.sparkSession.sparkContext.broadcast(node_filter(wanted, p))
-    keyed = keys(docs.select("text"), p, text=True).where("key IS NOT NULL").withColumn("slot", F.shiftrightunsigned(F.xxhash64("key"), 64 - p.filter_bits))
+    keyed = node_keys(docs.select("text"), text=True).withColumnRenamed("__node", "key").where("key IS NOT NULL").withColumn("slot", F.shiftrightunsigned(F.xxhash64("key"), 64 - p.filter_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(p)
@@ -287,17 +287,17 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def keys(docs: DataFrame, p: NearDupParams, text: bool = False) -> DataFrame:
-    """The columns of ``docs`` and ``key``; without the text unless asked for."""
-    keep = [c for c in docs.columns if c != "key" and (text or c != "text")]
+def node_keys(docs: DataFrame, text: bool = False) -> DataFrame:
+    """The columns of ``docs`` and ``__node``, the key of each text's node; without the text unless asked for."""
+    keep = [c for c in docs.columns if c != "__node" and (text or c != "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key = [node_key(w) for _, texts in text_slices(batch) for w in _split(texts)]
-            yield passed_on(batch.select(keep), {"key": pa.array(key, pa.binary())})
+            yield passed_on(batch.select(keep), {"__node": pa.array(key, pa.binary())})
 
     source = docs.select(*keep, *([] if text else ["text"]))
-    schema = docs.select(*keep).withColumn("key", F.lit(None).cast("binary")).schema
+    schema = docs.select(*keep).withColumn("__node", F.lit(None).cast("binary")).schema
     return source.mapInArrow(run, schema)
 
 
@@ -316,13 +316,23 @@ def links(docs: DataFrame, sketched: DataFrame, p: NearDupParams) -> DataFrame:
     return linked.unionByName(block_links(split, contents(docs, inside, p), p))
 
 
-def near_duplicates(docs: DataFrame, p: NearDupParams = NearDupParams()) -> DataFrame:
-    """The columns of ``docs`` but ``text``, and ``class_id``."""
+def classified(docs: DataFrame, p: NearDupParams = NearDupParams()) -> DataFrame:
+    """The columns of ``docs`` but ``text``, ``class_id``, and ``class_key``, which names the class.
+
+    Where an id is repeated with unlike texts, its classes can share a class_id, never a class_key.
+    Rows without words have none: they are alike to no other.
+    """
     sketched = written(nodes(docs, p))
     label = components(links(docs, sketched, p))
     of_node = sketched.select("key", "first_id").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
     classes = of_node.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    by_key = of_node.select("key", "component").join(classes, "component").select("key", "class_id")
-    docs = docs.drop("class_id")
-    out = keys(docs, p).join(by_key, "key", "left")
-    return out.withColumn("class_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))).select(*[c for c in docs.columns if c not in ("text", "key")], "class_id")
+    by_key = of_node.join(classes, "component").select(F.col("key").alias("__node"), "class_id", F.col("component").alias("class_key"))
+    docs = docs.drop("class_id", "class_key")
+    out = node_keys(docs).join(by_key, "__node", "left")
+    class_id = F.when(F.col("__node").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
+    return out.withColumn("class_id", class_id).select(*[c for c in docs.columns if c != "text"], "class_id", "class_key")
+
+
+def near_duplicates(docs: DataFrame, p: NearDupParams = NearDupParams()) -> DataFrame:
+    """The columns of ``docs`` but ``text``, and ``class_id``."""
+    return classified(docs, p).drop("class_key")
