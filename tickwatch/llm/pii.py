@@ -1,16 +1,19 @@
 """Personal data by fixed patterns and information-theoretic sanitisation, DataFrame functions only.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers. What they find are the
-protected entities. A term reveals an entity as far as their pointwise mutual information over
-the corpus, log N df(t, e) / (df(t) df(e)), comes near the entity's whole information content,
-log N / df(e) (Sanchez and Batet 2016). Entities of any frequency take part: most are in one text
-only, and what stands in no other text reveals them. Terms that reach ``disclosure`` of it are
-spans of kind ``term`` wherever they stand, in texts with and without that entity: a term that
-reveals one fully is removed, another generalised.
+protected entities. What a term leaves unknown of an entity is the entity's information content
+less the term's pointwise mutual information with it (Sanchez and Batet 2016), which is the
+information in p(entity | term); that doesn't depend on the number of texts. The probability is
+estimated as df(t, e) / df(t), shrunk by s / (s + ``doubt``): s counts the different texts that hold
+both, so a word isn't personal just for being rare, and ``kin`` more where the term is a part of the
+entity (a name in an e-mail address), so an entity in a single text is protected too. Terms that
+leave at most ``unknown`` bits are spans of kind ``term`` wherever they stand, in texts with and
+without that entity: a term that only stands beside it is removed, another generalised. An entity
+with no more than ``unknown`` bits itself (in half of all texts) has nothing to reveal.
 
 Places are code points, ends exclusive. Null and empty texts have no spans. Every row is one row
 of the result, repeated rows and null ids too; other columns pass through, but columns named
-``spans`` and ``sanitised`` are replaced. ``sanitised`` is null where nothing was found.
+``spans`` and ``sanitised`` are replaced, and those named as in ``INSIDE`` go. ``sanitised`` is null where nothing was found.
 """
 
 from __future__ import annotations
@@ -25,14 +28,17 @@ from tickwatch.llm.common import written
 KINDS = ("email", "ip", "card", "phone")
 #: Stands for a separator between two digits, or a dot between two labels, so that a run is one character class.
 JOINT, NOT_JOINT = "\ue000", "\ue001"
+#: Columns of the operator's own tables.
+INSIDE = ("__key", "__text", "__spans", "__terms", "__gone", "__more", "__all")
 SPAN = "struct<start:int,ord:int,end:int,kind:string,found:string>"
 TERM = r"\p{L}{3,}"
 
 
 @dataclass(frozen=True)
 class PiiParams:
-    disclosure: float = 0.9
-    support: int = 1  # fewest different texts of an entity, and of a term with it: entities of any frequency take part
+    unknown: float = 1.0  # bits of an entity's information that a term may leave unknown and still reveal it
+    doubt: float = 3.0  # weight of the doubt, in texts
+    kin: float = 3.0  # evidence, in texts, of a term that is a part of the entity
 
 
 def places(text: Column, pattern: Column, kind: str, order: int) -> Column:
@@ -108,6 +114,12 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
+def parts_of(entity: Column) -> Column:
+    """The words in the name of an e-mail address; other entities have none."""
+    name = F.when(entity.startswith("email:"), F.regexp_replace(F.lower(F.substring(entity, 7, 1 << 30)), "@.*", "")).otherwise("")
+    return F.array_distinct(F.regexp_extract_all(name, F.lit(TERM), F.lit(0)))
+
+
 def disclosing(docs: DataFrame, found: DataFrame, p: PiiParams) -> DataFrame:
     """(term, gone): the terms that reveal an entity, and whether they reveal one fully.
 
@@ -120,17 +132,20 @@ def disclosing(docs: DataFrame, found: DataFrame, p: PiiParams) -> DataFrame:
     pairs = written(met.distinct().join(weight, "key"))
     # the digests of an entity's texts, in any order, name its group
     alike = [F.bit_xor(F.xxhash64("key", F.lit(seed))).alias(f"g{seed}") for seed in (1, 2)]
-    entities = pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("df_e"), *alike).where(F.col("texts") >= p.support)
+    entities = written(pairs.groupBy("entity").agg(F.sum("rows").alias("df_e"), *alike))
     members = written(pairs.join(entities, "entity").select("g1", "g2", "df_e", "key", "rows").distinct())
+    parts = entities.select("g1", "g2", F.explode(parts_of(F.col("entity"))).alias("term")).distinct().withColumn("kin", F.lit(p.kin))
     texts = found.groupBy("key").agg(F.first("text").alias("text"))
     beside = members.join(texts, "key").select("g1", "g2", "df_e", "rows", F.explode_outer(terms(F.col("text"))).alias("term"))
-    together = (beside.groupBy("g1", "g2", "df_e", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("df_te"))
-                .where(F.col("texts") >= p.support))
+    together = beside.groupBy("g1", "g2", "df_e", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("df_te"))
+    least = 2.0 ** -p.unknown
+    s = F.col("texts") + F.coalesce("kin", F.lit(0.0))
+    # what the evidence can't carry at any df(t) goes before the terms of all texts are met
+    backed = written(together.join(parts, ["g1", "g2", "term"], "left").withColumn("s", s).where(F.col("s") >= least * (F.col("s") + p.doubt)))
     alone = docs.select(F.explode_outer(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
-    known = together.join(alone, "term").withColumn("n", docs.select(F.count(F.lit(1))).scalar())
-    information = F.log(F.col("n") / F.col("df_e"))
-    mutual = F.log(F.col("n") * F.col("df_te") / (F.col("df_t") * F.col("df_e")))
-    revealing = known.where((information > 0) & (mutual >= p.disclosure * information))
+    known = backed.join(alone, "term").withColumn("n", docs.select(F.count(F.lit(1))).scalar())
+    revealing = known.where((F.log2(F.col("n") / F.col("df_e")) > p.unknown)
+                            & (F.col("df_te") * F.col("s") >= least * F.col("df_t") * (F.col("s") + p.doubt)))
     return written(revealing.groupBy("term").agg(F.max(F.col("df_te") >= F.col("df_t")).alias("gone")))
 
 
@@ -157,7 +172,7 @@ def sanitised(text: Column, spans: Column, gone: Column) -> Column:
 
 def scan(docs: DataFrame, p: PiiParams = PiiParams()) -> DataFrame:
     """The columns of ``docs`` but ``text``, spans (kind, start, end) and the sanitised text."""
-    keep = [c for c in docs.columns if c not in ("text", "spans", "sanitised")]
+    keep = [c for c in docs.columns if c not in ("text", "spans", "sanitised", *INSIDE)]
     text = F.coalesce("text", F.lit(""))
     spanned = docs.select(*keep, text.alias("__text"), base_spans(text).alias("__spans"))
     some = F.size("__spans") > 0
