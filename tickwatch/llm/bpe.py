@@ -72,7 +72,7 @@ class Encoder:
         return self.ids[ranges(self.starts[number], n)], np.bincount(rows, n, minlength=len(texts)).astype(np.int64)
 
 
-def _encoded(source: DataFrame, keep: list[str], text: str, p: BpeParams, max_chars: int = 2_000_000) -> DataFrame:
+def _encoded(source: DataFrame, keep: list[str], text: str, p: BpeParams, max_chars: int = 500_000) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(p)
         for batch in batches:
@@ -157,8 +157,12 @@ def decode(encoded: DataFrame, p: BpeParams) -> DataFrame:
         size = np.array([len(t) for t, _ in tokens])
         start = np.cumsum(size) - size
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            # rows of about a million ids at once: a slice of long texts takes no more memory than one of short texts
+            so_far = np.cumsum(batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            cuts = np.flatnonzero(np.diff(so_far // 1_000_000, prepend=0)) if batch.num_rows else []
+            edges = np.unique(np.concatenate([[0], cuts, [batch.num_rows]])).astype(int).tolist()
+            for at, end in zip(edges, edges[1:]):
+                part = batch.slice(at, end - at)
                 column = part.column("ids")
                 ids = column.flatten().to_numpy(zero_copy_only=False)
                 counts = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
