@@ -106,6 +106,27 @@ def test_gapped_and_inserted(toxic):
     assert not (model.probability(text_margin(model, p, ["the thin ation of", "", "a b", "x" * 90_000])) >= 0.5).any()
 
 
+def test_split_by_one_space(toxic):
+    p, model, (clean, y) = toxic
+    words = ["idiot", "moron", "stupid", "pathetic", "disgusting"]
+    cut = [f"the {w[:i]} {w[i:]} of" for w in words for i in (2, 3)] + ["so stu pid of", "a mo r on here", "the dis gus ting one"]
+    assert (model.probability(text_margin(model, p, cut)) >= 0.5).mean() > 0.85
+
+
+def test_neighbours_by_definition():
+    """Two neighbours with a short one, or three short ones, within a sentence, joined without punctuation."""
+    p = toxicity.ToxicityParams()
+    texts = ["he is, an extraordinary id iot. So on & of", "", "ab", "abcd efgh ijkl", "a b", "x" * 30 + " ab cd"]
+    cut = toxicity.Segments(p)
+    plain = cut.of(texts, neighbours=False)
+    row, sentence, segment = cut.of(texts)
+    names = list(cut.segments)
+    joined = [(int(r), names[s]) for r, s in zip(row[len(plain[0]):], segment[len(plain[0]):])]
+    assert sorted(joined) == sorted([(0, "heis"), (0, "isan"), (0, "anextraordinary"), (0, "extraordinaryid"), (0, "idiot"), (0, "soon"),
+                                     (0, "heisan"), (5, "abcd")])
+    assert len(set(sentence[row == 0])) == 2
+
+
 def test_kernel_is_a_sum_over_triples():
     p = toxicity.ToxicityParams()
     rng = random.Random(2)

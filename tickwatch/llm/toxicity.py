@@ -1,7 +1,8 @@
 """Toxicity: a support vector machine on a gappy subsequence string kernel with Nystrom landmarks.
 
 A text is cut into sentences and these into segments: words without their punctuation, runs of
-single characters joined, and overlapping windows of very long words. The kernel of two segments
+single characters joined, overlapping windows of very long words, and neighbours of which one is
+short joined to one (two, or three short ones), as an insult may be split by spaces. The kernel of two segments
 counts the character triples that both hold in order, each occurrence weighted by ``decay`` for
 every character skipped (at most ``gap`` between two of the triple), scaled to 1 for equal
 segments. So "id-iot", "i d i o t" and "idxiot" stay close to "idiot". Landmarks are segments of
@@ -11,8 +12,10 @@ and scoring is a sparse dot product.
 
 Labels are of texts: every sentence of a clean text is a negative example, and of a toxic one at
 least one sentence is positive, by its strongest segment (multiple-instance learning; segments
-that are far commoner in toxic texts count as positive from the start). A sentence scores as its strongest segment, a text as its strongest sentence, mapped to 0..1 by a logistic
-curve fitted on the training texts. Null and empty texts and texts without a segment of three
+that are far commoner in toxic texts count as positive from the start). Joined neighbours are
+learned as negatives only, so that a word beside an insult doesn't become one. A sentence scores as
+its strongest segment, a text as its strongest sentence, mapped to 0..1 by a logistic curve fitted on
+the training texts. Null and empty texts and texts without a segment of three
 characters score as the weakest text. Rows are scored one by one, so repeated rows, null ids and
 other columns pass through (columns named like the outputs are replaced).
 """
@@ -43,6 +46,7 @@ class ToxicityParams:
     decay: float = 0.5
     gap: int = 2
     window: int = 24  # longer words are cut into windows of this size, half overlapping
+    short: int = 3  # most letters of a word that is joined with its neighbours
     landmarks: int = 192
     negatives: int = 3000
     cost: float = 100.0
@@ -65,29 +69,33 @@ def triples(segments: list[str], p: ToxicityParams) -> tuple[np.ndarray, np.ndar
     """Segment numbers, triples and weights, each segment scaled to length one; segments in order."""
     c, lengths = symbols(segments)
     owner = csr_rows(lengths)
-    keys, values = [], []
+    bits = (2 * p.gap).bit_length()  # for the characters skipped: sorting one number an occurrence needs no second array
+    found = []
     for j in range(1, p.gap + 2):
         for k in range(j + 1, j + p.gap + 2):
             n = max(len(c) - k, 0)
-            inside = owner[:n] == owner[k:k + n]
-            code = (c[:n] << 12 | c[j:j + n] << 6 | c[k:k + n])[inside]
-            keys.append(owner[:n][inside] << 18 | code)
-            values.append(np.full(len(code), p.decay ** (k - 2)))
-    key, at = np.unique(np.concatenate(keys), return_inverse=True)
-    x = np.bincount(at, np.concatenate(values), minlength=len(key))
-    row = key >> 18
+            code = c[:n] << 12 | c[j:j + n] << 6 | c[k:k + n]
+            found.append(((owner[:n] << 18 | code) << bits | k - 2)[owner[:n] == owner[k:k + n]])
+    every = np.sort(np.concatenate(found))
+    key = every >> bits
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+    value = (p.decay ** np.arange(1 << bits))[every & (1 << bits) - 1]
+    x = np.add.reduceat(value, first) if len(key) else value
+    row, code = key[first] >> 18, key[first] & 0x3FFFF
     norm = np.sqrt(np.bincount(row, x * x, minlength=len(segments)))
-    return row, key & 0x3FFFF, x / norm[row]
+    return row, code, x / norm[row]
 
 
 class Segments:
-    """The segments of words, and of runs of single characters."""
+    """The segments of words, of runs of single characters, and of short words joined with their neighbours."""
 
     def __init__(self, p: ToxicityParams):
         self.p = p
         self.words, self.segments = Numbering(), Numbering()
         self.flat, self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.single, self.ends = np.empty(0, bool), np.empty(0, bool)
+        self.plain: list[str] = []  # each word without its punctuation
+        self.size = np.empty(0, np.int64)
 
     def cut(self, word: str) -> list[int]:
         word = NOT_ALNUM.sub("", word)
@@ -98,7 +106,32 @@ class Segments:
             return [self.segments[word]]
         return [self.segments[word[max(0, min(a, len(word) - size)):][:size]] for a in range(0, len(word) - size // 2, size // 2)]
 
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def neighbours(self, ids: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and segments of two neighbours in a sentence of which one is short, and of three short ones.
+
+        Pairs of single characters are left to the runs of these.
+        """
+        size, short = self.size[ids], self.p.short
+        fits = (size > 0) & (size <= self.p.window - 2 * short)
+        small = (size > 0) & (size <= short)
+        beside = sentence[1:] == sentence[:-1]
+        two = np.flatnonzero(beside & fits[1:] & fits[:-1] & (small[1:] | small[:-1]) & (size[1:] + size[:-1] > short))
+        three = np.flatnonzero(beside[1:] & beside[:-1] & small[2:] & small[1:-1] & small[:-2] & (size[2:] + size[1:-1] + size[:-2] > short))
+        letters = lambda numbers: [self.plain[i] for i in numbers.tolist()]
+
+        def pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Distinct pairs of numbers, and the pair of each place."""
+            each, at = np.unique(left << 31 | right, return_inverse=True)
+            return each >> 31, each & (1 << 31) - 1, at
+
+        a, b, at_two = pairs(ids[two], ids[two + 1])
+        joined = self.segments.of(list(map("".join, zip(letters(a), letters(b)))))
+        a, b, at_three = pairs(ids[three], ids[three + 1])
+        ab, c, at_three = pairs(at_three, ids[three + 2])
+        longer = self.segments.of(list(map("".join, zip(letters(a[ab]), letters(b[ab]), letters(c)))))
+        return np.concatenate([two, three]), np.concatenate([joined[at_two], longer[at_three]])
+
+    def of(self, texts: list[str], neighbours: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text numbers, sentence numbers (all texts counted on) and segment numbers."""
         known = len(self.words)
         words, counts = flat_words([t.lower() for t in texts])
@@ -112,6 +145,8 @@ class Segments:
             self.flat = np.concatenate([self.flat, np.fromiter((s for x in cut for s in x), np.int64, int(lengths.sum()))])
             self.single = np.concatenate([self.single, np.fromiter((len(w) == 1 for w in new), bool, len(new))])
             self.ends = np.concatenate([self.ends, np.fromiter((w.endswith(SENTENCE_END) for w in new), bool, len(new))])
+            self.plain += [NOT_ALNUM.sub("", w) for w in new]
+            self.size = np.concatenate([self.size, np.fromiter(map(len, self.plain[known:]), np.int64, len(new))])
         row = csr_rows(counts)
         first = np.ones(len(row), bool)
         first[1:] = row[1:] != row[:-1]
@@ -128,6 +163,9 @@ class Segments:
             more = np.fromiter((s for x in cuts for s in x), np.int64)
             at = np.repeat(np.array([a for a, _ in spelled], np.int64), [len(x) for x in cuts]) if spelled else np.empty(0, np.int64)
             rows, sentences, segments = (np.concatenate(x) for x in ((rows, row[at]), (sentences, sentence[at]), (segments, more)))
+        if neighbours and len(ids) > 2:
+            at, more = self.neighbours(ids, sentence)
+            rows, sentences, segments = (np.concatenate(x) for x in ((rows, row[at]), (sentences, sentence[at]), (segments, more)))
         return rows, sentences, segments
 
 
@@ -189,11 +227,18 @@ def train(texts: list[str], labels: np.ndarray, p: ToxicityParams) -> ToxicityMo
     once = distinct_texts(texts)
     texts, labels = [texts[i] for i in once], labels[once]
     cut = Segments(p)
-    pairs = []
-    for at in range(0, len(texts), 256):
-        row, _, segment = cut.of(texts[at:at + 256])
-        pairs.append(np.unique(np.stack([row + at, segment]), axis=1))
-    doc, segment = np.concatenate(pairs, axis=1) if pairs else np.empty((2, 0), np.int64)
+
+    def held(neighbours: bool) -> np.ndarray:
+        """Distinct pairs of a text and a segment."""
+        pairs = [np.empty((2, 0), np.int64)]
+        for at in range(0, len(texts), 256):
+            row, _, segment = cut.of(texts[at:at + 256], neighbours)
+            key = np.unique((row + at) << 40 | segment)
+            pairs.append(np.stack([key >> 40, key & (1 << 40) - 1]))
+        return np.concatenate(pairs, axis=1)
+
+    doc, segment = held(neighbours=False)
+    every_doc, every_segment = held(neighbours=True)
     names = np.array(list(cut.segments) or [""], dtype=object)
     toxic = labels[doc] > 0.5 if len(doc) else np.empty(0, bool)
     n_toxic = int((labels > 0.5).sum())
@@ -204,6 +249,7 @@ def train(texts: list[str], labels: np.ndarray, p: ToxicityParams) -> ToxicityMo
     if not (excess > p.least_excess).any() or n_toxic == len(labels):
         return ToxicityModel(np.zeros(1 << 18), -1.0, 1.0, float(np.log((n_toxic + 1) / (len(labels) - n_toxic + 1))))
     clean = np.flatnonzero(outside > 0)
+    in_clean = np.unique(every_segment[labels[every_doc] <= 0.5])  # joined neighbours too
 
     def witnesses(strength: np.ndarray, least: float) -> np.ndarray:
         """The strongest segment of each toxic text, where it is strong at all; with repeats."""
@@ -244,14 +290,14 @@ def train(texts: list[str], labels: np.ndarray, p: ToxicityParams) -> ToxicityMo
         margin = model.margins(list(names), p)
         found = witnesses(margin, 1.0)
         chosen = found if len(found) else chosen
-        worst = clean[np.argsort(-margin[clean], kind="stable")][:2000]  # the clean segments that look most toxic
+        worst = in_clean[np.argsort(-margin[in_clean], kind="stable")][:2000]  # the clean segments that look most toxic
         hard = np.unique(np.concatenate([hard, worst]))
         if len(seeds) < p.landmarks:  # the next landmarks are half the hardest clean segments, half any
             some = (p.landmarks - len(seeds)) // 2
             folded, root = mapping(np.concatenate([worst[:some], rng.choice(clean, min(len(clean), some), replace=False)]))
 
     top = np.full(len(texts), NONE)
-    np.maximum.at(top, doc, np.maximum(margin[segment], NONE))
+    np.maximum.at(top, every_doc, np.maximum(margin[every_segment], NONE))
     # the curve also sees each sure insult alone and with a character put in, as a text of its own
     alone = model.margins(list(names[sure]) + [s for s, _ in varied], p)
     slope, offset = logistic(np.concatenate([top, alone]), np.concatenate([labels, np.ones(len(alone))]))
@@ -296,7 +342,7 @@ def score(docs: DataFrame, model: ToxicityModel, p: ToxicityParams = ToxicityPar
         for batch in batches:
             top, hits = np.full(batch.num_rows, NONE), np.zeros(batch.num_rows, np.int64)
             for start, texts in text_slices(batch):
-                if len(cut.words) > 400_000:
+                if len(cut.words) > 400_000 or len(cut.segments) > 600_000:
                     cut, margin = Segments(p), np.empty(0)
                 row, sentence, segment = cut.of(texts)
                 margin = np.concatenate([margin, m.margins(list(cut.segments)[len(margin):], p)])
