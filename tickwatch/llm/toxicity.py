@@ -47,6 +47,7 @@ class ToxicityParams:
     gap: int = 2
     window: int = 24  # longer words are cut into windows of this size, half overlapping
     short: int = 3  # most letters of a word that is joined with its neighbours
+    joined: int = 12  # most letters of neighbours that are joined
     landmarks: int = 192
     negatives: int = 3000
     cost: float = 100.0
@@ -98,7 +99,6 @@ class Segments:
         self.size = np.empty(0, np.int64)
 
     def cut(self, word: str) -> list[int]:
-        word = NOT_ALNUM.sub("", word)
         if len(word) < 3:
             return []
         size = self.p.window
@@ -107,16 +107,14 @@ class Segments:
         return [self.segments[word[max(0, min(a, len(word) - size)):][:size]] for a in range(0, len(word) - size // 2, size // 2)]
 
     def neighbours(self, ids: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and segments of two neighbours in a sentence of which one is short, and of three short ones.
-
-        Pairs of single characters are left to the runs of these.
-        """
+        """Places and segments of two neighbours in a sentence of which one is short, and of three short ones."""
         size, short = self.size[ids], self.p.short
-        fits = (size > 0) & (size <= self.p.window - 2 * short)
-        small = (size > 0) & (size <= short)
+        some = size > 0
+        small = some & (size <= short)
         beside = sentence[1:] == sentence[:-1]
-        two = np.flatnonzero(beside & fits[1:] & fits[:-1] & (small[1:] | small[:-1]) & (size[1:] + size[:-1] > short))
-        three = np.flatnonzero(beside[1:] & beside[:-1] & small[2:] & small[1:-1] & small[:-2] & (size[2:] + size[1:-1] + size[:-2] > short))
+        both = size[1:] + size[:-1]
+        two = np.flatnonzero(beside & some[1:] & some[:-1] & (small[1:] | small[:-1]) & (both > short) & (both <= self.p.joined))
+        three = np.flatnonzero(beside[1:] & beside[:-1] & small[2:] & small[1:-1] & small[:-2] & (both[1:] + size[:-2] > short))
         letters = lambda numbers: [self.plain[i] for i in numbers.tolist()]
 
         def pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,15 +136,16 @@ class Segments:
         ids = self.words.of(words)
         new = list(self.words)[known:]
         if new:
-            cut = [self.cut(w) for w in new]
+            plain = [w if w.isalnum() else NOT_ALNUM.sub("", w) for w in new]
+            cut = [self.cut(w) for w in plain]
             lengths = np.fromiter(map(len, cut), np.int64, len(cut))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.flat = np.concatenate([self.flat, np.fromiter((s for x in cut for s in x), np.int64, int(lengths.sum()))])
             self.single = np.concatenate([self.single, np.fromiter((len(w) == 1 for w in new), bool, len(new))])
             self.ends = np.concatenate([self.ends, np.fromiter((w.endswith(SENTENCE_END) for w in new), bool, len(new))])
-            self.plain += [NOT_ALNUM.sub("", w) for w in new]
-            self.size = np.concatenate([self.size, np.fromiter(map(len, self.plain[known:]), np.int64, len(new))])
+            self.plain += plain
+            self.size = np.concatenate([self.size, np.fromiter(map(len, plain), np.int64, len(new))])
         row = csr_rows(counts)
         first = np.ones(len(row), bool)
         first[1:] = row[1:] != row[:-1]
@@ -159,7 +158,7 @@ class Segments:
         if single.any():
             edge = np.flatnonzero(np.diff(np.concatenate([[False], single, [False]])) | np.concatenate([first, [True]]))
             spelled = [(a, b) for a, b in zip(edge, edge[1:]) if single[a] and b - a >= 3]
-            cuts = [self.cut("".join(words[a:b])) for a, b in spelled]
+            cuts = [self.cut(NOT_ALNUM.sub("", "".join(words[a:b]))) for a, b in spelled]
             more = np.fromiter((s for x in cuts for s in x), np.int64)
             at = np.repeat(np.array([a for a, _ in spelled], np.int64), [len(x) for x in cuts]) if spelled else np.empty(0, np.int64)
             rows, sentences, segments = (np.concatenate(x) for x in ((rows, row[at]), (sentences, sentence[at]), (segments, more)))
