@@ -266,3 +266,47 @@ def test_scores_by_sql_over_the_node_table(spark):
     assert (got["n"] == 7).all() and len(got) == len(rows)
     assert np.abs(got["score"] - rows["if_score"].loc[got.index]).max() < 1e-12
     assert (got["flag"] == rows["if_flag"].loc[got.index]).all()
+
+
+def test_static_scores_in_bounded_memory():
+    """Scoring holds no path length for every row and tree at once, and equals the mean over single trees."""
+    import tracemalloc
+    rng = np.random.default_rng(0)
+    X = rng.normal(size=(40_001, 5))
+    trees = [isf.build_tree(X[i * 64:(i + 1) * 64], np.random.default_rng(i), 6) for i in range(100)]
+    tracemalloc.start()
+    s = isf.anomaly_score(X, trees, 64)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16e6  # 100 x 40,001 doubles are 32 MB
+    h = np.mean([isf.path_lengths(X, t) for t in trees], axis=0)
+    assert np.array_equal(s, np.power(2.0, -h / isf.c_factor([64])[0]))
+
+
+def test_forest_is_that_of_single_nodes():
+    """The forest grown in segments splits each node's rows at its threshold: sizes as counted row by row."""
+    rng = np.random.default_rng(3)
+    for X in (rng.normal(size=(200, 5)), np.round(rng.normal(size=(150, 5))), np.ones((9, 5)), rng.normal(size=(1, 5))):
+        f = isf.fit_forest(X, 10, 256, 7)
+        size = np.zeros(len(f.feature), dtype=int)
+        for tree in range(10):
+            for x in X:
+                node = tree
+                size[node] += 1
+                while f.feature[node] >= 0:
+                    node = f.left[node] if x[f.feature[node]] < f.threshold[node] else f.right[node]
+                    size[node] += 1
+        assert size.tolist() == f.size.tolist()
+
+
+def test_walk_forward_carries_columns(spark):
+    """Columns that aren't features come out as they went in, arrays, times and nulls too, with a model or without."""
+    from tickwatch.operators.iforest import train_static, walk_forward
+    fr = _online_features(spark, "/root/testdata/sf0.001").withColumns({
+        "tags": F.when(F.col("seq") % 3 > 0, F.array(F.col("series"), F.lit(None).cast("string"))),
+        "at": F.timestamp_micros("seq").cast("timestamp_ntz"), "none": F.lit(None).cast("double")})
+    model = train_static(fr.where("f_price IS NOT NULL AND series <> 'view'"), n_trees=5)
+    for out in (walk_forward(fr), walk_forward(fr, n_trees=5, pretrained=model)):
+        assert out.columns == [*fr.columns, "if_score", "if_flag", "if_ready"]
+        back = out.drop("if_score", "if_flag", "if_ready")
+        assert back.exceptAll(fr).isEmpty() and fr.exceptAll(back).isEmpty()

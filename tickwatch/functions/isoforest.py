@@ -86,94 +86,103 @@ class Forest:
 
 
 def fit_forest(X: np.ndarray, n_trees: int, subsample: int, seed: int) -> Forest:
-    """Grow all trees together, one depth level per step (numpy over every node of the level)."""
+    """Grow all trees together, one depth level per step (numpy over every node of the level).
+
+    The drawn rows are kept in the order of their nodes, so that a level's nodes are segments of them."""
     rng = np.random.default_rng(seed)
     n, d = X.shape
     m = min(subsample, n)
     max_depth = int(math.ceil(math.log2(max(m, 2))))
     if m < n:
-        idx = np.argsort(rng.random((n_trees, n)), axis=1)[:, :m]
+        idx = np.argpartition(rng.random((n_trees, n)), m - 1, axis=1)[:, :m]
     else:
         idx = np.tile(np.arange(n), (n_trees, 1))
+    columns = np.ascontiguousarray(X.T)
     samp = idx.reshape(-1)
-    node = np.repeat(np.arange(n_trees), m)
     feat = [np.full(n_trees, -1)]
     thr_l = [np.zeros(n_trees)]
     left_l = [np.full(n_trees, -1)]
-    right_l = [np.full(n_trees, -1)]
     size_l = [np.full(n_trees, m)]
-    depth_l = [np.zeros(n_trees, dtype=np.int64)]
     tree_l = [np.arange(n_trees)]
     total = n_trees
-    active = np.ones(samp.size, dtype=bool)
-    for depth in range(max_depth):
-        a = np.flatnonzero(active)
-        if a.size == 0:
+    for _ in range(max_depth):
+        at = np.flatnonzero(size_l[-1])  # the level's nodes that have rows; samp has the rows of those with several
+        pick = rng.random((at.size, d))
+        draw = rng.random(at.size)
+        many = size_l[-1][at] > 1
+        at, pick, draw = at[many], pick[many], draw[many]
+        if at.size == 0:
             break
-        uniq, inv, counts = np.unique(node[a], return_inverse=True, return_counts=True)
-        vals = X[samp[a]]
-        order = np.argsort(inv, kind="stable")
-        starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
-        lo = np.minimum.reduceat(vals[order], starts, axis=0)
-        hi = np.maximum.reduceat(vals[order], starts, axis=0)
+        counts = size_l[-1][at]
+        vals = columns.take(samp, axis=1)
+        starts = np.cumsum(counts) - counts
+        lo = np.minimum.reduceat(vals, starts, axis=1)
+        hi = np.maximum.reduceat(vals, starts, axis=1)
         varying = hi > lo
-        splittable = (counts > 1) & varying.any(axis=1)
-        pick = rng.random((uniq.size, d))
-        pick[~varying] = -1.0
-        f = np.argmax(pick, axis=1)
-        rows = np.arange(uniq.size)
-        t = lo[rows, f] + rng.random(uniq.size) * (hi[rows, f] - lo[rows, f])
+        splittable = varying.any(axis=0)
         k = int(splittable.sum())
-        child = np.full(uniq.size, -1)
-        child[splittable] = total + 2 * np.arange(k)
-        par = uniq[splittable]
-        # record the split on the parents (flat arrays are concatenated lazily below)
-        parent_feat = np.concatenate(feat)
-        parent_thr = np.concatenate(thr_l)
-        parent_left = np.concatenate(left_l)
-        parent_right = np.concatenate(right_l)
-        parent_feat[par] = f[splittable]
-        parent_thr[par] = t[splittable]
-        parent_left[par] = child[splittable]
-        parent_right[par] = child[splittable] + 1
-        feat, thr_l, left_l, right_l = [parent_feat], [parent_thr], [parent_left], [parent_right]
-        moves = splittable[inv]
-        go_left = vals[np.arange(a.size), f[inv]] < t[inv]
-        new_node = np.where(go_left, child[inv], child[inv] + 1)
-        node[a[moves]] = new_node[moves]
-        active[a[~moves]] = False
         if k == 0:
             break
-        kids = np.bincount(new_node[moves] - total, minlength=2 * k)
+        pick[~varying.T] = -1.0
+        f = np.argmax(pick, axis=1)
+        rows = np.arange(at.size)
+        t = lo[f, rows] + draw * (hi[f, rows] - lo[f, rows])
+        par = at[splittable]
+        feat[-1][par] = f[splittable]
+        thr_l[-1][par] = t[splittable]
+        left_l[-1][par] = total + 2 * np.arange(k)
+        moves = np.flatnonzero(np.repeat(splittable, counts))
+        of = np.repeat(np.arange(k), counts[splittable])
+        value = vals.ravel().take((f[splittable] * samp.size).take(of) + moves)
+        child = 2 * of + ~(value < t[splittable].take(of))
+        kids = np.bincount(child, minlength=2 * k)
+        stay = np.flatnonzero(kids.take(child) > 1)
+        child, samp = child.take(stay), samp.take(moves.take(stay))
+        # small integers are sorted by radix
+        samp = samp.take(np.argsort(child.astype(np.uint16) if 2 * k <= 1 << 16 else child, kind="stable"))
         feat.append(np.full(2 * k, -1))
         thr_l.append(np.zeros(2 * k))
         left_l.append(np.full(2 * k, -1))
-        right_l.append(np.full(2 * k, -1))
         size_l.append(kids)
-        depth_l.append(np.full(2 * k, depth + 1, dtype=np.int64))
-        tree_l.append(np.repeat(np.concatenate(tree_l)[par], 2))
+        tree_l.append(np.repeat(tree_l[-1][par], 2))
         total += 2 * k
     cat = np.concatenate
-    return Forest(cat(feat).astype(np.int64), cat(thr_l), cat(left_l).astype(np.int64), cat(right_l).astype(np.int64),
-                  cat(size_l).astype(np.int64), cat(depth_l), cat(tree_l), n_trees, m)
+    left = cat(left_l).astype(np.int64)
+    return Forest(cat(feat).astype(np.int64), cat(thr_l), left, np.where(left >= 0, left + 1, -1), cat(size_l).astype(np.int64),
+                  np.repeat(np.arange(len(size_l)), [len(x) for x in size_l]), cat(tree_l), n_trees, m)
+
+
+def _leaves(X: np.ndarray, roots: np.ndarray, nodes: Forest | Tree) -> np.ndarray:
+    """The leaf (node id) of every row in the tree of every root: an array (roots, rows)."""
+    k, d = X.shape
+    values, row = np.ascontiguousarray(X).ravel(), np.tile(np.arange(k) * d, len(roots))
+    inner, own = nodes.feature >= 0, np.arange(len(nodes.feature))
+    feature = np.where(inner, nodes.feature, 0)
+    # leaves lead to themselves; the right child of node i at 2 i, the left one behind it
+    child = np.stack([np.where(inner, nodes.right, own), np.where(inner, nodes.left, own)], axis=1).ravel()
+    node = np.repeat(roots, k)
+    for _ in range(int(nodes.depth.max())):
+        go_left = values.take(feature.take(node) + row) < nodes.threshold.take(node)
+        node = child.take(2 * node + go_left)
+    return node.reshape(len(roots), k)
 
 
 def forest_score(X: np.ndarray, forest: Forest) -> np.ndarray:
     """Positive score in (0, 1] for every row of ``X``: higher = more isolated."""
-    k = X.shape[0]
-    if k == 0:
+    if X.shape[0] == 0:
         return np.zeros(0)
-    node = np.repeat(np.arange(forest.n_trees)[:, None], k, axis=1)
-    cols = np.broadcast_to(np.arange(k), node.shape)
-    for _ in range(int(forest.depth.max()) + 1):
-        f = forest.feature[node]
-        inner = f >= 0
-        if not inner.any():
-            break
-        go_left = X[cols, np.where(inner, f, 0)] < forest.threshold[node]
-        node = np.where(inner, np.where(go_left, forest.left[node], forest.right[node]), node)
-    h = forest.depth[node] + c_factor(forest.size[node])
-    return np.power(2.0, -h.mean(axis=0) / c_factor([forest.subsample])[0])
+    return _score(X, np.arange(forest.n_trees), forest, forest.subsample)
+
+
+#: Rows walked through all trees at once: (trees, rows) numbers are in memory, however many rows a task has.
+SCORE_ROWS = 1024
+
+
+def _score(X: np.ndarray, roots: np.ndarray, nodes: Forest | Tree, subsample: int) -> np.ndarray:
+    length = nodes.depth + c_factor(nodes.size)
+    pieces = np.array_split(X, -(-X.shape[0] // SCORE_ROWS))
+    h = np.concatenate([length[_leaves(x, roots, nodes)].mean(axis=0) for x in pieces])
+    return np.power(2.0, -h / c_factor([subsample])[0])
 
 
 def path_lengths(X: np.ndarray, tree: Tree) -> np.ndarray:
@@ -193,8 +202,12 @@ def anomaly_score(X: np.ndarray, trees: list[Tree], subsample: int) -> np.ndarra
     """Positive score in (0, 1] against a list of single trees (node-table form)."""
     if X.shape[0] == 0:
         return np.zeros(0)
-    h = np.mean([path_lengths(X, t) for t in trees], axis=0)
-    return np.power(2.0, -h / c_factor([subsample])[0])
+    sizes = [t.feature.size for t in trees]
+    roots = np.cumsum(sizes) - sizes
+    first = np.repeat(roots, sizes)  # of each node's tree: ids of all trees' nodes in one row
+    column = lambda k: np.concatenate([getattr(t, k) for t in trees])
+    nodes = Tree(column("feature"), column("threshold"), column("left") + first, column("right") + first, column("size"), column("depth"))
+    return _score(X, roots, nodes, subsample)
 
 
 def flag_threshold(train_scores: np.ndarray, contamination: float) -> float:

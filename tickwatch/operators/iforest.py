@@ -2,7 +2,7 @@
 
 Walk-forward (the online detector): every feature row is exploded to the fits
 that train on it (<= 2) plus the fit that scores it (closed-form schedule in
-``schedule``), then ``groupBy(series, epoch).applyInPandas`` standardises, fits
+``schedule``), then ``groupBy(series, epoch).applyInArrow`` standardises, fits
 100 trees and scores in one pass.  Each group holds at most 800 training and
 500 scoring rows whatever the size of the series, so a hot series simply makes
 more groups.
@@ -22,9 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tickwatch import constants as C
 from tickwatch.functions import isoforest as isf
@@ -77,13 +80,13 @@ class EpochModel:
         forest = isf.fit_forest(x, n_trees, subsample, seed)
         return cls(mu, sd, forest, isf.flag_threshold(isf.forest_score(x, forest), contamination))
 
-    def score(self, out: pd.DataFrame, x: np.ndarray) -> pd.DataFrame:
-        """``out`` with score and flag of each row of features ``x`` (no score where one is missing)."""
+    def score(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score and flag of each row of features ``x`` (no score where one is missing)."""
         ok = ~np.isnan(x).any(axis=1)
-        scores, flags = np.zeros(len(out)), np.zeros(len(out), dtype=bool)
+        scores, flags = np.zeros(len(x)), np.zeros(len(x), dtype=bool)
         scores[ok] = isf.forest_score((x[ok] - self.mu) / self.sd, self.forest)
         flags[ok] = scores[ok] > self.cut
-        return out.assign(if_score=scores, if_flag=flags, if_ready=True)
+        return scores, flags
 
     def row(self, series: str, epoch: int) -> pd.DataFrame:
         """The model as one row of a table of ``EPOCH_MODEL``."""
@@ -101,8 +104,8 @@ class EpochModel:
 
 def _roles(frame: DataFrame, pretrained: DataFrame | None, score_rows: str | None) -> DataFrame:
     """Each row once for every fit that trains on it and, unless ``score_rows`` is false, once for the one that
-    scores it: ``_epoch``, ``_scoring``; columns that training doesn't need are null in training rows."""
-    carry = frame.columns
+    scores it: ``_epoch``, ``_scoring``; columns that training doesn't need are in ``_row``, null in training rows."""
+    rest = [c for c in frame.columns if c not in ("series", "rn", *FEATURES)]
     n = S.feature_index(F.col("rn"))
     if pretrained is not None:
         # M5 fallback: a series without a saved model warms up online (cold schedule)
@@ -122,14 +125,20 @@ def _roles(frame: DataFrame, pretrained: DataFrame | None, score_rows: str | Non
     roles = F.concat(score_role,
                      F.transform(train_epochs, lambda e: F.struct(e.alias("_epoch"), F.lit(False).alias("_scoring"))))
     return frame.withColumn("_role", F.explode(roles)).select(
-        *[F.when(F.col("_role._scoring") | F.lit(c in FEATURES or c in ("series", "rn")), F.col(c)).alias(c)
-          for c in carry],
+        "series", "rn", *FEATURES, *[F.when(F.col("_role._scoring"), F.struct(*rest)).alias("_row")] * bool(rest),
         F.col("_role._epoch").alias("_epoch"), F.col("_role._scoring").alias("_scoring"))
 
 
-def _training_rows(pdf: pd.DataFrame) -> np.ndarray:
-    # shuffles deliver a group's rows in any order: fix it so a recomputed task grows the same trees
-    return pdf[~pdf["_scoring"]].sort_values("rn", kind="stable")[FEATURES].to_numpy(dtype=np.float64)
+def _sorted(table: pa.Table, scoring: bool) -> pa.Table:
+    """The rows that are scored, or those that train, by ``rn``: shuffles deliver a group's rows in any order, and a
+    recomputed task must grow the same trees."""
+    rows = table.filter(table["_scoring"] if scoring else pc.invert(table["_scoring"])).combine_chunks()
+    return rows.take(pa.array(np.argsort(rows["rn"].to_numpy(), kind="stable")))
+
+
+def _matrix(rows: pa.Table, cols: list[str] = FEATURES) -> np.ndarray:
+    """The columns as doubles, NaN where one is missing."""
+    return np.stack([rows[c].to_numpy() for c in cols]).astype(np.float64, copy=False).T
 
 
 def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONLINE,
@@ -144,38 +153,42 @@ def walk_forward(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONL
     schedule applies (model 0 scores until the first refit at feature row 500;
     a series missing from the table gets no score until then).
     """
-    carry = frame.columns
     x = _roles(frame, pretrained, score_rows)
-    out_schema = _scored_schema(frame)
-
-    def fit_score(pdf: pd.DataFrame, model: pd.DataFrame | None = None) -> pd.DataFrame:
-        if len(pdf) == 0:  # a model-only cogroup group: nothing to score
-            return pd.DataFrame({c: pd.Series([], dtype=object) for c in carry + ["if_score", "if_flag", "if_ready"]})
-        scoring = pdf[pdf["_scoring"]].sort_values("rn", kind="stable").reset_index(drop=True)
-        out = scoring[carry].copy()
-        epoch = int(pdf["_epoch"].iloc[0])
-        if len(out) == 0:
-            return out.assign(if_score=[], if_flag=[], if_ready=[])
-        features = scoring[FEATURES].to_numpy(dtype=np.float64)
-        if epoch == 0:
-            if model is None or len(model) == 0:
-                return out.assign(if_score=0.0, if_flag=False, if_ready=False)
-            return score_with_model(out, features, model)
-        fitted = EpochModel.fit(_training_rows(pdf), contamination, n_trees, subsample,
-                                group_seed(seed, out["series"].iloc[0], epoch))
-        return fitted.score(out, features)
-
+    out = [c for c in x.columns if c not in ("_epoch", "_scoring")]
+    out_schema = _scored_schema(x.select(*out))
+
+    def fit_score(group: pa.Table, model: pa.Table | None = None) -> pa.Table:
+        if group.num_rows == 0:  # a model-only cogroup group: nothing to score
+            return out_arrow.empty_table()
+        scoring = _sorted(group, True)
+        epoch = group["_epoch"][0].as_py()
+        if scoring.num_rows == 0:
+            return out_arrow.empty_table()
+        features, ready = _matrix(scoring), True
+        if epoch > 0:
+            fitted = EpochModel.fit(_matrix(_sorted(group, False)), contamination, n_trees, subsample,
+                                    group_seed(seed, scoring["series"][0].as_py(), epoch))
+            scores, flags = fitted.score(features)
+        elif model is not None and model.num_rows:
+            scores, flags = score_with_model(features, model)
+        else:
+            scores, flags, ready = np.zeros(len(features)), np.zeros(len(features), dtype=bool), False
+        return pa.table([*scoring.select(out).columns, pa.array(scores), pa.array(flags), pa.array(np.full(len(scores), ready))],
+                        names=out_arrow.names)
+
+    out_arrow = to_arrow_schema(out_schema)
     # Python-heavy groups: spread them over at least a few tasks per core (AQE would
     # otherwise coalesce the small shuffle into about one partition per core)
     spread = _spread(x, ["series", "_epoch"])
     if pretrained is None:
-        # one-argument function: applyInPandas would pass the group key to a two-argument one
-        def fit_score_cold(pdf: pd.DataFrame) -> pd.DataFrame:
-            return fit_score(pdf, None)
-        return spread.groupBy("series", "_epoch").applyInPandas(fit_score_cold, out_schema)
-    m0 = pretrained.withColumn("_epoch", F.lit(0).cast("long"))
-    return spread.groupBy("series", "_epoch").cogroup(m0.groupBy("series", "_epoch")).applyInPandas(
-        fit_score, out_schema)
+        # one-argument function: applyInArrow would pass the group key to a two-argument one
+        def fit_score_cold(group: pa.Table) -> pa.Table:
+            return fit_score(group, None)
+        scored = spread.groupBy("series", "_epoch").applyInArrow(fit_score_cold, out_schema)
+    else:
+        m0 = pretrained.withColumn("_epoch", F.lit(0).cast("long"))
+        scored = spread.groupBy("series", "_epoch").cogroup(m0.groupBy("series", "_epoch")).applyInArrow(fit_score, out_schema)
+    return scored.select(*[c if c in out else F.col("_row")[c].alias(c) for c in frame.columns], "if_score", "if_flag", "if_ready")
 
 
 def _scored_schema(frame: DataFrame) -> T.StructType:
@@ -196,7 +209,7 @@ def fit_epochs(frame: DataFrame, contamination: float = C.IF_CONTAMINATION_ONLIN
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         series, epoch = pdf["series"].iloc[0], int(pdf["_epoch"].iloc[0])
-        m = EpochModel.fit(_training_rows(pdf), contamination, n_trees, subsample, group_seed(seed, series, epoch))
+        m = EpochModel.fit(_matrix(_sorted(pa.Table.from_pandas(pdf[["rn", "_scoring", *FEATURES]]), False)), contamination, n_trees, subsample, group_seed(seed, series, epoch))
         return m.row(series, epoch)
 
     # an epoch is there once its last training row is
@@ -218,31 +231,45 @@ def score_epochs(frame: DataFrame, models: DataFrame) -> DataFrame:
         out = pdf[carry].copy()
         if len(model) == 0:
             return out.assign(if_score=0.0, if_flag=False, if_ready=False)
-        return EpochModel.of(model.iloc[0]).score(out, out[FEATURES].to_numpy(dtype=np.float64))
+        scores, flags = EpochModel.of(model.iloc[0]).score(out[FEATURES].to_numpy(dtype=np.float64))
+        return out.assign(if_score=scores, if_flag=flags, if_ready=True)
 
     return _spread(rows, ["series", "_epoch"]).groupBy("series", "_epoch").cogroup(
         models.groupBy("series", "_epoch")).applyInPandas(score, _scored_schema(frame))
 
 
-def score_with_model(out: pd.DataFrame, X: np.ndarray, model: pd.DataFrame) -> pd.DataFrame:
-    """Score rows with a static model table (one series): its scaler, trees and cut."""
-    mu = np.asarray(model["mu"].iloc[0], dtype=np.float64)
-    sd = np.asarray(model["sd"].iloc[0], dtype=np.float64)
-    cut = float(model["cut"].iloc[0])
-    trees = [isf.tree_from_nodes(g) for _, g in model.groupby("tree")]
-    m = int(model.loc[model["node"] == 0, "size"].max())
+def _trees(nodes: pa.Table) -> list[isf.Tree]:
+    """The trees of one series' node table."""
+    cols = {c: nodes[c].to_numpy() for c in NODE_SCHEMA.names if c != "series"}
+    order = np.argsort(cols["tree"], kind="stable")
+    ends = np.flatnonzero(np.diff(cols["tree"][order])) + 1
+    return [isf.tree_from_nodes({c: v[at] for c, v in cols.items()}) for at in np.split(order, ends)]
+
+
+def _drawn(nodes: pa.Table) -> int:
+    """Rows of the largest root."""
+    return int(nodes["size"].to_numpy()[nodes["node"].to_numpy() == 0].max())
+
+
+def score_with_model(X: np.ndarray, model: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Score and flag of each row by a static model table (one series): its scaler, trees and cut."""
+    mu, sd = (np.array(model[c][0].as_py(), dtype=np.float64) for c in ("mu", "sd"))
     ok = ~np.isnan(X).any(axis=1)
-    scores = np.zeros(len(out))
-    flags = np.zeros(len(out), dtype=bool)
-    s = isf.anomaly_score((X[ok] - mu) / sd, trees, m)
+    scores = np.zeros(len(X))
+    flags = np.zeros(len(X), dtype=bool)
+    s = isf.anomaly_score((X[ok] - mu) / sd, _trees(model), _drawn(model))
     scores[ok] = s
-    flags[ok] = s > cut
-    return out.assign(if_score=scores, if_flag=flags, if_ready=True)
+    flags[ok] = s > model["cut"][0].as_py()
+    return scores, flags
+
+
+#: Rows scored with one copy of a static forest: 7 doubles each, so a task holds some 15 MB of them.
+ROWS_PER_TASK = 1 << 18
 
 
 def train_static(features: DataFrame, contamination: float = C.IF_CONTAMINATION_OFFLINE,
                  n_trees: int = C.IF_TREES, subsample: int = C.IF_SUBSAMPLE, seed: int = C.IF_SEED,
-                 rows_per_task: int = 2_000_000) -> DataFrame:
+                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """M2 + M3 + M5 (offline): per series, scaler + forest + flag cut over all feature rows.
 
     Returns the model table (node rows carrying ``mu``/``sd`` arrays and ``cut``),
@@ -332,13 +359,13 @@ def fit_static(features: DataFrame, n_trees: int = C.IF_TREES, subsample: int =
 
 
 def score_static(rows: DataFrame, nodes: DataFrame, subsample: int = C.IF_SUBSAMPLE,
-                 rows_per_task: int = 2_000_000, sizes: DataFrame | None = None) -> DataFrame:
+                 rows_per_task: int = ROWS_PER_TASK, sizes: DataFrame | None = None) -> DataFrame:
     """M3 (static): anomaly score of every row against its series' forest.
 
     Rows are spread over ``parts(series) = ceil(n_series / rows_per_task)``
     hash parts; the (bounded, <= trees x 511 nodes) forest is replicated once per
     part and cogrouped, so a hot series is scored by many tasks.  Replication adds
-    at most 51,100 node rows per ``rows_per_task`` scored rows (~2.5 % at 2 M)."""
+    at most 51,100 node rows per ``rows_per_task`` scored rows (~20 % at 2^18)."""
     cols = ["s_" + c[2:] for c in FEATURES]
     if sizes is None:
         sizes = rows.groupBy("series").agg(F.count(F.lit(1)).alias("_n"))
@@ -349,16 +376,14 @@ def score_static(rows: DataFrame, nodes: DataFrame, subsample: int = C.IF_SUBSAM
     node_parts = sizes.select(F.col("series").alias("_ns"), F.col("_parts").alias("_np"))
     reps = nodes.join(node_parts, nodes["series"] == node_parts["_ns"]).drop("_ns") \
         .select(*nodes.columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_np") - 1)).alias("_part"))
-    keep = [c for c in rows.columns]
     schema = T.StructType(list(rows.schema.fields) + [T.StructField("if_score", T.DoubleType())])
+    keep, arrow = rows.columns, to_arrow_schema(schema)
 
-    def score(rpdf: pd.DataFrame, npdf: pd.DataFrame) -> pd.DataFrame:
-        if len(rpdf) == 0:
-            return pd.DataFrame({c: [] for c in keep + ["if_score"]})
-        trees = [isf.tree_from_nodes(g) for _, g in npdf.groupby("tree")]
-        X = rpdf[cols].to_numpy(dtype=np.float64)
-        m = min(subsample, int(npdf.loc[npdf["node"] == 0, "size"].max())) if len(npdf) else subsample
-        s = isf.anomaly_score(X, trees, m) if trees else np.zeros(len(rpdf))
-        return rpdf[keep].assign(if_score=s)
+    def score(group: pa.Table, forest: pa.Table) -> pa.Table:
+        if group.num_rows == 0:
+            return arrow.empty_table()
+        s = isf.anomaly_score(_matrix(group, cols), _trees(forest), min(subsample, _drawn(forest))) if forest.num_rows \
+            else np.zeros(group.num_rows)
+        return pa.table([*group.select(keep).columns, pa.array(s)], names=arrow.names)
 
-    return r.groupBy("series", "_part").cogroup(reps.groupBy("series", "_part")).applyInPandas(score, schema)
+    return r.groupBy("series", "_part").cogroup(reps.groupBy("series", "_part")).applyInArrow(score, schema)
