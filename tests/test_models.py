@@ -310,3 +310,23 @@ def test_walk_forward_carries_columns(spark):
         assert out.columns == [*fr.columns, "if_score", "if_flag", "if_ready"]
         back = out.drop("if_score", "if_flag", "if_ready")
         assert back.exceptAll(fr).isEmpty() and fr.exceptAll(back).isEmpty()
+
+
+def test_full_frame_exchanges(spark):
+    """Joins with what is known of each series don't gather a series' rows, and all windows of the blocks after the
+    sequence model's errors share one exchange."""
+    import re
+    from tickwatch.plans import detect
+    from tickwatch.schema import EVENTS_PARAMS, Layout, events_ticks
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        fr = detect.full_frame(events_ticks(spark, "/root/testdata/sf0.01"), EVENTS_PARAMS, Layout(block_rows=700), iforest=False)
+        plan = fr._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    keys = [re.sub(r"#\d+L?|, \d+$", "", d) for d in dealt]
+    assert keys.count("series") == 1  # the counts that number the rows
+    assert "series, block, _sub" not in keys
+    assert keys.count("series, block") == 2

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tickwatch import constants as C
 from tickwatch.operators.blocks import block_window
+from tickwatch.session import written
 
 #: A model: makes a function from windows (rows, seq_len) to their reconstructions.
 MakePredict = Callable[[], Callable[[np.ndarray], np.ndarray]]
@@ -40,13 +41,20 @@ def training_weight(rn: Column, length: Column, seq_len: int = C.SEQ_LEN) -> Col
     return F.greatest(F.lit(0), hi - lo + 1)
 
 
-def sequence_scaler(numbered: DataFrame, seq_len: int = C.SEQ_LEN) -> DataFrame:
+def series_lengths(numbered: DataFrame) -> DataFrame:
+    """``_len``: rows of each series.  Written: read with its true size, it is broadcast unless the series are very
+    many, and the rows of a series don't meet in one task for a join."""
+    return written(numbered.groupBy("series").agg(F.max("rn").alias("_len")))
+
+
+def sequence_scaler(numbered: DataFrame, seq_len: int = C.SEQ_LEN, lengths: DataFrame | None = None) -> DataFrame:
     """M6: per series, mean and population sigma of all values of all training windows
     (each price weighted by the number of windows containing it; no 60x explode)."""
-    lengths = numbered.groupBy("series").agg(F.max("rn").alias("_len"))
+    if lengths is None:
+        lengths = series_lengths(numbered)
     w = numbered.join(lengths, "series").withColumn("_w", training_weight(F.col("rn"), F.col("_len"), seq_len))
     w = w.where(F.col("_w") > 0)
-    means = w.groupBy("series").agg((F.sum(F.col("_w") * F.col("price")) / F.sum("_w")).alias("seq_mean"))
+    means = written(w.groupBy("series").agg((F.sum(F.col("_w") * F.col("price")) / F.sum("_w")).alias("seq_mean")))
     var = w.join(means, "series").groupBy("series", "seq_mean").agg(
         (F.sum(F.col("_w") * (F.col("price") - F.col("seq_mean")) ** 2) / F.sum("_w")).alias("_var"))
     return var.select("series", "seq_mean", F.sqrt("_var").alias("seq_sd"))
@@ -141,9 +149,10 @@ def window_products(seq_len: int):
 
 # ------------------------------------------------------------------------------ fit and score
 
-def training_frame(blocked: DataFrame, scaler: DataFrame, seq_len: int) -> DataFrame:
+def training_frame(blocked: DataFrame, scaler: DataFrame, seq_len: int, lengths: DataFrame | None = None) -> DataFrame:
     """The blocked rows with ``_train``: does a training window end here?  (All but each series' last row.)"""
-    lengths = blocked.where("own").groupBy("series").agg(F.max("rn").alias("_len"))
+    if lengths is None:
+        lengths = series_lengths(blocked.where("own"))
     rows = blocked.select("series", "block", "own", "rn", "price").join(lengths, "series", "left")
     return scaled(rows.withColumn("_train", F.col("own") & (F.col("rn") < F.col("_len"))), scaler)
 
@@ -169,13 +178,13 @@ def fit_sequence_model(blocked: DataFrame, scaler: DataFrame | None = None, k: i
 
     ``blocked``: rows in blocks with a halo of ``seq_len`` (see ``blocks.to_blocks``).  ``make_predict`` plugs in
     another model, trained elsewhere; else principal components are fitted here.  The fit is eager, like an MLlib
-    estimator; the (one row per series) scaler is checkpointed, so scoring plans don't read the history again."""
-    from tickwatch.session import checkpoint_dir
-    checkpoint_dir(blocked.sparkSession)
+    estimator; the (one row per series) scaler is written, so scoring plans don't read the history again."""
+    own = blocked.where("own").select("series", "rn", "price")
+    lengths = series_lengths(own)
     if scaler is None:
-        scaler = sequence_scaler(blocked.where("own").select("series", "rn", "price"), seq_len)
-    scaler = scaler.checkpoint()
-    train = training_frame(blocked, scaler, seq_len)
+        scaler = sequence_scaler(own, seq_len, lengths)
+    scaler = written(scaler)
+    train = training_frame(blocked, scaler, seq_len, lengths)
     if make_predict is None:
         make_predict = linear_autoencoder(*principal_components(train, k, seq_len))
     error = reconstruction_error(make_predict, seq_len)
@@ -188,7 +197,9 @@ def score_sequences(frame: DataFrame, model: SequenceModel, out: str = "seq_err"
     """Reconstruction error of every row of a blocked frame that ends a whole window (NULL otherwise)."""
     j = scaled(frame, model.scaler)
     j = j.withColumn(out, reconstruction_error(model.make_predict, model.seq_len)("_place", "_x"))
-    return j.withColumn(out, F.when(~F.isnan(out), F.col(out))).drop("_place", "_x")
+    j = j.withColumn(out, F.when(~F.isnan(out), F.col(out))).drop("_place", "_x")
+    # Spark forgets how the rows lie over a Python function: dealt out once, not once for each kind of window to come
+    return j.repartition("series", "block")
 
 
 def base_threshold_expr(errors: Column) -> Column:

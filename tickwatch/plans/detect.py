@@ -117,16 +117,23 @@ def full_frame(ticks: DataFrame, params: RuleParams = RuleParams(), layout: Layo
 
     The sequence model is trained on ``history`` (default: the same ticks)."""
     from tickwatch.operators.iforest import walk_forward
-    from tickwatch.operators.sequence import score_sequences
+    from tickwatch.operators.sequence import fit_sequence_model, score_sequences
 
     seq_on = sequence_k is not None or sequence_model is not None
-    fr = rule_frame(ticks, params, layout, features="online" if iforest else None,
-                    sequences=seq_on, own_only=not seq_on)
+    features = "online" if iforest else None
+    numbered = number_rows(ticks, layout)
     if seq_on:
-        model = sequence_model or fit_sequence(history if history is not None else ticks, layout, sequence_k)
-        fr = score_sequences(fr, model)
+        if sequence_model is not None:
+            model = sequence_model
+        elif history is not None:
+            model = fit_sequence(history, layout, sequence_k)
+        else:
+            model = fit_sequence_model(to_blocks(numbered, C.SEQ_LEN), k=sequence_k)
+        # scored first, while the rows are narrow: one more exchange, then all windows
+        fr = rules_on_blocks(score_sequences(to_blocks(numbered, needed_halo(True)), model), params, features, own_only=False)
         fr = stats.dynamic_threshold(fr, "seq_err", F.lit(model.base_threshold)).where(F.col("own"))
     else:
+        fr = rules_on_numbered(numbered, params, layout, features)
         fr = fr.withColumn("seq_err", F.lit(None).cast("double")).withColumn("threshold", F.lit(None).cast("double")) \
             .withColumn("ratio", F.lit(None).cast("double")).withColumn("err_flag", F.lit(None).cast("boolean"))
     keep = ["series", "seq", "ts", "t_us", "rn", "price", "pct_change", "abs_change", "rule_types",

@@ -90,14 +90,15 @@ class Layout:
     """How a series is cut into row blocks for window work.
 
     ``block_rows`` None means adaptive: about ``blocks_per_core`` blocks per
-    core of the session, clamped to [min_block_rows, max_block_rows].
+    core of the session, clamped to [min_block_rows, max_block_rows]; each window
+    over blocks buffers one block, so the upper bound also bounds a task's memory.
     ``bucket_rows`` sizes the coarse time buckets used to number rows.
     """
 
     block_rows: int | None = None
     bucket_rows: int = 1_000_000
     min_block_rows: int = 4096
-    max_block_rows: int = 1 << 20
+    max_block_rows: int = 1 << 17
     blocks_per_core: int = 3
 
 
